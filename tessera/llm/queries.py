@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+from tessera.llm.exact import op10_exact_cuckoo
 from tessera.llm.packing import op5_harmonic_packing
+from tessera.llm.simhash import op3_simhash_golay
 from tessera.llm.tokens import op1_token_files
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op3_simhash_golay": op3_simhash_golay,
     "op5_harmonic_packing": op5_harmonic_packing,
+    "op10_exact_cuckoo": op10_exact_cuckoo,
+}
+#: A-Z lower-cased and nothing else, in DuckDB.
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL: dict[str, str] = {
+    "op10_exact_cuckoo": f"""
+        with d as (select doc_id, sha256({LOWER}) as text_sha256 from documents),
+             g as (select text_sha256, max(doc_id) as keep_id, count(*) as group_size from d group by 1)
+        select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from d join g using (text_sha256)""",
 }
-SQL: dict[str, str] = {}
