@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tessera.llm.exact import op10_exact_cuckoo
+from tessera.llm.mixing import BLOCK_WORDS, SEED, op8_sainte_lague_mix
 from tessera.llm.packing import op5_harmonic_packing
 from tessera.llm.simhash import op3_simhash_golay
 from tessera.llm.tokens import op1_token_files
@@ -11,12 +12,44 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op3_simhash_golay": op3_simhash_golay,
     "op5_harmonic_packing": op5_harmonic_packing,
+    "op8_sainte_lague_mix": op8_sainte_lague_mix,
     "op10_exact_cuckoo": op10_exact_cuckoo,
 }
 #: A-Z lower-cased and nothing else, in DuckDB.
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: Every seat of every member is a row here; the highest quotients win.
+MIX = rf"""
+    with d as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
+                      md5('{SEED}:' || coalesce(cast(doc_id as varchar), '')) as place from documents),
+    s0 as (select source, cast(sum(size) as bigint) as source_size from d group by 1),
+    s1 as (select *, 3 * source_size as most, [5, 2, 1][(row_number() over (order by source asc nulls last) - 1) % 3 + 1] as weight from s0),
+    s2 as (select *, cast(sum(source_size) over () as bigint) as total,
+                  cast(coalesce(sum(most) over (order by most / weight, source nulls last rows between unbounded preceding and 1 preceding), 0) as bigint) as used,
+                  cast(sum(weight) over () - coalesce(sum(weight) over (order by most / weight, source nulls last rows between unbounded preceding and 1 preceding), 0) as bigint) as weights from s1),
+    s3 as (select *, (total - used) / weights as level from s2),
+    s4 as (select *, (select level from s3 where most / weight >= level order by most / weight, level limit 1) as share from s3),
+    s5 as (select source, source_size, least(cast(most as double), share * weight) as target from s4),
+    s6 as (select *, cast(round(sum(target) over () / {BLOCK_WORDS}) as bigint) as seats from s5),
+    s7 as (select source, row_number() over (order by target / (2.0 * k + 1.0) desc, source nulls last) as place, seats
+           from (select *, unnest(range(seats + 1)) as k from s6 where target > 0)),
+    s8 as (select source, count(*) as blocks from s7 where place <= seats group by 1),
+    s9 as (select s5.*, coalesce(blocks, 0) as blocks from s5 left join s8 on s5.source is not distinct from s8.source),
+    c0 as (select source, place[1:2] as shard, cast(sum(size) as bigint) as words from d group by 1, 2 having sum(size) > 0),
+    c1 as (select c0.*, blocks from c0 join s9 on c0.source is not distinct from s9.source),
+    c2 as (select source, shard, blocks, row_number() over (partition by source order by words / (2.0 * k + 1.0) desc, shard) as place
+           from (select *, unnest(range(blocks + 1)) as k from c1)),
+    c3 as (select source, shard, count(*) as quota from c2 where place <= blocks group by 1, 2),
+    c4 as (select c1.*, least(coalesce(quota, 0) * {BLOCK_WORDS}, 3 * words) as quota, cast('0x' || md5('{SEED}:' || coalesce(c1.source, '') || ':' || c1.shard)[1:8] as bigint) as seed
+           from c1 left join c3 on c1.source is not distinct from c3.source and c1.shard = c3.shard),
+    c5 as (select source, shard, words, quota // words as whole, quota % words as more, seed % ((words + {BLOCK_WORDS} - 1) // {BLOCK_WORDS}) * {BLOCK_WORDS} as first from c4),
+    r as (select *, cast(coalesce(sum(size) over (partition by source, place[1:2] order by place, doc_id, size rows between unbounded preceding and 1 preceding), 0) as bigint) as a from d)
+    select doc_id, size, source_size, target,
+           cast(coalesce(whole * size + greatest(0, least(a + size, least(first + more, words)) - greatest(a, first)) + greatest(0, least(a + size, first + more - words) - a), 0) as bigint) as taken
+    from r left join c5 on r.source is not distinct from c5.source and place[1:2] = shard join s9 on r.source is not distinct from s9.source"""
+
 SQL: dict[str, str] = {
+    "op8_sainte_lague_mix": MIX,
     "op10_exact_cuckoo": f"""
         with d as (select doc_id, sha256({LOWER}) as text_sha256 from documents),
              g as (select text_sha256, max(doc_id) as keep_id, count(*) as group_size from d group by 1)
