@@ -6,6 +6,7 @@ from tessera.llm.exact import op10_exact_cuckoo
 from tessera.llm.mixing import BLOCK_WORDS, SEED, op8_sainte_lague_mix
 from tessera.llm.packing import op5_harmonic_packing
 from tessera.llm.quality import op9_attention_quality
+from tessera.llm.rules import op6_risk_controlled_rules
 from tessera.llm.simhash import op3_simhash_golay
 from tessera.llm.tokens import op1_token_files
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op3_simhash_golay": op3_simhash_golay,
     "op5_harmonic_packing": op5_harmonic_packing,
+    "op6_risk_controlled_rules": op6_risk_controlled_rules,
     "op8_sainte_lague_mix": op8_sainte_lague_mix,
     "op9_attention_quality": op9_attention_quality,
     "op10_exact_cuckoo": op10_exact_cuckoo,
