@@ -8,11 +8,13 @@ from tessera.llm.packing import op5_harmonic_packing
 from tessera.llm.quality import op9_attention_quality
 from tessera.llm.rules import op6_risk_controlled_rules
 from tessera.llm.simhash import op3_simhash_golay
+from tessera.llm.suffix import op4_repeat_removal
 from tessera.llm.tokens import op1_token_files
 
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op3_simhash_golay": op3_simhash_golay,
+    "op4_repeat_removal": op4_repeat_removal,
     "op5_harmonic_packing": op5_harmonic_packing,
     "op6_risk_controlled_rules": op6_risk_controlled_rules,
     "op8_sainte_lague_mix": op8_sainte_lague_mix,
