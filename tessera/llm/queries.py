@@ -7,12 +7,14 @@ from tessera.llm.mixing import BLOCK_WORDS, SEED, op8_sainte_lague_mix
 from tessera.llm.packing import op5_harmonic_packing
 from tessera.llm.quality import op9_attention_quality
 from tessera.llm.rules import op6_risk_controlled_rules
+from tessera.llm.scoring import op2_suffix_tree_score
 from tessera.llm.simhash import op3_simhash_golay
 from tessera.llm.suffix import op4_repeat_removal
 from tessera.llm.tokens import op1_token_files
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_suffix_tree_score": op2_suffix_tree_score,
     "op3_simhash_golay": op3_simhash_golay,
     "op4_repeat_removal": op4_repeat_removal,
     "op5_harmonic_packing": op5_harmonic_packing,
