@@ -8,6 +8,7 @@ from tessera.llm.packing import op5_harmonic_packing
 from tessera.llm.quality import op9_attention_quality
 from tessera.llm.rules import op6_risk_controlled_rules
 from tessera.llm.scoring import op2_suffix_tree_score
+from tessera.llm.sharding import op7_tiered_compaction
 from tessera.llm.simhash import op3_simhash_golay
 from tessera.llm.suffix import op4_repeat_removal
 from tessera.llm.tokens import op1_token_files
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_repeat_removal": op4_repeat_removal,
     "op5_harmonic_packing": op5_harmonic_packing,
     "op6_risk_controlled_rules": op6_risk_controlled_rules,
+    "op7_tiered_compaction": op7_tiered_compaction,
     "op8_sainte_lague_mix": op8_sainte_lague_mix,
     "op9_attention_quality": op9_attention_quality,
     "op10_exact_cuckoo": op10_exact_cuckoo,
@@ -57,6 +59,7 @@ MIX = rf"""
     from r left join c5 on r.source is not distinct from c5.source and place[1:2] = shard join s9 on r.source is not distinct from s9.source"""
 
 SQL: dict[str, str] = {
+    "op7_tiered_compaction": "select doc_id, source, lang, cast(strlen(text) as bigint) as n_bytes, sha256(text) as text_sha256 from documents",
     "op8_sainte_lague_mix": MIX,
     "op10_exact_cuckoo": f"""
         with d as (select doc_id, sha256({LOWER}) as text_sha256 from documents),
