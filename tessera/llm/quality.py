@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tessera.llm.common import Words, batches, bounded_batches, byte_texts, crc_mod, documents, mix64
 
@@ -170,7 +171,7 @@ def scores(docs: DataFrame, model: Attention | float, text: str = "text", name:
     """
     bounded_batches(docs.sparkSession)
     docs = docs.drop(name)
-    schema = docs.schema.add(name, "double")
+    schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches(it):
@@ -184,6 +185,12 @@ def scores(docs: DataFrame, model: Attention | float, text: str = "text", name:
     return docs.mapInArrow(run, schema)
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score at least ``threshold``, with their columns as they were."""
+    bounded_batches(docs.sparkSession)
+    return scores(docs, learn(docs, labels), name="__score").where(F.col("__score") >= threshold).drop("__score")
+
+
 def op9_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     bounded_batches(spark)
