@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tessera.llm.common import Scratch, batches, bounded_batches, byte_texts, documents, partitions
 
@@ -167,10 +168,25 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_exact(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns as they were."""
-    found = exact_duplicates(docs)
-    kept = found.where("kept").select("doc_id").distinct()
-    return docs.join(kept.withColumnRenamed("doc_id", "__kept"), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    """The rows of ``docs`` that stay, one of each text, with their columns as they were."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "exact")
+    rows = scratch.keep(digests(docs), "rows")
+    groups = scratch.keep(live_digests(rows, partitions(spark)), "groups")
+    schema = StructType([*docs.schema.fields, StructField("__digest", BinaryType())])
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in batches(it, 1 << 20):
+            found = pa.array([hashlib.sha256(x.lower()).digest() for x in byte_texts(table["text"])], pa.binary())
+            yield from table.append_column("__digest", found).combine_chunks().to_batches()
+
+    bounded_batches(spark)
+    last = groups.select(F.col("keep_id").alias("__keep"), F.col("digest").alias("__digest"))
+    kept = docs.mapInArrow(run, schema).join(last, "__digest").where(F.col("doc_id").eqNullSafe(F.col("__keep"))).drop("__keep")
+    twice = rows.groupBy("doc_id", "digest").count().where("count > 1")
+    if not twice.isEmpty():  # rows that share text and id
+        kept = kept.dropDuplicates(["__digest"])
+    return kept.select(*docs.columns)
 
 
 def update_index(index: DataFrame, inserts: DataFrame, removes: DataFrame, shards: int) -> DataFrame:

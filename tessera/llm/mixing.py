@@ -8,16 +8,22 @@ run of blocks from a seeded start. All of it is integer arithmetic on sizes; no
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD, Scratch, documents, text_or_empty
+from tessera.llm.common import WORD, Scratch, bounded_batches, byte_texts, documents, text_or_empty
 
 BLOCK_WORDS = 64
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
 SHARD_DIGITS = 2
 SEED = "mix-1"
+_WORDS = re.compile(WORD.encode())
 _before = (Window.unboundedPreceding, -1)
 
 
@@ -113,5 +119,42 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_words: int =
     return rows.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def _first_words(text: bytes, n: int) -> bytes:
+    """The text up to the end of its n-th word."""
+    end = 0
+    for match, _ in zip(_WORDS.finditer(text), range(n)):
+        end = match.end()
+    return text[:end]
+
+
+def mixed_texts(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` as the mix takes them: a row for each whole pass over a document, and one cut to the words of a part.
+
+    Columns stay; ``n_chars``, where there is one, follows the text. Rows that share an id and a size share what
+    they take.
+    """
+    taken = mix(docs, **options).groupBy("doc_id", "size").agg(F.floor(F.sum("taken") / F.count(F.lit(1))).alias("__taken"))
+    taken = taken.where("__taken > 0").select(F.col("doc_id").alias("__id"), F.col("size").alias("__n"), "__taken")
+    sized = docs.withColumn("__size", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long"))
+    rows = sized.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__size") == F.col("__n"))).drop("__id", "__n")
+    passes = F.sequence(F.lit(1).cast("long"), F.ceil(F.col("__taken") / F.col("__size")))
+    rows = rows.withColumn("__pass", F.explode(passes))
+    rows = rows.withColumn("__words", F.least(F.col("__size"), F.col("__taken") - (F.col("__pass") - 1) * F.col("__size"))).drop("__pass", "__taken")
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            sizes, words = batch["__size"].to_pylist(), batch["__words"].to_pylist()
+            texts = [x if n == m else _first_words(x, n) for x, m, n in zip(byte_texts(batch["text"]), sizes, words)]
+            text = pa.array(texts, pa.binary()).cast(pa.string())
+            cols = {c: batch[c] for c in names} | {"text": text}
+            if "n_chars" in cols:
+                cols["n_chars"] = pc.utf8_length(text).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays(list(cols.values()), names=names)
+
+    names = docs.columns
+    bounded_batches(docs.sparkSession)
+    return rows.mapInArrow(run, docs.schema)
+
+
 def op8_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
