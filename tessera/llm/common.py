@@ -44,7 +44,10 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
+        # shuffle files of a finished write serve nothing any more
+        self.spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
         df.write.option("compression", "zstd").parquet(self.path(name))
+        self.spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false")
         out = self.spark.read.schema(df.schema).parquet(self.path(name))
         self.paths[id(out)] = self.path(name)
         return out

@@ -14,7 +14,6 @@ into its 100-byte ranks, and Spark groups those.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -129,7 +128,8 @@ def text_runs(texts: list[bytes], length: int = LENGTH, seed: int = SEED_LENGTH)
 
 
 def _row_key(text: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+    """32 bits that tell rows of one id apart."""
+    return int.from_bytes(hashlib.blake2b(text, digest_size=4).digest(), "little", signed=True)
 
 
 def _bitmap(names: DataFrame, column: str, bits: int) -> np.ndarray:
@@ -153,8 +153,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, seed: int = SEED_LENGTH, bitmap_bits: int = BITMAP_BITS) -> DataFrame:
     """(doc_id, row, a, b): bytes [a, b) of repeats, overlapping as found; ``row`` tells rows of one id apart."""
-    spark = docs.sparkSession
-    sc = spark.sparkContext
+    sc = docs.sparkSession.sparkContext
 
     def anchors(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches(it, 4 << 20):
@@ -165,9 +164,6 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, seed
     seen = docs.mapInArrow(anchors, "name long, run long, doc_id long")
     per = seen.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least"), F.min("run").alias("r0"), F.max("run").alias("r1"))
     repeated = scratch.keep(per.where("n > 1").select("name", "least", (F.col("r0") != F.col("r1")).alias("mixed")), "names")
-    del seen, per
-    gc.collect()
-    sc._jvm.System.gc()  # the shuffle of all anchors is the largest; its files go before the next is written
     maybe = sc.broadcast(_bitmap(repeated, "name", bitmap_bits))
     mixed = sc.broadcast(_bitmap(repeated.where("mixed"), "name", bitmap_bits))
 
@@ -177,10 +173,10 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, seed
             r = text_runs(texts, length, seed)
             keep = _marked(maybe.value, r["name"])
             r = {k: v[keep] for k, v in r.items()}
-            wide = _marked(mixed.value, r["name"]) & r["first_run"]
-            bodies: list[bytes | None] = [None] * len(wide)
-            marks: list[bytes | None] = [None] * len(wide)
-            at = np.flatnonzero(wide)
+            varied = _marked(mixed.value, r["name"])
+            bodies: list[bytes | None] = [None] * len(varied)
+            marks: list[bytes | None] = [None] * len(varied)
+            at = np.flatnonzero(varied & r["first_run"])
             if len(at):
                 parts = [texts[d][a : b + length] for d, a, b in zip(r["doc"][at].tolist(), r["lo"][at].tolist(), r["hi"][at].tolist())]
                 counts = r["hi"][at] - r["lo"][at] + 1
@@ -189,37 +185,55 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, seed
                 for i, body, n in zip(at.tolist(), parts, counts.tolist()):
                     bodies[i], marks[i] = body, np.packbits(new[past : past + n]).tobytes()
                     past += n
-            rows = [_row_key(x) for x in texts]
-            cols = [_signed(r["name"]), _signed(r["run"]), pa.array(table["doc_id"].to_numpy()[r["doc"]]), pa.array(np.array(rows, np.int64)[r["doc"]])]
-            cols += [pa.array(r["lo"]), pa.array(r["hi"]), pa.array(r["first"]), pa.array(r["first_run"]), pa.array(bodies, pa.binary()), pa.array(marks, pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, names=["name", "run", "doc_id", "row", "lo", "hi", "first", "first_run", "body", "marks"])
-
-    schema = "name long, run long, doc_id long, row long, lo long, hi long, first boolean, first_run boolean, body binary, marks binary"
-    near = scratch.keep(docs.mapInArrow(around, schema).join(repeated, "name"), "near")
-    gc.collect()
-    sc._jvm.System.gc()
-    whole = near.where(~F.col("mixed") & ~((F.col("doc_id") == F.col("least")) & F.col("first")))
+            rows = np.array([_row_key(x) for x in texts], np.int32)
+            cols = [_signed(r["name"]), pa.array(r["run"].view(np.int64), mask=~varied), pa.array(table["doc_id"].to_numpy()[r["doc"]]), pa.array(rows[r["doc"]])]
+            cols += [pa.array(r["lo"].astype(np.int32)), pa.array((r["hi"] + length).astype(np.int32)), pa.array(r["first"]), pa.array(r["first_run"]), pa.array(bodies, pa.binary()), pa.array(marks, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["name", "run", "doc_id", "row", "a", "b", "first", "first_run", "body", "marks"])
+
+    schema = "name long, run long, doc_id long, row int, a int, b int, first boolean, first_run boolean, body binary, marks binary"
+    near = docs.mapInArrow(around, schema).join(repeated, "name")
+    near = scratch.keep(near.where("mixed or doc_id <> least or not first").drop("least", "first"), "near")
+    scratch.drop("names")
     varied = near.where("mixed")
     classes = varied.groupBy("name", "run").agg(F.min("doc_id").alias("least_run"))
-    varied = varied.join(classes, ["name", "run"])
-    heads = (F.col("doc_id") == F.col("least_run")) & F.col("first_run")
-    later = varied.where(~heads)
+    head = (F.col("doc_id") == F.col("least_run")) & F.col("first_run")
+    varied = varied.join(classes, ["name", "run"]).select("doc_id", "row", "a", "b", "body", "marks", head.alias("head"))
+    varied = scratch.keep(varied.select("doc_id", "row", "a", "b", "head", *[F.when(F.col("head"), F.col(c)).alias(c) for c in ("body", "marks")]), "varied")
+    whole = scratch.keep(near.where(~F.col("mixed")).select("doc_id", "row", "a", "b"), "whole")
+    scratch.drop("near")
+    heads = varied.where("head").select("doc_id", "row", "a", "body", "marks")
+
+    def opened(table: pa.Table) -> tuple[np.ndarray, ...]:
+        """(index of the head, start, rank, first in its text) of every start of every head."""
+        parts = table["body"].to_pylist()
+        counts = np.fromiter((len(x) - length + 1 for x in parts), np.int64, len(parts))
+        new = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=n) for m, n in zip(table["marks"].to_pylist(), counts.tolist())]) > 0
+        start = np.repeat(table["a"].to_numpy() - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        return np.repeat(np.arange(len(parts)), counts), start, window_names(parts, length), new
+
+    def ranked(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in batches(it, 1 << 20):
+            head_, _, rank, new = opened(table)
+            yield pa.RecordBatch.from_arrays([_signed(rank[new]), pa.array(table["doc_id"].to_numpy()[head_[new]])], names=["rank", "doc_id"])
+
+    ranks = heads.mapInArrow(ranked, "rank long, doc_id long")
+    earliest = ranks.groupBy("rank").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("rank", "least")
+    earliest = scratch.keep(earliest, "ranks")
+    shared = sc.broadcast(_bitmap(earliest, "rank", bitmap_bits))
 
     def spread(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches(it, 1 << 20):
-            parts = table["body"].to_pylist()
-            counts = np.fromiter((len(x) - length + 1 for x in parts), np.int64, len(parts))
-            new = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=n) for m, n in zip(table["marks"].to_pylist(), counts.tolist())])
-            step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            each = [np.repeat(table[c].to_numpy(), counts) for c in ("doc_id", "row", "lo")]
-            yield pa.RecordBatch.from_arrays([_signed(window_names(parts, length)), pa.array(each[0]), pa.array(each[1]), pa.array(each[2] + step), pa.array(new > 0)], names=["rank", "doc_id", "row", "a", "new"])
+            head_, start, rank, new = opened(table)
+            use = ~new | _marked(shared.value, rank)
+            head_, start, rank, new = head_[use], start[use], rank[use], new[use]
+            cols = [pa.array(rank.view(np.int64), mask=~new), pa.array(table["doc_id"].to_numpy()[head_]), pa.array(table["row"].to_numpy()[head_]), pa.array(start.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(cols, names=["rank", "doc_id", "row", "a"])
 
-    ranks = scratch.keep(varied.where(heads).select("doc_id", "row", "lo", "body", "marks").mapInArrow(spread, "rank long, doc_id long, row long, a long, new boolean"), "ranks")
-    earliest = ranks.groupBy("rank").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    inside = ranks.where(~F.col("new")).select("doc_id", "row", "a", (F.col("a") + length).alias("b"))
-    across = ranks.where("new").join(earliest, "rank").where("doc_id > least").select("doc_id", "row", "a", (F.col("a") + length).alias("b"))
-    runs = whole.select("doc_id", "row", F.col("lo").alias("a"), (F.col("hi") + length).alias("b"))
-    return runs.unionByName(later.select("doc_id", "row", F.col("lo").alias("a"), (F.col("hi") + length).alias("b"))).unionByName(inside).unionByName(across)
+    starts = heads.mapInArrow(spread, "rank long, doc_id long, row int, a int")
+    end = (F.col("a") + length).alias("b")
+    inside = starts.where("rank is null").select("doc_id", "row", "a", end)
+    across = starts.where("rank is not null").join(earliest, "rank").where("doc_id > least").select("doc_id", "row", "a", end)
+    return whole.unionByName(varied.where("not head").select("doc_id", "row", "a", "b")).unionByName(inside).unionByName(across)
 
 
 def window_names(parts: list[bytes], length: int) -> np.ndarray:
@@ -267,9 +281,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     found = repeated_spans(docs, scratch, length)
     spans = found.groupBy("doc_id", "row").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     spans = scratch.keep(spans, "spans")
-    scratch.drop("ranks", "near", "names")
-    gc.collect()
-    spark._jvm.System.gc()
+    scratch.drop("ranks", "varied", "whole")
     touched = spark.sparkContext.broadcast(_bitmap(spans, "row", 24))
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
 
@@ -280,8 +292,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches(it, 1 << 20):
             texts = byte_texts(table["text"])
-            keys = np.array([_row_key(x) for x in texts], np.int64)
-            open_ = _marked(touched.value, keys.view(np.uint64))
+            keys = np.array([_row_key(x) for x in texts], np.int32)
+            open_ = _marked(touched.value, keys.astype(np.int64).view(np.uint64))
             rows = [(None,) * 5 if o else r for o, r in zip(open_.tolist(), _cut_rows([b"" if o else x for x, o in zip(texts, open_)], [[]] * len(texts)))]
             later = pa.array([x if o else None for x, o in zip(texts, open_)], pa.binary())
             yield pa.RecordBatch.from_arrays([table["doc_id"].combine_chunks(), pa.array(keys), later, *cells(rows)], names=["doc_id", "row", "later", *names[: 4 + with_text]])
@@ -293,7 +305,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
             yield pa.RecordBatch.from_arrays([table["doc_id"].combine_chunks(), *cells(rows)], names=["doc_id", *names[: 4 + with_text]])
 
     tail = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    first = scratch.keep(docs.mapInArrow(split, f"doc_id long, row long, later binary, {tail}"), "texts")
+    first = scratch.keep(docs.mapInArrow(split, f"doc_id long, row int, later binary, {tail}"), "texts")
     whole: Column = F.col("later").isNull()
     changed = first.where(~whole).select("doc_id", "row", "later").join(spans, ["doc_id", "row"], "left").select("doc_id", "later", "spans").mapInArrow(finish, f"doc_id long, {tail}")
     return first.where(whole).select("doc_id", *names[: 4 + with_text]).unionByName(changed)
