@@ -106,16 +106,17 @@ class ShardStore:
         if not due:
             return None
         version, out = last[-1] + 1, marked.where(~F.col("due")).drop("due")
-        before = self.spark.conf.get("spark.sql.files.maxPartitionBytes")
+        packing = {"spark.sql.files.maxPartitionBytes": str(self.target), "spark.sql.files.openCostInBytes": "65536", "spark.sql.files.minPartitionNum": "1"}
+        before = {k: self.spark.conf.get(k, None) for k in packing}
         for _, paths in due:
             folder = uuid.uuid4().hex
-            self.spark.conf.set("spark.sql.files.maxPartitionBytes", str(self.target))
-            self.spark.conf.set("spark.sql.files.minPartitionNum", "1")
             try:
+                for k, v in packing.items():
+                    self.spark.conf.set(k, v)
                 self.spark.read.parquet(*paths).write.option("compression", "zstd").parquet(f"{self.root}/data/{folder}")
             finally:
-                self.spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-                self.spark.conf.unset("spark.sql.files.minPartitionNum")
+                for k, v in before.items():
+                    self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
             out = out.unionByName(self._shards(folder, version, id_column))
         return self._commit(out, version)
 

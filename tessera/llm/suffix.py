@@ -94,6 +94,8 @@ def _runs(data: np.ndarray, sizes: np.ndarray, length: int, seed: int) -> tuple[
 
 def _first_in(doc: np.ndarray, name: np.ndarray) -> np.ndarray:
     """Which rows are the first of their (doc, name); rows stand in ascending order of starts within a doc."""
+    if not len(name):
+        return np.empty(0, bool)
     order = np.lexsort((name, doc))
     same = np.concatenate(([False], (name[order][1:] == name[order][:-1]) & (doc[order][1:] == doc[order][:-1])))
     out = np.ones(len(name), bool)
