@@ -82,7 +82,7 @@ def byte_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def batches(it: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[pa.Table]:
+def batches(it: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.Table]:
     """Joins small Arrow batches until they hold about ``most`` bytes, so that numpy work is amortised."""
     held: list[pa.RecordBatch] = []
     size = 0
