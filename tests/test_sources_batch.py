@@ -34,7 +34,12 @@ def test_fetch_keeps_prefetched_and_reports_errors(spark):
     assert not got["http://b"].ok and "down" in got["http://b"].error
 
 
-def test_batch_runs_once_over_unchanged_pages(spark):
+def test_batch_runs_once_over_unchanged_pages(spark, tmp_path):
+    def keep(df, name):
+        path = str(tmp_path / f"{name}-{len(list(tmp_path.iterdir()))}")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
     html = "<p># Alpha Gold Credit Card</p><p>A Visa credit card. Annual fee: ₹500.</p>" + "<p>filler text</p>" * 20
     fetched = spark.createDataFrame([("https://a.example/cards/alpha", "alpha", "Alpha", False, None, None, None, False, html, None, 1)], "url string, issuer_id string, issuer_name string, is_listing boolean, force_card_name string, force_category string, force_network string, is_discovery boolean, html string, etag string, seq long")
     known = spark.createDataFrame([], "card_id string, first_seen_at string")
@@ -44,9 +49,9 @@ def test_batch_runs_once_over_unchanged_pages(spark):
 
     shape = with_ids(cards(to_pages(fetched).withColumnRenamed("url", "source_url")), "t").drop("pos")
     known = spark.createDataFrame([], shape.schema)
-    one = run_batch(fetched, known, ledger, "t1")
+    one = run_batch(fetched, known, ledger, "t1", keep)
     got = one.cards.collect()
     assert [(r.card_id, r.fees.annual_fee_inr, r.network) for r in got] == [("alpha__alpha-gold-credit-card", 500.0, "Visa")]
     assert one.published.first().errors == []
-    again = run_batch(fetched, one.cards, one.ledger, "t2")
+    again = run_batch(fetched, one.cards, one.ledger, "t2", keep)
     assert again.cards.collect()[0].last_scraped_at == "t1" and again.changes.isEmpty()
