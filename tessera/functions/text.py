@@ -62,9 +62,10 @@ def word_set(text: Column, least: int = 3) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+"), lambda x: F.length(x) >= least))
 
 
-def around(text: Column, pattern: str, before: int, after: int, flags: str = "i") -> Column:
-    """The first match with its surroundings, on one line."""
-    found = F.struct(F.regexp_instr(text, F.lit(rx(pattern, flags))).alias("at"), F.length(F.regexp_substr(text, F.lit(rx(pattern, flags)))).alias("size"))
+def around(text: Column, pattern: str | Column, before: int, after: int, flags: str = "i") -> Column:
+    """The first match with its surroundings, on one line. A Column is a pattern with its flags."""
+    wanted = F.lit(rx(pattern, flags)) if isinstance(pattern, str) else pattern
+    found = F.struct(F.regexp_instr(text, wanted).alias("at"), F.length(F.regexp_substr(text, wanted)).alias("size"))
 
     def cut(m: Column) -> Column:
         lead = F.least(F.lit(before), m["at"] - 1)

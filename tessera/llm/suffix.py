@@ -197,12 +197,13 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, seed
     near = scratch.keep(near.where("mixed or doc_id <> least or not first").drop("least", "first"), "near")
     scratch.drop("names")
     varied = near.where("mixed")
-    classes = varied.groupBy("name", "run").agg(F.min("doc_id").alias("least_run"))
+    # written, so that the join below deals out both sides itself and can split a run of very many copies
+    classes = scratch.keep(varied.groupBy("name", "run").agg(F.min("doc_id").alias("least_run")), "classes")
     head = (F.col("doc_id") == F.col("least_run")) & F.col("first_run")
     varied = varied.join(classes, ["name", "run"]).select("doc_id", "row", "a", "b", "body", "marks", head.alias("head"))
     varied = scratch.keep(varied.select("doc_id", "row", "a", "b", "head", *[F.when(F.col("head"), F.col(c)).alias(c) for c in ("body", "marks")]), "varied")
     whole = scratch.keep(near.where(~F.col("mixed")).select("doc_id", "row", "a", "b"), "whole")
-    scratch.drop("near")
+    scratch.drop("near", "classes")
     heads = varied.where("head").select("doc_id", "row", "a", "body", "marks")
 
     def opened(table: pa.Table) -> tuple[np.ndarray, ...]:

@@ -251,15 +251,17 @@ BRANDS = (
 _OFFER = r"%|₹|cashback|discount|\boff\b|voucher|\bfree\b"
 
 
-def partner_offers(md: Column) -> Column:
-    """For each brand the first place whose surroundings speak of an offer."""
+def _listed(pairs: list[tuple[str, str]]) -> Column:
+    """(name, pattern) pairs as an array, so that one expression serves them all."""
+    return F.array(*[F.struct(F.lit(n).alias("name"), F.lit(rx(p)).alias("pattern")) for n, p in pairs])
 
-    def one(brand: str) -> Column:
-        literal = brand.replace(".", r"\.")
-        near = snippet(around(md, rf"{literal}(?:(?=[\s\S]{{0,250}}(?:{_OFFER}))|(?<=(?:{_OFFER})[\s\S]{{0,90}}))", 80, 250))
-        return let(near, lambda text: F.when(has(text, _OFFER) & (F.length(text) >= 12), F.struct(F.lit(brand).alias("partner"), text.alias("benefit"))))
 
-    return let(F.filter(F.array(*[one(b) for b in BRANDS]), lambda x: x.isNotNull()), some)
+def partner_offers(md: Column) -> Column:
+    """For each brand the first place whose surroundings speak of an offer."""
+    near = rf"(?:(?=[\s\S]{{0,250}}(?:{_OFFER}))|(?<=(?:{_OFFER})[\s\S]{{0,90}}))"
+    brands = _listed([(b, b.replace(".", r"\.") + near) for b in BRANDS])
+    found = F.transform(brands, lambda b: F.struct(b["name"].alias("partner"), snippet(around(md, b["pattern"], 80, 250)).alias("benefit")))
+    return let(F.filter(found, lambda x: has(x["benefit"], _OFFER) & (F.length(x["benefit"]) >= 12)), some)
 
 
 #: Kinds of perk and what speaks of them.
@@ -283,8 +285,8 @@ PERKS = (
 
 
 def perks(md: Column) -> Column:
-    each = [F.when(has(md, p), F.struct(F.lit(k).alias("kind"), snippet(around(md, p, 0, 220)).alias("value"))) for k, p in PERKS]
-    return let(F.filter(F.array(*each), lambda x: x.isNotNull()), some)
+    found = F.filter(_listed(list(PERKS)), lambda k: F.rlike(md, k["pattern"]))
+    return let(F.transform(found, lambda k: F.struct(k["name"].alias("kind"), snippet(around(md, k["pattern"], 0, 220)).alias("value"))), some)
 
 
 def eligibility(md: Column) -> Column:
