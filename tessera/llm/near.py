@@ -1,22 +1,27 @@
 """Near copies: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Candidates are pairs of fingerprints that operator 3 links. At 0.8 two 64-bit fingerprints differ in about ten
-bits, though, which no three-bit link finds, so the least hashes of each shingle set are keys as well: of two
-sets as similar as that, the eight least hashes of both have one in common but for a few in a million. A key
-stands with the set's size class. Pairing all rows of a key would grow with the square of its rows, so each is
-paired with two of them, drawn anew for each key: a row meets up to 32 of those it shares keys with, and joins
-its group if one of them is a near copy. Candidates are sifted by sketches of 64 hashes and then compared by
-whole sets, so no document goes that has no near copy.
+The search has a fast part, which may miss pairs, and an exact part, which finds all that the fast one left apart.
+
+Fast: candidates are pairs of fingerprints that operator 3 links, and rows that share one of the eight least
+hashes of their shingle sets, each paired with two rows drawn anew for each key and sifted by sketches of 64
+hashes. What is verified on whole sets joins rows to groups.
+
+Exact: sets are put in one order, common shingles last. Two sets of similarity t share one of the first
+n - ceil(t n) + 1 shingles of both, whatever the order, so those are the keys. Equal sets stand as one row. The rows
+of a key first meet the one that has most near copies so far; then all pairs of a key whose rows are still in
+different groups are verified, but for those that sizes and places of the key rule out. No pair in one group need be
+looked at, as groups are connected components.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -27,6 +32,8 @@ from tessera.llm.simhash import fingerprint, links, shingle_hashes
 WORDS, SIMILARITY = 5, 0.8
 KEYS, SKETCH = 8, 64
 _BITS = 24
+#: Rows that are sampled and shingles that are kept to tell common shingles. They settle the order of keys only.
+_SAMPLE, _COMMON = 1 << 14, 1 << 20
 
 
 def _row_key(doc_id: int | None, text: bytes) -> int:
@@ -46,6 +53,83 @@ def _alike(a: np.ndarray, b: np.ndarray, most: int | None = None) -> float:
     return float(np.isin(union, both, assume_unique=True).mean()) if len(union) else 1.0
 
 
+def _may(n: Column, i: Column, m: Column, j: Column, similarity: float) -> Column:
+    """Whether sets of n and m shingles that first meet at places i and j can be as similar as that."""
+    return F.least(n - i, m - j) * (1 + similarity) >= similarity * (n + m) - 1e-6
+
+
+def _prefixes(docs: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(row, size, key, at): the first shingles of each set in an order of all shingles, common ones last."""
+    spark = docs.sparkSession
+    share = max(1, rows.count() // _SAMPLE)
+
+    def sample(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in batches(it, 1 << 20):
+            ids = table["doc_id"].to_pylist()
+            found = [np.unique(mix64(shingle_hashes(x, words))) for i, x in zip(ids, byte_texts(table["text"])) if _row_key(i, x) % share == 0]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["key"])
+
+    bounded_batches(spark)
+    common = docs.mapInArrow(sample, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n >= 3").orderBy(F.desc("n"), "key").limit(_COMMON).toArrow()
+    names, counts = common["key"].to_numpy().view(np.uint64), common["n"].to_numpy()
+    order = np.argsort(names)
+    shared = spark.sparkContext.broadcast((names[order], counts[order]))
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, often = shared.value
+        for table in batches(it, 1 << 20):
+            ids, texts = table["doc_id"].to_pylist(), byte_texts(table["text"])
+            found, sizes = [], []
+            for text in texts:
+                h = np.unique(mix64(shingle_hashes(text, words)))
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                    h = h[np.argsort(np.where(known[at] == h, often[at], 0), kind="stable")]
+                sizes.append(len(h))
+                found.append(h[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1])
+            n = np.array([len(x) for x in found])
+            keys = np.array([_row_key(i, x) for i, x in zip(ids, texts)], np.int64)
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            cols = [np.repeat(keys, n), np.repeat(np.array(sizes, np.int64), n), np.concatenate(found).view(np.int64), at]
+            yield from pa.Table.from_arrays([pa.array(x) for x in cols], names=["row", "size", "key", "at"]).to_batches(1 << 16)
+
+    return docs.mapInArrow(run, "row long, size long, key long, at long")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, words: int, similarity: float, scratch: Scratch, tag: str) -> DataFrame:
+    """The rows of ``pairs`` (a, b), written, that are as similar as that by their whole sets."""
+    spark = docs.sparkSession
+    low = pairs.select(F.explode(F.array("a", "b")).alias("row")).select(F.expr(f"cast(row & {(1 << _BITS) - 1} as int)").alias("low"))
+    # a bitmap of fixed size over the low bits of row names: a row that it marks wrongly only does needless work
+    marked = np.zeros(1 << _BITS, bool)
+    masks = low.groupBy(F.expr("shiftright(low, 6)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, low & 63))").alias("mask")).toArrow()
+    marked.reshape(-1, 64)[masks["word"].to_numpy()] = np.unpackbits(masks["mask"].to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(bool)
+    shared = spark.sparkContext.broadcast(np.packbits(marked))
+
+    def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(shared.value).astype(bool)
+        for table in batches(it, 1 << 20):
+            texts, ids = byte_texts(table["text"]), table["doc_id"].to_pylist()
+            keys = [_row_key(i, x) for i, x in zip(ids, texts)]
+            use = [i for i, k in enumerate(keys) if wanted[k & ((1 << _BITS) - 1)]]
+            found = [np.unique(shingle_hashes(texts[i], words)).tobytes() for i in use]
+            yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in use], pa.int64()), pa.array(found, pa.binary())], names=["row", "set"])
+
+    bounded_batches(spark)
+    whole = scratch.keep(docs.mapInArrow(sets, "row long, set binary").dropDuplicates(["row"]), f"{tag}-sets")
+
+    def verify(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            good = [_alike(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)) >= similarity for p, q in zip(batch["p"].to_pylist(), batch["q"].to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    sure = pairs.join(whole.select(F.col("row").alias("a"), F.col("set").alias("p")), "a").join(whole.select(F.col("row").alias("b"), F.col("set").alias("q")), "b")
+    sure = scratch.keep(sure.select("a", "b", "p", "q").mapInArrow(verify, "a long, b long"), f"{tag}-sure")
+    scratch.drop(f"{tag}-sets")
+    return sure
+
+
 def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, row, keep) of every row of ``docs`` (doc_id, text): its group's row that stays, the smallest doc_id.
 
@@ -60,17 +144,18 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     def sketch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches(it, 1 << 20):
             texts, ids = byte_texts(table["text"]), table["doc_id"].to_pylist()
-            fps, sizes, least = [], [], []
+            fps, sizes, least, wholes = [], [], [], []
             for text in texts:
                 h = shingle_hashes(text, words)
                 fps.append(fingerprint(h))
                 kept = np.unique(mix64(h))
                 sizes.append(len(kept))
                 least.append(kept[:SKETCH])
-            cols = [pa.array(ids, pa.int64()), pa.array([_row_key(i, x) for i, x in zip(ids, texts)], pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), _lists(least)]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "row", "fp", "size", "least"])
+                wholes.append(hashlib.blake2b(kept.tobytes(), digest_size=16).digest())
+            cols = [pa.array(ids, pa.int64()), pa.array([_row_key(i, x) for i, x in zip(ids, texts)], pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), _lists(least), pa.array(wholes, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "row", "fp", "size", "least", "whole"])
 
-    rows = scratch.keep(docs.mapInArrow(sketch, "doc_id long, row long, fp long, size long, least array<long>"), "rows")
+    rows = scratch.keep(docs.mapInArrow(sketch, "doc_id long, row long, fp long, size long, least array<long>, whole binary"), "rows")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     level = F.floor(F.log(1 / similarity, F.greatest(F.col("size"), F.lit(1)).cast("double")))
     keyed = rows.select("row", level.alias("level"), F.explode(F.slice("least", 1, KEYS)).alias("key"))
@@ -96,33 +181,32 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     pairs = pairs.join(one.select(F.col("row").alias("b"), F.col("least").alias("q"), F.col("size").alias("n")), "b")
     pairs = pairs.where(F.least("m", "n") >= similarity * F.greatest("m", "n")).select("a", "b", "p", "q")
     pairs = scratch.keep(pairs.mapInArrow(sift, "a long, b long"), "pairs")
-    low = pairs.select(F.explode(F.array("a", "b")).alias("row")).select(F.expr(f"cast(row & {(1 << _BITS) - 1} as int)").alias("low"))
-    # a bitmap of fixed size over the low bits of row names: a row that it marks wrongly only does needless work
-    marked = np.zeros(1 << _BITS, bool)
-    words_ = low.groupBy(F.expr("shiftright(low, 6)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, low & 63))").alias("mask")).toArrow()
-    marked.reshape(-1, 64)[words_["word"].to_numpy()] = np.unpackbits(words_["mask"].to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(bool)
-    shared = spark.sparkContext.broadcast(np.packbits(marked))
-
-    def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(shared.value).astype(bool)
-        for table in batches(it, 1 << 20):
-            texts, ids = byte_texts(table["text"]), table["doc_id"].to_pylist()
-            keys = [_row_key(i, x) for i, x in zip(ids, texts)]
-            use = [i for i, k in enumerate(keys) if wanted[k & ((1 << _BITS) - 1)]]
-            found = [np.unique(shingle_hashes(texts[i], words)).tobytes() for i in use]
-            yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in use], pa.int64()), pa.array(found, pa.binary())], names=["row", "set"])
-
-    bounded_batches(spark)
-    whole = scratch.keep(docs.mapInArrow(sets, "row long, set binary").dropDuplicates(["row"]), "sets")
-
-    def verify(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            good = [_alike(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)) >= similarity for p, q in zip(batch["p"].to_pylist(), batch["q"].to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    sure = pairs.join(whole.select(F.col("row").alias("a"), F.col("set").alias("p")), "a").join(whole.select(F.col("row").alias("b"), F.col("set").alias("q")), "b")
-    sure = scratch.keep(sure.select("a", "b", "p", "q").mapInArrow(verify, "a long, b long"), "sure")
-    scratch.drop("sets")
+    same = rows.groupBy("whole").agg(F.min("row").alias("a"))
+    same = scratch.keep(rows.join(same, "whole").where("row <> a").select("a", F.col("row").alias("b")), "same")
+    sure = same.union(_verified(docs, pairs, words, similarity, scratch, "fast"))
+    groups = components(sure, scratch, "fast-cc")
+    # from here one row stands for each whole set
+    keys = scratch.keep(_prefixes(docs, rows, words, similarity), "all-keys")
+    twice = scratch.keep(keys.groupBy("key").count().where("count > 1").select("key"), "twice")
+    keys = keys.join(twice, "key").join(same.select(F.col("b").alias("row")), "row", "left_anti")
+    keys = scratch.keep(keys.select("row", "size", "key", "at"), "keys")
+    scratch.drop("all-keys", "twice")
+    degree = sure.select(F.explode(F.array("a", "b")).alias("row")).groupBy("row").agg(F.count(F.lit(1)).alias("degree"))
+    placed = one.select("row").join(groups, F.col("row") == F.col("node"), "left").join(degree, "row", "left")
+    placed = scratch.keep(placed.select("row", F.coalesce("component", "row").alias("group"), F.coalesce("degree", F.lit(0)).alias("degree")), "placed")
+    keys = keys.join(placed, "row")
+    best = F.struct("degree", F.xxhash64("row", "key"), "row", "size", "at", "group")
+    hubs = keys.groupBy("key").agg(F.max(best).alias("hub"), F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key", "hub")
+    keys = scratch.keep(keys.join(hubs, "key").select("key", "row", "size", "at", "group", "hub"), "open")
+    near_hub = keys.where((F.col("group") != F.col("hub.group")) & _may(F.col("size"), F.col("at"), F.col("hub.size"), F.col("hub.at"), similarity))
+    near_hub = scratch.keep(near_hub.select(F.least("row", "hub.row").alias("a"), F.greatest("row", "hub.row").alias("b")).distinct(), "hub-pairs")
+    sure = sure.union(_verified(docs, near_hub, words, similarity, scratch, "hubs"))
+    groups = components(sure, scratch, "hub-cc")
+    keys = keys.join(groups, F.col("row") == F.col("node"), "left").select("key", "row", "size", "at", F.coalesce("component", "row").alias("group"))
+    x, y = (keys.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("row", "size", "at", "group")]) for i in (1, 2))
+    rest = x.join(y, "key").where((F.col("row1") < F.col("row2")) & (F.col("group1") != F.col("group2")) & _may(F.col("size1"), F.col("at1"), F.col("size2"), F.col("at2"), similarity))
+    rest = rest.select(F.col("row1").alias("a"), F.col("row2").alias("b")).distinct().join(near_hub, ["a", "b"], "left_anti")
+    sure = sure.union(_verified(docs, scratch.keep(rest, "rest-pairs"), words, similarity, scratch, "rest"))
     found = one.select("doc_id", "row").join(components(sure, scratch), F.col("row") == F.col("node"), "left")
     found = found.select("doc_id", "row", F.coalesce("component", "row").alias("group"))
     firsts = found.groupBy("group").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(0)).alias("d"), "row"))["row"].alias("keep"))

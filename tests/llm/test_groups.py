@@ -161,6 +161,28 @@ def test_near_copies(spark):
     assert near.drop_near(nothing(spark)).count() == 0
 
 
+def _texts_near(base, copies, rng):
+    """A text of new words, and copies with 0.82 to 0.88 of similarity to it by independent edits."""
+    words = [f"w{rng.random()}" for _ in range(base)]
+    grams = lambda x: {tuple(x[i : i + 5]) for i in range(len(x) - 4)}
+    out = [words]
+    while len(out) <= copies:
+        changed = list(words)
+        for at in rng.sample(range(len(words)), rng.randrange(4, 8)):
+            changed[at] = f"x{rng.random()}"
+        both = len(grams(changed) & grams(words)) / len(grams(changed) | grams(words))
+        if 0.82 <= both <= 0.88:
+            out.append(changed)
+    return [" ".join(x) for x in out]
+
+
+def test_near_copies_of_one_text_that_are_not_near_each_other(spark):
+    rng = random.Random(12)
+    docs = [(1000 * k + i, x) for k in range(3) for i, x in enumerate(_texts_near(300, 60, rng))]
+    got = near.drop_near(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in got.collect()) == [0, 1000, 2000]
+
+
 def test_classifier_on_held_out_documents(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("documents", "labels"))
     rows = QUERIES["op9_attention_quality"](spark, "/root/testdata/sf0.01").join(labels, "doc_id").where("held_out").collect()
