@@ -189,35 +189,58 @@ def drop_exact(docs: DataFrame) -> DataFrame:
     return kept.select(*docs.columns)
 
 
-def update_index(index: DataFrame, inserts: DataFrame, removes: DataFrame, shards: int) -> DataFrame:
+def update_live(live: DataFrame, inserts: DataFrame, removes: DataFrame) -> DataFrame:
+    """The live rows (doc_id, digest) after ``inserts`` and then ``removes``; a removed row that is not live changes nothing."""
+    rows = live.select("doc_id", "digest", F.lit(1).alias("n")).union(inserts.select("doc_id", "digest", F.lit(1)))
+    rows = rows.union(removes.select("doc_id", "digest", F.lit(-1))).groupBy("doc_id", "digest").agg(F.sum("n").alias("n"))
+    return rows.where("n > 0").select("doc_id", "digest", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("__i")).drop("__i")
+
+
+def update_index(index: DataFrame, inserts: DataFrame, removes: DataFrame, shards: int, live: DataFrame | None = None) -> DataFrame:
     """A written index (keep_id, digest, size) after ``inserts`` and ``removes`` (doc_id, digest) of live digests.
 
     Each shard's cuckoo index is filled from its stored digests, takes the inserts, then drops the removed
-    digests that it verifies; a digest leaves once as many rows were removed as it had.
+    digests that it verifies; a digest leaves once as many rows were removed as it had. ``live``: the rows
+    (doc_id, digest) of the index before, from which keep_id and size of digests with removed rows are told
+    anew (``update_live`` gives the rows after). Without it, removing a row that may be the kept one of a group
+    that stays is an error.
     """
     fields = ("keep_id", "digest", "size")
-    added = live_digests(inserts, shards)
-    gone = live_digests(removes, shards).select("keep_id", "digest", (-F.col("size")).alias("size"))
-    both = index.select(*fields).unionByName(added).unionByName(gone)
+    added, gone = live_digests(inserts, shards), live_digests(removes, shards)
+    both = index.select(*fields, F.lit(0).alias("kind")).unionByName(added.withColumn("kind", F.lit(0))).unionByName(gone.withColumn("kind", F.lit(1)))
+    if live is not None:
+        rest = update_live(live, inserts, removes).join(gone.select("digest"), "digest", "left_semi")
+        both = both.unionByName(live_digests(rest, shards).withColumn("kind", F.lit(2)))
+    told = live is not None
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, late = CuckooIndex(), []
+        held, late, anew = CuckooIndex(), [], {}
         for batch in it:
-            for keep, digest, size in zip(*(batch[c].to_pylist() for c in fields)):
-                if size < 0:
-                    late.append((digest, -size))
+            for keep, digest, size, kind in zip(*(batch[c].to_pylist() for c in (*fields, "kind"))):
+                if kind == 1:
+                    late.append((digest, keep, size))
+                    continue
+                if kind == 2:
+                    anew[digest] = [keep, size]
                     continue
                 old = held.get(digest)
                 if old is None:
                     held.put(digest, [keep, size])
                 else:
-                    old[0], old[1] = max(old[0], keep), old[1] + size
-        for digest, size in late:
+                    old[0] = keep if old[0] is None else old[0] if keep is None else max(old[0], keep)
+                    old[1] += size
+        for digest, most, size in late:
             old = held.get(digest)
-            if old is not None:
+            if old is None:
+                continue
+            if told:
+                old[:] = anew.get(digest, [None, 0])
+            else:
                 old[1] -= size
-                if old[1] <= 0:
-                    held.remove(digest)
+            if old[1] <= 0:
+                held.remove(digest)
+            elif not told and old[0] is not None and most is not None and most >= old[0]:
+                raise ValueError("a kept row is removed: the live rows are needed to tell the next one")
         rows = held.items()
         yield pa.RecordBatch.from_arrays(
             [pa.array([v[0] for _, v in rows], pa.int64()), pa.array([d for d, _ in rows], pa.binary()), pa.array([v[1] for _, v in rows], pa.int64())], names=list(fields)

@@ -106,6 +106,16 @@ def test_index_takes_inserts_and_removes(spark):
     assert {(r.keep_id, bytes(r.digest)[0], r.size) for r in got} == {(4, 1, 3), (5, 3, 1)}
 
 
+def test_index_keeps_a_live_row_when_the_kept_one_is_removed(spark):
+    rows = lambda *x: spark.createDataFrame([(i, bytes([d]) * 32) for i, d in x], "doc_id long, digest binary")
+    live = rows((1, 1), (2, 1), (3, 2), (None, 3), (5, 4))
+    inserts, removes = rows((4, 1), (None, 3), (7, 4)), rows((4, 1), (3, 2), (9, 4), (8, 6))
+    got = exact.update_index(exact.live_digests(live, 2), inserts, removes, 2, live).collect()
+    assert {(r.keep_id, bytes(r.digest)[0], r.size) for r in got} == {(2, 1, 2), (None, 3, 2), (7, 4, 2)}
+    with pytest.raises(Exception, match="kept row"):
+        exact.update_index(exact.live_digests(live, 2), inserts, removes, 2).collect()
+
+
 def test_apportionment_gives_all_seats(spark):
     rng = random.Random(6)
     weights = [rng.randrange(1, 1000) for _ in range(30)]
