@@ -193,6 +193,24 @@ def test_near_copies_of_one_text_that_are_not_near_each_other(spark):
     assert sorted(r.doc_id for r in got.collect()) == [0, 1000, 2000]
 
 
+def test_near_copies_whose_least_hashes_differ(spark):
+    rng = random.Random(5)
+    words = [f"w{rng.random()}" for _ in range(600)]
+    hashed = lambda x: near.mix64(near.shingle_hashes(" ".join(x).encode(), 5))
+    h = hashed(words)
+    bar, changed = np.sort(h)[63], list(words)
+    for at in sorted(range(10, 590), key=lambda i: -(h[i - 4 : i + 1] <= bar).sum()):
+        if changed[at - 5 : at + 6] == words[at - 5 : at + 6]:
+            tries = [f"x{rng.random()}" for _ in range(60)]
+            changed[at] = max(tries, key=lambda x: (hashed(words[at - 4 : at] + [x] + words[at + 1 : at + 5]) <= bar).sum())
+        if sum(x != y for x, y in zip(words, changed)) == 12:
+            break
+    a, b = np.unique(h), np.unique(hashed(changed))
+    assert near._alike(a, b) >= 0.8 and near._alike(a[:64], b[:64], 64) <= 0.6
+    got = near.drop_near(spark.createDataFrame([(1, " ".join(words)), (2, " ".join(changed))], "doc_id long, text string"))
+    assert [r.doc_id for r in got.collect()] == [1]
+
+
 def test_classifier_on_held_out_documents(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("documents", "labels"))
     rows = QUERIES["op9_attention_quality"](spark, "/root/testdata/sf0.01").join(labels, "doc_id").where("held_out").collect()
