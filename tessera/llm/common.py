@@ -6,12 +6,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 #: Words of a text: runs of anything but space, tab, newline, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,10 +22,12 @@ _own: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset."""
+    """The folder that all executors share: ``spark.checkpoint.dir``. Only a local session may go without it."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="tessera-"))
         atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
@@ -38,19 +42,20 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, tag: str) -> None:
         self.spark, self.root = spark, f"{shared_dir(spark)}/tessera/{tag}-{uuid.uuid4().hex}"
-        self.paths: dict[int, str] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         # shuffle files of a finished write serve nothing any more
-        self.spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
-        df.write.option("compression", "zstd").parquet(self.path(name))
-        self.spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false")
-        out = self.spark.read.schema(df.schema).parquet(self.path(name))
-        self.paths[id(out)] = self.path(name)
-        return out
+        cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(cleanup, None)
+        self.spark.conf.set(cleanup, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(self.path(name))
+        finally:
+            self.spark.conf.unset(cleanup) if before is None else self.spark.conf.set(cleanup, before)
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
         for name in names:
@@ -58,9 +63,12 @@ class Scratch:
             target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def bounded_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Few rows per Arrow batch: texts may be long, and a batch is held whole by a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def bounded_batches(spark: SparkSession, most: int = 1 << 20) -> None:
+    """Bounds Arrow batches by bytes: texts may be long, and a batch is held whole by a Python worker.
+
+    The setting stays, as results are run later than they are declared; the number of rows a batch is the user's.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
 
 
 def partitions(spark: SparkSession) -> int:
@@ -140,33 +148,46 @@ def powers(n: int, base: int) -> np.ndarray:
     return held[:n]
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of data[start:end], equal for equal bytes wherever they stand.
-
-    One running sum of byte * base**position serves every span; multiplying by base**-start moves a span to 0.
-    """
-    sums = np.empty(len(data) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(len(data), _BASE), out=sums[1:])
-    inverse = powers(len(data) + 1, _INV)
-    return mix64((sums[end] - sums[start]) * inverse[start])
-
-
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Masks of the low 0 to 8 bytes.
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 class Words:
-    """The words of many texts at once: ``doc`` (index of the text), ``start`` and ``end`` (bytes in ``data``), ``hash``."""
+    """The words of many texts at once: ``doc`` (index of the text), ``start`` and ``end`` (bytes in ``data``).
+
+    ``low``, ``high`` and ``size`` are a word of at most ``EXACT`` bytes itself, so words compare as numbers.
+    ``ahead`` (of bytes) marks further places where a word begins.
+    """
 
-    def __init__(self, texts: list[bytes], lower: bool = True) -> None:
-        joined = b" ".join(texts)
-        self.data = np.frombuffer(joined.lower() if lower else joined, np.uint8)  # bytes.lower() changes A-Z only
+    EXACT = 16
+
+    def __init__(self, texts: list[bytes], lower: bool = True, ahead: Callable[[np.ndarray], np.ndarray] | None = None) -> None:
+        joined = b" ".join([*texts, bytes(16)])
+        self.raw = joined.lower() if lower else joined  # bytes.lower() changes A-Z only
+        padded = np.frombuffer(self.raw, np.uint8)
+        self.data = padded[: max(0, len(padded) - 17)]
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         self.doc_start = np.concatenate(([0], np.cumsum(sizes + 1)))[: len(texts)]
-        space = np.concatenate(([True], _SPACE[self.data], [True]))
-        edges = np.flatnonzero(space[1:] != space[:-1])
-        self.start, self.end = edges[0::2], edges[1::2]
+        word = ~_SPACE[padded[: len(self.data) + 1]]
+        word[len(self.data) :] = False
+        begins, ends = word.copy(), word.copy()
+        cut = np.zeros(len(word), bool) if ahead is None else ahead(padded[: len(word)])
+        begins[1:] &= ~word[:-1] | cut[1:]
+        ends[:-1] &= ~word[1:] | cut[1:]
+        self.start, self.end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         self.doc = np.searchsorted(self.doc_start, self.start, "right") - 1
         self.count = np.bincount(self.doc, minlength=len(texts)).astype(np.int64)
-        self.hash = span_hashes(self.data, self.start, self.end) if len(self.start) else np.empty(0, np.uint64)
+        self.size = self.end - self.start
+        eight = np.ndarray((len(padded) - 8,), "<u8", padded, strides=(1,))
+        self.low = eight[self.start] & _LOW[np.minimum(self.size, 8)]
+        self.high = eight[self.start + 8] & _LOW[np.clip(self.size - 8, 0, 8)]
+
+    @cached_property
+    def hash(self) -> np.ndarray:
+        """64-bit names of the words: equal words have equal ones, wherever they stand. Long words by XXH64."""
+        out = mix64(self.low + mix64(self.high + self.size.astype(np.uint64) * _MIX))
+        long_ = np.flatnonzero(self.size > self.EXACT)
+        out[long_] = np.fromiter((xxh64_intdigest(self.raw[a:b]) for a, b in zip(self.start[long_].tolist(), self.end[long_].tolist())), np.uint64, len(long_))
+        return out

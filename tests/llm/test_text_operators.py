@@ -48,6 +48,30 @@ def test_blocks_round_trip(docs):
     assert a.tolist() == list(range(len(docs))) and b.tolist() == lengths.tolist() and c.tolist() == flat.tolist()
 
 
+@given(st.lists(st.integers(1, 700), min_size=1, max_size=6), st.integers(0, 5))
+@settings(max_examples=60, deadline=None)
+def test_block_index_finds_documents(lengths, seed):
+    ids = np.random.default_rng(seed).zipf(1.3, sum(lengths)).clip(0, 49_407).astype(np.uint32)
+    segment = tokens.Segment(tokens.pack(np.arange(len(lengths)), np.array(lengths), ids))
+    ends = np.cumsum(lengths)
+    assert all(segment.document(i).tolist() == ids[e - n : e].tolist() for i, (n, e) in enumerate(zip(lengths, ends)))
+
+
+def test_words_are_cut_and_named():
+    from tessera.llm.common import Words
+
+    texts = ["a b", "", "Ab  aB\t", "x" * 40 + " " + "x" * 40 + "y", "aaaaaaaabbbbbbbbc aaaaaaaabbbbbbbb a\0 a"]
+    w = Words([x.encode() for x in texts])
+    want = [(i, x) for i, t in enumerate(texts) for x in re.findall(r"[^\x20\x09-\x0D]+", t.lower())]
+    assert [(d, w.raw[a:b].decode()) for d, a, b in zip(w.doc, w.start, w.end)] == want
+    names = dict(zip((x for _, x in want), w.hash.tolist()))
+    assert len(set(names.values())) == len(names) and all(names[x] == h for (_, x), h in zip(want, w.hash.tolist()))
+    # words whose running sums agree: a name must not be such a sum
+    thue = [sum(map(int, bin(i)[2:])) % 2 for i in range(1024)]
+    pair = Words(["".join("ab"[b ^ k] for b in thue).encode() for k in (0, 1)])
+    assert pair.hash[0] != pair.hash[1]
+
+
 def test_blocks_with_outliers():
     ids = np.array([5] * 500 + [49_407] + [6] * 30, np.uint32)
     packed = tokens.pack(np.array([1]), np.array([531]), ids)
@@ -59,7 +83,7 @@ def test_token_files(spark):
     docs = awkward(spark)
     tokens.write_token_files(docs, scratch.path("f"), PATH, segment_tokens=1000)
     got = sorted(tokens.token_index(spark, scratch.path("f")).collect(), key=lambda r: r.start)
-    rows = sorted(((r.doc_id or 0, r.text or "") for r in docs.collect()), key=lambda r: (r[0], r[1]))
+    rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     at = 0
     for r, (doc, x) in zip(got, rows, strict=True):
         ids = [*WHOLE.encode(x, add_special_tokens=False).ids, 2]
