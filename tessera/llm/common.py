@@ -122,10 +122,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-_BASE = 0x5851F42D4C957F2D
-_INV = pow(_BASE, -1, 1 << 64)
-
-
 def _powers(n: int, base: int) -> np.ndarray:
     out = np.empty(n, np.uint64)
     out[:1] = 1
@@ -148,6 +144,21 @@ def powers(n: int, base: int) -> np.ndarray:
     return held[:n]
 
 
+def bitmap(names: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A bitmap of 2**bits bits that marks the low bits of every value; its size does not grow with the rows."""
+    low = names.select(F.col(column).bitwiseAND((1 << bits) - 1).alias("low"))
+    words = low.groupBy(F.expr("cast(shiftright(low, 6) as int)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(low & 63 as int)))").alias("mask"))
+    found = words.toArrow()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[found["word"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
+    return out
+
+
+def marked(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    low = values & np.uint64(len(bits) * 64 - 1)
+    return (bits[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1) > 0
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Masks of the low 0 to 8 bytes.

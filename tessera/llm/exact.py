@@ -9,14 +9,14 @@ a verified digest only, so they never remove another key's.
 from __future__ import annotations
 
 import hashlib
+import string
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tessera.llm.common import Scratch, batches, bounded_batches, byte_texts, documents, partitions
+from tessera.llm.common import Scratch, batches, bounded_batches, byte_texts, documents, partitions, text_or_empty
 
 _SLOTS, _MOVES = 4, 64
 
@@ -156,7 +156,6 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "exact")
     rows = scratch.keep(digests(docs), "rows")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     groups = scratch.keep(live_digests(rows, partitions(spark)), "groups")
     return rows.join(groups, "digest").select(
         "doc_id",
@@ -168,25 +167,22 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_exact(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, one of each text, with their columns as they were."""
+    """The rows of ``docs`` that stay, one of each text, with their columns as they were.
+
+    A null text is empty, a null id smaller than any other; of rows that share text and id one stays. Columns that
+    start with ``__exact`` are not allowed; an empty table gives no row.
+    """
     spark = docs.sparkSession
     scratch = Scratch(spark, "exact")
     rows = scratch.keep(digests(docs), "rows")
-    groups = scratch.keep(live_digests(rows, partitions(spark)), "groups")
-    schema = StructType([*docs.schema.fields, StructField("__digest", BinaryType())])
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches(it, 1 << 20):
-            found = pa.array([hashlib.sha256(x.lower()).digest() for x in byte_texts(table["text"])], pa.binary())
-            yield from table.append_column("__digest", found).combine_chunks().to_batches()
-
-    bounded_batches(spark)
-    last = groups.select(F.col("keep_id").alias("__keep"), F.col("digest").alias("__digest"))
-    kept = docs.mapInArrow(run, schema).join(last, "__digest").where(F.col("doc_id").eqNullSafe(F.col("__keep"))).drop("__keep")
+    last = scratch.keep(live_digests(rows, partitions(spark)), "groups").select(F.col("keep_id").alias("__exact_keep"), F.col("digest").alias("__exact_digest"))
+    upper, lower = string.ascii_uppercase, string.ascii_lowercase
+    digest = F.unhex(F.sha2(F.translate(text_or_empty(), upper, lower), 256))
+    kept = docs.withColumn("__exact", digest).join(last, F.col("__exact") == F.col("__exact_digest")).where(F.col("doc_id").eqNullSafe(F.col("__exact_keep")))
     twice = rows.groupBy("doc_id", "digest").count().where("count > 1")
     if not twice.isEmpty():  # rows that share text and id
-        kept = kept.dropDuplicates(["__digest"])
-    return kept.select(*docs.columns)
+        kept = kept.dropDuplicates(["__exact"])
+    return kept.drop("__exact", "__exact_keep", "__exact_digest")
 
 
 def update_live(live: DataFrame, inserts: DataFrame, removes: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -21,7 +22,9 @@ from tessera.llm.common import WORD, Scratch, bounded_batches, byte_texts, docum
 BLOCK_WORDS = 64
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
-SHARD_DIGITS = 2
+#: Words of a source up to which its shards are named by 2, 3 and 4 digits of 16; 5 beyond. A shard has 2 ** 26
+#: words or so at most, and a source a million shards.
+SHARD_SIZES = (1 << 34, 1 << 38, 1 << 42)
 SEED = "mix-1"
 _WORDS = re.compile(WORD.encode())
 _before = (Window.unboundedPreceding, -1)
@@ -76,27 +79,38 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes:
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, size, place, name): ``place`` orders documents, ``name`` tells id and text."""
     digest = F.md5(F.concat_ws(":", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     size = F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")
-    return docs.select("doc_id", "source", size.alias("size"), digest.alias("place"))
+    return docs.select("doc_id", "source", size.alias("size"), digest.alias("place"), _name().alias("name"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_words: int = BLOCK_WORDS, passes: int = MOST_PASSES) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken of every row of ``docs`` (doc_id, text, source).
+def _name() -> Column:
+    return F.xxhash64("doc_id", "source", "text")
 
-    A null source is a source of its own, after all others; a null text has size zero and is never taken; rows
-    that share an id are taken separately; an empty table gives no row. No shard takes more than ``passes``
-    times its words, so no document is taken more often than that.
+
+def _digits(source_size: Column) -> Column:
+    out: Column = F.lit(len(SHARD_SIZES) + 2)
+    for n, most in reversed(list(enumerate(SHARD_SIZES, 2))):
+        out = F.when(source_size < most, n).otherwise(out)
+    return out
+
+
+def mixed_parts(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_words: int = BLOCK_WORDS, passes: int = MOST_PASSES) -> DataFrame:
+    """What the mix takes of every row of ``docs``: ``whole`` passes, and its words at [a0, b0) and [a1, b1).
+
+    The second range is not empty only where a shard's run of blocks wraps around.
     """
     scratch = Scratch(docs.sparkSession, "mix")
-    sizes = scratch.keep(document_sizes(docs), "sizes").withColumn("shard", F.substring("place", 1, SHARD_DIGITS))
+    sizes = scratch.keep(document_sizes(docs), "sizes")
     sources = source_targets(sizes, weights, passes)
     every = Window.partitionBy()
     sources = sources.withColumn("blocks", F.round(F.sum("target").over(every) / block_words).cast("long"))
     sources = apportion(sources.withColumn("one", F.lit(0)), ["one"], ["source"], "target", "blocks")
-    sources = scratch.keep(sources.select("source", "source_size", "target", F.col("quota").alias("blocks")), "sources")
-    cells = sizes.groupBy("source", "shard").agg(F.sum("size").alias("words"))
-    cells = cells.join(sources.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
+    sources = sources.select(F.col("source").alias("__s"), "source_size", "target", F.col("quota").alias("blocks"), _digits(F.col("source_size")).alias("digits"))
+    sources = scratch.keep(sources, "sources")
+    sizes = sizes.join(sources, F.col("source").eqNullSafe(F.col("__s"))).drop("__s").withColumn("shard", F.substring("place", F.lit(1), F.col("digits")))
+    cells = sizes.groupBy("source", "shard").agg(F.sum("size").alias("words"), F.min("blocks").alias("blocks"))
     cells = apportion(cells, ["source"], ["shard"], "words", "blocks")
     quota = F.least(F.col("quota") * block_words, F.col("words") * passes)
     seed = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(SEED), F.coalesce("source", F.lit("")), "shard")), 1, 8), 16, 10).cast("long")
@@ -105,55 +119,73 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_words: int =
         (quota % F.col("words")).alias("more"), (seed % F.ceil(F.col("words") / block_words) * block_words).alias("first"),
     )
     cells = scratch.keep(cells, "cells")
-    line = Window.partitionBy("source", "shard").orderBy("place", "doc_id", "size").rowsBetween(*_before)
+    line = Window.partitionBy("source", "shard").orderBy("place", "doc_id", "size", "name").rowsBetween(*_before)
     rows = sizes.withColumn("a", F.coalesce(F.sum("size").over(line), F.lit(0))).withColumn("b", F.col("a") + F.col("size"))
     rows = rows.join(cells, F.col("source").eqNullSafe(F.col("__s")) & (F.col("shard") == F.col("__h")), "left")
-    past = F.col("first") + F.col("more")
+    past, none = F.col("first") + F.col("more"), F.lit(0).cast("long")
+
+    def part(i: int, low: Column, high: Column) -> list[Column]:
+        """The words of a run that starts at ``low`` and ends before ``high``, counted from the document's first."""
+        start = F.greatest(F.col("a"), low) - F.col("a")
+        end = F.greatest(start, F.least(F.col("b"), high) - F.col("a"))
+        return [F.coalesce(start, none).alias(f"a{i}"), F.coalesce(end, none).alias(f"b{i}")]
 
-    def shared(lo: Column, hi: Column) -> Column:
-        return F.greatest(F.lit(0).cast("long"), F.least(F.col("b"), hi) - F.greatest(F.col("a"), lo))
+    ranges = [*part(0, F.col("first"), F.least(past, F.col("words"))), *part(1, none, past - F.col("words"))]
+    return rows.select("doc_id", "name", "source", "size", "source_size", "target", F.coalesce("whole", none).alias("whole"), *ranges)
 
-    taken = F.col("whole") * F.col("size") + shared(F.col("first"), F.least(past, F.col("words"))) + shared(F.lit(0).cast("long"), past - F.col("words"))
-    rows = rows.select("doc_id", "source", "size", F.coalesce(taken, F.lit(0)).cast("long").alias("taken"))
-    rows = rows.join(sources.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")))
-    return rows.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_words: int = BLOCK_WORDS, passes: int = MOST_PASSES) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken of every row of ``docs`` (doc_id, text, source).
+
+    A null source is a source of its own, after all others; a null text has size zero and is never taken; rows
+    that share an id are taken separately; a very long text is taken in blocks like any other; an empty table gives
+    no row. No shard takes more than ``passes`` times its words, so no document is taken more often than that.
+    """
+    taken = F.col("whole") * F.col("size") + F.col("b0") - F.col("a0") + F.col("b1") - F.col("a1")
+    return mixed_parts(docs, weights, block_words, passes).select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
 
 
-def _first_words(text: bytes, n: int) -> bytes:
-    """The text up to the end of its n-th word."""
-    end = 0
-    for match, _ in zip(_WORDS.finditer(text), range(n)):
-        end = match.end()
-    return text[:end]
+def _words_at(text: bytes, start: int, stop: int) -> bytes:
+    """The text from its word number ``start`` to the end of word ``stop`` - 1."""
+    found = list(islice(_WORDS.finditer(text), start, stop))
+    return text[found[0].start() : found[-1].end()] if found else b""
 
 
 def mixed_texts(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` as the mix takes them: a row for each whole pass over a document, and one cut to the words of a part.
+    """``docs`` as the mix takes them: a row for each whole pass over a document, and one for each range of its words.
 
-    Columns stay; ``n_chars``, where there is one, follows the text. Rows that share an id and a size share what
-    they take.
+    Columns stay; ``n_chars``, where there is one, follows the text. Names that start with ``__mix`` are not
+    allowed. Rows that share id, source and text are taken separately.
     """
-    taken = mix(docs, **options).groupBy("doc_id", "size").agg(F.floor(F.sum("taken") / F.count(F.lit(1))).alias("__taken"))
-    taken = taken.where("__taken > 0").select(F.col("doc_id").alias("__id"), F.col("size").alias("__n"), "__taken")
-    sized = docs.withColumn("__size", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long"))
-    rows = sized.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__size") == F.col("__n"))).drop("__id", "__n")
-    passes = F.sequence(F.lit(1).cast("long"), F.ceil(F.col("__taken") / F.col("__size")))
-    rows = rows.withColumn("__pass", F.explode(passes))
-    rows = rows.withColumn("__words", F.least(F.col("__size"), F.col("__taken") - (F.col("__pass") - 1) * F.col("__size"))).drop("__pass", "__taken")
+    spark = docs.sparkSession
+    full = F.transform(F.sequence(F.lit(1), F.col("whole")), lambda i: F.struct(F.lit(0).cast("long").alias("a"), F.col("size").alias("b")))
+    full = F.when(F.col("whole") > 0, full).otherwise(F.array().cast("array<struct<a:bigint,b:bigint>>"))
+    ends = F.filter(F.array(*[F.struct(F.col(f"a{i}").alias("a"), F.col(f"b{i}").alias("b")) for i in (0, 1)]), lambda x: x["a"] < x["b"])
+    # rows of one name stand for each other: the first of them takes what all take
+    parts = mixed_parts(docs, **options).where("size > 0").withColumn("parts", F.concat(full, ends)).where(F.size("parts") > 0)
+    parts = parts.groupBy(F.col("name").alias("__mix_name")).agg(F.flatten(F.collect_list("parts")).alias("__mix_parts"), F.max("size").alias("__mix_size"))
+    parts = Scratch(spark, "mixed").keep(parts, "parts")
+    named = docs.withColumn("__mix_row", _name())
+    twice = named.groupBy("__mix_row").count().where("count > 1").select("__mix_row")
+    if not twice.isEmpty():
+        copies = named.join(twice, "__mix_row", "left_semi").dropDuplicates(["__mix_row"])
+        named = named.join(twice, "__mix_row", "left_anti").unionByName(copies)
+    rows = named.join(parts, F.col("__mix_row") == F.col("__mix_name")).withColumn("__mix", F.explode("__mix_parts"))
+    rows = rows.withColumn("__mix_whole", F.col("__mix.b") - F.col("__mix.a") == F.col("__mix_size"))
+    names = docs.columns
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            sizes, words = batch["__size"].to_pylist(), batch["__words"].to_pylist()
-            texts = [x if n == m else _first_words(x, n) for x, m, n in zip(byte_texts(batch["text"]), sizes, words)]
-            text = pa.array(texts, pa.binary()).cast(pa.string())
+            at = batch["__mix"].to_pylist()
+            text = pa.array([_words_at(x, p["a"], p["b"]) for x, p in zip(byte_texts(batch["text"]), at)], pa.binary()).cast(pa.string())
             cols = {c: batch[c] for c in names} | {"text": text}
             if "n_chars" in cols:
                 cols["n_chars"] = pc.utf8_length(text).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=names)
 
-    names = docs.columns
-    bounded_batches(docs.sparkSession)
-    return rows.mapInArrow(run, docs.schema)
+    bounded_batches(spark)
+    cut = rows.where(~F.col("__mix_whole")).select(*names, "__mix").mapInArrow(run, docs.schema)
+    return rows.where("__mix_whole").select(*names).union(cut)
 
 
 def op8_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,16 +1,17 @@
 """Near copies: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-The search has a fast part, which may miss pairs, and an exact part, which finds all that the fast one left apart.
-
-Fast: candidates are pairs of fingerprints that operator 3 links, and rows that share one of the eight least
-hashes of their shingle sets, each paired with two rows drawn anew for each key and sifted by sketches of 64
-hashes. What is verified on whole sets joins rows to groups.
-
-Exact: sets are put in one order, common shingles last. Two sets of similarity t share one of the first
-n - ceil(t n) + 1 shingles of both, whatever the order, so those are the keys. Equal sets stand as one row. The rows
-of a key first meet the one that has most near copies so far; then all pairs of a key whose rows are still in
-different groups are verified, but for those that sizes and places of the key rule out. No pair in one group need be
-looked at, as groups are connected components.
+Candidates are the pairs of fingerprints that operator 3 links over Golay codewords and, as fingerprints of texts of
+similarity 0.8 differ in more bits than those keys cover, rows that share a prefix key: sets are put in one order,
+common shingles last; two sets of similarity t share one of the first n - ceil(t n) + 1 shingles of both, whatever the
+order. Every candidate is verified on the whole sets, so no pair is missed and none is made up.
+
+Rows of equal sets stand as one row. Rows of a key first meet the key's hub, the row with most company under its own
+keys. What is verified joins rows to groups; then pairs of a key whose rows are still in different groups are
+compared, but for those that their sizes, the places of the first shared key or the number of shared keys rule out.
+No pair in one group need be looked at, as groups are connected components.
+
+A row is named by a 64-bit hash of its id and text, a shingle by one of its words: among 10^10 rows about three pairs
+of rows are expected to share a name by chance.
 """
 
 from __future__ import annotations
@@ -23,105 +24,125 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
-from tessera.llm.common import Scratch, batches, bounded_batches, byte_texts, mix64
+from tessera.llm.common import Scratch, Words, batches, bitmap, bounded_batches, byte_texts, marked, mix64
 from tessera.llm.graph import components
-from tessera.llm.simhash import fingerprint, links, shingle_hashes
+from tessera.llm.simhash import fingerprint, links
 
 WORDS, SIMILARITY = 5, 0.8
-KEYS, SKETCH = 8, 64
-_BITS = 24
+#: Bits of the bitmaps that sift rows before a join. When they fill up, more rows are joined; results stay the same.
+_BITS = 25
 #: Rows that are sampled and shingles that are kept to tell common shingles. They settle the order of keys only.
-_SAMPLE, _COMMON = 1 << 14, 1 << 20
+_SAMPLE, _COMMON = 1 << 14, 1 << 19
+_TURN = [np.uint64(pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) | 1) for i in range(64)]
 
 
-def _row_key(doc_id: int | None, text: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(text, digest_size=8, salt=str(doc_id).encode()[:16]).digest(), "little", signed=True)
+def shingle_sets(texts: list[bytes], words: int = WORDS, repeats: bool = False) -> list[np.ndarray]:
+    """The sorted distinct names of each text's shingles (``repeats``: all of them, in their order).
 
+    A text with fewer words is one shingle, a text without words none.
+    """
+    found = Words(texts)
+    n = len(found.doc)
+    names, last = np.zeros(n, np.uint64), np.full(n, -1)
+    for i in range(min(words, n)):
+        inside = found.doc[i:] == found.doc[: n - i]
+        names[: n - i] += np.where(inside, found.hash[i:] * _TURN[i], np.uint64(0))
+        last[: n - i] = np.where(inside, i, last[: n - i])
+    first = np.cumsum(found.count) - found.count
+    whole = (last == words - 1) | ((found.count[found.doc] < words) & (np.arange(n) == first[found.doc]))
+    names, doc = mix64(names[whole]), found.doc[whole]
+    parts = np.split(names, np.searchsorted(doc, np.arange(1, len(texts))))
+    return parts if repeats else [np.unique(x) for x in parts]
 
-def _lists(found: list[np.ndarray]) -> pa.Array:
-    at = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
-    flat = np.concatenate(found) if found else np.empty(0, np.uint64)
-    return pa.ListArray.from_arrays(pa.array(at), pa.array(flat.view(np.int64)))
 
+def alike(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sorted sets."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
 
-def _alike(a: np.ndarray, b: np.ndarray, most: int | None = None) -> float:
-    """Jaccard similarity of two sets, or its estimate from the ``most`` least values of both."""
-    union = np.union1d(a, b)[:most]
-    both = np.intersect1d(a, b, assume_unique=True)
-    return float(np.isin(union, both, assume_unique=True).mean()) if len(union) else 1.0
 
+def _prefix(size: Column, similarity: float) -> Column:
+    return size - F.ceil(similarity * size - 1e-9) + 1
 
-def _may(n: Column, i: Column, m: Column, j: Column, similarity: float) -> Column:
-    """Whether sets of n and m shingles that first meet at places i and j can be as similar as that."""
-    return F.least(n - i, m - j) * (1 + similarity) >= similarity * (n + m) - 1e-6
 
-
-def _prefixes(docs: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(row, size, key, at): the first shingles of each set in an order of all shingles, common ones last."""
-    spark = docs.sparkSession
-    share = max(1, rows.count() // _SAMPLE)
+def _common(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Names and counts of the shingles that are common in a sample of the rows."""
+    share = max(1, docs.count() // _SAMPLE)
 
     def sample(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches(it, 1 << 20):
-            ids = table["doc_id"].to_pylist()
-            found = [np.unique(mix64(shingle_hashes(x, words))) for i, x in zip(ids, byte_texts(table["text"])) if _row_key(i, x) % share == 0]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["key"])
+        for table in batches(it):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle_sets(byte_texts(table["text"]), words)).view(np.int64))], names=["key"])
 
-    bounded_batches(spark)
-    common = docs.mapInArrow(sample, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n >= 3").orderBy(F.desc("n"), "key").limit(_COMMON).toArrow()
-    names, counts = common["key"].to_numpy().view(np.uint64), common["n"].to_numpy()
+    found = docs.where(F.pmod("row", F.lit(share)) == 0).select("text").mapInArrow(sample, "key long")
+    found = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n >= 3").orderBy(F.desc("n"), "key").limit(_COMMON).toArrow()
+    names, counts = found["key"].to_numpy().view(np.uint64), found["n"].to_numpy()
     order = np.argsort(names)
-    shared = spark.sparkContext.broadcast((names[order], counts[order]))
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, often = shared.value
-        for table in batches(it, 1 << 20):
-            ids, texts = table["doc_id"].to_pylist(), byte_texts(table["text"])
-            found, sizes = [], []
-            for text in texts:
-                h = np.unique(mix64(shingle_hashes(text, words)))
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                    h = h[np.argsort(np.where(known[at] == h, often[at], 0), kind="stable")]
-                sizes.append(len(h))
-                found.append(h[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1])
+    return names[order], counts[order].astype(np.int32)
+
+
+def prefix_keys(docs: DataFrame, words: int, similarity: float, scratch: Scratch) -> DataFrame:
+    """(row, size, key, at, n) of the prefix keys that n rows, two or more, share. Two passes over the texts:
+
+    one that counts keys, one that emits with their rows those that a bitmap of the shared ones marks.
+    """
+    spark = docs.sparkSession
+    order = spark.sparkContext.broadcast(_common(docs, words))
+
+    def prefixes(table: pa.Table) -> tuple[list[np.ndarray], list[int]]:
+        known, often = order.value
+        sets = shingle_sets(byte_texts(table["text"]), words)
+        flat = np.concatenate(sets)
+        rank = np.zeros(len(flat), np.int32)
+        if len(known):
+            at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
+            rank = np.where(known[at] == flat, often[at], 0)
+        out, past = [], 0
+        for h in sets:
+            r = rank[past : past + len(h)]
+            past += len(h)
+            out.append((h[np.argsort(r, kind="stable")] if r.any() else h)[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1])
+        return out, [len(h) for h in sets]
+
+    def only_keys(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in batches(it):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(prefixes(table)[0]).view(np.int64))], names=["key"])
+
+    counts = docs.select("text").mapInArrow(only_keys, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    shared = scratch.keep(counts.where("n > 1"), "shared")
+    bits = spark.sparkContext.broadcast(bitmap(shared, "key", _BITS))
+
+    def with_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in batches(it):
+            found, sizes = prefixes(table)
             n = np.array([len(x) for x in found])
-            keys = np.array([_row_key(i, x) for i, x in zip(ids, texts)], np.int64)
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            cols = [np.repeat(keys, n), np.repeat(np.array(sizes, np.int64), n), np.concatenate(found).view(np.int64), at]
-            yield from pa.Table.from_arrays([pa.array(x) for x in cols], names=["row", "size", "key", "at"]).to_batches(1 << 16)
+            flat = np.concatenate(found)
+            use = marked(bits.value, flat)
+            at = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+            cols = [np.repeat(table["row"].to_numpy(), n)[use], np.repeat(np.array(sizes, np.int32), n)[use], flat[use].view(np.int64), at[use].astype(np.int32)]
+            yield from pa.Table.from_arrays([pa.array(x) for x in cols], names=["row", "size", "key", "at"]).to_batches(1 << 15)
 
-    return docs.mapInArrow(run, "row long, size long, key long, at long")
+    keys = docs.select("row", "text").mapInArrow(with_rows, "row long, size int, key long, at int")
+    return keys.join(shared, "key")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, words: int, similarity: float, scratch: Scratch, tag: str) -> DataFrame:
     """The rows of ``pairs`` (a, b), written, that are as similar as that by their whole sets."""
-    spark = docs.sparkSession
-    low = pairs.select(F.explode(F.array("a", "b")).alias("row")).select(F.expr(f"cast(row & {(1 << _BITS) - 1} as int)").alias("low"))
-    # a bitmap of fixed size over the low bits of row names: a row that it marks wrongly only does needless work
-    marked = np.zeros(1 << _BITS, bool)
-    masks = low.groupBy(F.expr("shiftright(low, 6)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, low & 63))").alias("mask")).toArrow()
-    marked.reshape(-1, 64)[masks["word"].to_numpy()] = np.unpackbits(masks["mask"].to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(bool)
-    shared = spark.sparkContext.broadcast(np.packbits(marked))
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(pairs.select(F.explode(F.array("a", "b")).alias("row")), "row", _BITS))
 
     def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(shared.value).astype(bool)
-        for table in batches(it, 1 << 20):
-            texts, ids = byte_texts(table["text"]), table["doc_id"].to_pylist()
-            keys = [_row_key(i, x) for i, x in zip(ids, texts)]
-            use = [i for i, k in enumerate(keys) if wanted[k & ((1 << _BITS) - 1)]]
-            found = [np.unique(shingle_hashes(texts[i], words)).tobytes() for i in use]
-            yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in use], pa.int64()), pa.array(found, pa.binary())], names=["row", "set"])
+        for table in batches(it):
+            table = table.filter(pa.array(marked(wanted.value, table["row"].to_numpy().view(np.uint64))))
+            if table.num_rows:
+                found = [x.tobytes() for x in shingle_sets(byte_texts(table["text"]), words)]
+                yield from pa.Table.from_arrays([table["row"], pa.array(found, pa.binary())], names=["row", "set"]).to_batches(256)
 
-    bounded_batches(spark)
-    whole = scratch.keep(docs.mapInArrow(sets, "row long, set binary").dropDuplicates(["row"]), f"{tag}-sets")
+    whole = docs.select("row", "text").mapInArrow(sets, "row long, set binary")
+    whole = scratch.keep(whole.join(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "row", "left_semi").dropDuplicates(["row"]), f"{tag}-sets")
 
     def verify(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            good = [_alike(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)) >= similarity for p, q in zip(batch["p"].to_pylist(), batch["q"].to_pylist())]
+            good = [alike(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)) >= similarity for p, q in zip(batch["p"].to_pylist(), batch["q"].to_pylist())]
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     sure = pairs.join(whole.select(F.col("row").alias("a"), F.col("set").alias("p")), "a").join(whole.select(F.col("row").alias("b"), F.col("set").alias("q")), "b")
@@ -133,98 +154,76 @@ def _verified(docs: DataFrame, pairs: DataFrame, words: int, similarity: float,
 def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, row, keep) of every row of ``docs`` (doc_id, text): its group's row that stays, the smallest doc_id.
 
-    ``row`` names id and text, so rows that share both are one. Texts without words have no near copies but equal
-    ones; null is empty; an empty table gives no row.
+    Rows that share id and text are one. A null id is larger than any other. A text of fewer than ``words`` words
+    is one shingle; texts without words, null ones too, are near copies of each other only. Very long texts are
+    compared whole; an empty table gives no row.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     scratch = Scratch(spark, "near")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_name().alias("row"))
 
     def sketch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches(it, 1 << 20):
-            texts, ids = byte_texts(table["text"]), table["doc_id"].to_pylist()
-            fps, sizes, least, wholes = [], [], [], []
-            for text in texts:
-                h = shingle_hashes(text, words)
+        for table in batches(it):
+            fps, sizes, wholes = [], [], []
+            for h in shingle_sets(byte_texts(table["text"]), words, repeats=True):
                 fps.append(fingerprint(h))
-                kept = np.unique(mix64(h))
+                kept = np.unique(h)
                 sizes.append(len(kept))
-                least.append(kept[:SKETCH])
                 wholes.append(hashlib.blake2b(kept.tobytes(), digest_size=16).digest())
-            cols = [pa.array(ids, pa.int64()), pa.array([_row_key(i, x) for i, x in zip(ids, texts)], pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), _lists(least), pa.array(wholes, pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "row", "fp", "size", "least", "whole"])
-
-    rows = scratch.keep(docs.mapInArrow(sketch, "doc_id long, row long, fp long, size long, least array<long>, whole binary"), "rows")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    level = F.floor(F.log(1 / similarity, F.greatest(F.col("size"), F.lit(1)).cast("double")))
-    keyed = rows.select("row", level.alias("level"), F.explode(F.slice("least", 1, KEYS)).alias("key"))
-    keyed = keyed.select("row", "key", F.explode(F.array(F.col("level"), F.col("level") + 1)).alias("level"))
-    # hubs by an order of the key's own, so that two rows that share keys meet at different rows each time
-    order = F.xxhash64("row", "key")
-    hubs = keyed.groupBy("key", "level").agg(F.array_distinct(F.array(F.min_by("row", order), F.max_by("row", order))).alias("hubs"))
-    hubs = hubs.where(F.size("hubs") > 1)
-    by_key = keyed.join(hubs, ["key", "level"]).select(F.explode("hubs").alias("a"), F.col("row").alias("b")).where("a <> b")
-    nodes = scratch.keep(rows.groupBy("fp").agg(F.min("row").alias("node")), "nodes")
-    x, y = nodes.select(F.col("fp").alias("x"), F.col("node").alias("a")), nodes.select(F.col("fp").alias("y"), F.col("node").alias("b"))
-    linked = links(nodes.select("fp")).join(x, "x").join(y, "y").select("a", "b")
-    equal = rows.join(nodes, "fp").where("row <> node").select(F.col("node").alias("a"), F.col("row").alias("b"))
-    pairs = by_key.union(linked).union(equal).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    one = rows.dropDuplicates(["row"])
+            cols = [table["doc_id"].combine_chunks(), table["row"].combine_chunks(), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(wholes, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "row", "fp", "size", "whole"])
 
-    def sift(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            good = [_alike(np.array(p, np.int64).view(np.uint64), np.array(q, np.int64).view(np.uint64), SKETCH) > similarity - 0.2 for p, q in zip(batch["p"].to_pylist(), batch["q"].to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    pairs = pairs.join(one.select(F.col("row").alias("a"), F.col("least").alias("p"), F.col("size").alias("m")), "a")
-    pairs = pairs.join(one.select(F.col("row").alias("b"), F.col("least").alias("q"), F.col("size").alias("n")), "b")
-    pairs = pairs.where(F.least("m", "n") >= similarity * F.greatest("m", "n")).select("a", "b", "p", "q")
-    pairs = scratch.keep(pairs.mapInArrow(sift, "a long, b long"), "pairs")
+    rows = scratch.keep(docs.mapInArrow(sketch, "doc_id long, row long, fp long, size int, whole binary"), "rows")
     same = rows.groupBy("whole").agg(F.min("row").alias("a"))
-    same = scratch.keep(rows.join(same, "whole").where("row <> a").select("a", F.col("row").alias("b")), "same")
-    sure = same.union(_verified(docs, pairs, words, similarity, scratch, "fast"))
-    groups = components(sure, scratch, "fast-cc")
-    # from here one row stands for each whole set
-    keys = scratch.keep(_prefixes(docs, rows, words, similarity), "all-keys")
-    twice = scratch.keep(keys.groupBy("key").count().where("count > 1").select("key"), "twice")
-    keys = keys.join(twice, "key").join(same.select(F.col("b").alias("row")), "row", "left_anti")
-    keys = scratch.keep(keys.select("row", "size", "key", "at"), "keys")
-    scratch.drop("all-keys", "twice")
-    degree = sure.select(F.explode(F.array("a", "b")).alias("row")).groupBy("row").agg(F.count(F.lit(1)).alias("degree"))
-    placed = one.select("row").join(groups, F.col("row") == F.col("node"), "left").join(degree, "row", "left")
-    placed = scratch.keep(placed.select("row", F.coalesce("component", "row").alias("group"), F.coalesce("degree", F.lit(0)).alias("degree")), "placed")
-    keys = keys.join(placed, "row")
-    best = F.struct("degree", F.xxhash64("row", "key"), "row", "size", "at", "group")
-    hubs = keys.groupBy("key").agg(F.max(best).alias("hub"), F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key", "hub")
-    keys = scratch.keep(keys.join(hubs, "key").select("key", "row", "size", "at", "group", "hub"), "open")
-    near_hub = keys.where((F.col("group") != F.col("hub.group")) & _may(F.col("size"), F.col("at"), F.col("hub.size"), F.col("hub.at"), similarity))
-    near_hub = scratch.keep(near_hub.select(F.least("row", "hub.row").alias("a"), F.greatest("row", "hub.row").alias("b")).distinct(), "hub-pairs")
-    sure = sure.union(_verified(docs, near_hub, words, similarity, scratch, "hubs"))
-    groups = components(sure, scratch, "hub-cc")
-    keys = keys.join(groups, F.col("row") == F.col("node"), "left").select("key", "row", "size", "at", F.coalesce("component", "row").alias("group"))
+    same = scratch.keep(rows.join(same, "whole").where("row <> a").select("a", F.col("row").alias("b")).distinct(), "same")
+    # operator 3: fingerprints within three bits; equal fingerprints stand as one node
+    nodes = scratch.keep(rows.groupBy("fp").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("n")), "nodes")
+    x, y = nodes.select(F.col("fp").alias("x"), F.col("node").alias("a")), nodes.select(F.col("fp").alias("y"), F.col("node").alias("b"))
+    linked = links(nodes.select("fp")).join(x, "x").join(y, "y").select("a", "b")
+    equal = rows.join(nodes.where("n > 1"), "fp").where("row <> node").select(F.col("node").alias("a"), F.col("row").alias("b"))
+    # prefix keys; from here one row stands for each whole set
+    keys = prefix_keys(docs, words, similarity, scratch).join(same.select(F.col("b").alias("row")), "row", "left_anti")
+    keys = scratch.keep(keys, "keys")
+    company = keys.groupBy("row").agg(F.sum("n").alias("company"))
+    best = F.struct("company", "row", "size", "at")
+    met = keys.drop("n").join(company, "row")
+    hubs = met.groupBy("key").agg(F.max(best).alias("hub"))
+    n, m = F.col("size"), F.col("hub.size")
+    may = F.least(n - F.col("at"), m - F.col("hub.at")) * (1 + similarity) >= similarity * (n + m) - 1e-6
+    near_hub = keys.join(hubs, "key").where((F.col("row") != F.col("hub.row")) & may).select(F.col("row").alias("a"), F.col("hub.row").alias("b"))
+    pairs = near_hub.union(linked).union(equal).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = scratch.keep(pairs, "pairs")
+    sure = same.union(_verified(docs, pairs, words, similarity, scratch, "first"))
+    groups = components(sure, scratch, "first-cc")
+    keys = keys.drop("n").join(groups, F.col("row") == F.col("node"), "left").select("key", "row", "size", "at", F.coalesce("component", "row").alias("group"))
+    open_ = keys.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key")
+    keys = scratch.keep(keys.join(open_, "key"), "open")
+    scratch.drop("keys", "shared")
     x, y = (keys.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("row", "size", "at", "group")]) for i in (1, 2))
-    rest = x.join(y, "key").where((F.col("row1") < F.col("row2")) & (F.col("group1") != F.col("group2")) & _may(F.col("size1"), F.col("at1"), F.col("size2"), F.col("at2"), similarity))
-    rest = rest.select(F.col("row1").alias("a"), F.col("row2").alias("b")).distinct().join(near_hub, ["a", "b"], "left_anti")
-    sure = sure.union(_verified(docs, scratch.keep(rest, "rest-pairs"), words, similarity, scratch, "rest"))
-    found = one.select("doc_id", "row").join(components(sure, scratch), F.col("row") == F.col("node"), "left")
-    found = found.select("doc_id", "row", F.coalesce("component", "row").alias("group"))
-    firsts = found.groupBy("group").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(0)).alias("d"), "row"))["row"].alias("keep"))
+    n, m = F.col("size1"), F.col("size2")
+    rest = x.join(y, "key").where((F.col("row1") < F.col("row2")) & (F.col("group1") != F.col("group2")) & (F.least(n, m) >= similarity * F.greatest(n, m) - 1e-6))
+    rest = rest.groupBy(F.col("row1").alias("a"), F.col("row2").alias("b"), "size1", "size2").agg(F.min("at1").alias("at1"), F.min("at2").alias("at2"), F.count(F.lit(1)).alias("c"))
+    # what is shared before either prefix ends has been counted; the rest of one of the two sets is what may be added
+    most = F.least(n - F.col("at1"), m - F.col("at2"), F.col("c") + F.greatest(n - _prefix(n, similarity), m - _prefix(m, similarity)))
+    rest = rest.where(most * (1 + similarity) >= similarity * (n + m) - 1e-6).select("a", "b").join(pairs, ["a", "b"], "left_anti")
+    sure = sure.union(_verified(docs, scratch.keep(rest, "rest"), words, similarity, scratch, "rest"))
+    found = rows.select("doc_id", "row").distinct().join(components(sure, scratch), F.col("row") == F.col("node"), "left")
+    found = scratch.keep(found.select("doc_id", "row", F.coalesce("component", "row").alias("group")), "found")
+    scratch.drop("open", "pairs", "rest", "rows", "nodes", "same")
+    firsts = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))["row"].alias("keep"))
     return found.join(firsts, "group").select("doc_id", "row", "keep")
 
 
-def drop_near(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that stay, one of each group of near copies, with their columns as they were."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "drop-near")
-    groups = near_groups(docs, words, similarity)
-    gone = scratch.keep(groups.where("row <> keep").select(F.col("row").alias("__row")), "gone")
-    bounded_batches(spark)
-    schema = StructType([*docs.schema.fields, StructField("__row", LongType())])
+def row_name() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
 
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches(it, 1 << 20):
-            keys = [_row_key(i, x) for i, x in zip(table["doc_id"].to_pylist(), byte_texts(table["text"]))]
-            yield from table.append_column("__row", pa.array(keys, pa.int64())).combine_chunks().to_batches()
 
-    return docs.mapInArrow(run, schema).join(gone, "__row", "left_anti").select(*docs.columns)
+def drop_near(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each group of near copies, with their columns as they were.
+
+    Of a group the smallest doc_id stays; rows that share id and text stay or go together.
+    """
+    scratch = Scratch(docs.sparkSession, "drop-near")
+    gone = scratch.keep(near_groups(docs, words, similarity).where("row <> keep").select(F.col("row").alias("__gone")), "gone")
+    return docs.join(gone, row_name() == F.col("__gone"), "left_anti")

@@ -163,32 +163,42 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Attention
     return fit(x, parts, y)
 
 
+def _scored(model: Attention | float, table: pa.Table, text: str) -> np.ndarray:
+    return np.full(table.num_rows, model) if isinstance(model, float) else model.score(*passage_features(byte_texts(table[text])))
+
+
 def scores(docs: DataFrame, model: Attention | float, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with a score from 0 to 1; every passage of every text counts.
+    """``docs`` without its text, with a score from 0 to 1; every passage of every text counts.
 
-    Null and empty texts are one passage of zeros and get its score; an empty table gives no row. A column of the
-    score's name is replaced.
+    Null and empty texts are one passage of zeros and get its score; very long texts have more passages, nothing is
+    cut; an empty table gives no row. A column of the score's name is replaced.
     """
     bounded_batches(docs.sparkSession)
     docs = docs.drop(name)
-    schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
+    rest = [c for c in docs.columns if c != text]
+    schema = StructType([*docs.drop(text).schema.fields, StructField(name, DoubleType())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches(it):
-            if isinstance(model, float):
-                found = np.full(table.num_rows, model)
-            else:
-                found = model.score(*passage_features(byte_texts(table[text])))
-            for batch in table.append_column(name, pa.array(found)).combine_chunks().to_batches():
-                yield batch
+            yield from table.select(rest).append_column(name, pa.array(_scored(model, table, text))).to_batches()
 
     return docs.mapInArrow(run, schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score at least ``threshold``, with their columns as they were."""
+    """The rows of ``docs`` (doc_id, text) that score at least ``threshold``, with their columns as they were.
+
+    Null and empty texts are judged like any other; rows are judged each, repeated ones alike; without labels of
+    both kinds all rows have one score; an empty table gives no row.
+    """
+    model = learn(docs, labels)
     bounded_batches(docs.sparkSession)
-    return scores(docs, learn(docs, labels), name="__score").where(F.col("__score") >= threshold).drop("__score")
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            yield batch.filter(pa.array(_scored(model, pa.Table.from_batches([batch]), "text") >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op9_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

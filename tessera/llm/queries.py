@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tessera.llm.exact import op10_exact_cuckoo
-from tessera.llm.mixing import BLOCK_WORDS, SEED, op8_sainte_lague_mix
+from tessera.llm.mixing import BLOCK_WORDS, SEED, SHARD_SIZES, op8_sainte_lague_mix
 from tessera.llm.packing import op5_harmonic_packing
 from tessera.llm.quality import op9_attention_quality
 from tessera.llm.rules import op6_risk_controlled_rules
@@ -28,6 +28,8 @@ QUERIES = {
 #: A-Z lower-cased and nothing else, in DuckDB.
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_DIGITS = "case " + " ".join(f"when source_size < {most} then {n}" for n, most in enumerate(SHARD_SIZES, 2)) + f" else {len(SHARD_SIZES) + 2} end"
+
 #: Every seat of every member is a row here; the highest quotients win.
 MIX = rf"""
     with d as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
@@ -45,7 +47,8 @@ MIX = rf"""
            from (select *, unnest(range(seats + 1)) as k from s6 where target > 0)),
     s8 as (select source, count(*) as blocks from s7 where place <= seats group by 1),
     s9 as (select s5.*, coalesce(blocks, 0) as blocks from s5 left join s8 on s5.source is not distinct from s8.source),
-    c0 as (select source, place[1:2] as shard, cast(sum(size) as bigint) as words from d group by 1, 2 having sum(size) > 0),
+    p as (select d.*, place[1:{_DIGITS}] as shard from d join s0 on d.source is not distinct from s0.source),
+    c0 as (select source, shard, cast(sum(size) as bigint) as words from p group by 1, 2 having sum(size) > 0),
     c1 as (select c0.*, blocks from c0 join s9 on c0.source is not distinct from s9.source),
     c2 as (select source, shard, blocks, row_number() over (partition by source order by words / (2.0 * k + 1.0) desc, shard) as place
            from (select *, unnest(range(blocks + 1)) as k from c1)),
@@ -53,10 +56,10 @@ MIX = rf"""
     c4 as (select c1.*, least(coalesce(quota, 0) * {BLOCK_WORDS}, 3 * words) as quota, cast('0x' || md5('{SEED}:' || coalesce(c1.source, '') || ':' || c1.shard)[1:8] as bigint) as seed
            from c1 left join c3 on c1.source is not distinct from c3.source and c1.shard = c3.shard),
     c5 as (select source, shard, words, quota // words as whole, quota % words as more, seed % ((words + {BLOCK_WORDS} - 1) // {BLOCK_WORDS}) * {BLOCK_WORDS} as first from c4),
-    r as (select *, cast(coalesce(sum(size) over (partition by source, place[1:2] order by place, doc_id, size rows between unbounded preceding and 1 preceding), 0) as bigint) as a from d)
+    r as (select *, cast(coalesce(sum(size) over (partition by source, shard order by place, doc_id, size rows between unbounded preceding and 1 preceding), 0) as bigint) as a from p)
     select doc_id, size, source_size, target,
            cast(coalesce(whole * size + greatest(0, least(a + size, least(first + more, words)) - greatest(a, first)) + greatest(0, least(a + size, first + more - words) - a), 0) as bigint) as taken
-    from r left join c5 on r.source is not distinct from c5.source and place[1:2] = shard join s9 on r.source is not distinct from s9.source"""
+    from r left join c5 on r.source is not distinct from c5.source and r.shard = c5.shard join s9 on r.source is not distinct from s9.source"""
 
 SQL: dict[str, str] = {
     "op7_tiered_compaction": "select doc_id, source, lang, cast(strlen(text) as bigint) as n_bytes, sha256(text) as text_sha256 from documents",

@@ -22,9 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import _BASE, _INV, Scratch, batches, bounded_batches, byte_texts, documents, mix64, powers
+from tessera.llm.common import Scratch, batches, bitmap, bounded_batches, byte_texts, documents, marked, mix64, powers
 
 LENGTH, SEED_LENGTH = 100, 32
+_BASE = 0x5851F42D4C957F2D
+_INV = pow(_BASE, -1, 1 << 64)
 #: Bits of the bitmaps that tell which anchors may be repeated. Beyond what they can tell apart more rows are
 #: joined than need be; the result stays the same.
 BITMAP_BITS = 27
@@ -134,21 +136,6 @@ def _row_key(text: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(text, digest_size=4).digest(), "little", signed=True)
 
 
-def _bitmap(names: DataFrame, column: str, bits: int) -> np.ndarray:
-    """A bitmap of 2**bits bits that marks the low bits of every value; its size does not grow with the rows."""
-    low = names.select(F.col(column).bitwiseAND((1 << bits) - 1).alias("low"))
-    words = low.groupBy(F.expr("cast(shiftright(low, 6) as int)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(low & 63 as int)))").alias("mask"))
-    found = words.toArrow()
-    out = np.zeros(1 << (bits - 6), np.uint64)
-    out[found["word"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
-    return out
-
-
-def _marked(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
-    low = values & np.uint64(len(bitmap) * 64 - 1)
-    return (bitmap[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1) > 0
-
-
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
@@ -166,16 +153,16 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, seed
     seen = docs.mapInArrow(anchors, "name long, run long, doc_id long")
     per = seen.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least"), F.min("run").alias("r0"), F.max("run").alias("r1"))
     repeated = scratch.keep(per.where("n > 1").select("name", "least", (F.col("r0") != F.col("r1")).alias("mixed")), "names")
-    maybe = sc.broadcast(_bitmap(repeated, "name", bitmap_bits))
-    mixed = sc.broadcast(_bitmap(repeated.where("mixed"), "name", bitmap_bits))
+    maybe = sc.broadcast(bitmap(repeated, "name", bitmap_bits))
+    mixed = sc.broadcast(bitmap(repeated.where("mixed"), "name", bitmap_bits))
 
     def around(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches(it, 4 << 20):
             texts = byte_texts(table["text"])
             r = text_runs(texts, length, seed)
-            keep = _marked(maybe.value, r["name"])
+            keep = marked(maybe.value, r["name"])
             r = {k: v[keep] for k, v in r.items()}
-            varied = _marked(mixed.value, r["name"])
+            varied = marked(mixed.value, r["name"])
             bodies: list[bytes | None] = [None] * len(varied)
             marks: list[bytes | None] = [None] * len(varied)
             at = np.flatnonzero(varied & r["first_run"])
@@ -222,12 +209,12 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, seed
     ranks = heads.mapInArrow(ranked, "rank long, doc_id long")
     earliest = ranks.groupBy("rank").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("rank", "least")
     earliest = scratch.keep(earliest, "ranks")
-    shared = sc.broadcast(_bitmap(earliest, "rank", bitmap_bits))
+    shared = sc.broadcast(bitmap(earliest, "rank", bitmap_bits))
 
     def spread(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches(it, 1 << 20):
             head_, start, rank, new = opened(table)
-            use = ~new | _marked(shared.value, rank)
+            use = ~new | marked(shared.value, rank)
             head_, start, rank, new = head_[use], start[use], rank[use], new[use]
             cols = [pa.array(rank.view(np.int64), mask=~new), pa.array(table["doc_id"].to_numpy()[head_]), pa.array(table["row"].to_numpy()[head_]), pa.array(start.astype(np.int32))]
             yield pa.RecordBatch.from_arrays(cols, names=["rank", "doc_id", "row", "a"])
@@ -285,7 +272,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     spans = found.groupBy("doc_id", "row").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     spans = scratch.keep(spans, "spans")
     scratch.drop("ranks", "varied", "whole")
-    touched = spark.sparkContext.broadcast(_bitmap(spans, "row", 24))
+    touched = spark.sparkContext.broadcast(bitmap(spans, "row", 24))
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
 
     def cells(rows: list[tuple]) -> list[pa.Array]:
@@ -296,7 +283,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
         for table in batches(it, 1 << 20):
             texts = byte_texts(table["text"])
             keys = np.array([_row_key(x) for x in texts], np.int32)
-            open_ = _marked(touched.value, keys.astype(np.int64).view(np.uint64))
+            open_ = marked(touched.value, keys.astype(np.int64).view(np.uint64))
             rows = [(None,) * 5 if o else r for o, r in zip(open_.tolist(), _cut_rows([b"" if o else x for x, o in zip(texts, open_)], [[]] * len(texts)))]
             later = pa.array([x if o else None for x, o in zip(texts, open_)], pa.binary())
             yield pa.RecordBatch.from_arrays([table["doc_id"].combine_chunks(), pa.array(keys), later, *cells(rows)], names=["doc_id", "row", "later", *names[: 4 + with_text]])
