@@ -32,8 +32,8 @@ from tessera.llm.simhash import fingerprint, links
 WORDS, SIMILARITY = 5, 0.8
 #: Bits of the bitmaps that sift rows before a join. When they fill up, more rows are joined; results stay the same.
 _BITS = 25
-#: Rows that are sampled and shingles that are kept to tell common shingles. They settle the order of keys only.
-_SAMPLE, _COMMON = 1 << 14, 1 << 19
+#: One row in so many is read to tell common shingles: those in as many of them. They settle the order of keys only.
+_SHARE, _OFTEN = 4, (3, 48)
 _TURN = [np.uint64(pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) | 1) for i in range(64)]
 
 
@@ -62,23 +62,16 @@ def alike(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
 
 
-def _prefix(size: Column, similarity: float) -> Column:
-    return size - F.ceil(similarity * size - 1e-9) + 1
-
-
-def _common(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Names and counts of the shingles that are common in a sample of the rows."""
-    share = max(1, docs.count() // _SAMPLE)
+def _common(docs: DataFrame, words: int, scratch: Scratch) -> list[np.ndarray]:
+    """Bitmaps of the shingles that stand in several and in many of a fixed share of the rows."""
 
     def sample(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches(it):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle_sets(byte_texts(table["text"]), words)).view(np.int64))], names=["key"])
 
-    found = docs.where(F.pmod("row", F.lit(share)) == 0).select("text").mapInArrow(sample, "key long")
-    found = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n >= 3").orderBy(F.desc("n"), "key").limit(_COMMON).toArrow()
-    names, counts = found["key"].to_numpy().view(np.uint64), found["n"].to_numpy()
-    order = np.argsort(names)
-    return names[order], counts[order].astype(np.int32)
+    found = docs.where(F.pmod("row", F.lit(_SHARE)) == 0).select("text").mapInArrow(sample, "key long")
+    found = scratch.keep(found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= _OFTEN[0]), "common")
+    return [bitmap(found.where(F.col("n") >= n), "key", _BITS) for n in _OFTEN]
 
 
 def prefix_keys(docs: DataFrame, words: int, similarity: float, scratch: Scratch) -> DataFrame:
@@ -87,16 +80,12 @@ def prefix_keys(docs: DataFrame, words: int, similarity: float, scratch: Scratch
     one that counts keys, one that emits with their rows those that a bitmap of the shared ones marks.
     """
     spark = docs.sparkSession
-    order = spark.sparkContext.broadcast(_common(docs, words))
+    order = spark.sparkContext.broadcast(_common(docs, words, scratch))
 
     def prefixes(table: pa.Table) -> tuple[list[np.ndarray], list[int]]:
-        known, often = order.value
         sets = shingle_sets(byte_texts(table["text"]), words)
         flat = np.concatenate(sets)
-        rank = np.zeros(len(flat), np.int32)
-        if len(known):
-            at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
-            rank = np.where(known[at] == flat, often[at], 0)
+        rank = sum(marked(x, flat).astype(np.int8) for x in order.value)
         out, past = [], 0
         for h in sets:
             r = rank[past : past + len(h)]
@@ -182,6 +171,10 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     x, y = nodes.select(F.col("fp").alias("x"), F.col("node").alias("a")), nodes.select(F.col("fp").alias("y"), F.col("node").alias("b"))
     linked = links(nodes.select("fp")).join(x, "x").join(y, "y").select("a", "b")
     equal = rows.join(nodes.where("n > 1"), "fp").where("row <> node").select(F.col("node").alias("a"), F.col("row").alias("b"))
+    def may(n: Column, i: Column, m: Column, j: Column) -> Column:
+        """Whether sets of n and m shingles whose first shared key stands at i and j can be near."""
+        return F.least(n - i, m - j) * (1 + similarity) >= similarity * (n + m) - 1e-6
+
     # prefix keys; from here one row stands for each whole set
     keys = prefix_keys(docs, words, similarity, scratch).join(same.select(F.col("b").alias("row")), "row", "left_anti")
     keys = scratch.keep(keys, "keys")
@@ -189,9 +182,7 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     best = F.struct("company", "row", "size", "at")
     met = keys.drop("n").join(company, "row")
     hubs = met.groupBy("key").agg(F.max(best).alias("hub"))
-    n, m = F.col("size"), F.col("hub.size")
-    may = F.least(n - F.col("at"), m - F.col("hub.at")) * (1 + similarity) >= similarity * (n + m) - 1e-6
-    near_hub = keys.join(hubs, "key").where((F.col("row") != F.col("hub.row")) & may).select(F.col("row").alias("a"), F.col("hub.row").alias("b"))
+    near_hub = keys.join(hubs, "key").where((F.col("row") != F.col("hub.row")) & may(F.col("size"), F.col("at"), F.col("hub.size"), F.col("hub.at"))).select(F.col("row").alias("a"), F.col("hub.row").alias("b"))
     pairs = near_hub.union(linked).union(equal).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = scratch.keep(pairs, "pairs")
     sure = same.union(_verified(docs, pairs, words, similarity, scratch, "first"))
@@ -199,18 +190,13 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     keys = keys.drop("n").join(groups, F.col("row") == F.col("node"), "left").select("key", "row", "size", "at", F.coalesce("component", "row").alias("group"))
     open_ = keys.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key")
     keys = scratch.keep(keys.join(open_, "key"), "open")
-    scratch.drop("keys", "shared")
     x, y = (keys.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("row", "size", "at", "group")]) for i in (1, 2))
-    n, m = F.col("size1"), F.col("size2")
-    rest = x.join(y, "key").where((F.col("row1") < F.col("row2")) & (F.col("group1") != F.col("group2")) & (F.least(n, m) >= similarity * F.greatest(n, m) - 1e-6))
-    rest = rest.groupBy(F.col("row1").alias("a"), F.col("row2").alias("b"), "size1", "size2").agg(F.min("at1").alias("at1"), F.min("at2").alias("at2"), F.count(F.lit(1)).alias("c"))
-    # what is shared before either prefix ends has been counted; the rest of one of the two sets is what may be added
-    most = F.least(n - F.col("at1"), m - F.col("at2"), F.col("c") + F.greatest(n - _prefix(n, similarity), m - _prefix(m, similarity)))
-    rest = rest.where(most * (1 + similarity) >= similarity * (n + m) - 1e-6).select("a", "b").join(pairs, ["a", "b"], "left_anti")
+    rest = x.join(y, "key").where((F.col("row1") < F.col("row2")) & (F.col("group1") != F.col("group2")) & may(F.col("size1"), F.col("at1"), F.col("size2"), F.col("at2")))
+    rest = rest.select(F.col("row1").alias("a"), F.col("row2").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     sure = sure.union(_verified(docs, scratch.keep(rest, "rest"), words, similarity, scratch, "rest"))
     found = rows.select("doc_id", "row").distinct().join(components(sure, scratch), F.col("row") == F.col("node"), "left")
     found = scratch.keep(found.select("doc_id", "row", F.coalesce("component", "row").alias("group")), "found")
-    scratch.drop("open", "pairs", "rest", "rows", "nodes", "same")
+    scratch.drop("pairs", "rest", "rows", "nodes", "same", "keys", "shared", "common", "open")
     firsts = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))["row"].alias("keep"))
     return found.join(firsts, "group").select("doc_id", "row", "keep")
 
