@@ -78,34 +78,37 @@ def first_line(text: Column, within: int = 200) -> Column:
     return F.substring_index(F.substring(text, 1, within), "\n", 1)
 
 
+#: Invitations to click, which say nothing of a product.
+INVITATIONS = ("click here", "know more", "read more", "learn more", "view more", "view less", "view details", "opens in a new tab", "open in a new tab")
+_FILES = ("pdf", "html", "aspx", "php", "jpg", "png", "webp")
+#: A markdown link or image, whole or cut off by the end of the text: mark, label, target.
+_LINK = r"(!?)\[([^\[\]]*)(?:\](?:\(\s*[^()\s]*[^()]*(?:\)|$))?|$)"
+
+
+def unlinked(text: Column) -> Column:
+    """Markdown links by their labels, images by nothing, emphasis marks by spaces."""
+    bare = F.regexp_replace(F.regexp_replace(text, r"!\[[^\[\]]*\](?:\([^()]*\))?", " "), _LINK, "$2")
+    return F.translate(bare, "*_`#|[]", "       ")
+
+
+def clauses(text: Column) -> Column:
+    """The lines and sentences of a text, markdown taken off; "Rs." ends no sentence."""
+    return F.filter(F.transform(F.split(unlinked(text), r"\n|;|(?<!\b[Rr][Ss])\.(?=\s|$)"), lambda x: F.trim(x)), lambda x: x != "")
+
+
 def snippet(text: Column, limit: int = 250) -> Column:
-    """Display text without markdown, links and calls to action, cut at a word if longer than ``limit``."""
-    for pattern, by in _NOISE:
-        text = replace(text, pattern, by, "im")
-    text = F.trim(replace(text, r"\s+", " "))
-    text = replace(text, r"^[\s:>–—-]+", "")
+    """Display text: words without markup, addresses, file names and invitations, cut at a word beyond ``limit``."""
+    heads = F.regexp_replace(text, r"(?im)^(?:title|url source|markdown content):.*$", " ")
+    said = F.regexp_replace(unlinked(heads), f"(?i)\\b(?:{'|'.join(INVITATIONS)})\\b", " ")
+    address = rf"(?i)^\(?https?:|\.(?:{'|'.join(_FILES)})\)?$"
+    line = F.array_join(F.filter(F.split(said, r"\s+"), lambda w: (w != "") & ~w.rlike(address)), " ")
 
     def short(t: Column) -> Column:
-        word = F.regexp_extract(F.substring(t, 1, limit), rx(r"^(.*)\s", "s"), 1)
-        return F.when(F.length(t) <= limit, t).when(F.length(word) > 0.6 * limit, word).otherwise(F.substring(t, 1, limit))
-
-    return replace(let(text, short), r"^[\s:–—\[(-]+|[\s:–—\[(-]+$", "")
-
-
-#: What a display snippet loses, in this order.
-_NOISE = (
-    (r"^(title|url source|markdown content)\s*:[^\n]*\n?", ""),
-    (r"!\[[^\]\n]*\]?(\([^)]*\))?", " "),
-    (r"\[([^\]]*)\]\([^)]*\)", "$1"),
-    (r"\[[^\]]*$", " "),
-    (r"\]\([^)]*\)?", " "),
-    (r"\S*\.(pdf|html|aspx|php|jpg|png|webp)\)?", " "),
-    (r"\(\s*https?\S*\)?", " "),
-    (r"\(opens? in a new tab\)?", " "),
-    (r"\b(click here|(know|read|learn) more|view (more|less|details))\b", " "),
-    (r"https?://\S+", ""),
-    (r"[*_`#|]", " "),
-)
+        head = F.substring(t, 1, limit)
+        whole = F.length(head) - F.length(F.substring_index(head, " ", -1)) - 1
+        return F.when(F.length(t) <= limit, t).when(whole > 0.6 * limit, F.substring(head, F.lit(1), whole)).otherwise(head)
+
+    return F.btrim(let(line, short), F.lit(" :>–—-[("))
 
 
 def plain_text(html: Column) -> Column:
