@@ -4,14 +4,17 @@
 ``compact`` merges the shards of every tier that holds at least ``fan_in`` of them into files of the target size:
 the scan packs whole files into tasks of that size and each task writes one file, so nothing is shuffled. Shards
 of the target size or more are final. A manifest is a table written aside and renamed to the next version number;
-the rename fails if that version exists, so of two writers one starts over, and readers see whole versions only.
+the rename fails if that version exists, so of two writers one starts over, and readers see whole versions only. A
+writer names its folder in ``intents/`` before it writes, so that ``expire`` leaves uncommitted shards alone.
+
+A manifest has a row for each file, and reading a version lists those files on the driver, as Spark's own scan does.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from py4j.protocol import Py4JJavaError
@@ -28,6 +31,12 @@ class Conflict(RuntimeError):
     """Another writer committed the version first."""
 
 
+def _outdated(error: Exception) -> bool:
+    """Whether another writer was faster: it took the version, or it has dropped what this one was reading."""
+    told = str(getattr(error, "java_exception", error))
+    return isinstance(error, Conflict) or any(x in told for x in ("FileNotFound", "FILE_NOT_EXIST", "PATH_NOT_FOUND", "does not exist"))
+
+
 class ShardStore:
     """A table of documents under ``root``: ``data/`` holds shards, ``manifests/`` a table for each version.
 
@@ -57,7 +66,13 @@ class ShardStore:
             return self.spark.createDataFrame([], MANIFEST)
         return self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifests/v{(version or found[-1]):010d}")
 
-    def _commit(self, rows: DataFrame, version: int) -> int:
+    def _folder(self) -> str:
+        """A new data folder, announced before anything is written to it."""
+        folder = uuid.uuid4().hex
+        self._fs().mkdirs(self._path("intents", folder))
+        return folder
+
+    def _commit(self, rows: DataFrame, version: int, folders: list[str]) -> int:
         aside = f"_staging/{uuid.uuid4().hex}"
         rows.select("path", "tier", "n_rows", "n_bytes", "low", "high", "added").coalesce(1).write.parquet(f"{self.root}/{aside}")
         fs, jvm = self._fs(), self.spark._jvm
@@ -67,9 +82,12 @@ class ShardStore:
         try:
             jvm.org.apache.hadoop.fs.FileContext.getFileContext(to.toUri(), self.spark._jsc.hadoopConfiguration()).rename(self._path(aside), to, options)
         except Py4JJavaError as error:
+            fs.delete(self._path(aside), True)
             if "FileAlreadyExists" in str(error.java_exception):
                 raise Conflict(f"version {version} exists") from error
             raise
+        for folder in folders:
+            fs.delete(self._path("intents", folder), True)
         return version
 
     def _shards(self, folder: str, version: int, id_column: str) -> DataFrame:
@@ -88,15 +106,25 @@ class ShardStore:
         return per.withColumn("tier", tier).withColumn("added", F.lit(version).cast("long"))
 
     def append(self, rows: DataFrame, id_column: str = "doc_id") -> int:
-        """Adds an arrival; one shard for each of its partitions."""
-        folder, last = uuid.uuid4().hex, self.versions()
+        """Adds an arrival; one shard for each of its partitions. After a conflict the same shards join the newer version."""
+        folder = self._folder()
         rows.write.option("compression", "zstd").parquet(f"{self.root}/data/{folder}")
-        version = (last[-1] if last else 0) + 1
-        old = self.manifest(last[-1] if last else None)
-        return self._commit(old.unionByName(self._shards(folder, version, id_column)), version)
+        while True:
+            last = self.versions()
+            version = (last[-1] if last else 0) + 1
+            old = self.manifest(last[-1] if last else None)
+            try:
+                return self._commit(old.unionByName(self._shards(folder, version, id_column)), version, [folder])
+            except (Conflict, Py4JJavaError, PySparkException) as error:
+                if not _outdated(error):
+                    raise
 
     def compact(self, id_column: str = "doc_id") -> int | None:
-        """One round over all tiers that are due; the new version, or None where none is."""
+        """One round over all tiers that are due; the new version, or None where none is.
+
+        After a conflict the merged shards join the newer version if it still lists what they were merged from;
+        else another compaction came first, the round's work is dropped and the next round looks anew.
+        """
         last = self.versions()
         if not last:
             return None
@@ -105,42 +133,83 @@ class ShardStore:
         due = [(r.tier, r.paths) for r in marked.where("due").groupBy("tier").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("tier").collect()]
         if not due:
             return None
-        version, out = last[-1] + 1, marked.where(~F.col("due")).drop("due")
         packing = {"spark.sql.files.maxPartitionBytes": str(self.target), "spark.sql.files.openCostInBytes": "65536", "spark.sql.files.minPartitionNum": "1"}
         before = {k: self.spark.conf.get(k, None) for k in packing}
+        folders, merged = [], self.spark.createDataFrame([(x,) for _, paths in due for x in paths], "path string")
         for _, paths in due:
-            folder = uuid.uuid4().hex
+            folders.append(self._folder())
             try:
                 for k, v in packing.items():
                     self.spark.conf.set(k, v)
-                self.spark.read.parquet(*paths).write.option("compression", "zstd").parquet(f"{self.root}/data/{folder}")
+                self.spark.read.parquet(*paths).write.option("compression", "zstd").parquet(f"{self.root}/data/{folders[-1]}")
+            except (Py4JJavaError, PySparkException) as error:
+                if not _outdated(error):
+                    raise
+                self._give_up(folders)
+                return self.versions()[-1]
             finally:
                 for k, v in before.items():
                     self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
-            out = out.unionByName(self._shards(folder, version, id_column))
-        return self._commit(out, version)
-
-    def settle(self, id_column: str = "doc_id", most: int = 8) -> int:
-        """Compacts until no tier is due (at most ``most`` rounds) and drops what only old versions need."""
-        for _ in range(most):
+        while True:
+            version = self.versions()[-1] + 1
+            now = self.manifest(version - 1)
+            if version - 1 != last[-1] and not merged.join(now, "path", "left_anti").isEmpty():
+                self._give_up(folders)
+                return version - 1
+            out = now.join(merged, "path", "left_anti")
+            for folder in folders:
+                out = out.unionByName(self._shards(folder, version, id_column))
+            try:
+                return self._commit(out, version, folders)
+            except (Conflict, Py4JJavaError, PySparkException) as error:
+                if not _outdated(error):
+                    raise
+
+    def _give_up(self, folders: list[str]) -> None:
+        for folder in folders:
+            self._fs().delete(self._path("data", folder), True)
+            self._fs().delete(self._path("intents", folder), True)
+
+    def settle(self, id_column: str = "doc_id", keep: int = 1) -> int:
+        """Compacts until no tier is due or a round merges nothing further; then drops what only old versions need."""
+        while True:
             count = self.manifest().count()
             if self.compact(id_column) is None:
                 break
-            self.expire()
+            self.expire(keep)
             if self.manifest().count() >= count:  # the same runs again: each is a task's worth already
                 break
         return self.versions()[-1]
 
-    def expire(self) -> None:
-        """Drops all versions but the last, and the folders whose shards it doesn't list."""
-        found, fs = self.versions(), self._fs()
-        live = {r.folder for r in self.manifest(found[-1]).select(F.element_at(F.split("path", "/"), -2).alias("folder")).distinct().collect()}
-        for version in found[:-1]:
+    def expire(self, keep: int = 1) -> None:
+        """Drops all versions but the last ``keep``, and the folders that those don't list and no writer has announced.
+
+        Readers of an older version need it kept. A writer that died leaves its intent; ``forget`` removes it.
+        """
+        fs = self._fs()
+        announced = set(self._names("intents"))  # before the versions: what is committed in between is listed there
+        folders, found = self._names("data"), self.versions()
+        live: set[str] = set()
+        for version in found[-keep:]:
+            live |= {r.folder for r in self.manifest(version).select(F.element_at(F.split("path", "/"), -2).alias("folder")).distinct().collect()}
+        for version in found[:-keep]:
             fs.delete(self._path("manifests", f"v{version:010d}"), True)
-        for status in fs.listStatus(self._path("data")):
-            if status.getPath().getName() not in live:
+        for folder in folders:
+            if folder not in live and folder not in announced:
+                fs.delete(self._path("data", folder), True)
+
+    def forget(self, older_than_ms: int) -> None:
+        """Removes intents that were announced longer ago than that: their writers are taken for dead."""
+        fs, at = self._fs(), self._path("intents")
+        now = self.spark._jvm.System.currentTimeMillis()
+        for status in fs.listStatus(at) if fs.exists(at) else []:
+            if now - status.getModificationTime() > older_than_ms:
                 fs.delete(status.getPath(), True)
 
+    def _names(self, folder: str) -> list[str]:
+        at = self._path(folder)
+        return [x.getPath().getName() for x in self._fs().listStatus(at)] if self._fs().exists(at) else []
+
     def read(self, version: int | None = None) -> DataFrame:
         paths = [r.path for r in self.manifest(version).select("path").collect()]
         return self.spark.read.parquet(*paths)

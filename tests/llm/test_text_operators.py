@@ -250,6 +250,52 @@ def test_scores(spark):
     assert scoring.scored(nothing(spark), crc_mod("doc_id", 5) != 1).count() == 0
 
 
+def test_rules_act_in_every_stratum_with_labels_enough(spark):
+    rng = random.Random(3)
+    words = lambda n: " ".join(f"w{rng.random()}" for _ in range(n))
+    rows = []
+    for lang, good, bad in (("en", 300, 30), ("fr", 300, 30), ("de", 20, 5)):
+        rows += [(len(rows) + i, words(60), lang, 1) for i in range(good)]
+        rows += [(len(rows) + i, words(60).replace(" ", "### "), lang, 0) for i in range(bad)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3], 0) for r in rows], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in rules.judge(docs, labels).where("kept").collect()}
+    # too few labels in the third stratum: nothing may be rejected there
+    assert kept == {i for i, _, lang, good in rows if good or lang == "de"}
+    noisy = spark.createDataFrame([(r[0], int(r[0] % 7 > 0 or r[3]), 0) for r in rows], "doc_id long, quality int, toxic int")
+    got = rules.judge(docs, noisy).join(noisy, "doc_id").where("quality = 1").collect()
+    assert sum(not r.kept for r in got) <= 0.05 * len(got)
+
+
+def test_two_writers_lose_no_rows(spark, tmp_path, monkeypatch):
+    one, two = (sharding.ShardStore(spark, f"file://{tmp_path}/s", target=1 << 20, least=1 << 10, fan_in=2) for _ in range(2))
+    docs = awkward(spark).repartition(2)
+    n = docs.count()
+    one.append(docs)
+    shards = one._shards
+
+    def late(folder, version, id_column):
+        """The other writer commits and cleans up while this one is about to commit."""
+        monkeypatch.setattr(one, "_shards", shards)
+        two.append(docs)
+        two.settle()
+        return shards(folder, version, id_column)
+
+    monkeypatch.setattr(one, "_shards", late)
+    one.append(docs)
+    assert one.read().count() == 3 * n
+    monkeypatch.setattr(one, "_shards", late)
+    one.compact()
+    assert one.read().count() == 4 * n
+    folder = one._folder()
+    docs.write.parquet(f"file://{tmp_path}/s/data/{folder}")
+    one.expire()
+    assert folder in one._names("data")
+    one.forget(-1)
+    one.expire()
+    assert folder not in one._names("data") and one.read().count() == 4 * n
+
+
 def test_shards_compact_and_versions_hold(spark, tmp_path):
     store = sharding.ShardStore(spark, f"file://{tmp_path}/s", target=1 << 20, least=1 << 10, fan_in=3)
     docs = awkward(spark).repartition(4)
@@ -261,6 +307,6 @@ def test_shards_compact_and_versions_hold(spark, tmp_path):
     assert store.manifest().count() < before and store.versions() == [version]
     assert store.read().count() == 3 * docs.count() and store.read().columns == docs.columns
     with pytest.raises(sharding.Conflict):
-        store._commit(store.manifest(), version)
+        store._commit(store.manifest(), version, [])
     store.append(nothing(spark))
     assert store.read().count() == 3 * docs.count()
