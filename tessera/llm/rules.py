@@ -1,12 +1,13 @@
 """Operator 6: quality rules with risk-controlled thresholds, in DataFrame functions only.
 
-A rule rejects a document whose share of something is above a cutoff. Cutoffs come from labelled documents: per
-stratum and rule, a grid is tested from the most lenient cutoff on, each by the exact binomial probability of so
-few rejected good documents if the true rate were at the limit. The sequence ends at the first cutoff that fails,
-which needs no correction along the grid; rules and strata are corrected for by Bonferroni, and the limit on
-false rejection is split over the rules. Of the cutoffs that hold, the one is taken that catches most bad
-documents beyond a multiple of the good ones it costs, the more lenient in a tie. Where too few labels exist to
-prove anything, nothing is rejected beyond the base rules.
+A rule rejects a document whose share of something is above a cutoff. Labelled documents are split in two by a hash
+of their id. The first half proposes: per stratum and rule the cutoff that catches most bad documents beyond a
+multiple of the good ones it costs; rules stand in the order of that gain. The second half decides: per stratum
+the rules join one after another, and each time the exact binomial probability of so few rejected good documents,
+if the true rate were at the limit, is compared with the allowed error. The sequence ends at the first set of rules
+that fails, which needs no correction along it; strata are corrected for by Bonferroni. Where too few labels exist to
+prove anything, nothing is rejected beyond the base rules: 86 good documents of the second half are the least with
+four strata.
 """
 
 from __future__ import annotations
@@ -94,10 +95,11 @@ def binomial_log_cdf(n: Column, k: Column, p: float) -> Column:
 
 
 def learn_cutoffs(counts: DataFrame, labels: DataFrame, stratum: str, limit: float = LIMIT, delta: float = DELTA, cost: float = COST) -> DataFrame:
-    """(stratum, rule, cutoff, n_good, n_good_rejected, n_bad_rejected) of the rules that have a proven cutoff.
+    """(stratum, rule, cutoff, n_good, n_good_rejected) of the rules of each stratum that are proven together.
 
     ``counts`` holds (doc_id, stratum column, the counts); only documents that pass the base rules are judged. An
-    id labelled more than once counts as good if any label says so; null labels are not used.
+    id labelled more than once counts as good if any label says so; null labels are not used. ``n_good`` and
+    ``n_good_rejected`` are of the deciding half, by this rule and those before it.
     """
     known = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     rows = counts.where(~base_failed()).join(known, "doc_id")
@@ -108,29 +110,38 @@ def learn_cutoffs(counts: DataFrame, labels: DataFrame, stratum: str, limit: flo
         return F.size(F.filter(grid, lambda c: c < F.coalesce(share, F.lit(0.0))))
 
     each = F.array(*[F.struct(F.lit(r).alias("rule"), bucket(s).alias("bucket")) for r, s in shares().items()])
-    rows = rows.select(F.col(stratum).alias("stratum"), (F.col("quality") == 1).alias("good"), F.inline(each))
-    found = rows.groupBy("stratum", "rule", "bucket").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
-    per = Window.partitionBy("stratum", "rule")
-    down = per.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    found = found.select("*", F.sum("good").over(per).alias("n_good"), F.sum("good").over(down).alias("k"), F.sum("bad").over(down).alias("caught"))
-    # cutoff number b rejects bucket b and those above it; between buckets that occur nothing changes
-    found = found.withColumn("strata", F.size(F.collect_set(F.coalesce("stratum", F.lit("\0"))).over(Window.partitionBy()))).where("bucket > 0")
-    risk = limit / len(RULES)
-    proven = F.when(F.col("k") >= F.col("n_good") * risk, F.lit(False)).otherwise(
-        binomial_log_cdf(F.col("n_good"), F.least(F.col("k"), F.ceil(F.col("n_good") * risk)), risk) <= F.log(delta / (len(RULES) * F.col("strata")))
-    )
-    fails = F.max((~proven).cast("int")).over(per.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, 0))
-    found = found.withColumn("fails", fails).where("fails = 0").withColumn("gain", F.col("caught") - cost * F.col("k"))
-    best = F.row_number().over(per.orderBy(F.col("gain").desc(), F.col("bucket").desc()))
-    found = found.withColumn("best", best).where("best = 1 and gain > 0")
-    return found.select("stratum", "rule", F.element_at(grid, F.col("bucket")).alias("cutoff"), "n_good", F.col("k").alias("n_good_rejected"), F.col("caught").alias("n_bad_rejected"))
+    proposing = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    rows = rows.select(F.col(stratum).alias("stratum"), (F.col("quality") == 1).alias("good"), proposing.alias("proposing"), each.alias("each"))
+    # one row for each document only: at most as many rows as labels
+    found = rows.where("proposing").select("stratum", "good", F.inline("each")).groupBy("stratum", "rule", "bucket").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
+    down = Window.partitionBy("stratum", "rule").orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    found = found.select("*", F.sum("good").over(down).alias("k"), F.sum("bad").over(down).alias("caught")).where("bucket > 0")
+    found = found.withColumn("gain", F.col("caught") - cost * F.col("k")).where("gain > 0")
+    best = F.row_number().over(Window.partitionBy("stratum", "rule").orderBy(F.col("gain").desc(), F.col("bucket").desc()))
+    found = found.withColumn("best", best).where("best = 1")
+    place = F.row_number().over(Window.partitionBy("stratum").orderBy(F.col("gain").desc(), "rule"))
+    proposed = found.select("stratum", "rule", "bucket", place.alias("place"))
+    # the first rule, in its stratum's order, that rejects a good document of the other half
+    wide = proposed.groupBy(F.col("stratum").alias("__s")).agg(F.collect_list(F.struct("rule", "bucket", "place")).alias("rules"))
+    judged = rows.where("good and not proposing").join(wide, F.col("stratum").eqNullSafe(F.col("__s")))
+    hit = F.array_min(F.transform(F.filter("rules", lambda r: F.exists("each", lambda e: (e["rule"] == r["rule"]) & (e["bucket"] >= r["bucket"]))), lambda r: r["place"]))
+    per = judged.select("stratum", F.coalesce(hit, F.lit(0)).alias("hit")).groupBy("stratum", "hit").agg(F.count(F.lit(1)).alias("n"))
+    per = per.groupBy(F.col("stratum").alias("__s")).agg(F.collect_list(F.struct("hit", "n")).alias("hits"), F.sum("n").alias("n_good"))
+    strata = rows.select(F.col("stratum").alias("__t")).distinct().withColumn("strata", F.count(F.lit(1)).over(Window.partitionBy()))  # a row a stratum
+    tested = proposed.join(per, F.col("stratum").eqNullSafe(F.col("__s"))).join(strata, F.col("stratum").eqNullSafe(F.col("__t")))
+    k = F.aggregate(F.filter("hits", lambda h: (h["hit"] > 0) & (h["hit"] <= F.col("place"))), F.lit(0).cast("long"), lambda a, h: a + h["n"])
+    tested = tested.withColumn("k", k)
+    proven = F.when(F.col("k") >= F.col("n_good") * limit, F.lit(False)).otherwise(binomial_log_cdf(F.col("n_good"), F.col("k"), limit) <= F.log(delta / F.col("strata")))
+    fails = F.max((~proven).cast("int")).over(Window.partitionBy("stratum").orderBy("place").rowsBetween(Window.unboundedPreceding, 0))
+    return tested.withColumn("fails", fails).where("fails = 0").select("stratum", "rule", F.element_at(grid, F.col("bucket")).alias("cutoff"), "n_good", F.col("k").alias("n_good_rejected"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", limit: float = LIMIT, delta: float = DELTA) -> DataFrame:
     """The counts of every row of ``docs`` (doc_id, text, stratum column) with base_failed and kept.
 
     Null and empty texts fail the base rules; a null stratum is one of its own; rows that share an id are judged
-    each; without labels only the base rules act; an empty table gives no row; other columns are not read.
+    each; without labels only the base rules act; very long texts are counted whole; an empty table gives no row;
+    other columns are not read.
     """
     scratch = Scratch(docs.sparkSession, "rules")
     counts = scratch.keep(text_counts(docs.select("doc_id", F.col(stratum).alias("stratum"), "text")), "counts")
