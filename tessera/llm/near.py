@@ -117,7 +117,10 @@ def prefix_keys(docs: DataFrame, words: int, similarity: float, scratch: Scratch
 
 def _verified(docs: DataFrame, pairs: DataFrame, words: int, similarity: float, scratch: Scratch, tag: str) -> DataFrame:
     """The rows of ``pairs`` (a, b), written, that are as similar as that by their whole sets."""
-    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(pairs.select(F.explode(F.array("a", "b")).alias("row")), "row", _BITS))
+    # each side's rows are made distinct before they meet: a row may stand in very many pairs
+    rows = pairs.select(F.col("a").alias("row")).distinct().union(pairs.select(F.col("b").alias("row")).distinct()).distinct()
+    rows = scratch.keep(rows, f"{tag}-wanted")
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(rows, "row", _BITS))
 
     def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches(it):
@@ -127,7 +130,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, words: int, similarity: float,
                 yield from pa.Table.from_arrays([table["row"], pa.array(found, pa.binary())], names=["row", "set"]).to_batches(256)
 
     whole = docs.select("row", "text").mapInArrow(sets, "row long, set binary")
-    whole = scratch.keep(whole.join(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "row", "left_semi").dropDuplicates(["row"]), f"{tag}-sets")
+    whole = scratch.keep(whole.join(rows, "row", "left_semi").dropDuplicates(["row"]), f"{tag}-sets")
 
     def verify(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -136,7 +139,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, words: int, similarity: float,
 
     sure = pairs.join(whole.select(F.col("row").alias("a"), F.col("set").alias("p")), "a").join(whole.select(F.col("row").alias("b"), F.col("set").alias("q")), "b")
     sure = scratch.keep(sure.select("a", "b", "p", "q").mapInArrow(verify, "a long, b long"), f"{tag}-sure")
-    scratch.drop(f"{tag}-sets")
+    scratch.drop(f"{tag}-sets", f"{tag}-wanted")
     return sure
 
 
