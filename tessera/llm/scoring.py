@@ -1,19 +1,27 @@
 """Operator 2: text scoring by a probabilistic suffix tree.
 
-Contexts are runs of words that make up at least ``CONTEXT`` of all training tokens, next-symbol entries pairs of
-a context and a token that make up at least ``ENTRY``; both are shares of the corpus, so a tree has at most
-1 / ENTRY entries a level, whatever the corpus holds, and is broadcast. Counts are exact and cover all documents.
-
-A context s has P_s(w) = max(c(s, w) - D, 0) / N(s) + l_s P_p(w), where p is its longest kept proper suffix and
-l_s the mass that discounting and entries left out free. It is kept if N(s) KL(P_s || P_p) beats half the
-logarithm of N(s) for each of its entries. A token is scored from the longest kept suffix of what stands before
-it. The root is the smoothed unigram model over every word; words below ENTRY are looked up by a join.
+A context is a run of up to ``depth`` words, an entry a context and the token after it; every entry that occurs
+``LEAST`` times or more in training is learned, so the tree grows with the corpus and a text that occurs twice is
+in it. No count is a share of the corpus: more text adds contexts and takes none away, but by the divergence test.
+
+A context s has P_s(w) = max(c(s, w) - D, 0) / N(s) + l_s P_p(w), where p is s without its first word and l_s the
+mass that discounting and entries left out free. It is kept if N(s) KL(P_s || P_p) beats half the logarithm of
+N(s) for each of its entries; else P_s is P_p. A token is scored from the longest suffix of what stands before it.
+The root is the smoothed unigram model over every word.
+
+The logarithm of a token's probability is the root's and, for each context length, either ln(P_s / P_p) of an entry or
+ln l_s of a kept context without one. So a text's score is a sum over its runs of words, each looked up on its
+own: entries of kept contexts add ln(P_s / P_p) - ln l_s, kept contexts ln l_s wherever they occur. The most
+frequent runs (``HOT`` of all tokens or more, so at most 1 / HOT a level) are broadcast, which also takes hot keys
+out of the shuffle; all others meet the tree in shards of their hash, as packed blocks.
+
+Words and runs are known by 64-bit hashes: two that share one (a chance of 2^-64 a pair) are taken for the same.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +31,30 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch, Words, batches, bounded_batches, byte_texts, crc_mod, documents
 
-CONTEXT, ENTRY, DISCOUNT, DEPTH = 5e-6, 1e-6, 0.75, 2
-_AT_ONCE, _HOLD = 1 << 19, 4_000_000
-#: The end of a text, as a token's name; words have hashed names.
-END = np.uint64(1)
+LEAST, DISCOUNT, DEPTH, HOT = 2, 0.75, 2, 2e-6
+#: Bytes of text handled at once, runs counted before they leave a task, runs looked up in one shard.
+_AT_ONCE, _HOLD, _SHARD = 1 << 19, 2_000_000, 4_000_000
+#: The end of a text, as a token's name; frequent words are named by their place in a table, others by a hash.
+END, _TOP = np.uint64(1), np.uint64(1 << 63)
+# The five primes of XXH64.
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _turn(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def xxhash_long(x: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """XXH64 of 8-byte numbers, as Spark's ``xxhash64`` chains it over columns (first seed 42)."""
+    h = (seed + _P5 + np.uint64(8)) ^ (_turn(x * _P2, 31) * _P1)
+    h = _turn(h, 27) * _P1 + _P4
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    return h ^ (h >> np.uint64(32))
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(names, index of the text) of all words of all texts, each text followed by its end."""
+    """(hashes, index of the text) of all words of all texts, each text followed by its end."""
     words = Words(texts)
     total = words.count + 1
     ends = np.cumsum(total)
@@ -40,222 +64,259 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return names, np.repeat(np.arange(len(texts)), total)
 
 
-def _counted(it: Iterator[pa.RecordBatch], keys_of) -> Iterator[pa.RecordBatch]:
-    """Rows (key, n), counted over some millions of keys at a time before they leave the task."""
-    held: list[np.ndarray] = []
+class Table:
+    """Values of keys, found by a few gathers: one key a cell, keys that share a cell go to a further, smaller layer."""
+
+    def __init__(self, keys: np.ndarray, **values: np.ndarray) -> None:
+        self.layers, size, cells = [], 0, np.empty(len(keys), np.int64)
+        left = np.arange(len(keys))
+        shift = 0
+        while len(left):
+            bits = int(4 * len(left)).bit_length()
+            mask = np.uint64((1 << bits) - 1)
+            cell = ((keys[left] >> np.uint64(shift)) & mask).astype(np.int64)
+            held = (~np.arange(1 << bits, dtype=np.uint64) & mask) << np.uint64(shift)  # belongs to another cell
+            held[cell] = keys[left]
+            won = held[cell] == keys[left]
+            cells[left[won]] = cell[won] + size
+            self.layers.append((shift, mask, size, held))
+            size, left, shift = size + (1 << bits), left[~won], (shift + 7) % 32
+        self.values = {name: np.zeros(size, v.dtype) for name, v in values.items()}
+        for name, v in values.items():
+            self.values[name][cells] = v
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The cell of each key, or -1."""
+        out = np.full(len(keys), -1)
+        at = np.arange(len(keys))
+        for shift, mask, offset, held in self.layers:
+            cell = ((keys[at] >> np.uint64(shift)) & mask).astype(np.int64)
+            hit = held[cell] == keys[at]
+            out[at[hit]] = cell[hit] + offset
+            at = at[~hit]
+        return out
+
+
+def _named(hashes: np.ndarray, hot: Table) -> tuple[np.ndarray, np.ndarray]:
+    """(names, cells): small numbers for frequent words, 1 for the end, numbers with the top bit set for others."""
+    cell = hot.find(hashes)
+    return np.where(cell >= 0, cell.astype(np.uint64) + np.uint64(2), np.where(hashes == END, END, hashes | _TOP)), cell
+
+
+def _places(doc: np.ndarray) -> np.ndarray:
+    """Each token's place in its text."""
+    first = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
+    return np.arange(len(doc)) - np.repeat(first, np.diff(np.concatenate((first, [len(doc)]))))
+
+
+def _counted(it: Iterator[pa.RecordBatch], length: int, hot: Table | None) -> Iterator[pa.RecordBatch]:
+    """Rows (w1 .. wk, n) of the runs of ``length`` tokens, counted over some millions before they leave the task."""
+    held: list[list[np.ndarray]] = []
+    names = [*_columns(length), "n"]
 
     def flush() -> pa.RecordBatch:
-        key, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
+        run = [np.concatenate(x) for x in zip(*held)]
+        key = reduce(lambda seed, x: xxhash_long(x, seed), run, np.full(len(run[0]), 42, np.uint64)) if length > 1 else run[0]
+        _, at, n = np.unique(key, return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([*(pa.array(x[at].view(np.int64)) for x in run), pa.array(n)], names=names)
 
     for table in batches(it, _AT_ONCE):
-        held.append(keys_of(byte_texts(table["text"])))
-        if sum(map(len, held)) >= _HOLD:
+        name, doc = tokens(byte_texts(table["text"]))
+        if hot:
+            name = _named(name, hot)[0]
+        last = np.flatnonzero(_places(doc) >= length - 1)
+        held.append([name[last - length + 1 + i] for i in range(length)])
+        if sum(len(x[0]) for x in held) >= _HOLD:
             yield flush()
             held = []
     if held:
         yield flush()
 
 
-def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Place of each key in a sorted table, or -1."""
-    if not len(table):
-        return np.full(len(keys), -1)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return np.where(table[at] == keys, at, -1)
-
-
-@dataclass
-class Level:
-    """Contexts of one length: ``codes`` name them, ``total`` is N(s); entries are context * words + word."""
-
-    codes: np.ndarray
-    total: np.ndarray
-    suffix: np.ndarray
-    entry: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
-    count: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
-    kept: np.ndarray | None = None
-    rest: np.ndarray | None = None  # ln l_s
-    logp: np.ndarray | None = None  # ln P_s(w) of the entries
-
-
-class Tree:
-    """Frequent words (sorted names and counts), the root model and the levels of contexts."""
-
-    def __init__(self, names: np.ndarray, counts: np.ndarray, total: int, distinct: int, context: float, entry: float) -> None:
-        self.names, self.counts, self.total, self.distinct = names, counts, total, distinct
-        self.least_context, self.least_entry = max(2, context * total), max(2, entry * total)
-        self.levels: list[Level] = []
-        self.root = np.log((counts + 0.5) / (total + 0.5 * (distinct + 1)))
-
-    def places(self, names: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """(word, contexts): each token's place among the frequent words, and for each level the context before it."""
-        word = _find(self.names, names)
-        same = np.concatenate(([False], doc[1:] == doc[:-1])) if len(doc) else np.empty(0, bool)
-        contexts, ending = [], None
-        for level in self.levels:
-            if ending is None:
-                ending = _find(level.codes, word)
-            else:
-                before = np.concatenate(([-1], ending[:-1]))
-                ending = np.where(same & (before >= 0) & (word >= 0), _find(level.codes, before * len(self.names) + word), -1)
-            contexts.append(np.where(same, np.concatenate(([-1], ending[:-1])), -1) if len(ending) else ending)
-        return word, contexts
-
-    def keys(self, texts: list[bytes]) -> np.ndarray:
-        """Codes of (context of the last level, token) of the texts, for counting that level's entries."""
-        word, contexts = self.places(*tokens(texts))
-        good = (contexts[-1] >= 0) & (word >= 0)
-        return contexts[-1][good] * len(self.names) + word[good]
-
-    def add_level(self) -> bool:
-        """Opens the next level with the strings that are frequent enough to be contexts."""
-        size, end = len(self.names), int(_find(self.names, np.array([END]))[0])
-        if not self.levels:
-            at = np.flatnonzero((self.counts >= self.least_context) & (np.arange(size) != end))
-            self.levels.append(Level(at, self.counts[at], np.full(len(at), -1)))
-            return len(at) > 0
-        last = self.levels[-1]
-        good = (last.count >= self.least_context) & (last.entry % max(1, size) != end)
-        codes, total = last.entry[good], last.count[good]
-        prefix, word = codes // max(1, size), codes % max(1, size)
-        if len(self.levels) == 1:
-            suffix = _find(last.codes, word)
-        else:
-            suffix = _find(last.codes, last.suffix[prefix] * size + word)
-        self.levels.append(Level(codes, total, suffix))
-        return len(codes) > 0
-
-    def _chain(self, depth: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """ln P of frequent words after kept or dropped contexts of a depth (0: the root; -1: no context)."""
-        if depth == 0:
-            return self.root[word]
-        level, out = self.levels[depth - 1], np.empty(len(word))
-        use = (context >= 0) & level.kept[np.maximum(context, 0)] if len(level.codes) else np.zeros(len(word), bool)
-        at = np.where(use, _find(level.entry, context * len(self.names) + word), -1)
-        hit = at >= 0
-        out[hit] = level.logp[at[hit]]
-        rest = ~hit
-        down = self.shorter(depth, context[rest])
-        out[rest] = self._chain(depth - 1, down, word[rest]) + np.where(use[rest], level.rest[np.maximum(context[rest], 0)] if len(level.rest) else 0.0, 0.0)
-        return out
+def _columns(length: int) -> list[str]:
+    return [f"w{i + 1}" for i in range(length)]
+
+
+def counts(train: DataFrame, length: int, hot: Table | None = None, least: int = 1) -> DataFrame:
+    """(w1 .. wk, n) of the runs of ``length`` tokens of ``train`` (text) that occur ``least`` times or more."""
+    shared = train.sparkSession.sparkContext.broadcast(hot)
+    columns = _columns(length)
+    rows = train.mapInArrow(lambda it: _counted(it, length, shared.value), ", ".join(f"{c} long" for c in [*columns, "n"]))
+    return rows.groupBy(*columns).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
+def settle(scratch: Scratch, entries: DataFrame, shorter: DataFrame, length: int, discount: float) -> tuple[DataFrame, DataFrame]:
+    """(entries with p and u, kept contexts with n and u) of one length, from the model of the next shorter runs (n, p)."""
+    run = _columns(length)
+    context, suffix = run[:-1], run[1:]
+    below = shorter.select(*(F.col(a).alias(b) for a, b in zip(context, suffix)), F.col("p").alias("below"))
+    totals = shorter.select(*context, F.col("n").alias("total"))
+    rows = entries.join(below, suffix)
+    sums = rows.groupBy(*context).agg(F.sum(F.col("n") - discount).alias("taken"), F.sum("below").alias("covered"), F.count(F.lit(1)).alias("entries"))
+    sums = sums.join(totals, context).withColumn("rest", F.greatest(1 - F.col("taken") / F.col("total"), F.lit(1e-12)))
+    own = (F.col("n") - discount) / F.col("total") + F.col("rest") * F.col("below")
+    rows = rows.join(sums.drop("taken"), context).withColumn("own", own)
+    rows = scratch.keep(rows, f"own{length}")
+    free = F.col("rest") * F.greatest(1 - F.col("covered"), F.lit(0.0)) * F.log("rest")
+    same = [F.max(c).alias(c) for c in ("total", "rest", "covered", "entries")]  # equal in all rows of a context
+    kept = rows.groupBy(*context).agg(F.sum(F.col("own") * F.log(F.col("own") / F.col("below"))).alias("gain"), *same)
+    kept = kept.where(F.col("total") * (F.col("gain") + free) > 0.5 * F.col("entries") * F.log("total"))
+    kept = scratch.keep(kept.select(*context, F.col("total").alias("n"), F.log("rest").alias("u")), f"contexts{length}")
+    rows = rows.join(kept.select(*context, F.col("u").alias("free")), context, "left")
+    use = F.col("free").isNotNull()
+    rows = rows.select(
+        *run, "n", F.when(use, F.col("own")).otherwise(F.col("below")).alias("p"),
+        F.when(use, F.log(F.col("own") / F.col("below")) - F.col("free")).otherwise(0.0).alias("u"),
+    )
+    rows = scratch.keep(rows, f"entries{length}")
+    scratch.drop(f"own{length}")
+    return rows, kept
 
-    def shorter(self, depth: int, context: np.ndarray) -> np.ndarray:
-        suffix = self.levels[depth - 1].suffix
-        return np.where(context >= 0, suffix[np.maximum(context, 0)], -1) if len(suffix) else np.full(len(context), -1)
-
-    def settle(self, discount: float) -> None:
-        """Smooths the last level's entries over its suffixes, tests each context and keeps or drops it."""
-        depth, level, size = len(self.levels), self.levels[-1], len(self.names)
-        n = len(level.codes)
-        owner, word = level.entry // max(1, size), level.entry % max(1, size)
-        taken = np.maximum(level.count - discount, 0.0)
-        free = 1 - np.bincount(owner, taken, n) / np.maximum(level.total, 1)
-        level.rest = np.log(np.maximum(free, 1e-12))
-        below = np.exp(self._chain(depth - 1, level.suffix[owner], word)) if len(owner) else np.empty(0)
-        p = taken / level.total[owner] + np.exp(level.rest)[owner] * below
-        level.logp = np.log(p)
-        other = np.maximum(1 - np.bincount(owner, below, n), 0.0)
-        divergence = np.bincount(owner, p * (level.logp - np.log(below)), n) + np.exp(level.rest) * other * level.rest
-        entries = np.bincount(owner, minlength=n)
-        level.kept = (entries > 0) & (level.total * divergence > 0.5 * entries * np.log(np.maximum(level.total, 2)))
-
-    def score(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
-        """(tokens, frequent tokens, ln base and ln score without rare words' root terms) a text; (text, name) of rare words."""
-        names, doc = tokens(texts)
-        word, contexts = self.places(names, doc)
-        known = word >= 0
-        root = np.where(known, self.root[np.maximum(word, 0)], 0.0) if len(self.root) else np.zeros(len(names))
-        total = np.zeros(len(names))
-        open_ = np.ones(len(names), bool)
-        for depth in range(len(self.levels), 0, -1):
-            level = self.levels[depth - 1]
-            if not len(level.codes):
-                continue
-            at = contexts[depth - 1]
-            use = open_ & (at >= 0)
-            use[use] = level.kept[at[use]]
-            rows = np.flatnonzero(use)
-            # a shorter suffix than the kept one is reached by dropping the first word, as the levels do
-            found = np.where(known[rows], _find(level.entry, at[rows] * len(self.names) + word[rows]), -1)
+
+def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """One binary for each stretch of ``values`` between two bounds."""
+    offsets = (bounds * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+_DOC = np.dtype([("row", "<i8"), ("doc_id", "<i8"), ("null", "?"), ("n", "<i8"), ("known", "<i8"), ("base", "<f8"), ("u", "<f8")])
+_BLOCK = "shard int, at long, keys binary, docs binary, rows binary"
+_PART = "row long, doc_id long, n long, known long, base double, u double"
+
+
+class Scan:
+    """Adds up what the broadcast tables know of each text and packs the other runs of words into blocks by shard."""
+
+    def __init__(self, words: Table, runs: Table, end: int, total: int, distinct: int, depth: int, shards: int) -> None:
+        self.words, self.runs, self.end, self.depth, self.shards = words, runs, end, depth, shards
+        self.size = total + 0.5 * (distinct + 1)
+
+    def __call__(self, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 40
+        for table in batches(it, _AT_ONCE):
+            yield self.block(table, at)
+            at += table.num_rows
+
+    def block(self, table: pa.Table, at: int) -> pa.RecordBatch:
+        hashes, doc = tokens(byte_texts(table["text"]))
+        d, place = table.num_rows, _places(doc)
+        name, cell = _named(hashes, self.words)
+        n = np.where(cell >= 0, self.words.values["n"][cell] if len(self.words.layers) else 0, np.where(name == END, self.end, 0))
+        u = np.zeros(d)
+        key, keys, docs = np.full(len(name), 42, np.uint64), [], []
+        for before in range(self.depth + 1):  # a run of before + 1 tokens ends here
+            key = xxhash_long(name, key if before == 0 else np.concatenate((key[:1], key[:-1])))
+            ask = np.flatnonzero((place >= before) & ((name != END) | (before > 0)))
+            found = self.runs.find(key[ask])
+            if before == 0:
+                found[name[ask] >= _TOP] = -1  # their number is looked up, too
             hit = found >= 0
-            total[rows[hit]] += level.logp[found[hit]]
-            open_[rows[hit]] = False
-            total[rows[~hit]] += level.rest[at[rows[~hit]]]
-        total += np.where(open_, root, 0.0)
-        d = len(texts)
-        sums = [np.bincount(doc, minlength=d), np.bincount(doc[known], minlength=d), np.bincount(doc, root, d), np.bincount(doc, total, d)]
-        return *sums, doc[~known], names[~known]
-
-
-def _pulled(spark: SparkSession, rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(key, n) of rows whose number has a bound; sorted by the unsigned key."""
-    table = rows.toArrow()
-    key, n = table["key"].to_numpy().view(np.uint64), table["n"].to_numpy()
-    order = np.argsort(key)
-    return key[order], n[order]
-
-
-def word_counts(train: DataFrame) -> DataFrame:
-    rows = train.mapInArrow(lambda it: _counted(it, lambda x: tokens(x)[0]), "key long, n long")
-    return rows.groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def grow(train: DataFrame, words: DataFrame, depth: int = DEPTH, context: float = CONTEXT, entry: float = ENTRY, discount: float = DISCOUNT) -> Tree:
-    """The tree of ``train`` (text): one pass over the texts a level. ``words``: its word counts, written."""
-    spark = train.sparkSession
-    total, distinct = (x or 0 for x in words.agg(F.sum("n"), F.count(F.lit(1))).first())
-    names, counts = _pulled(spark, words.where(F.col("n") >= max(2, entry * total)))  # at most 1 / entry rows
-    tree = Tree(names, counts, total, distinct, context, entry)
-    for _ in range(depth):
-        if not tree.add_level():
-            tree.levels.pop()
-            break
-        shared = spark.sparkContext.broadcast(tree)
-        rows = train.mapInArrow(lambda it, t=shared: _counted(it, t.value.keys), "key long, n long")
-        rows = rows.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= tree.least_entry)  # at most 1 / entry rows
-        key, tree.levels[-1].count = _pulled(spark, rows)
-        tree.levels[-1].entry = key.view(np.int64)
-        tree.settle(discount)
-    return tree
-
-
-def scored(docs: DataFrame, train: Column, depth: int = DEPTH, context: float = CONTEXT, entry: float = ENTRY) -> DataFrame:
+            if hit.any():
+                u += np.bincount(doc[ask[hit]], self.runs.values["u"][found[hit]], d)
+            keys.append(key[ask[~hit]])
+            docs.append(doc[ask[~hit]])
+        ids = table["doc_id"].combine_chunks()
+        rows = np.zeros(d, _DOC)
+        rows["row"], rows["doc_id"], rows["null"] = at + np.arange(d), ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False)
+        rows["n"], rows["known"] = np.bincount(doc, minlength=d), np.bincount(doc[n > 0], minlength=d)
+        rows["base"], rows["u"] = np.bincount(doc, np.log((n + 0.5) / self.size), d), u
+        key, doc = np.concatenate(keys), np.concatenate(docs).astype(np.int32)
+        shard = (key % np.uint64(self.shards)).astype(np.int32)
+        order = np.argsort(shard, kind="stable")
+        shard = shard[order]
+        first = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1]))) if len(shard) else np.empty(0, np.int64)
+        bounds = np.concatenate((first, [len(shard), len(shard)]))  # the last block holds the texts' own sums
+        of = np.concatenate((shard[first], [(at >> 40) % self.shards])).astype(np.int32)
+        own = np.concatenate((np.zeros(len(first) + 1, np.int64), [d]))
+        columns = [pa.array(of), pa.array(np.full(len(of), at)), _binaries(key[order], bounds), _binaries(doc[order], bounds), _binaries(rows, own)]
+        return pa.RecordBatch.from_arrays(columns, names=["shard", "at", "keys", "docs", "rows"])
+
+
+def _joined(column: pa.ChunkedArray, kind: np.dtype | type) -> np.ndarray:
+    return np.concatenate([np.empty(0, kind), *(np.frombuffer(x, kind) for x in column.to_pylist())])
+
+
+def _look_up(blocks: pa.Table, states: pa.Table) -> pa.Table:
+    """What the tree knows of the runs of one shard, added up by text, and the sums that came along."""
+    key, place = np.unique(states["key"].to_numpy().view(np.uint64), return_inverse=True)
+    values = {c: np.bincount(place, states[c].to_numpy(), len(key)) for c in ("known", "base", "u")}
+    asked = _joined(blocks["keys"], np.uint64)
+    at = np.repeat(blocks["at"].to_numpy(), [len(x) // 4 for x in blocks["docs"].to_pylist()]) if blocks.num_rows else np.empty(0, np.int64)
+    row = at + _joined(blocks["docs"], np.int32)
+    found = np.minimum(np.searchsorted(key, asked), max(0, len(key) - 1))
+    hit = np.flatnonzero(key[found] == asked) if len(key) else np.empty(0, np.int64)
+    row, text = np.unique(row[hit], return_inverse=True)
+    known, base, u = (np.bincount(text, values[c][found[hit]], len(row)) for c in ("known", "base", "u"))
+    own = _joined(blocks["rows"], _DOC)
+    none = np.zeros(len(row), np.int64)
+    columns = [
+        pa.array(np.concatenate((own["row"], row))), pa.array(np.concatenate((own["doc_id"], none)), mask=np.concatenate((own["null"], none == 0))),
+        pa.array(np.concatenate((own["n"], none))), pa.array(np.concatenate((own["known"], known.astype(np.int64)))),
+        pa.array(np.concatenate((own["base"], base))), pa.array(np.concatenate((own["u"], u))),
+    ]
+    return pa.Table.from_arrays(columns, names=["row", "doc_id", "n", "known", "base", "u"])
+
+
+def _table(rows: DataFrame, value: str) -> Table:
+    """A broadcast table of (key, value), values of equal keys added. Only for rows whose number has a bound."""
+    found = rows.toArrow()
+    key, at = np.unique(found["key"].to_numpy().view(np.uint64), return_inverse=True)
+    total = np.zeros(len(key), found[value].to_numpy().dtype)
+    np.add.at(total, at, found[value].to_numpy())
+    return Table(key, **{value: total})
+
+
+def scored(docs: DataFrame, train: Column, depth: int = DEPTH, least: int = LEAST, discount: float = DISCOUNT, hot: float = HOT) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) with n_tokens, n_known, train_tokens, base_score and score.
 
-    Null and empty texts are their end alone; rows that share an id are scored each; without training rows every
-    token is unknown; an empty table gives no row; other columns are not read.
+    Null and empty texts are their end alone; very long ones are read whole, in one Arrow batch each; rows that
+    share an id are scored each; without training rows every token is unknown; an empty table gives no row; other
+    columns are not read. ``hot`` changes what is broadcast, not the result.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     scratch = Scratch(spark, "scoring")
     learned = docs.where(train).select("text")
-    words = scratch.keep(word_counts(learned), "words")
-    tree = grow(learned, words, depth, context, entry)
-    shared = spark.sparkContext.broadcast(tree)
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = TaskContext.get().partitionId() << 40
-        for table in batches(it, _AT_ONCE):
-            n, known, base, score, doc, rare = shared.value.score(byte_texts(table["text"]))
-            m = table.num_rows
-            splits = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=m)))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(splits), pa.array(rare.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([table["doc_id"].combine_chunks(), pa.array(at + np.arange(m)), pa.array(n), pa.array(known), pa.array(base), pa.array(score), lists], names=names)
-            at += m
-
-    names = ["doc_id", "row", "n_tokens", "hot", "hot_base", "hot_score", "rare"]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, row long, n_tokens long, hot long, hot_base double, hot_score double, rare array<long>")
-    rows = scratch.keep(rows, "rows")
-    rare = rows.select("row", F.explode("rare").alias("key"))
-    n = F.coalesce(F.col("n"), F.lit(0))
-    term = F.log((n + 0.5) / (tree.total + 0.5 * (tree.distinct + 1)))
-    rare = rare.join(words, "key", "left").groupBy("row").agg(F.count_if(n > 0).alias("more"), F.sum(term).alias("term"))
-    more, term = F.coalesce("more", F.lit(0)), F.coalesce("term", F.lit(0.0))
+    words = scratch.keep(counts(learned, 1), "words")
+    total, distinct, end = (x or 0 for x in words.agg(F.sum("n"), F.count(F.lit(1)), F.sum(F.when(F.col("w1") == int(END), F.col("n")))).first())
+    often = F.col("n") >= max(least, hot * total)  # at most 1 / hot rows a length
+    frequent = _table(words.where(often & (F.col("w1") != int(END))).select(F.col("w1").alias("key"), "n"), "n")
+    shared = spark.sparkContext.broadcast(frequent)
+
+    def rename(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            name = _named(batch["w1"].to_numpy().view(np.uint64), shared.value)[0]
+            yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), batch["n"]], names=["w1", "n"])
+
+    shorter = words.mapInArrow(rename, "w1 long, n long").withColumn("p", (F.col("n") + 0.5) / (total + 0.5 * (distinct + 1)))
+    shorter = scratch.keep(shorter, "names")
+    scratch.drop("words")
+
+    def states(rows: DataFrame, length: int, known: Column, base: Column, u: Column) -> DataFrame:
+        return rows.select(F.xxhash64(*_columns(length)).alias("key"), "n", known.alias("known"), base.alias("base"), u.alias("u"))
+
+    none, zero = F.lit(0), F.lit(0.0)
+    tree = [states(shorter.where("w1 < 0"), 1, F.lit(1), F.log((F.col("n") + 0.5) / 0.5), zero)]
+    broad = [states(shorter.where("w1 > 1"), 1, none, zero, zero)]
+    for length in range(2, depth + 2):
+        found = scratch.keep(counts(learned, length, frequent, least), f"counts{length}")
+        shorter, contexts = settle(scratch, found, shorter, length, discount)
+        scratch.drop(f"counts{length}")
+        tree += [states(shorter.where("u != 0"), length, none, zero, F.col("u")), states(contexts, length - 1, none, zero, F.col("u"))]
+        broad += [states(shorter, length, none, zero, F.col("u")), tree[-1]]
+    runs = _table(reduce(DataFrame.unionAll, broad).where(often).select("key", "u"), "u")
+
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = 1 + (depth + 1) * size // (5 * _SHARD)  # a word and its space are about five bytes or more
+    scan = spark.sparkContext.broadcast(Scan(frequent, runs, end, total, distinct, depth, shards))
+    blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda it: scan.value(it), _BLOCK)
+    known = reduce(DataFrame.unionAll, tree).select(F.expr(f"cast(pmod(pmod(key, {shards}) + if(key < 0, {(1 << 64) % shards}, 0), {shards}) as int)").alias("shard"), "key", "known", "base", "u")
+    parts = blocks.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_look_up, _PART)
+    rows = parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n", "known", "base", "u")))
     ten = float(np.log(10))
-    return rows.drop("rare").join(rare, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("hot") + more).alias("n_known"), F.lit(tree.total).cast("long").alias("train_tokens"),
-        ((F.col("hot_base") + term) / ten).alias("base_score"), ((F.col("hot_score") + term) / ten).alias("score"),
+    return rows.select(
+        "doc_id", F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("base") / ten).alias("base_score"), ((F.col("base") + F.col("u")) / ten).alias("score"),
     )
 
 

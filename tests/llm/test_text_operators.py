@@ -207,47 +207,79 @@ def test_pieces_of_long_texts_meet(monkeypatch):
     assert starts(cut) == starts(whole)
 
 
-def test_tree_is_a_distribution():
-    rng = random.Random(2)
-    words = ["a", "b", "c", "d"]
-    texts = [" ".join(words[(i + rng.randrange(2)) % 4] for i in range(60)).encode() for _ in range(50)]
-    names, counts_ = np.unique(scoring.tokens(texts)[0], return_counts=True)
-    tree = scoring.Tree(names, counts_, int(counts_.sum()), len(names), 1e-3, 1e-3)
-    for _ in range(3):
-        tree.add_level()
-        key, n = np.unique(tree.keys(texts), return_counts=True)
-        good = n >= tree.least_entry
-        tree.levels[-1].entry, tree.levels[-1].count = key[good], n[good]
-        tree.settle(0.75)
-    unseen = 1 - np.exp(tree.root).sum()
-    assert any(level.kept.any() for level in tree.levels)
-    for depth, level in enumerate(tree.levels, 1):
-        for c in np.flatnonzero(level.kept):
-            p = np.exp(tree._chain(depth, np.full(len(names), c), np.arange(len(names)))).sum()
-            rest, at, d = 1.0, c, depth
-            while d:
-                if tree.levels[d - 1].kept[at]:
-                    rest *= np.exp(tree.levels[d - 1].rest[at])
-                at, d = tree.levels[d - 1].suffix[at], d - 1
-            assert abs(p + rest * unseen - 1) < 1e-6
-
-
-def test_scores(spark):
+class PlainTree:
+    """The model told word by word, from the definition alone."""
+
+    def __init__(self, texts, depth):
+        self.depth, self.counts = depth, [Counter(tuple(t[i : i + k]) for t in texts for i in range(len(t) - k + 1)) for k in range(1, depth + 2)]
+        self.total, self.distinct = sum(self.counts[0].values()), len(self.counts[0])
+        self.kept = {}
+        for k in range(1, depth + 1):
+            followers = {}
+            for run, n in self.counts[k].items():
+                if n >= 2:
+                    followers.setdefault(run[:-1], {})[run[-1]] = n
+            for context, after in followers.items():
+                total = self.counts[k - 1][context]
+                rest = 1 - sum(n - 0.75 for n in after.values()) / total
+                below = {w: self.p(context[1:], w) for w in after}
+                own = {w: (n - 0.75) / total + rest * below[w] for w, n in after.items()}
+                gain = sum(own[w] * np.log(own[w] / below[w]) for w in after) + rest * max(0, 1 - sum(below.values())) * np.log(rest)
+                if total * gain > 0.5 * len(after) * np.log(total):
+                    self.kept[context] = rest, own
+
+    def p(self, context, word):
+        if not context:
+            return (self.counts[0][(word,)] + 0.5) / (self.total + 0.5 * (self.distinct + 1))
+        rest, own = self.kept.get(context, (1, {}))
+        return own[word] if word in own else rest * self.p(context[1:], word)
+
+    def score(self, text):
+        return sum(np.log10(self.p(tuple(text[max(0, i - self.depth) : i]), w)) for i, w in enumerate(text))
+
+
+@given(st.lists(st.integers(-(1 << 63), (1 << 63) - 1), unique=True, max_size=300), st.lists(st.integers(-(1 << 63), (1 << 63) - 1), max_size=20))
+@settings(max_examples=60, deadline=None)
+def test_table_finds_keys(keys, others):
+    keys = np.array(keys, np.int64).view(np.uint64)
+    table = scoring.Table(keys, n=np.arange(len(keys)))
+    assert table.values["n"][table.find(keys)].tolist() == list(range(len(keys)))
+    assert [x >= 0 for x in table.find(np.array(others, np.int64).view(np.uint64))] == [x in set(keys.view(np.int64).tolist()) for x in others]
+
+
+def test_run_keys_are_those_of_spark(spark):
+    rows = [(-5, 7), (1 << 62, -1), (0, 0)]
+    want = [r[0] for r in spark.createDataFrame(rows, "a long, b long").selectExpr("xxhash64(a, b)").collect()]
+    a, b = np.array(rows, np.int64).view(np.uint64).T
+    assert scoring.xxhash_long(b, scoring.xxhash_long(a, np.full(3, 42, np.uint64))).view(np.int64).tolist() == want
+
+
+@pytest.mark.parametrize(("depth", "hot", "shard"), [(2, 2e-6, 4_000_000), (3, 0.02, 500), (2, 2.0, 100)])
+def test_scores(spark, monkeypatch, depth, hot, shard):
+    monkeypatch.setattr(scoring, "_SHARD", shard)
     rng = random.Random(5)
     more = [(100 + i, " ".join(f"w{(i % 3) * 100 + (j * 3 + rng.randrange(2)) % 40}" for j in range(200))) for i in range(60)]
-    docs = awkward(spark, *more)
-    got = scoring.scored(docs, crc_mod("doc_id", 5) != 1, context=1e-3, entry=1e-4).collect()
+    twice = " ".join(f"rare{i}" for i in range(80))
+    docs = awkward(spark, *more, (103, twice), (104, twice), (105, twice))  # 103 and 105 are learned
+    got = scoring.scored(docs, crc_mod("doc_id", 5) != 1, depth=depth, hot=hot).collect()
     assert len(got) == docs.count()
     up = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
     words = lambda x: [*re.findall(rb"[^\x20\x09-\x0D]+", (x or "").encode().translate(up)), 1]
     rows = docs.collect()
-    train = Counter(w for r in rows if zlib.crc32(str("" if r.doc_id is None else r.doc_id).encode()) % 5 != 1 for w in words(r.text))
-    total, v = sum(train.values()), len(train)
-    want = Counter((r.doc_id, len(words(r.text)), sum(train[w] > 0 for w in words(r.text)), round(sum(np.log10((train[w] + 0.5) / (total + 0.5 * (v + 1))) for w in words(r.text)), 4)) for r in rows)
-    assert Counter((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 4)) for r in got) == want
-    held = [r for r in got if r.doc_id and r.doc_id >= 100 and zlib.crc32(str(r.doc_id).encode()) % 5 == 1]
-    assert sum(r.score for r in held) > sum(r.base_score for r in held) and all(r.train_tokens == total for r in got)
+    held_out = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 5 == 1
+    tree = PlainTree([words(r.text) for r in rows if not held_out(r.doc_id)], depth)
+    train = {w: n for (w,), n in tree.counts[0].items()}
+    base = lambda t: sum(np.log10(tree.p((), w)) for w in t)
+    want = Counter((r.doc_id, len(t), sum(w in train for w in t), round(base(t), 3), round(tree.score(t), 3)) for r in rows for t in [words(r.text)])
+    assert Counter((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 3), round(r.score, 3)) for r in got) == want
+    held = [r for r in got if r.doc_id and r.doc_id >= 100 and held_out(r.doc_id)]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held) and all(r.train_tokens == tree.total for r in got)
+    assert min(r.score - r.base_score for r in got if r.n_tokens == 81) > 80  # a text that occurs twice is learned
+
+
+def test_scores_without_rows(spark):
     assert scoring.scored(nothing(spark), crc_mod("doc_id", 5) != 1).count() == 0
+    assert {(r.n_known, r.score) for r in scoring.scored(awkward(spark), crc_mod("doc_id", 5) < 0).collect()} == {(0, 0.0)}
 
 
 def test_rules_act_in_every_stratum_with_labels_enough(spark):
