@@ -15,6 +15,10 @@ own: entries of kept contexts add ln(P_s / P_p) - ln l_s, kept contexts ln l_s w
 frequent runs (``HOT`` of all tokens or more, so at most 1 / HOT a level) are broadcast, which also takes hot keys
 out of the shuffle; all others meet the tree in shards of their hash, as packed blocks.
 
+A run can only be an entry if both runs that are shorter by one word are. A bitmap of 2 ** BITS bits tells which of
+those may be, another which runs may be in the tree: they spare work, decide nothing, and pass more runs than
+needed to the exact count or look-up once the tree has more states than they have bits.
+
 Words and runs are known by 64-bit hashes: two that share one (a chance of 2^-64 a pair) are taken for the same.
 """
 
@@ -29,9 +33,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, Words, batches, bounded_batches, byte_texts, crc_mod, documents
+from tessera.llm.common import Scratch, Words, batches, bitmap, bounded_batches, byte_texts, crc_mod, documents, marked
 
-LEAST, DISCOUNT, DEPTH, HOT = 2, 0.75, 2, 2e-6
+LEAST, DISCOUNT, DEPTH, HOT, BITS = 2, 0.75, 2, 2e-6, 27
 #: Bytes of text handled at once, runs counted before they leave a task, runs looked up in one shard.
 _AT_ONCE, _HOLD, _SHARD = 1 << 19, 2_000_000, 4_000_000
 #: The end of a text, as a token's name; frequent words are named by their place in a table, others by a hash.
@@ -109,22 +113,59 @@ def _places(doc: np.ndarray) -> np.ndarray:
     return np.arange(len(doc)) - np.repeat(first, np.diff(np.concatenate((first, [len(doc)]))))
 
 
-def _counted(it: Iterator[pa.RecordBatch], length: int, hot: Table | None) -> Iterator[pa.RecordBatch]:
-    """Rows (w1 .. wk, n) of the runs of ``length`` tokens, counted over some millions before they leave the task."""
+def _chain(name: np.ndarray, key: np.ndarray | None) -> np.ndarray:
+    """Keys of the runs that end at each token, from those of the runs that are shorter by one (None: no token)."""
+    return xxhash_long(name, np.full(len(name), 42, np.uint64) if key is None else np.concatenate((key[:1], key[:-1])))
+
+
+def _word_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (w1, n) of the tokens of texts, counted over some millions before they leave the task."""
+    held: list[np.ndarray] = []
+
+    def flush() -> pa.RecordBatch:
+        key, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["w1", "n"])
+
+    for table in batches(it, _AT_ONCE):
+        held.append(tokens(byte_texts(table["text"]))[0])
+        if sum(map(len, held)) >= _HOLD:
+            yield flush()
+            held = []
+    if held:
+        yield flush()
+
+
+def _merged(run: list[np.ndarray], n: np.ndarray | None = None) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """(keys, runs, numbers) of the distinct runs, given by their first, second ... tokens."""
+    key = reduce(lambda seed, x: xxhash_long(x, seed), run, np.full(len(run[0]), 42, np.uint64))
+    if n is None:
+        key, at, total = np.unique(key, return_index=True, return_counts=True)
+    else:
+        key, at, place = np.unique(key, return_index=True, return_inverse=True)
+        total = np.bincount(place, n, len(key)).astype(np.int64)
+    return key, [x[at] for x in run], total
+
+
+def _run_blocks(it: Iterator[pa.RecordBatch], length: int, hot: Table, sieve: np.ndarray | None, shards: int) -> Iterator[pa.RecordBatch]:
+    """Packed blocks (shard, w1 .. wk, n) of the runs of ``length`` tokens whose shorter runs the sieve passes."""
     held: list[list[np.ndarray]] = []
-    names = [*_columns(length), "n"]
 
     def flush() -> pa.RecordBatch:
-        run = [np.concatenate(x) for x in zip(*held)]
-        key = reduce(lambda seed, x: xxhash_long(x, seed), run, np.full(len(run[0]), 42, np.uint64)) if length > 1 else run[0]
-        _, at, n = np.unique(key, return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([*(pa.array(x[at].view(np.int64)) for x in run), pa.array(n)], names=names)
+        key, run, n = _merged([np.concatenate(x) for x in zip(*held)])
+        shard = (key % np.uint64(shards)).astype(np.int32)
+        order = np.argsort(shard, kind="stable")
+        of, bounds = _stretches(shard[order])
+        return pa.RecordBatch.from_arrays([pa.array(of), *(_binaries(x[order], bounds) for x in [*run, n])], names=["shard", *_columns(length), "n"])
 
     for table in batches(it, _AT_ONCE):
-        name, doc = tokens(byte_texts(table["text"]))
-        if hot:
-            name = _named(name, hot)[0]
-        last = np.flatnonzero(_places(doc) >= length - 1)
+        hashes, doc = tokens(byte_texts(table["text"]))
+        name = _named(hashes, hot)[0]
+        good = _places(doc) >= length - 1
+        if sieve is not None:
+            key = reduce(lambda key, _: _chain(name, key), range(length - 1), None)
+            may = marked(sieve, key)
+            good[1:] &= may[1:] & may[:-1]
+        last = np.flatnonzero(good)
         held.append([name[last - length + 1 + i] for i in range(length)])
         if sum(len(x[0]) for x in held) >= _HOLD:
             yield flush()
@@ -133,16 +174,33 @@ def _counted(it: Iterator[pa.RecordBatch], length: int, hot: Table | None) -> It
         yield flush()
 
 
+def _stretches(shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(shards, bounds) of the stretches of equal, sorted shards."""
+    first = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1]))) if len(shard) else np.empty(0, np.int64)
+    return shard[first], np.append(first, len(shard))
+
+
 def _columns(length: int) -> list[str]:
     return [f"w{i + 1}" for i in range(length)]
 
 
-def counts(train: DataFrame, length: int, hot: Table | None = None, least: int = 1) -> DataFrame:
+def word_counts(train: DataFrame) -> DataFrame:
+    """(w1, n) of all tokens of ``train`` (text), by their hashes."""
+    return train.mapInArrow(_word_rows, "w1 long, n long").groupBy("w1").agg(F.sum("n").alias("n"))
+
+
+def run_counts(train: DataFrame, length: int, hot: Table, sieve: np.ndarray | None, least: int, shards: int) -> DataFrame:
     """(w1 .. wk, n) of the runs of ``length`` tokens of ``train`` (text) that occur ``least`` times or more."""
-    shared = train.sparkSession.sparkContext.broadcast(hot)
-    columns = _columns(length)
-    rows = train.mapInArrow(lambda it: _counted(it, length, shared.value), ", ".join(f"{c} long" for c in [*columns, "n"]))
-    return rows.groupBy(*columns).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    shared = train.sparkSession.sparkContext.broadcast((hot, sieve))
+    columns = [*_columns(length), "n"]
+    blocks = train.mapInArrow(lambda it: _run_blocks(it, length, *shared.value, shards), ", ".join(["shard int", *(f"{c} binary" for c in columns)]))
+
+    def add(table: pa.Table) -> pa.Table:
+        _, run, n = _merged([_joined(table[c], np.uint64) for c in columns[:-1]], _joined(table["n"], np.int64))
+        often = n >= least
+        return pa.Table.from_arrays([pa.array(x[often].view(np.int64)) for x in [*run, n]], names=columns)
+
+    return blocks.groupBy("shard").applyInArrow(add, ", ".join(f"{c} long" for c in columns))
 
 
 def settle(scratch: Scratch, entries: DataFrame, shorter: DataFrame, length: int, discount: float) -> tuple[DataFrame, DataFrame]:
@@ -187,8 +245,8 @@ _PART = "row long, doc_id long, n long, known long, base double, u double"
 class Scan:
     """Adds up what the broadcast tables know of each text and packs the other runs of words into blocks by shard."""
 
-    def __init__(self, words: Table, runs: Table, end: int, total: int, distinct: int, depth: int, shards: int) -> None:
-        self.words, self.runs, self.end, self.depth, self.shards = words, runs, end, depth, shards
+    def __init__(self, words: Table, runs: Table, sieve: np.ndarray, end: int, total: int, distinct: int, depth: int, shards: int) -> None:
+        self.words, self.runs, self.sieve, self.end, self.depth, self.shards = words, runs, sieve, end, depth, shards
         self.size = total + 0.5 * (distinct + 1)
 
     def __call__(self, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,9 +261,9 @@ class Scan:
         name, cell = _named(hashes, self.words)
         n = np.where(cell >= 0, self.words.values["n"][cell] if len(self.words.layers) else 0, np.where(name == END, self.end, 0))
         u = np.zeros(d)
-        key, keys, docs = np.full(len(name), 42, np.uint64), [], []
+        key, keys, docs = None, [], []
         for before in range(self.depth + 1):  # a run of before + 1 tokens ends here
-            key = xxhash_long(name, key if before == 0 else np.concatenate((key[:1], key[:-1])))
+            key = _chain(name, key)
             ask = np.flatnonzero((place >= before) & ((name != END) | (before > 0)))
             found = self.runs.find(key[ask])
             if before == 0:
@@ -213,8 +271,10 @@ class Scan:
             hit = found >= 0
             if hit.any():
                 u += np.bincount(doc[ask[hit]], self.runs.values["u"][found[hit]], d)
-            keys.append(key[ask[~hit]])
-            docs.append(doc[ask[~hit]])
+            ask = ask[~hit]
+            ask = ask[marked(self.sieve, key[ask])]
+            keys.append(key[ask])
+            docs.append(doc[ask])
         ids = table["doc_id"].combine_chunks()
         rows = np.zeros(d, _DOC)
         rows["row"], rows["doc_id"], rows["null"] = at + np.arange(d), ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False)
@@ -223,11 +283,10 @@ class Scan:
         key, doc = np.concatenate(keys), np.concatenate(docs).astype(np.int32)
         shard = (key % np.uint64(self.shards)).astype(np.int32)
         order = np.argsort(shard, kind="stable")
-        shard = shard[order]
-        first = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1]))) if len(shard) else np.empty(0, np.int64)
-        bounds = np.concatenate((first, [len(shard), len(shard)]))  # the last block holds the texts' own sums
-        of = np.concatenate((shard[first], [(at >> 40) % self.shards])).astype(np.int32)
-        own = np.concatenate((np.zeros(len(first) + 1, np.int64), [d]))
+        of, bounds = _stretches(shard[order])
+        of = np.append(of, np.int32((at >> 40) % self.shards))  # the last block holds the texts' own sums
+        own = np.append(np.zeros(len(of), np.int64), d)
+        bounds = np.append(bounds, len(key))
         columns = [pa.array(of), pa.array(np.full(len(of), at)), _binaries(key[order], bounds), _binaries(doc[order], bounds), _binaries(rows, own)]
         return pa.RecordBatch.from_arrays(columns, names=["shard", "at", "keys", "docs", "rows"])
 
@@ -277,7 +336,7 @@ def scored(docs: DataFrame, train: Column, depth: int = DEPTH, least: int = LEAS
     bounded_batches(spark)
     scratch = Scratch(spark, "scoring")
     learned = docs.where(train).select("text")
-    words = scratch.keep(counts(learned, 1), "words")
+    words = scratch.keep(word_counts(learned), "words")
     total, distinct, end = (x or 0 for x in words.agg(F.sum("n"), F.count(F.lit(1)), F.sum(F.when(F.col("w1") == int(END), F.col("n")))).first())
     often = F.col("n") >= max(least, hot * total)  # at most 1 / hot rows a length
     frequent = _table(words.where(often & (F.col("w1") != int(END))).select(F.col("w1").alias("key"), "n"), "n")
@@ -298,17 +357,18 @@ def scored(docs: DataFrame, train: Column, depth: int = DEPTH, least: int = LEAS
     none, zero = F.lit(0), F.lit(0.0)
     tree = [states(shorter.where("w1 < 0"), 1, F.lit(1), F.log((F.col("n") + 0.5) / 0.5), zero)]
     broad = [states(shorter.where("w1 > 1"), 1, none, zero, zero)]
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = 1 + size // (5 * _SHARD)  # a word and its space are about five bytes or more
     for length in range(2, depth + 2):
-        found = scratch.keep(counts(learned, length, frequent, least), f"counts{length}")
+        sieve = bitmap(shorter.select(F.xxhash64(*_columns(length - 1)).alias("key")), "key", BITS) if length > 2 else None
+        found = scratch.keep(run_counts(learned, length, frequent, sieve, least, shards), f"counts{length}")
         shorter, contexts = settle(scratch, found, shorter, length, discount)
         scratch.drop(f"counts{length}")
         tree += [states(shorter.where("u != 0"), length, none, zero, F.col("u")), states(contexts, length - 1, none, zero, F.col("u"))]
         broad += [states(shorter, length, none, zero, F.col("u")), tree[-1]]
     runs = _table(reduce(DataFrame.unionAll, broad).where(often).select("key", "u"), "u")
 
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = 1 + (depth + 1) * size // (5 * _SHARD)  # a word and its space are about five bytes or more
-    scan = spark.sparkContext.broadcast(Scan(frequent, runs, end, total, distinct, depth, shards))
+    scan = spark.sparkContext.broadcast(Scan(frequent, runs, bitmap(reduce(DataFrame.unionAll, tree), "key", BITS), end, total, distinct, depth, shards))
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda it: scan.value(it), _BLOCK)
     known = reduce(DataFrame.unionAll, tree).select(F.expr(f"cast(pmod(pmod(key, {shards}) + if(key < 0, {(1 << 64) % shards}, 0), {shards}) as int)").alias("shard"), "key", "known", "base", "u")
     parts = blocks.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_look_up, _PART)
