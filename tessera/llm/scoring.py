@@ -25,6 +25,7 @@ Words and runs are known by 64-bit hashes: two that share one (a chance of 2^-64
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -135,9 +136,13 @@ def _word_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def _merged_key(run: list[np.ndarray]) -> np.ndarray:
+    return reduce(lambda seed, x: xxhash_long(x, seed), run, np.full(len(run[0]), 42, np.uint64))
+
+
 def _merged(run: list[np.ndarray], n: np.ndarray | None = None) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     """(keys, runs, numbers) of the distinct runs, given by their first, second ... tokens."""
-    key = reduce(lambda seed, x: xxhash_long(x, seed), run, np.full(len(run[0]), 42, np.uint64))
+    key = _merged_key(run)
     if n is None:
         key, at, total = np.unique(key, return_index=True, return_counts=True)
     else:
@@ -190,44 +195,57 @@ def word_counts(train: DataFrame) -> DataFrame:
 
 
 def run_counts(train: DataFrame, length: int, hot: Table, sieve: np.ndarray | None, least: int, shards: int) -> DataFrame:
-    """(w1 .. wk, n) of the runs of ``length`` tokens of ``train`` (text) that occur ``least`` times or more."""
+    """(key, context, suffix, n) of the runs of ``length`` tokens of ``train`` (text) that occur ``least`` times or more.
+
+    ``context`` and ``suffix`` are the keys of the run without its last and without its first token.
+    """
     shared = train.sparkSession.sparkContext.broadcast((hot, sieve))
     columns = [*_columns(length), "n"]
     blocks = train.mapInArrow(lambda it: _run_blocks(it, length, *shared.value, shards), ", ".join(["shard int", *(f"{c} binary" for c in columns)]))
 
     def add(table: pa.Table) -> pa.Table:
-        _, run, n = _merged([_joined(table[c], np.uint64) for c in columns[:-1]], _joined(table["n"], np.int64))
+        key, run, n = _merged([_joined(table[c], np.uint64) for c in columns[:-1]], _joined(table["n"], np.int64))
         often = n >= least
-        return pa.Table.from_arrays([pa.array(x[often].view(np.int64)) for x in [*run, n]], names=columns)
+        run = [x[often] for x in run]
+        keys = key[often], _merged_key(run[:-1]), _merged_key(run[1:])
+        return pa.Table.from_arrays([*(pa.array(x.view(np.int64)) for x in keys), pa.array(n[often])], names=["key", "context", "suffix", "n"])
+
+    return blocks.groupBy("shard").applyInArrow(add, "key long, context long, suffix long, n long")
+
 
-    return blocks.groupBy("shard").applyInArrow(add, ", ".join(f"{c} long" for c in columns))
+@contextmanager
+def _hash_joins(spark: SparkSession) -> Iterator[None]:
+    """Lets adaptive execution join without sorting wherever it has seen that no partition to be held exceeds 64 MB."""
+    name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "64m")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def settle(scratch: Scratch, entries: DataFrame, shorter: DataFrame, length: int, discount: float) -> tuple[DataFrame, DataFrame]:
-    """(entries with p and u, kept contexts with n and u) of one length, from the model of the next shorter runs (n, p)."""
-    run = _columns(length)
-    context, suffix = run[:-1], run[1:]
-    below = shorter.select(*(F.col(a).alias(b) for a, b in zip(context, suffix)), F.col("p").alias("below"))
-    totals = shorter.select(*context, F.col("n").alias("total"))
-    rows = entries.join(below, suffix)
-    sums = rows.groupBy(*context).agg(F.sum(F.col("n") - discount).alias("taken"), F.sum("below").alias("covered"), F.count(F.lit(1)).alias("entries"))
-    sums = sums.join(totals, context).withColumn("rest", F.greatest(1 - F.col("taken") / F.col("total"), F.lit(1e-12)))
+    """(entries with p and u, kept contexts with n and u) of one length, from the model of the next shorter runs (key, n, p)."""
+    below = shorter.select(F.col("key").alias("suffix"), F.col("p").alias("below"))
+    rows = scratch.keep(entries.join(below, "suffix").drop("suffix"), f"below{length}")
+    sums = rows.groupBy("context").agg(F.sum(F.col("n") - discount).alias("taken"), F.sum("below").alias("covered"), F.count(F.lit(1)).alias("entries"))
+    sums = sums.join(shorter.select(F.col("key").alias("context"), F.col("n").alias("total")), "context")
+    sums = sums.withColumn("rest", F.greatest(1 - F.col("taken") / F.col("total"), F.lit(1e-12)))
     own = (F.col("n") - discount) / F.col("total") + F.col("rest") * F.col("below")
-    rows = rows.join(sums.drop("taken"), context).withColumn("own", own)
-    rows = scratch.keep(rows, f"own{length}")
+    rows = scratch.keep(rows.join(sums.select("context", "total", "rest"), "context").select("key", "context", "n", "below", own.alias("own")), f"own{length}")
+    gains = rows.groupBy("context").agg(F.sum(F.col("own") * F.log(F.col("own") / F.col("below"))).alias("gain"))
     free = F.col("rest") * F.greatest(1 - F.col("covered"), F.lit(0.0)) * F.log("rest")
-    same = [F.max(c).alias(c) for c in ("total", "rest", "covered", "entries")]  # equal in all rows of a context
-    kept = rows.groupBy(*context).agg(F.sum(F.col("own") * F.log(F.col("own") / F.col("below"))).alias("gain"), *same)
-    kept = kept.where(F.col("total") * (F.col("gain") + free) > 0.5 * F.col("entries") * F.log("total"))
-    kept = scratch.keep(kept.select(*context, F.col("total").alias("n"), F.log("rest").alias("u")), f"contexts{length}")
-    rows = rows.join(kept.select(*context, F.col("u").alias("free")), context, "left")
+    kept = sums.join(gains, "context").where(F.col("total") * (F.col("gain") + free) > 0.5 * F.col("entries") * F.log("total"))
+    kept = scratch.keep(kept.select(F.col("context").alias("key"), F.col("total").alias("n"), F.log("rest").alias("u")), f"contexts{length}")
+    rows = rows.join(kept.select(F.col("key").alias("context"), F.col("u").alias("free")), "context", "left")
     use = F.col("free").isNotNull()
     rows = rows.select(
-        *run, "n", F.when(use, F.col("own")).otherwise(F.col("below")).alias("p"),
+        "key", "n", F.when(use, F.col("own")).otherwise(F.col("below")).alias("p"),
         F.when(use, F.log(F.col("own") / F.col("below")) - F.col("free")).otherwise(0.0).alias("u"),
     )
     rows = scratch.keep(rows, f"entries{length}")
-    scratch.drop(f"own{length}")
+    scratch.drop(f"below{length}", f"own{length}")
     return rows, kept
 
 
@@ -287,7 +305,10 @@ class Scan:
         of = np.append(of, np.int32((at >> 40) % self.shards))  # the last block holds the texts' own sums
         own = np.append(np.zeros(len(of), np.int64), d)
         bounds = np.append(bounds, len(key))
-        columns = [pa.array(of), pa.array(np.full(len(of), at)), _binaries(key[order], bounds), _binaries(doc[order], bounds), _binaries(rows, own)]
+        doc = doc[order]
+        step = np.diff(doc, prepend=np.int32(0))  # small numbers shrink in the shuffle
+        step[bounds[:-2]] = doc[bounds[:-2]]
+        columns = [pa.array(of), pa.array(np.full(len(of), at)), _binaries(key[order], bounds), _binaries(step, bounds), _binaries(rows, own)]
         return pa.RecordBatch.from_arrays(columns, names=["shard", "at", "keys", "docs", "rows"])
 
 
@@ -300,8 +321,8 @@ def _look_up(blocks: pa.Table, states: pa.Table) -> pa.Table:
     key, place = np.unique(states["key"].to_numpy().view(np.uint64), return_inverse=True)
     values = {c: np.bincount(place, states[c].to_numpy(), len(key)) for c in ("known", "base", "u")}
     asked = _joined(blocks["keys"], np.uint64)
-    at = np.repeat(blocks["at"].to_numpy(), [len(x) // 4 for x in blocks["docs"].to_pylist()]) if blocks.num_rows else np.empty(0, np.int64)
-    row = at + _joined(blocks["docs"], np.int32)
+    of = zip(blocks["at"].to_pylist(), blocks["docs"].to_pylist())
+    row = np.concatenate([np.empty(0, np.int64), *(at + np.cumsum(np.frombuffer(x, np.int32), dtype=np.int64) for at, x in of)])
     found = np.minimum(np.searchsorted(key, asked), max(0, len(key) - 1))
     hit = np.flatnonzero(key[found] == asked) if len(key) else np.empty(0, np.int64)
     row, text = np.unique(row[hit], return_inverse=True)
@@ -348,29 +369,30 @@ def scored(docs: DataFrame, train: Column, depth: int = DEPTH, least: int = LEAS
             yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), batch["n"]], names=["w1", "n"])
 
     shorter = words.mapInArrow(rename, "w1 long, n long").withColumn("p", (F.col("n") + 0.5) / (total + 0.5 * (distinct + 1)))
-    shorter = scratch.keep(shorter, "names")
+    shorter = scratch.keep(shorter.select(F.xxhash64("w1").alias("key"), "n", "p", (F.col("w1") < 0).alias("rare"), (F.col("w1") > 1).alias("hot")), "entries1")
     scratch.drop("words")
 
-    def states(rows: DataFrame, length: int, known: Column, base: Column, u: Column) -> DataFrame:
-        return rows.select(F.xxhash64(*_columns(length)).alias("key"), "n", known.alias("known"), base.alias("base"), u.alias("u"))
+    def state(rows: DataFrame, u: Column, known: Column, base: Column) -> DataFrame:
+        return rows.select("key", "n", u.alias("u"), known.alias("known"), base.alias("base"))
 
     none, zero = F.lit(0), F.lit(0.0)
-    tree = [states(shorter.where("w1 < 0"), 1, F.lit(1), F.log((F.col("n") + 0.5) / 0.5), zero)]
-    broad = [states(shorter.where("w1 > 1"), 1, none, zero, zero)]
+    tree = [state(shorter.where("rare"), zero, F.lit(1), F.log((F.col("n") + 0.5) / 0.5))]
+    broad = [state(shorter.where("hot"), zero, none, zero)]
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = 1 + size // (5 * _SHARD)  # a word and its space are about five bytes or more
-    for length in range(2, depth + 2):
-        sieve = bitmap(shorter.select(F.xxhash64(*_columns(length - 1)).alias("key")), "key", BITS) if length > 2 else None
-        found = scratch.keep(run_counts(learned, length, frequent, sieve, least, shards), f"counts{length}")
-        shorter, contexts = settle(scratch, found, shorter, length, discount)
-        scratch.drop(f"counts{length}")
-        tree += [states(shorter.where("u != 0"), length, none, zero, F.col("u")), states(contexts, length - 1, none, zero, F.col("u"))]
-        broad += [states(shorter, length, none, zero, F.col("u")), tree[-1]]
+    with _hash_joins(spark):
+        for length in range(2, depth + 2):
+            sieve = bitmap(shorter, "key", BITS) if length > 2 else None
+            shorter, contexts = settle(scratch, run_counts(learned, length, frequent, sieve, least, shards), shorter, length, discount)
+            tree += [state(shorter.where("u != 0"), F.col("u"), none, zero), state(contexts, F.col("u"), none, zero)]
+            broad += [state(shorter, F.col("u"), none, zero), tree[-1]]
     runs = _table(reduce(DataFrame.unionAll, broad).where(often).select("key", "u"), "u")
+    states = scratch.keep(reduce(DataFrame.unionAll, tree).drop("n"), "tree")
+    scratch.drop(*(f"{name}{length}" for name in ("entries", "contexts") for length in range(1, depth + 2)))
 
-    scan = spark.sparkContext.broadcast(Scan(frequent, runs, bitmap(reduce(DataFrame.unionAll, tree), "key", BITS), end, total, distinct, depth, shards))
+    scan = spark.sparkContext.broadcast(Scan(frequent, runs, bitmap(states, "key", BITS), end, total, distinct, depth, shards))
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda it: scan.value(it), _BLOCK)
-    known = reduce(DataFrame.unionAll, tree).select(F.expr(f"cast(pmod(pmod(key, {shards}) + if(key < 0, {(1 << 64) % shards}, 0), {shards}) as int)").alias("shard"), "key", "known", "base", "u")
+    known = states.select(F.expr(f"cast(pmod(pmod(key, {shards}) + if(key < 0, {(1 << 64) % shards}, 0), {shards}) as int)").alias("shard"), "key", "known", "base", "u")
     parts = blocks.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_look_up, _PART)
     rows = parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n", "known", "base", "u")))
     ten = float(np.log(10))
