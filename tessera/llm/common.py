@@ -144,11 +144,14 @@ def powers(n: int, base: int) -> np.ndarray:
     return held[:n]
 
 
-def bitmap(names: DataFrame, column: str, bits: int) -> np.ndarray:
-    """A bitmap of 2**bits bits that marks the low bits of every value; its size does not grow with the rows."""
+def bitmap(names: DataFrame, column: str, bits: int, scratch: Scratch | None = None) -> np.ndarray:
+    """A bitmap of 2**bits bits that marks the low bits of every value; its size does not grow with the rows.
+
+    With ``scratch`` it is written first, so that its shuffle files go.
+    """
     low = names.select(F.col(column).bitwiseAND((1 << bits) - 1).alias("low"))
     words = low.groupBy(F.expr("cast(shiftright(low, 6) as int)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(low & 63 as int)))").alias("mask"))
-    found = words.toArrow()
+    found = (scratch.keep(words, f"bits-{uuid.uuid4().hex}") if scratch else words).toArrow()
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[found["word"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
     return out

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch, Words, batches, bitmap, bounded_batches, byte_texts, crc_mod, documents, marked
 
-LEAST, DISCOUNT, DEPTH, HOT, BITS = 2, 0.75, 2, 2e-6, 27
+LEAST, DISCOUNT, DEPTH, HOT, BITS = 2, 0.75, 2, 1e-6, 27
 #: Bytes of text handled at once, runs counted before they leave a task, runs looked up in one shard.
 _AT_ONCE, _HOLD, _SHARD = 1 << 19, 2_000_000, 4_000_000
 #: The end of a text, as a token's name; frequent words are named by their place in a table, others by a hash.
@@ -77,7 +77,7 @@ class Table:
         left = np.arange(len(keys))
         shift = 0
         while len(left):
-            bits = int(4 * len(left)).bit_length()
+            bits = int(2 * len(left)).bit_length()
             mask = np.uint64((1 << bits) - 1)
             cell = ((keys[left] >> np.uint64(shift)) & mask).astype(np.int64)
             held = (~np.arange(1 << bits, dtype=np.uint64) & mask) << np.uint64(shift)  # belongs to another cell
@@ -143,12 +143,14 @@ def _merged_key(run: list[np.ndarray]) -> np.ndarray:
 def _merged(run: list[np.ndarray], n: np.ndarray | None = None) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     """(keys, runs, numbers) of the distinct runs, given by their first, second ... tokens."""
     key = _merged_key(run)
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(key)), bool), key[1:] != key[:-1])))
     if n is None:
-        key, at, total = np.unique(key, return_index=True, return_counts=True)
+        total = np.diff(np.append(first, len(key)))
     else:
-        key, at, place = np.unique(key, return_index=True, return_inverse=True)
-        total = np.bincount(place, n, len(key)).astype(np.int64)
-    return key, [x[at] for x in run], total
+        total = np.add.reduceat(n[order], first) if len(first) else n
+    return key[first], [x[order[first]] for x in run], total
 
 
 def _run_blocks(it: Iterator[pa.RecordBatch], length: int, hot: Table, sieve: np.ndarray | None, shards: int) -> Iterator[pa.RecordBatch]:
@@ -157,8 +159,7 @@ def _run_blocks(it: Iterator[pa.RecordBatch], length: int, hot: Table, sieve: np
 
     def flush() -> pa.RecordBatch:
         key, run, n = _merged([np.concatenate(x) for x in zip(*held)])
-        shard = (key % np.uint64(shards)).astype(np.int32)
-        order = np.argsort(shard, kind="stable")
+        shard, order = _by_shard(key, shards)
         of, bounds = _stretches(shard[order])
         return pa.RecordBatch.from_arrays([pa.array(of), *(_binaries(x[order], bounds) for x in [*run, n])], names=["shard", *_columns(length), "n"])
 
@@ -179,6 +180,12 @@ def _run_blocks(it: Iterator[pa.RecordBatch], length: int, hot: Table, sieve: np
         yield flush()
 
 
+def _by_shard(key: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shard of each key, the stable order by it); numpy sorts short numbers by their digits."""
+    shard = key % np.uint64(shards)
+    return shard.astype(np.int32), np.argsort(shard.astype(np.uint16) if shards <= 1 << 16 else shard, kind="stable")
+
+
 def _stretches(shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(shards, bounds) of the stretches of equal, sorted shards."""
     first = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1]))) if len(shard) else np.empty(0, np.int64)
@@ -299,8 +306,7 @@ class Scan:
         rows["n"], rows["known"] = np.bincount(doc, minlength=d), np.bincount(doc[n > 0], minlength=d)
         rows["base"], rows["u"] = np.bincount(doc, np.log((n + 0.5) / self.size), d), u
         key, doc = np.concatenate(keys), np.concatenate(docs).astype(np.int32)
-        shard = (key % np.uint64(self.shards)).astype(np.int32)
-        order = np.argsort(shard, kind="stable")
+        shard, order = _by_shard(key, self.shards)
         of, bounds = _stretches(shard[order])
         of = np.append(of, np.int32((at >> 40) % self.shards))  # the last block holds the texts' own sums
         own = np.append(np.zeros(len(of), np.int64), d)
@@ -319,14 +325,18 @@ def _joined(column: pa.ChunkedArray, kind: np.dtype | type) -> np.ndarray:
 def _look_up(blocks: pa.Table, states: pa.Table) -> pa.Table:
     """What the tree knows of the runs of one shard, added up by text, and the sums that came along."""
     key, place = np.unique(states["key"].to_numpy().view(np.uint64), return_inverse=True)
-    values = {c: np.bincount(place, states[c].to_numpy(), len(key)) for c in ("known", "base", "u")}
-    asked = _joined(blocks["keys"], np.uint64)
-    of = zip(blocks["at"].to_pylist(), blocks["docs"].to_pylist())
-    row = np.concatenate([np.empty(0, np.int64), *(at + np.cumsum(np.frombuffer(x, np.int32), dtype=np.int64) for at, x in of)])
-    found = np.minimum(np.searchsorted(key, asked), max(0, len(key) - 1))
-    hit = np.flatnonzero(key[found] == asked) if len(key) else np.empty(0, np.int64)
-    row, text = np.unique(row[hit], return_inverse=True)
-    known, base, u = (np.bincount(text, values[c][found[hit]], len(row)) for c in ("known", "base", "u"))
+    tree = Table(key, **{c: np.bincount(place, states[c].to_numpy(), len(key)) for c in ("known", "base", "u")})
+    found = tree.find(_joined(blocks["keys"], np.uint64))
+    docs = [np.cumsum(np.frombuffer(x, np.int32)) for x in blocks["docs"].to_pylist()]
+    sizes = [int(x.max()) + 1 if len(x) else 0 for x in docs]
+    starts = np.cumsum([0, *sizes])  # the texts of all blocks in one count
+    row = np.concatenate([np.empty(0, np.int64), *(at + np.arange(n) for at, n in zip(blocks["at"].to_pylist(), sizes))])
+    text = np.concatenate([np.empty(0, np.int64), *(x + start for x, start in zip(docs, starts))])
+    hit = found >= 0
+    text, found = text[hit], found[hit]
+    some = np.flatnonzero(np.bincount(text, minlength=len(row)))
+    known, base, u = (np.bincount(text, tree.values[c][found], len(row))[some] for c in ("known", "base", "u"))
+    row = row[some]
     own = _joined(blocks["rows"], _DOC)
     none = np.zeros(len(row), np.int64)
     columns = [
@@ -382,7 +392,7 @@ def scored(docs: DataFrame, train: Column, depth: int = DEPTH, least: int = LEAS
     shards = 1 + size // (5 * _SHARD)  # a word and its space are about five bytes or more
     with _hash_joins(spark):
         for length in range(2, depth + 2):
-            sieve = bitmap(shorter, "key", BITS) if length > 2 else None
+            sieve = bitmap(shorter, "key", BITS, scratch) if length > 2 else None
             shorter, contexts = settle(scratch, run_counts(learned, length, frequent, sieve, least, shards), shorter, length, discount)
             tree += [state(shorter.where("u != 0"), F.col("u"), none, zero), state(contexts, F.col("u"), none, zero)]
             broad += [state(shorter, F.col("u"), none, zero), tree[-1]]
@@ -390,7 +400,7 @@ def scored(docs: DataFrame, train: Column, depth: int = DEPTH, least: int = LEAS
     states = scratch.keep(reduce(DataFrame.unionAll, tree).drop("n"), "tree")
     scratch.drop(*(f"{name}{length}" for name in ("entries", "contexts") for length in range(1, depth + 2)))
 
-    scan = spark.sparkContext.broadcast(Scan(frequent, runs, bitmap(states, "key", BITS), end, total, distinct, depth, shards))
+    scan = spark.sparkContext.broadcast(Scan(frequent, runs, bitmap(states, "key", BITS, scratch), end, total, distinct, depth, shards))
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda it: scan.value(it), _BLOCK)
     known = states.select(F.expr(f"cast(pmod(pmod(key, {shards}) + if(key < 0, {(1 << 64) % shards}, 0), {shards}) as int)").alias("shard"), "key", "known", "base", "u")
     parts = blocks.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_look_up, _PART)
