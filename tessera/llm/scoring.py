@@ -16,8 +16,8 @@ frequent runs (``HOT`` of all tokens or more, so at most 1 / HOT a level) are br
 out of the shuffle; all others meet the tree in shards of their hash, as packed blocks.
 
 A run can only be an entry if both runs that are shorter by one word are. A bitmap of 2 ** BITS bits tells which of
-those may be: it spares work, decides nothing, and passes more runs than needed to the exact count once there are
-more entries than it has bits.
+those may be, another which runs may be in the tree: they spare work, decide nothing, and pass more runs than needed
+to the exact count or look-up once there are more entries than they have bits.
 
 Words and runs are known by 64-bit hashes: two that share one (a chance of 2^-64 a pair) are taken for the same.
 """
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch, Words, batches, bitmap, bounded_batches, byte_texts, crc_mod, documents, marked
 
-LEAST, DISCOUNT, DEPTH, HOT, BITS = 2, 0.75, 2, 2e-6, 27
+LEAST, DISCOUNT, DEPTH, HOT, BITS = 2, 0.75, 2, 1e-6, 27
 #: Bytes of text handled at once, runs counted before they leave a task, runs looked up in one shard.
 _AT_ONCE, _HOLD, _SHARD = 1 << 19, 2_000_000, 4_000_000
 #: The end of a text, as a token's name; frequent words are named by their place in a table, others by a hash.
@@ -270,8 +270,8 @@ _PART = "row long, doc_id long, n long, known long, base double, u double"
 class Scan:
     """Adds up what the broadcast tables know of each text and packs the other runs of words into blocks by shard."""
 
-    def __init__(self, words: Table, runs: Table, end: int, total: int, distinct: int, depth: int, shards: int) -> None:
-        self.words, self.runs, self.end, self.depth, self.shards = words, runs, end, depth, shards
+    def __init__(self, words: Table, runs: Table, sieve: np.ndarray, end: int, total: int, distinct: int, depth: int, shards: int) -> None:
+        self.words, self.runs, self.sieve, self.end, self.depth, self.shards = words, runs, sieve, end, depth, shards
         self.size = total + 0.5 * (distinct + 1)
 
     def __call__(self, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,6 +297,7 @@ class Scan:
             if hit.any():
                 u += np.bincount(doc[ask[hit]], self.runs.values["u"][found[hit]], d)
             ask = ask[~hit]
+            ask = ask[marked(self.sieve, key[ask])]
             keys.append(key[ask])
             docs.append(doc[ask])
         ids = table["doc_id"].combine_chunks()
@@ -402,7 +403,7 @@ def scored(docs: DataFrame, train: Column, depth: int = DEPTH, least: int = LEAS
     states = scratch.keep(reduce(DataFrame.unionAll, tree).drop("n"), "tree")
     scratch.drop(*(f"{name}{length}" for name in ("entries", "contexts") for length in range(1, depth + 2)))
 
-    scan = spark.sparkContext.broadcast(Scan(frequent, runs, end, total, distinct, depth, shards))
+    scan = spark.sparkContext.broadcast(Scan(frequent, runs, bitmap(states, "key", BITS, scratch), end, total, distinct, depth, shards))
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda it: scan.value(it), _BLOCK)
     known = states.select(F.expr(f"cast(pmod(pmod(key, {shards}) + if(key < 0, {(1 << 64) % shards}, 0), {shards}) as int)").alias("shard"), "key", "known", "base", "u")
     parts = blocks.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_look_up, _PART)
