@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
-from tessera.operators.names import overlap
+from tessera.operators.names import word_set
 
 #: Words that do not tell names of one issuer apart.
 NAME_STOP = ("card", "credit", "debit", "prepaid", "forex", "rbl", "bank", "the", "a", "an", "of", "for")
@@ -103,9 +103,16 @@ def best_match(rules: DataFrame, others: DataFrame, on: str, name: str = "card_n
     """For each row of ``rules`` (id, on, name) the row of ``others`` (other_id, on, name, seq) of its group with most shared words.
 
     A group's only candidate is accepted without any; ties go to the smaller seq. (id, other_id, score)
+    Names meet as sets of words, once for all rows that have one, and only those that share a word.
     """
-    pairs = rules.select("id", on, F.col(name).alias("__a")).join(others.select("other_id", on, F.col(name).alias("__b"), "seq"), on)
-    pairs = pairs.withColumn("score", overlap(F.col("__a"), F.col("__b")))
-    w = Window.partitionBy("id")
-    pairs = pairs.withColumn("__n", F.count(F.lit(1)).over(w)).withColumn("__rank", F.row_number().over(w.orderBy(F.col("score").desc(), "seq")))
-    return pairs.where("__rank = 1 and (score > 0 or __n = 1)").select("id", "other_id", "score")
+    words = F.array_sort(word_set(F.col(name)))
+    left = rules.select("id", on, words.alias("__a"))
+    right = others.groupBy(on, words.alias("__b")).agg(F.min(F.struct("seq", "other_id")).alias("__at"), F.count(F.lit(1)).alias("__n"))
+    sole = right.groupBy(on).agg(F.sum("__n").alias("__n"), F.min("__at").alias("__only"))
+    sought = left.select(on, "__a").distinct().select(on, "__a", F.explode("__a").alias("__w"))
+    held = right.select(on, "__at", F.explode("__b").alias("__w"))
+    shared = sought.join(held, [on, "__w"]).groupBy(on, "__a", "__at").agg(F.count(F.lit(1)).alias("__score"))
+    best = shared.groupBy(on, "__a").agg(F.min(F.struct((-F.col("__score")).alias("lost"), F.col("__at"))).alias("__best"))
+    rows = left.join(best, [on, "__a"], "left").join(sole, on).where("__best is not null or __n = 1")
+    found = F.coalesce(F.col("__best.__at"), F.col("__only"))
+    return rows.select("id", found["other_id"].alias("other_id"), F.coalesce(-F.col("__best.lost"), F.lit(0)).cast("int").alias("score"))

@@ -34,7 +34,8 @@ def run_batch(fetched: DataFrame, known: DataFrame, ledger: DataFrame, run_ts: s
         rows = rows.join(seen, ["source_url", "sha"], "left_anti")
     rows = keep(rows, "pages")
     found = (plug_ins or registry.Registry()).extract(rows, extract.cards)
-    found = extract.with_ids(found, run_ts).withColumn("seq", F.xxhash64("source_url", "pos"))
+    order = rows.select("source_url", F.col("seq").alias("__seq"))
+    found = extract.with_ids(found, run_ts).join(order, "source_url", "left").withColumn("seq", F.struct("__seq", "pos")).drop("__seq")
     found = keep(found, "found")
     good = resolve.fullest(found.where(names.valid(F.col("card_name")))).drop("pos", "seq")
     old = known.select(*[c for c in good.columns if c in known.columns])

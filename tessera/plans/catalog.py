@@ -6,7 +6,6 @@ the SQL selects those columns: what goes in must come out.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text, urls
 from tessera.operators import changes, enrich, extract, frontier, migrate, names, pages, reports, resolve, store
+from tessera.session import shared_folder
 from tessera.streaming import ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -432,9 +432,10 @@ def upsert_keep_first_seen(spark, sf):
     return store.upsert(half(0), half(1))
 
 
-@query("select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+@query("select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_orderpriority = '1-URGENT')")
 def new_records(spark, sf):
-    return changes.appeared(t(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), t(spark, sf, "customer").select("c_custkey"), "c_custkey")
+    """Customers who appear without an urgent order."""
+    return changes.appeared(t(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey")), t(spark, sf, "customer").select("c_custkey"), "c_custkey")
 
 
 @query(
@@ -527,17 +528,17 @@ def _stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("select cast(date_trunc('day', ts) as varchar) as start, event_type, count(*) as n from events group by 1, 2")
 def stream_daily_counts(spark, sf):
-    folder = tempfile.mkdtemp(prefix="tessera-stream-")
-    name = f"daily_{abs(hash(folder))}"
+    folder = shared_folder(spark, "daily-counts")
     rows = ledger.counts(_stream(spark, sf), "ts", "1 day", "1 day", by=["event_type"])
-    rows.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", folder).trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name).select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n")
+    ledger.run_totals(rows, f"{folder}/rows", f"{folder}/checkpoint")
+    found = spark.read.schema("start timestamp, event_type string, n long").parquet(f"{folder}/rows")
+    return found.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n")
 
 
 @query("select distinct user_id, event_type from events")
 def stream_first_seen(spark, sf):
-    folder = tempfile.mkdtemp(prefix="tessera-stream-")
-    rows = ledger.first_seen(_stream(spark, sf), ["user_id", "event_type"], "ts", "60 days").select("user_id", "event_type")
+    folder = shared_folder(spark, "first-seen")
+    rows = ledger.first_seen(_stream(spark, sf), ["user_id", "event_type"], "ts").select("user_id", "event_type")
     ledger.run_once(rows, f"{folder}/rows", f"{folder}/checkpoint")
     return spark.read.schema("user_id long, event_type string").parquet(f"{folder}/rows")
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -17,3 +20,11 @@ def session(name: str = "tessera", **conf: str) -> SparkSession:
     for key, value in {**fixed, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession, tag: str) -> str:
+    """A new folder that driver and executors share, under ``spark.checkpoint.dir``. Only a local session may go without it."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{base.rstrip('/') if base else 'file://' + tempfile.mkdtemp(prefix='tessera-')}/{tag}-{uuid.uuid4().hex}"

@@ -10,9 +10,9 @@ def arriving(spark: SparkSession, folder: str, schema, glob: str = "*.parquet",
     return spark.readStream.schema(schema).option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
 
 
-def first_seen(pages: DataFrame, key: list[str], ts: str, late: str) -> DataFrame:
-    """Each key's first row; state older than the watermark is dropped."""
-    return pages.withWatermark(ts, late).dropDuplicatesWithinWatermark(key)
+def first_seen(pages: DataFrame, key: list[str], ts: str, late: str | None = None) -> DataFrame:
+    """Each key's first row. With ``late``, state older than that goes, and a key may come again after it; without, none goes."""
+    return pages.withWatermark(ts, late).dropDuplicatesWithinWatermark(key) if late else pages.dropDuplicates(key)
 
 
 def counts(events: DataFrame, ts: str, late: str, size: str, slide: str | None = None, by: list[str] | None = None) -> DataFrame:
@@ -27,6 +27,15 @@ def run_once(rows: DataFrame, path: str, checkpoint: str, mode: str = "append")
     rows.writeStream.outputMode(mode).format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def run_totals(rows: DataFrame, path: str, checkpoint: str) -> None:
+    """Works off what has arrived; the totals so far replace those at ``path`` after every micro-batch, so a repeated batch does no harm."""
+
+    def put(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    rows.writeStream.outputMode("complete").foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def merge_batches(pages: DataFrame, table: str, checkpoint: str, merge) -> None:
     """Calls ``merge(batch, table)`` for every micro-batch; the call must be repeatable."""
     pages.writeStream.foreachBatch(lambda batch, _: merge(batch, table)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -2,7 +2,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tessera.operators import changes, enrich, migrate, resolve, store
+from tessera.operators import changes, enrich, migrate, names, resolve, store
 from tessera.operators.registry import Registry
 
 
@@ -69,3 +69,26 @@ def test_errors_name_failed_checks(spark):
     kind = "card_id string, issuer_id string, card_name string, category string, source_url string, status string, network string, segment string, card_material string, milestones array<struct<spend_inr:double,period:string>>, perks array<struct<kind:string>>, partner_offers array<struct<partner:string>>"
     bad = spark.createDataFrame([("a", None, "n", "x", "u", "active", "visa", None, None, [(None, "annual")], None, None)], kind)
     assert migrate.validated(bad).first().errors == ["category: not allowed", "issuer_id: required", "milestones: spend_inr required"]
+
+
+def test_best_match_is_that_of_all_pairs(spark):
+    words = ["alpha", "beta", "gold", "card", "plus"]
+    named = lambda i: " ".join(w for j, w in enumerate(words) if i >> j & 1)
+    kind = "{} long, brand string, card_name string{}"
+    rules = [(i, "b" if i % 3 else "a", named(i)) for i in range(32)] + [(40, "only", "alpha"), (41, "only", "zeta"), (42, "none", "alpha"), (43, "only", None), (44, None, "alpha")]
+    others = [(i, "b" if i % 2 else "a", named(i * 7 % 32), 100 - i) for i in range(1, 40)] + [(50, "only", "alpha beta", 1), (51, None, "alpha", 2)]
+    got = resolve.best_match(spark.createDataFrame(rules, kind.format("id", "")), spark.createDataFrame(others, kind.format("other_id", ", seq long")), "brand")
+    word_sets = spark.createDataFrame([(n,) for n in {r[2] for r in rules} | {o[2] for o in others}], "n string").select("n", names.word_set(F.col("n")).alias("w")).collect()
+    sets = {r.n: set(r.w or []) for r in word_sets}
+    want = set()
+    for i, brand, name in rules:
+        found = sorted((-len(sets[name] & sets[o[2]]), o[3], o[0]) for o in others if brand is not None and o[1] == brand)
+        if found and (found[0][0] < 0 or len(found) == 1):
+            want.add((i, found[0][2], -found[0][0]))
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
+
+
+def test_earliest_of_equals_may_be_told_by_page_and_place(spark):
+    rows = [("a", "late", (2, 0)), ("a", "early", (1, 9))]
+    assert resolve.fullest(spark.createDataFrame(rows, "card_id string, p string, seq struct<s:long,pos:int>")).first().p == "early"
