@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
-from tessera.operators.names import word_set
+from tessera.functions.text import word_set
 
 #: Words that do not tell names of one issuer apart.
 NAME_STOP = ("card", "credit", "debit", "prepaid", "forex", "rbl", "bank", "the", "a", "an", "of", "for")

@@ -2,7 +2,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tessera.operators import changes, enrich, migrate, names, resolve, store
+from tessera.functions import text
+from tessera.operators import changes, enrich, migrate, resolve, store
 from tessera.operators.registry import Registry
 
 
@@ -78,7 +79,7 @@ def test_best_match_is_that_of_all_pairs(spark):
     rules = [(i, "b" if i % 3 else "a", named(i)) for i in range(32)] + [(40, "only", "alpha"), (41, "only", "zeta"), (42, "none", "alpha"), (43, "only", None), (44, None, "alpha")]
     others = [(i, "b" if i % 2 else "a", named(i * 7 % 32), 100 - i) for i in range(1, 40)] + [(50, "only", "alpha beta", 1), (51, None, "alpha", 2)]
     got = resolve.best_match(spark.createDataFrame(rules, kind.format("id", "")), spark.createDataFrame(others, kind.format("other_id", ", seq long")), "brand")
-    word_sets = spark.createDataFrame([(n,) for n in {r[2] for r in rules} | {o[2] for o in others}], "n string").select("n", names.word_set(F.col("n")).alias("w")).collect()
+    word_sets = spark.createDataFrame([(n,) for n in {r[2] for r in rules} | {o[2] for o in others}], "n string").select("n", text.word_set(F.col("n")).alias("w")).collect()
     sets = {r.n: set(r.w or []) for r in word_sets}
     want = set()
     for i, brand, name in rules:
