@@ -109,14 +109,3 @@ def snippet(text: Column, limit: int = 250) -> Column:
         return F.when(F.length(t) <= limit, t).when(whole > 0.6 * limit, F.substring(head, F.lit(1), whole)).otherwise(head)
 
     return F.btrim(let(line, short), F.lit(" :>–—-[("))
-
-
-def plain_text(html: Column) -> Column:
-    """Text nodes of a page, one a line, without scripts, styles and blank lines."""
-    text = F.regexp_replace(html, r"(?is)<(script|style|noscript|svg)\b.*?</\1\s*>", "")
-    text = F.regexp_replace(text, r"(?s)<!--.*?-->", "")
-    text = F.regexp_replace(text, r"(?s)<[^>]*>", "\n")
-    for entity, by in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(by))
-    lines = F.transform(F.split(text, "\n"), lambda x: F.trim(x))
-    return F.array_join(F.filter(lines, lambda x: x != ""), "\n")

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions import json_schema
 from tessera.functions.text import first, let, slug
+from tessera.operators.card_schema import CARD
 from tessera.operators.extract import _struct, some
 
 #: Enumerations of the published schema and the spellings that lead to them.
 CATEGORIES = ("credit", "debit", "prepaid", "forex", "corporate", "business")
 SEGMENTS = ("entry", "mid", "premium", "super_premium", "invite_only", "student", "secured", "nri")
 MATERIALS = ("metal", "plastic", "virtual")
-STATUSES = ("active", "discontinued", "upcoming", "invite_only", "unknown")
 NETWORK_KEYS = {"visa": "visa", "mastercard": "mastercard", "rupay": "rupay", "amex": "amex", "american_express": "amex", "diners": "diners", "diners_club": "diners"}
 PERIODS = ("monthly", "quarterly", "half_yearly", "annual", "anniversary")
 PERK_KINDS = {
@@ -83,24 +84,17 @@ def to_v2(cards: DataFrame) -> DataFrame:
     )
 
 
+#: Columns of a record that the published document has under another name, or not at all.
+_RENAMED = {"sha": "raw_text_sha256"}
+
+
 def errors(cards: DataFrame) -> Column:
-    """Names of the published schema's checks that a v2 record fails, sorted; an empty array if it is valid."""
-
-    def not_in(name: str, allowed: tuple[str, ...] | list[str]) -> Column:
-        return F.when(F.col(name).isNotNull() & ~F.col(name).isin(*allowed), f"{name}: not allowed")
-
-    checks = [F.when(F.col(c).isNull(), f"{c}: required") for c in ("card_id", "issuer_id", "card_name", "category", "source_url")]
-    checks += [
-        not_in("category", CATEGORIES), not_in("status", STATUSES), not_in("network", sorted(set(NETWORK_KEYS.values()))),
-        not_in("segment", SEGMENTS), not_in("card_material", MATERIALS),
-        F.when(F.exists("milestones", lambda m: m["spend_inr"].isNull()), "milestones: spend_inr required"),
-        F.when(F.exists("milestones", lambda m: ~m["period"].isin(*PERIODS)), "milestones: period not allowed"),
-        F.when(F.exists("perks", lambda p: p["kind"].isNull()), "perks: kind required"),
-        F.when(F.exists("partner_offers", lambda o: o["partner"].isNull()), "partner_offers: partner required"),
-    ]
-    if "confidence" in cards.columns:
-        checks.append(F.when(~F.col("confidence").between(0, 1), "confidence: out of range"))
-    return F.array_sort(F.filter(F.array(*checks), lambda e: e.isNotNull()))
+    """The published schema's checks that a v2 record fails, sorted; an empty array if it is valid.
+
+    The record is checked as the document it is published as, in which fields without a value are left out.
+    """
+    document = F.struct(*[F.col(c).alias(_RENAMED.get(c, c)) for c in cards.columns])
+    return json_schema.errors(F.parse_json(F.to_json(document, {"ignoreNullFields": "true"})), CARD)
 
 
 def validated(cards: DataFrame) -> DataFrame:

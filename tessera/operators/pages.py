@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import first_line, plain_text
+from tessera.functions.html import plain_text
+from tessera.functions.text import first_line
 
 LEAST_CHARS = 200
 #: Phrases in the first line of a page that is missing behind a good status.

@@ -42,9 +42,9 @@ def long(c: Column | str) -> Column:
 
 _SLUG = "coalesce(nullif(trim(regexp_replace(lower({}), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'unknown')"
 _CLEAN_URL = "regexp_replace(regexp_replace(url, '\\?(utm_source=feed|page=2&ref=x)', CASE WHEN url LIKE '%page=2%' THEN '?page=2' ELSE '' END), '^$', '')"
-_TEXT = r"""array_to_string(list_filter(list_transform(string_split(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html,
+_TEXT = r"""array_to_string(list_filter(list_transform(string_split(regexp_replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html,
     '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>|<svg\b.*?</svg\s*>', '', 'g'), '(?s)<!--.*?-->', '', 'g'), '(?s)<[^>]*>', chr(10), 'g'),
-    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), chr(10)), lambda x: trim(x)), lambda x: x <> ''), chr(10))"""
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> ''), chr(10))"""
 
 
 # ── text and URLs ─────────────────────────────────────────────────────────────────────────────────

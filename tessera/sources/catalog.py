@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import urls
-from tessera.functions.text import has, plain_text
+from tessera.functions.html import plain_text
+from tessera.functions.text import has
 
 ISSUERS = """issuer_id string, name string, type string, sitemap_url string, list_urls array<string>,
     detail_urls array<string>, cards array<struct<name:string,url:string,category:string,network:string>>,

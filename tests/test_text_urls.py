@@ -54,11 +54,6 @@ def test_same_site_keeps_names_that_start_with_w(spark):
     assert not value(spark, urls.same_site(F.lit("https://wise.com"), F.lit("https://ise.com")))
 
 
-def test_plain_text(spark):
-    html = "<html><script>var t='</p>'</script><p>A &amp; B</p>\n<!-- x --><b>C</b></html>"
-    assert value(spark, text.plain_text(F.lit(html))) == "A & B\nC"
-
-
 def test_snippet_cuts_at_a_word(spark):
     assert value(spark, text.snippet(F.lit("one two three four"), 10)) == "one two"
     assert value(spark, text.snippet(F.lit("[label](http://x) and **more**"))) == "label and more"
