@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text, urls
-from tessera.operators import changes, enrich, extract, frontier, migrate, names, pages, reports, resolve, store
+from tessera.operators import cascade, changes, enrich, extract, frontier, migrate, names, normalise, pages, reports, resolve, store
+from tessera.plans.resumable import ResumableRun
 from tessera.session import shared_folder
 from tessera.streaming import ledger
 
@@ -416,6 +417,89 @@ def migrate_and_validate(spark, sf):
     )
 
 
+@query(
+    """select 'p' || p_partkey as card_id, case when p_size % 2 = 0 then 'cashback' when p_size % 3 = 0 then null else 'miles' end as currency, case when p_size % 5 > 0 then cast(p_size as double) end as base_units,
+    case when p_size % 3 > 0 then 'dining,fuel' end as categories, case when p_size % 3 > 0 then p_size / 10 end as dining_pct, case when p_size % 3 > 0 and p_size % 4 = 0 then 'monthly' end as dining_period,
+    case when p_size > 10 then cast(p_size * 1000 as double) else 7 end as spend_inr, case when p_size % 7 = 0 then cast(p_size as double) end as welcome_units,
+    'brand' || p_size as partner, p_size % 11 > 0 as normalised from part where p_size % 11 > 0
+    union all select 'p' || p_partkey, case when p_size % 2 = 0 then 'cashback' end, null, null, null, null, 7, null, null, false from part where p_size % 11 = 0"""
+)
+def normalised_answers(spark, sf):
+    """Answers with numbers in quotes, unknown and misplaced names and empty entries, merged by policy."""
+    size, p = F.col("p_size"), t(spark, sf, "part")
+    cards = p.select(
+        F.concat(F.lit("p"), F.col("p_partkey")).alias("card_id"), F.lit("i").alias("issuer_id"), F.col("p_name").alias("card_name"),
+        F.struct(F.when(size % 2 == 0, "cashback").alias("currency")).alias("rewards"), F.array(F.struct(F.lit(7.0).alias("spend_inr"))).alias("milestones"), F.array(F.col("p_name")).alias("highlights"), size,
+    )
+    said = F.format_string(
+        '{"currency": %s, "base": {"units": %s, "rate_pct": "5"}, "rewards": {"currency": "moon"}, "category_rewards": {%s: {"rate_pct": %s, "cap_period": "%s", "note": 1}, "Fuel!": {"units": 1}, "moon": {"units": 1}, "upi": {"cap_inr": 5}},'
+        ' "milestones": [{"spend_inr": %s}, {"spend_inr": "9"}, 3], "welcome": {"reward_units": %s, "within_days": 3}, "partner_offers": [{"partner": "Brand %s"}, {"value_pct": 2}]}',
+        F.when(size % 3 == 0, "null").otherwise('"miles"'), F.when(size % 5 == 0, '"2"').otherwise(size.cast("string")), F.when(size % 3 == 0, '"fuels"').otherwise('" Dining"'), (size / 10).cast("string"),
+        F.when(size % 4 == 0, "monthly").otherwise("weekly"), F.when(size > 10, (size * 1000).cast("string")).otherwise("0"), F.when(size % 7 == 0, size.cast("string")).otherwise("null"), size.cast("string"),
+    )
+    # a third of the answers call a category by a name that counts for nothing, fuel included
+    said = F.when(size % 3 == 0, F.replace(said, F.lit('"Fuel!"'), F.lit('"fuel cards"'))).otherwise(said)
+    answers = cards.select("card_id", F.when(size % 11 > 0, said).alias("answer"))
+    rows = normalise.apply_answers(cards, answers)
+    category = F.col("rewards.category_rewards")
+    return rows.select(
+        "card_id", F.col("rewards.currency").alias("currency"), F.col("rewards.base_units").alias("base_units"), F.array_join(F.map_keys(category), ",").alias("categories"), category["dining"]["rate_pct"].alias("dining_pct"),
+        category["dining"]["cap_period"].alias("dining_period"), F.col("milestones")[0]["spend_inr"].alias("spend_inr"), F.col("welcome_benefit.reward_units").alias("welcome_units"), F.col("partner_offers")[0]["partner"].alias("partner"), "normalised",
+    )
+
+
+@query(
+    """select 'u' || p_partkey as source_url, case when p_size % 3 = 0 then 'ok' when p_size % 5 = 0 then 'empty' when p_size % 4 = 3 then 'retry' when p_size % 2 = 0 then 'ok' else 'empty' end as status,
+    case when p_size % 3 = 0 then 'rules' when p_size % 5 = 0 then 'listing' else 'provider' end as step, cast(case when p_size % 3 = 0 or p_size % 5 = 0 then 1 else least(p_size % 4 + 1, 3) end as bigint) as n_runs,
+    case when p_size % 3 = 0 then 'Gold Star Card' when p_size % 5 > 0 and p_size % 4 < 3 and p_size % 2 = 0 then 'Silver Comet Card' end as card_name from part"""
+)
+def cascade_three_runs(spark, sf):
+    """Pages through three runs whose provider is down for some of them; each run takes only what is not settled."""
+    size, none, root = F.col("p_size"), F.lit(None).cast("string"), shared_folder(spark, "cascade")
+    md = F.concat(F.when(size % 3 == 0, "# Gold Star Card").otherwise("Silver Comet Card"), F.lit("\nsize "), size, F.lit("\n"), F.repeat(F.lit("words of the page "), 12))
+    pages_ = t(spark, sf, "part").select(
+        F.concat(F.lit("u"), F.col("p_partkey")).alias("source_url"), F.col("p_brand").alias("issuer_id"), F.col("p_brand").alias("issuer_name"), (size % 5 == 0).alias("is_listing"), md.alias("markdown"),
+        none.alias("force_card_name"), none.alias("force_category"), none.alias("force_network"), F.sha2(md, 256).alias("sha"),
+    )
+
+    def rules(rows):
+        found = rows.where(F.col("markdown").startswith("# "))
+        return found.select("source_url", F.lit(0).alias("pos"), "sha", "issuer_id", F.substring_index(F.substring("markdown", 3, 99), "\n", 1).alias("card_name"))
+
+    def provider(run):
+        def ask(prompts):
+            sizes = [int(p.split("size ", 1)[1].split("\n", 1)[0]) for p in prompts]
+            return [None if n % 4 > run else '{"cards": [{"card_name": "Silver Comet Card"}]}' if n % 2 == 0 else '{"cards": []}' for n in sizes]
+
+        return ask
+
+    tried, cards = spark.createDataFrame([], cascade.ATTEMPTS), None
+    for run in range(3):
+        def keep(df, name, run=run):
+            df.write.parquet(f"{root}/{run}/{name}")
+            return spark.read.parquet(f"{root}/{run}/{name}")
+
+        got = cascade.extract_pages(cascade.due(pages_, tried), f"t{run}", keep, rules=rules, provider=provider(run))
+        tried = tried.unionByName(got.attempts)
+        cards = got.cards if cards is None else cards.unionByName(got.cards)
+    return cascade.standing(tried).select("source_url", "status", "step", "n_runs").join(cards.select("source_url", "card_name"), "source_url", "left")
+
+
+@query("select page_id, sha256(html) as sha from pages where page_id % 10 <> 0")
+def resumed_run(spark, sf):
+    """Pages worked off in parts: two of them, then as after a stop the others; a tenth of the rows fail and are put aside."""
+    folder = shared_folder(spark, "resumable")
+    ResumableRun(spark, folder, "page_id", 4).gather(t(spark, sf, "pages").select("page_id", "html"))
+
+    def work(rows):
+        return rows.select("page_id", F.sha2("html", 256).alias("sha"), F.when(F.col("page_id") % 10 == 0, "failed").alias("error"))
+
+    ResumableRun(spark, folder, "page_id", 4).resume(work, most=2)
+    run = ResumableRun(spark, folder, "page_id", 4)
+    run.resume(work)
+    return run.results()
+
+
 # ── tables of record ──────────────────────────────────────────────────────────────────────────────
 
 
