@@ -11,7 +11,7 @@ from typing import Any
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, LongType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, DecimalType, DoubleType, FloatType, IntegralType, LongType, MapType, StringType, StructField, StructType
 
 from tessera.functions.text import let
 
@@ -142,3 +142,93 @@ def _errors(value: Column, schema: Schema, root: Schema, path: Column | str) ->
 def errors(document: Column, schema: Schema) -> Column:
     """The checks that a VARIANT document fails as ``path: rule``, sorted; none for a valid one, null for a null document."""
     return F.when(document.isNotNull(), F.array_sort(_errors(document, schema, schema, "")))
+
+
+# --- typed records -------------------------------------------------------------------------------------------------
+
+
+def _kinds(of: DataType) -> set[str]:
+    if isinstance(of, (StructType, MapType)):
+        return {"object"}
+    if isinstance(of, ArrayType):
+        return {"array"}
+    if isinstance(of, (StringType, BooleanType)):
+        return {"string"} if isinstance(of, StringType) else {"boolean"}
+    return {"number"} if isinstance(of, (DoubleType, FloatType, DecimalType)) else {"integer", "number"} if isinstance(of, IntegralType) else set()
+
+
+class _Record:
+    """The checks of a typed value: those of known paths as texts that may be null, those of lists and maps as arrays."""
+
+    def __init__(self, root: Schema) -> None:
+        self.root, self.one, self.many = root, [], []
+
+    def check(self, value: Column, of: DataType, schema: Schema, path: Column | str) -> None:
+        """A null value is absent, so its type is known when the plan is made and its other checks are plain comparisons."""
+        schema = _resolved(schema, self.root)
+        there, kinds, allowed = value.isNotNull(), _kinds(of), set(_types(schema))
+        if allowed and not kinds & allowed:
+            whole = "integer" in allowed and kinds == {"number"}
+            self.one.append(F.when(value % 1 != 0 if whole else there, _said(path, "type")))
+        if "enum" in schema:
+            texts = [x for x in schema["enum"] if isinstance(x, str)]
+            self.one.append(F.when(~value.isin(*texts) if kinds == {"string"} else there, _said(path, "not allowed")))
+        for word, wrong in (("minimum", lambda x: value < x), ("maximum", lambda x: value > x)):
+            if word in schema and "number" in kinds:
+                self.one.append(F.when(wrong(float(schema[word])), _said(path, word)))
+        if isinstance(of, StructType):
+            self._struct(value, of, schema, path)
+        elif isinstance(of, MapType):
+            self._map(value, of, schema, path)
+        elif isinstance(of, ArrayType) and "items" in schema:
+            at = F.lit(path) if isinstance(path, str) else path
+            self._each(value, lambda x, i: _record(x, of.elementType, schema["items"], self.root, F.concat(at, F.lit("["), i.cast("string"), F.lit("]")), True))
+
+    def _struct(self, value: Column, of: StructType, schema: Schema, path: Column | str) -> None:
+        known, more = schema.get("properties", {}), schema.get("additionalProperties", True)
+        held = {f.name: f.dataType for f in of.fields}
+        for name in schema.get("required", []):
+            lacks = value.isNotNull() & value[name].isNull() if name in held else value.isNotNull()
+            self.one.append(F.when(lacks, _said(_child(path, name), "required")))
+        for name, kind_ in held.items():
+            if name in known:
+                self.check(value[name], kind_, known[name], _child(path, name))
+            elif more is False:
+                self.one.append(F.when(value[name].isNotNull(), _said(_child(path, name), "not expected")))
+            elif isinstance(more, dict):
+                self.check(value[name], kind_, more, _child(path, name))
+
+    def _map(self, value: Column, of: MapType, schema: Schema, path: Column | str) -> None:
+        more = schema.get("additionalProperties", True)
+        if isinstance(more, dict):
+            self._each(F.map_entries(value), lambda e, _: _record(e["value"], of.valueType, more, self.root, _child(path, e["key"]), True))
+        if "propertyNames" in schema:
+            wrong = F.filter(F.map_keys(value), lambda k: ~k.isin(*schema["propertyNames"]["enum"]))
+            self.many.append(F.transform(wrong, lambda k: _said(_child(path, k), "name not allowed")))
+
+    def _each(self, held: Column, checks) -> None:
+        self.many.append(F.flatten(F.transform(held, checks)))
+
+    def errors(self) -> Column:
+        none = F.array().cast("array<string>")
+        return F.concat(F.filter(F.array(*self.one), lambda e: e.isNotNull()) if self.one else none, *[F.coalesce(x, none) for x in self.many])
+
+
+def _record(value: Column, of: DataType, schema: Schema, root: Schema, path: Column | str, element: bool = False) -> Column:
+    checks = _Record(root)
+    checks.check(value, of, schema, path)
+    out = checks.errors()
+    if not element:
+        return out
+    # a list holds its nulls, a document leaves its null fields out
+    own = _resolved(schema, root)
+    refused = [_said(path, "not allowed")] * (None not in own.get("enum", [None])) + [_said(path, "type")] * ("null" not in _types(own))
+    return F.when(value.isNull(), F.array(*refused).cast("array<string>")).otherwise(out)
+
+
+def record_errors(record: Column, of: StructType, schema: Schema) -> Column:
+    """What ``errors`` tells of the document that a typed record is published as, in which null fields are left out.
+
+    Types and names are compared when the plan is made; what is left for run time are comparisons of fields.
+    """
+    return F.when(record.isNotNull(), F.array_sort(_record(record, of, schema, schema, "")))

@@ -7,13 +7,15 @@ extractor takes the text Column and returns a struct, array or scalar that is nu
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import clauses, every, filled, first, has, let, number, replace, rx, slug, snippet
+from tessera.functions.text import INVITATIONS, clauses, every, filled, first, has, let, number, replace, rx, slug, snippet
 from tessera.operators import names
+from tessera.operators.card_schema import CARD
 
 def _struct(**fields: Column) -> Column:
     """A struct of the fields, null where all of them are."""
@@ -68,6 +70,11 @@ def percent(text: Column) -> Column:
     return number(first(text, r"(\d+(?:\.\d+)?)\s*%"))
 
 
+def _cut(md: Column, held: Column | None) -> Column:
+    """A text's clauses, which are ``held`` where they were cut before."""
+    return clauses(md) if held is None else held
+
+
 def _found(held: Column, value) -> Column:
     """The first value that is not null over clauses."""
     return F.try_element_at(F.filter(F.transform(held, value), lambda x: x.isNotNull()), F.lit(1))
@@ -79,7 +86,7 @@ def _spoken(held: Column, *classes: tuple[str, ...]) -> Column:
 
 
 #: Classes of words.
-FEE, NONE, WAIVED, SPENT = ("fee", "membership"), ("nil.", "free.", "zero.", "no.", "not.", "waived."), ("waive", "waiver", "reversal", "reversed"), ("spend", "spent")
+FEE, NONE, GONE, WAIVED, SPENT = ("fee", "membership"), ("nil.", "free.", "zero.", "no.", "not.", "waived."), ("nil.", "free.", "zero."), ("waive", "waiver", "reversal", "reversed"), ("spend", "spent")
 JOINING, ANNUAL, RENEWAL, ADD_ON = ("joining", "join."), ("annual", "yearly"), ("renewal",), ("add on", "addon", "supplementary")
 ADVANCE, INTEREST, FOREIGN = ("cash advance",), ("finance charge", "interest"), ("forex", "foreign", "cross currency", "markup", "mark up")
 TAXED, TAX = ("plus", "exclusive", "excluding", "extra", "additional", "applicable"), ("gst.", "tax")
@@ -89,35 +96,67 @@ HOME, ABROAD, QUARTER, HALF, GUEST = ("lounge",), ("international", "outside ind
 # ── fees ──────────────────────────────────────────────────────────────────────────────────────────
 
 
-def fees(md: Column) -> Column:
+def fees(md: Column, held: Column | None = None) -> Column:
     """Fees in rupees, charges in per cent. A fee said to be nil or free is 0; lifetime free fills both main fees."""
-    return let(clauses(md), _fees)
+    return let(_cut(md, held), _fees)
+
+
+def _amounts(clause: Column, marked: bool) -> Column:
+    """The amounts of a clause, each with the words since the one before it: an amount belongs to what leads up to it."""
+    pattern = F.lit(rf"(?is)(.*?){_money(marked)}")
+    group = lambda i: F.regexp_extract_all(clause, pattern, F.lit(i))
+    return F.transform(F.arrays_zip(group(1).alias("lead"), group(2).alias("n"), group(3).alias("unit")), lambda x: F.struct(x["lead"], number(x["n"], x["unit"]).alias("inr")))
 
 
 def _fees(held: Column) -> Column:
-    plain = lambda c, word: says(c, word, FEE) & ~says(c, WAIVED) & ~says(c, SPENT)
-    fee = lambda word: _found(held, lambda c: F.when(plain(c, word), rupees(behind(c, word))))
-    free = lambda word: F.exists(held, lambda c: says(c, word, FEE, NONE) & ~says(c, SPENT) & rupees(c).isNull())
+    """An amount is a fee's if its lead names the fee and nothing behind that name takes it back or asks for a spend."""
+
+    def whole(told: Column) -> Column:
+        def named(word: tuple[str, ...]) -> Column:
+            own = lambda lead: let(behind(lead, word), lambda t: says(t, FEE) & ~says(t, GONE) & ~says(t, WAIVED) & ~says(t, SPENT))
+            found = F.transform(told, lambda c: F.try_element_at(F.filter(c["marked"], lambda x: F.coalesce(own(x["lead"]), F.lit(False))), F.lit(1))["inr"])
+            return F.try_element_at(F.filter(found, lambda x: x.isNotNull()), F.lit(1))
+
+        parts = lambda c: F.concat(F.transform(c["marked"], lambda x: x["lead"]), F.array(c["rest"]))
+        free = lambda word: F.exists(told, lambda c: F.exists(parts(c), lambda x: says(x, word, FEE, NONE) & ~says(x, SPENT)))
+        condition = lambda c: F.filter(c["any"], lambda x: (x["inr"] >= 1000) & (says(x["lead"], WAIVED) | says(x["lead"], SPENT)))
+        waivers = F.filter(told, lambda c: says(c["text"], WAIVED) & (says(c["text"], SPENT) | says(c["text"], FEE)))
+        asked = F.transform(waivers, lambda c: F.try_element_at(condition(c), F.lit(1))["inr"])
+        extra = F.transform(_told(told, ADD_ON, FEE), lambda c: rupees(behind(c["text"], ADD_ON), False))
+        return F.struct(
+            named(JOINING).alias("joining"), named(ANNUAL).alias("annual"), named(RENEWAL).alias("renewal"),
+            free(JOINING).alias("no_joining"), (free(RENEWAL) | free(ANNUAL)).alias("no_renewal"),
+            F.try_element_at(F.filter(asked, lambda x: x.isNotNull()), F.lit(1)).alias("waiver"), F.try_element_at(F.filter(extra, lambda x: x.isNotNull()), F.lit(1)).alias("add_on"),
+        )
+
     rate = lambda word: _found(held, lambda c: percent(behind(c, word)))
     lifetime = F.exists(held, lambda c: says(c, ("lifetime free.", "life time free.", "free for life.")))
-    joining, annual, renewal = fee(JOINING), fee(ANNUAL), fee(RENEWAL)
-    waiver = _found(held, lambda c: let(F.when(says(c, WAIVED) & (says(c, SPENT) | says(c, FEE)), rupees(c, False)), lambda x: F.when(x >= 1000, x)))
+    spoken = F.filter(held, lambda c: says(c, (*FEE, *WAIVED)))
+    last = rf"(?is).*{_money(True)}"
+    told = F.transform(spoken, lambda c: F.struct(c.alias("text"), _amounts(c, True).alias("marked"), _amounts(c, False).alias("any"), F.regexp_replace(c, last, "").alias("rest")))
     markup = _found(held, lambda c: let(F.when(says(c, FOREIGN), F.coalesce(percent(behind(c, FOREIGN)), percent(c))), lambda x: F.when((x > 0) & (x <= 10), x)))
     fuel = F.try_element_at(_spoken(held, ("fuel",), ("surcharge",), WAIVED), F.lit(1))
-    return _struct(
-        joining_fee_inr=F.coalesce(joining, F.when(free(JOINING) | lifetime, 0.0)),
-        annual_fee_inr=annual,
-        renewal_fee_inr=F.coalesce(renewal, F.when((annual.isNull() & (free(RENEWAL) | free(ANNUAL))) | lifetime, 0.0)),
-        fee_waiver_spend_inr=waiver,
-        addon_card_fee_inr=_found(held, lambda c: F.when(says(c, ADD_ON, FEE), rupees(behind(c, ADD_ON), False))),
-        cash_advance_fee_pct=rate(ADVANCE),
-        finance_charge_pct_mo=rate(INTEREST),
-        fx_markup_pct=markup,
-        fuel_surcharge_waiver=F.nullif(snippet(fuel), F.lit("")),
-        gst_extra=_flag(F.exists(held, lambda c: says(c, TAX) & (says(c, TAXED) | has(c, r"\+\s*gst\b")))),
+    return let(
+        let(told, whole),
+        lambda f: _struct(
+            joining_fee_inr=F.coalesce(f["joining"], F.when(f["no_joining"] | lifetime, 0.0)),
+            annual_fee_inr=f["annual"],
+            renewal_fee_inr=F.coalesce(f["renewal"], F.when((f["annual"].isNull() & f["no_renewal"]) | lifetime, 0.0)),
+            fee_waiver_spend_inr=f["waiver"],
+            addon_card_fee_inr=f["add_on"],
+            cash_advance_fee_pct=rate(ADVANCE),
+            finance_charge_pct_mo=rate(INTEREST),
+            fx_markup_pct=markup,
+            fuel_surcharge_waiver=F.nullif(snippet(fuel), F.lit("")),
+            gst_extra=_flag(F.exists(held, lambda c: says(c, TAX) & (says(c, TAXED) | has(c, r"\+\s*gst\b")))),
+        ),
     )
 
 
+def _told(told: Column, *classes: tuple[str, ...]) -> Column:
+    return F.filter(told, lambda c: says(c["text"], *classes))
+
+
 # ── rewards ───────────────────────────────────────────────────────────────────────────────────────
 
 #: Rupees a point, and the currency's name, by issuer.
@@ -138,11 +177,10 @@ GENERIC_SPEND = (
     "transactions", "your",
 )
 STOP_WORDS = ("on", "at", "the", "a", "an", "and", "or", "of", "in", "for", "to", "with", "across", "select", "all", "up")
-#: What may be earned, and what points may be given for.
+#: What may be earned.
 UNITS = ("cashback", "cash back", "coin", "mile", "point", "reward")
-PLACES = (
-    "air mile", "amazon", "bill", "cash", "catalogue", "charity", "flight", "fuel", "gift", "hotel", "merchandise", "product", "recharge", "smartbuy", "statement", "transfer", "travel", "voucher",
-)
+#: Words of the published ways to redeem.
+PLACES = tuple(dict.fromkeys(w.removesuffix("s") for way in CARD["properties"]["rewards"]["properties"]["redemption_modes"]["items"]["enum"] for w in way.split("_") if len(w) > 3))
 #: A number of units for an amount: number, unit, amount, what follows.
 _FOR_SPEND = rf"(\d+(?:\.\d+)?)((?:\s+[\w-]+){{0,4}}?)\s*(?:/|\b(?:per|every|each)\b)\s*(?:₹|rs\.?|inr)?\s*(\d[\d,]*)(.*)"
 #: A share or a multiple on a category: number, sign, category.
@@ -211,7 +249,7 @@ def accelerated(earned: Column, held: Column, base_rate: Column) -> Column:
     return let(F.aggregate(good, empty, lambda kept, c: F.when(F.exists(kept, lambda k: alike(k, c)), kept).otherwise(F.concat(kept, F.array(c)))), some)
 
 
-def rewards(md: Column, issuer: Column) -> Column:
+def rewards(md: Column, issuer: Column, held: Column | None = None) -> Column:
     """Point value, base rate, currency, category rates, exclusions, redemption modes, expiry."""
 
     def whole(held: Column) -> Column:
@@ -219,7 +257,7 @@ def rewards(md: Column, issuer: Column) -> Column:
         point = F.coalesce(stated, _by_issuer(issuer, POINT_VALUES))
         return let(F.struct(held.alias("held"), point.alias("point"), earn_lines(held, point).alias("earned")), lambda x: _rewards(x["held"], issuer, x["point"], x["earned"]))
 
-    return let(clauses(md), whole)
+    return let(_cut(md, held), whole)
 
 
 def _rewards(held: Column, issuer: Column, point: Column, earned: Column) -> Column:
@@ -242,26 +280,25 @@ def _rewards(held: Column, issuer: Column, point: Column, earned: Column) -> Col
 
 # ── benefits ──────────────────────────────────────────────────────────────────────────────────────
 
-#: What makes a line worth telling, and the words of menus that make it noise.
-WORTH = (
-    "benefit", "bonus", "cap.", "capped", "cashback", "cash back", "coin", "complimentary", "discount", "emi.", "free.", "fuel", "gift", "golf", "insurance", "joining fee", "annual fee", "lounge",
-    "markup", "membership", "mile", "night", "off.", "point", "reward", "spends on", "stay.", "subscription", "voucher", "waive", "welcome", "worth",
-)
-MENU = ("apply now", "click here", "know more", "learn more", "main menu", "navigation", "read more", "skip to", "terms and conditions", "view")
+#: What a product gives or takes, by the names of its own parts; an invitation to click tells nothing.
+WORTH = (*UNITS, "fee", "waiver", "lounge", "insurance", "welcome", "milestone", "voucher", "gift", "bonus", "discount", "fuel", "membership", "complimentary", "free.")
+MENU = INVITATIONS
 _VALUE = r"[₹%]|\b(?:rs\.?\s*\d|inr\b)"
 
 
-def welcome(md: Column) -> Column:
+def welcome(md: Column, held: Column | None = None) -> Column:
     """What the first clause on joining offers, if it tells a worth or is long enough to tell anything."""
-    lead = ("welcome", "joining benefit", "joining gift", "joining bonus", "joining offer", "on joining", "on activation", "first transaction", "first spend", "first swipe")
+    joins = ("welcome", "joining", "on activation", "first transaction", "first spend", "first swipe")
+    given = (*WORTH, "benefit", "offer", "reward", "get.", "earn")
 
     def offer(c: Column) -> Column:
-        return let(snippet(replace(behind(c, lead), r"^\s*(?:benefits?|gifts?|bonus|offers?|rewards?|vouchers?)\b")), lambda t: F.when((F.length(t) >= 15) & ~says(t, MENU), t))
+        rest = F.when(says(c, joins, given) & ~has(c, r"\bjoining\s+(?:and\s+\w+\s+)?fee"), behind(c, joins))
+        return let(snippet(replace(rest, r"^\s*(?:benefits?|gifts?|bonus|offers?|rewards?|vouchers?)\b")), lambda t: F.when((F.length(t) >= 15) & ~says(t, MENU), t))
 
-    return let(_found(clauses(md), offer), lambda t: F.when(has(t, _VALUE) | says(t, WORTH) | (F.length(t) >= 30), t))
+    return let(_found(_cut(md, held), offer), lambda t: F.when(has(t, _VALUE) | says(t, WORTH) | (F.length(t) >= 30), t))
 
 
-def milestones(md: Column) -> Column:
+def milestones(md: Column, held: Column | None = None) -> Column:
     """Clauses that promise something for an amount spent, the first of each amount; the period is what they say."""
     gains = ("get.", "earn", "receive", "enjoy", "unlock", "bonus", "complimentary", "worth", "voucher", "free.")
 
@@ -270,13 +307,13 @@ def milestones(md: Column) -> Column:
         reward = F.coalesce(F.nullif(snippet(behind(c, ("get.", "earn", "receive", "enjoy", "unlock"))), F.lit("")), snippet(behind(c, gains)))
         return F.struct(rupees(behind(c, SPENT), False).alias("spend_inr"), reward.alias("reward"), F.lit(None).cast("double").alias("value_inr"), period.alias("period"))
 
-    told = F.transform(_spoken(clauses(md), SPENT, gains), one)
+    told = F.transform(_spoken(_cut(md, held), SPENT, gains), one)
     found = F.filter(told, lambda x: (x["spend_inr"] > 0) & (F.length(x["reward"]) >= 8))
     once = lambda held: F.filter(held, lambda x, i: F.array_position(held["spend_inr"], x["spend_inr"]) == i + 1)
     return let(let(found, once), some)
 
 
-def lounge(md: Column) -> Column:
+def lounge(md: Column, held: Column | None = None) -> Column:
     """Visits a year: a count a quarter is four times, one a half-year twice (domestic only)."""
 
     def whole(held: Column) -> Column:
@@ -296,10 +333,10 @@ def lounge(md: Column) -> Column:
             guest_allowed=_flag(says(md, GUEST)),
         )
 
-    return let(_spoken(clauses(md), HOME), whole)
+    return let(_spoken(_cut(md, held), HOME), whole)
 
 
-def insurance(md: Column) -> Column:
+def insurance(md: Column, held: Column | None = None) -> Column:
     """Covers of 10,000 rupees or more."""
 
     def whole(held: Column) -> Column:
@@ -311,7 +348,7 @@ def insurance(md: Column) -> Column:
             travel_inr=cover(("travel", "overseas", "baggage", "flight", "trip"), ("insurance", "cover", "delay")),
         )
 
-    return let(clauses(md), whole)
+    return let(_cut(md, held), whole)
 
 
 #: Brands whose offers are looked for, in this order.
@@ -323,7 +360,7 @@ BRANDS = (
 OFFER = ("cashback", "cash back", "discount", "off.", "voucher", "free.")
 
 
-def partner_offers(md: Column) -> Column:
+def partner_offers(md: Column, held: Column | None = None) -> Column:
     """For each brand the first clause that names it and speaks of an offer."""
 
     def whole(held: Column) -> Column:
@@ -332,33 +369,40 @@ def partner_offers(md: Column) -> Column:
         told = F.transform(F.filter(named, lambda x: x["said"].isNotNull()), lambda x: F.struct(x["partner"], snippet(x["said"]).alias("benefit")))
         return F.filter(told, lambda x: F.length(x["benefit"]) >= 12)
 
-    offers = F.filter(clauses(md), lambda c: has(c, "[%₹]") | says(c, OFFER))
+    offers = F.filter(_cut(md, held), lambda c: has(c, "[%₹]") | says(c, OFFER))
     lowered = F.transform(offers, lambda c: F.struct(c.alias("text"), F.lower(c).alias("low")))
     return let(lowered, lambda held: F.when(F.size(held) > 0, let(whole(held), some)))
 
 
-#: Kinds of perk and words that speak of them.
-PERKS = {
-    "golf": ("golf.",), "golf_simulator": ("golf simulator",), "movie": ("movie ticket", "free movie", "pvr.", "inox."), "dining": ("dining.", "restaurant"), "concierge": ("concierge.",),
-    "spa": ("spa.",), "hotel": ("complimentary hotel", "complimentary night", "complimentary stay", "hotel upgrade"),
-    "subscription": ("amazon prime", "netflix", "hotstar", "zee5", "zomato gold", "swiggy one", "sonyliv", "jiocinema"), "railway_lounge": ("railway lounge",), "roadside_assist": ("roadside assist",),
-    "annual_voucher": ("annual travel voucher", "annual shopping voucher", "annual lifestyle voucher"), "forex_perk": ("zero forex", "zero foreign", "zero cross currency"),
-    "contactless": ("contactless", "tap to pay", "nfc"), "virtual_card": ("virtual card",), "emi_conversion": ("no cost emi", "instant emi", "emi conversion"),
-}
+#: Kinds of perk, in this order.
+PERK_KINDS = (
+    "golf", "golf_simulator", "movie", "dining", "concierge", "spa", "hotel", "subscription", "railway_lounge", "roadside_assist", "annual_voucher", "forex_perk", "contactless", "virtual_card",
+    "emi_conversion",
+)
+#: What must be said beside a kind's noun where the noun alone may be only talked of.
+GIVEN, LOWERED = ("complimentary", "free.", "upgrade", "off.", "discount", "get.", "enjoy"), ("zero.", "no.", "nil.", "low", "reduced", "waive")
+_NOUNS = {"subscription": ("subscription", "membership", "prime.", "streaming"), "dining": ("dining", "restaurant"), "forex_perk": ("forex", "foreign currency", "cross currency"), "emi_conversion": ("emi.", "emis.", "instalment", "installment")}
+_BESIDE = {"movie": (*GIVEN, "ticket"), "hotel": GIVEN, "subscription": GIVEN, "forex_perk": LOWERED, "emi_conversion": (*LOWERED, "convert", "conversion", "instant")}
+
+
+def _speaks_of(kind: str) -> Callable[[Column], Column]:
+    """Whether a clause has all words of a kind's name, or its nouns, with what must stand beside them."""
+    classes = [_NOUNS[kind]] if kind in _NOUNS else [(word,) for word in kind.split("_")]
+    return lambda clause: says(clause, *classes, *([_BESIDE[kind]] if kind in _BESIDE else []))
 
 
-def perks(md: Column) -> Column:
+def perks(md: Column, held: Column | None = None) -> Column:
     """For each kind the first clause that speaks of it."""
-    some_perk = _any(tuple(w for words in PERKS.values() for w in words))
+    nouns = tuple(dict.fromkeys(w for kind in PERK_KINDS for w in _NOUNS.get(kind, (kind.split("_")[-1],))))
 
     def whole(held: Column) -> Column:
-        said = F.array(*[F.struct(F.lit(kind).alias("kind"), F.try_element_at(_spoken(held, words), F.lit(1)).alias("said")) for kind, words in PERKS.items()])
+        said = F.array(*[F.struct(F.lit(kind).alias("kind"), F.try_element_at(F.filter(held, _speaks_of(kind)), F.lit(1)).alias("said")) for kind in PERK_KINDS])
         return F.transform(F.filter(said, lambda x: x["said"].isNotNull()), lambda x: F.struct(x["kind"], snippet(x["said"], 220).alias("value")))
 
-    return let(F.filter(clauses(md), lambda c: has(c, some_perk)), lambda held: F.when(F.size(held) > 0, let(whole(held), some)))
+    return let(F.filter(_cut(md, held), lambda c: says(c, nouns)), lambda held: F.when(F.size(held) > 0, let(whole(held), some)))
 
 
-def eligibility(md: Column) -> Column:
+def eligibility(md: Column, held: Column | None = None) -> Column:
     """Ages, the least plausible yearly income (monthly ones times twelve), kinds of work."""
 
     def whole(held: Column) -> Column:
@@ -373,7 +417,7 @@ def eligibility(md: Column) -> Column:
             self_employed=_flag(says(md, ("self employed", "business owner"))),
         )
 
-    return let(clauses(md), whole)
+    return let(_cut(md, held), whole)
 
 
 def apply_url(md: Column) -> Column:
@@ -445,16 +489,17 @@ def cards(pages: DataFrame) -> DataFrame:
     md, url, forced = F.col("markdown"), F.col("source_url"), F.col("force_card_name")
     rows = rows.where(forced.isNotNull() | has(md, r"(?:credit|debit|forex)\s+card|prepaid"))
     name = F.coalesce(forced, names.choose(F.col("section_name"), names.page_name(md), names.url_name(url), url))
-    rows = rows.withColumn("card_name", name).where(F.col("card_name").isNotNull())
+    rows = rows.withColumn("card_name", name).where(F.col("card_name").isNotNull()).withColumn("__clauses", clauses(md))
+    held = F.col("__clauses")
     return rows.select(
         "source_url", "issuer_id", "issuer_name", "pos", "sha", "card_name",
         F.when(forced.isNotNull(), F.coalesce("force_category", category(F.lit(""), url))).otherwise(category(md, url)).alias("category"),
         F.coalesce("force_network", network(md), network(F.col("card_name"))).alias("network"),
         segment(md).alias("segment"),
         F.when(has(md, r"\bmetal\s+card\b"), "metal").alias("card_material"),
-        fees(md).alias("fees"), rewards(md, F.col("issuer_id")).alias("rewards"), welcome(md).alias("welcome_benefit"),
-        milestones(md).alias("milestones"), lounge(md).alias("lounge_access"), insurance(md).alias("insurance"),
-        partner_offers(md).alias("partner_offers"), perks(md).alias("perks"), eligibility(md).alias("eligibility"),
+        fees(md, held).alias("fees"), rewards(md, F.col("issuer_id"), held).alias("rewards"), welcome(md, held).alias("welcome_benefit"),
+        milestones(md, held).alias("milestones"), lounge(md, held).alias("lounge_access"), insurance(md, held).alias("insurance"),
+        partner_offers(md, held).alias("partner_offers"), perks(md, held).alias("perks"), eligibility(md, held).alias("eligibility"),
         apply_url(md).alias("apply_url"), highlights(md).alias("highlights"),
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tessera.functions import json_schema
 from tessera.functions.text import first, let, slug
@@ -93,8 +94,9 @@ def errors(cards: DataFrame) -> Column:
 
     The record is checked as the document it is published as, in which fields without a value are left out.
     """
-    document = F.struct(*[F.col(c).alias(_RENAMED.get(c, c)) for c in cards.columns])
-    return json_schema.errors(F.parse_json(F.to_json(document, {"ignoreNullFields": "true"})), CARD)
+    of = StructType([StructField(_RENAMED.get(f.name, f.name), f.dataType) for f in cards.schema.fields])
+    record = F.struct(*[F.col(c).alias(_RENAMED.get(c, c)) for c in cards.columns])
+    return let(record, lambda r: json_schema.record_errors(r, of, CARD))
 
 
 def validated(cards: DataFrame) -> DataFrame:

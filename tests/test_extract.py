@@ -55,3 +55,43 @@ def test_sections_take_third_level_headings(spark):
     md = "intro\n### Alpha Credit Card\na\n### Beta Debit Card\nb"
     rows = extract.sections(spark.createDataFrame([(1, md)], "id int, markdown string")).orderBy("pos").collect()
     assert [r.section_name for r in rows] == ["Alpha Credit Card", "Beta Debit Card"]
+
+
+def test_fees_beside_waivers_and_other_amounts(spark):
+    said = {
+        "Joining fee of Rs. 500 is waived if you spend Rs. 50,000 in 90 days.": (500, None, None, 50_000),
+        "Annual fee ₹500, reversed on spends of ₹1,00,000": (None, 500, None, 100_000),
+        "Spend ₹1,00,000 in a year and the annual fee of ₹500 is reversed": (None, 500, None, 100_000),
+        "On annual spends of ₹2 lakh, annual fee of ₹2,999 is waived": (None, 2999, None, 200_000),
+        "Joining fee ₹500 and annual fee ₹1,000": (500, 1000, None, None),
+        "Joining/Annual fee: ₹999 + GST": (999, 999, None, None),
+        "Joining fee nil, renewal fee ₹750": (0, None, 750, None),
+        "Annual fee (2nd year onwards): INR 2500": (None, 2500, None, None),
+        "Annual fee waived on spending 1.5 crore": (None, None, None, 15_000_000),
+        "Annual fee: Nil": (None, None, 0, None),
+        "No joining fee": (0, None, None, None),
+        "Membership fee waiver on spends of 3 lakhs": (None, None, None, 300_000),
+        "1% fuel surcharge waiver on spends between ₹400 and ₹900": (None, None, None, None),
+        "Earn 4X points. Annual spends get ₹500 cashback": None,
+    }
+    rows = spark.createDataFrame(list(enumerate(said)), "i int, md string").select("i", extract.fees(F.col("md")).alias("f")).collect()
+    got = {r.i: r.f and (r.f.joining_fee_inr, r.f.annual_fee_inr, r.f.renewal_fee_inr, r.f.fee_waiver_spend_inr) for r in rows}
+    assert got == dict(enumerate(said.values()))
+
+
+def test_perk_kinds(spark):
+    said = {
+        "golf": "4 golf games a year", "golf_simulator": "Golf simulator sessions", "movie": "Buy one movie ticket, get one free", "dining": "Up to 20% off at partner restaurants", "concierge": "24x7 concierge",
+        "spa": "Spa sessions", "hotel": "Complimentary hotel night", "subscription": "Complimentary Amazon Prime membership", "railway_lounge": "Railway lounge visits", "roadside_assist": "Roadside assistance",
+        "annual_voucher": "An annual travel voucher", "forex_perk": "Zero forex markup", "contactless": "Contactless payments", "virtual_card": "A virtual card at once", "emi_conversion": "Convert spends into EMI",
+    }
+    got = [[p.kind for p in r.p or []] for r in spark.createDataFrame([(i, v) for i, v in enumerate(said.values())], "i int, md string").orderBy("i").select(extract.perks(F.col("md")).alias("p")).collect()]
+    assert got == [["golf"], ["golf", "golf_simulator"], *[[k] for k in list(said)[2:]]]
+    assert value(spark, extract.perks(F.lit("We charge a forex fee\nHotels near you\nThe movie page"))) is None
+
+
+def test_products_called_by_verbs_are_products(spark):
+    good = ["Explore Gold Credit Card", "Happy Gold Credit Card", "Turn Key Credit Card", "Set Sail Travel Credit Card", "Bank of Baroda Select Credit Card", "The Club Credit Card", "Regalia Gold Credit Card"]
+    bad = ["Explore our credit cards card", "Happy to announce a card", "Turn your spends into card points", "Set or reset your card", "How to use a card", "Best Credit Card", "Apply for HDFC card", "Get your card", "Lost or stolen card", "Manage Credit Card", "Important: card update", "Gold Card login"]
+    rows = spark.createDataFrame([(x,) for x in good + bad], "n string").select("n", names.reject_reason(F.col("n")).alias("why")).collect()
+    assert [r.n for r in rows if r.why is None] == good

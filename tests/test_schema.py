@@ -6,6 +6,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.functions import json_schema
 from tessera.operators.card_schema import CARD, RECORD
@@ -98,3 +99,21 @@ def test_no_document_gives_no_errors_and_unknown_rules_raise(spark):
 def test_record_type(spark):
     assert RECORD["rewards"].dataType["category_rewards"].dataType.simpleString().startswith("map<string,struct<category:string,units:double")
     assert RECORD["milestones"].dataType.elementType["spend_inr"].dataType.simpleString() == "double"
+
+
+def test_typed_records_have_the_errors_of_their_documents(spark):
+    rnd = random.Random(6)
+    docs = [GOOD, {}] + [x for x in (mutated(rnd) for _ in range(300)) if isinstance(x, dict)]
+    more = StructType([*RECORD.fields, StructField("more", StringType())])
+    rows = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, j string").select("i", F.from_json("j", more).alias("r"))
+    got = rows.select("i", F.to_json("r", {"ignoreNullFields": "true"}).alias("j"), json_schema.record_errors(F.col("r"), more, CARD).alias("e")).collect()
+    want = {r.i: plain(json.loads(r.j), CARD) for r in got if r.j}
+    assert {r.i: r.e for r in got if r.j} == want and sum(map(len, want.values())) > 100
+
+
+def test_types_that_do_not_fit_are_told(spark):
+    of = StructType.fromDDL("card_id int, issuer_id string, card_name string, category string, source_url string, fees struct<annual_inr:string,odd:int>, eligibility struct<min_age:double>, confidence float, milestones array<struct<spend_inr:double>>")
+    r = spark.createDataFrame([((7, "a", "b", "credit", None, ("5", 1), (1.5,), 1.5, [None, (None,), (2.0,)]),)], StructType([StructField("r", of)]))
+    assert r.select(json_schema.record_errors(F.col("r"), of, CARD).alias("e")).first().e == [
+        "card_id: type", "confidence: maximum", "eligibility.min_age: type", "fees.annual_inr: type", "fees.odd: not expected", "milestones[0]: type", "milestones[1].spend_inr: required", "source_url: required",
+    ]
