@@ -26,7 +26,7 @@ HEAD, HEAD_BYTES, _ID_BITS = 1 << 20, 64, 21
 #: Bits of the bitmap that tells which other words may be frequent.
 BITS = 27
 #: Counters a task holds before it sends them, and runs of words a shard is planned for.
-MOST, SHARD_RUNS = 1 << 22, 1 << 22
+MOST, SHARD_RUNS = 1 << 21, 1 << 22
 _BATCH = 4 << 20
 
 # --- the invertible map -------------------------------------------------------------------------------------------
