@@ -31,10 +31,8 @@ class Conflict(RuntimeError):
     """Another writer committed the version first."""
 
 
-def _outdated(error: Exception) -> bool:
-    """Whether another writer was faster: it took the version, or it has dropped what this one was reading."""
-    told = str(getattr(error, "java_exception", error))
-    return isinstance(error, Conflict) or any(x in told for x in ("FileNotFound", "FILE_NOT_EXIST", "PATH_NOT_FOUND", "does not exist"))
+class LostShards(RuntimeError):
+    """Files that should be there are not: a writer's own, or such as the newest manifest lists. No retry brings them back."""
 
 
 class ShardStore:
@@ -116,8 +114,15 @@ class ShardStore:
             try:
                 return self._commit(old.unionByName(self._shards(folder, version, id_column)), version, [folder])
             except (Conflict, Py4JJavaError, PySparkException) as error:
-                if not _outdated(error):
-                    raise
+                self._start_over(error, last[-1] if last else None, [folder])
+
+    def _start_over(self, error: Exception, version: int | None, folders: list[str]) -> None:
+        """Returns if another writer was faster: it took the version, or the manifest that was read is gone. Else raises."""
+        lost = [x for x in folders if not self._fs().exists(self._path("data", x))]
+        if lost:
+            raise LostShards(f"the writer's folders {lost} are gone; were its intents forgotten?") from error
+        if not isinstance(error, Conflict) and (version is None or version in self.versions()):
+            raise error
 
     def compact(self, id_column: str = "doc_id") -> int | None:
         """One round over all tiers that are due; the new version, or None where none is.
@@ -143,10 +148,10 @@ class ShardStore:
                     self.spark.conf.set(k, v)
                 self.spark.read.parquet(*paths).write.option("compression", "zstd").parquet(f"{self.root}/data/{folders[-1]}")
             except (Py4JJavaError, PySparkException) as error:
-                if not _outdated(error):
-                    raise
                 self._give_up(folders)
-                return self.versions()[-1]
+                if merged.join(self.manifest(), "path", "left_anti").isEmpty():
+                    raise LostShards("shards that the newest manifest lists cannot be read") from error
+                return self.versions()[-1]  # another compaction came first and dropped what was read
             finally:
                 for k, v in before.items():
                     self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
@@ -162,8 +167,7 @@ class ShardStore:
             try:
                 return self._commit(out, version, folders)
             except (Conflict, Py4JJavaError, PySparkException) as error:
-                if not _outdated(error):
-                    raise
+                self._start_over(error, version - 1, folders)
 
     def _give_up(self, folders: list[str]) -> None:
         for folder in folders:
