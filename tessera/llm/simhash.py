@@ -161,18 +161,20 @@ def links(distinct: DataFrame, most: int = 3) -> DataFrame:
 def simhash_components(docs: DataFrame, words: int = 3, most: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every row of ``docs`` (doc_id, text).
 
-    Equal fingerprints are one node, so copies are never paired; a component is named by its smallest doc_id.
-    Null ids are left out of that minimum and get their group's; an empty table gives no row.
+    Fingerprints are the nodes, so copies are never paired; a component is named by its smallest doc_id, whatever
+    ids its rows share with others. A null id names nothing and links like any other: its row gets the name of its
+    component, null only if no row of that has an id. An empty table gives no row. A very long text is held whole by
+    one worker, its shingles' digests in bounded parts.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
     rows = scratch.keep(fingerprints(docs, words), "rows")
-    nodes = scratch.keep(rows.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
+    nodes = scratch.keep(rows.groupBy("fp").agg(F.min("doc_id").alias("id")), "nodes")
     pairs = scratch.keep(links(nodes.select("fp"), most), "pairs")
-    x = nodes.select(F.col("fp").alias("x"), F.col("node").alias("a"))
-    y = nodes.select(F.col("fp").alias("y"), F.col("node").alias("b"))
-    edges = pairs.join(x, "x").join(y, "y").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    found = nodes.join(components(edges, scratch), "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return rows.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    found = components(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")), scratch).withColumnRenamed("node", "fp")
+    linked = scratch.keep(nodes.join(found, "fp", "left").select("fp", "id", F.coalesce("component", "fp").alias("root")), "linked")
+    names = linked.groupBy("root").agg(F.min("id").alias("component_id"))
+    named = linked.join(names, "root").select("fp", "component_id")
+    return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
