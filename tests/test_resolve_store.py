@@ -69,7 +69,7 @@ def test_registry_last_one_counts(spark):
 def test_errors_name_failed_checks(spark):
     kind = "card_id string, issuer_id string, card_name string, category string, source_url string, status string, network string, segment string, card_material string, milestones array<struct<spend_inr:double,period:string>>, perks array<struct<kind:string>>, partner_offers array<struct<partner:string>>"
     bad = spark.createDataFrame([("a", None, "n", "x", "u", "active", "visa", None, None, [(None, "annual")], None, None)], kind)
-    assert migrate.validated(bad).first().errors == ["category: not allowed", "issuer_id: required", "milestones: spend_inr required"]
+    assert migrate.validated(bad).first().errors == ["category: not allowed", "issuer_id: required", "milestones[0].spend_inr: required"]
 
 
 def test_best_match_is_that_of_all_pairs(spark):
