@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -252,7 +253,7 @@ def test_sql(spark, name):
     for f in glob.glob(f"{SF}/*.parquet"):
         con.execute(f"create view {os.path.basename(f)[:-8]} as select * from '{f}'")
     want, got = con.execute(SQL[name]).df(), QUERIES[name](spark, SF).toPandas()
-    rows = lambda d: sorted(tuple(f"{v:.9g}" if isinstance(v, float) else str(v) for v in r) for r in d[sorted(d.columns)].astype(object).itertuples(index=False))
+    rows = lambda d: sorted(tuple("null" if pd.isna(v) else f"{v:.9g}" if isinstance(v, float) else str(v) for v in r) for r in d[sorted(d.columns)].astype(object).itertuples(index=False))
     assert rows(got) == rows(want)
 
 
