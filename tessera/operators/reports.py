@@ -38,6 +38,33 @@ def coverage_flag(rows: DataFrame) -> DataFrame:
     return rows.withColumn("flag", flag).withColumn("shown", F.when(F.col("urls") == 0, "ZERO").otherwise(F.lpad(F.col("urls").cast("string"), 4, " ")))
 
 
+def health_records(issuers: DataFrame) -> DataFrame:
+    """(issuer_id, issuer_name, url_type, url) to be checked: listing URLs without fragments and sitemaps, each once an issuer and type.
+
+    ``issuers``: issuer_id, issuer_name, list_urls, sitemap_url; nulls give no row.
+    """
+    head = ["issuer_id", "issuer_name"]
+    lists = issuers.select(*head, F.lit("list_url").alias("url_type"), F.explode("list_urls").alias("url")).withColumn("url", F.substring_index("url", "#", 1))
+    maps = issuers.select(*head, F.lit("sitemap_url").alias("url_type"), F.col("sitemap_url").alias("url"))
+    return lists.unionByName(maps).where(F.col("url").isNotNull()).dropDuplicates(["issuer_id", "url_type", "url"])
+
+
+def health_report(checked: DataFrame) -> DataFrame:
+    """(level, category, reason, urls, issuers) of checked URLs: a row a reason, a row a category and one for all, from one pass.
+
+    ``checked``: issuer_id, url, category, and what was found: error, status, phrase. A broken URL's reason is the first of them that tells.
+    """
+    status = F.when(F.col("status") >= 400, F.concat(F.lit("HTTP "), F.col("status").cast("string")))
+    reason = F.when(F.col("category") == "BROKEN", F.coalesce("error", status, F.concat(F.lit("says: "), F.col("phrase"))))
+    rows = checked.select("issuer_id", "category", reason.alias("reason"))
+    by = [[F.col("category"), F.col("reason")], [F.col("category")], []]
+    told = rows.groupingSets(by, "category", "reason").agg(
+        F.count(F.lit(1)).alias("urls"), F.count_distinct("issuer_id").alias("issuers"), F.grouping_id().alias("__id")
+    )
+    level = F.when(F.col("__id") == 0, "reason").when(F.col("__id") == 1, "category").otherwise("all")
+    return told.select(level.alias("level"), "category", "reason", "urls", "issuers")
+
+
 def purge_reasons(cards: DataFrame) -> DataFrame:
     """Records with ``reason``: why a record is to be removed, null if it stays."""
     issuer = F.col("issuer_id")

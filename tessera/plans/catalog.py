@@ -206,6 +206,20 @@ def url_health(spark, sf):
     return rows.select("page_id", pages.health(error, status, pages.error_phrase(F.col("html"), status), urls.moved(url, final)).alias("category"))
 
 
+@query(
+    r"""with c as (select regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) as issuer_id, case when page_id % 7 = 0 or page_id % 5 < 2 then 'BROKEN' when page_id % 3 = 0 then 'REDIRECTED' else 'OK' end as category,
+    case when page_id % 7 = 0 then 'TIMEOUT' when page_id % 5 = 0 then 'HTTP 404' when page_id % 5 = 1 then 'HTTP 500' end as reason from pages)
+    select case grouping(category, reason) when 0 then 'reason' when 1 then 'category' else 'all' end as level, category, reason, count(*) as urls, count(distinct issuer_id) as issuers
+    from c group by grouping sets ((category, reason), (category), ())"""
+)
+def health_report(spark, sf):
+    """Classes, reasons and totals of checked pages."""
+    i, none = F.col("page_id"), F.lit(None).cast("string")
+    status = F.when(i % 5 == 0, 404).when(i % 5 == 1, 500).otherwise(200)
+    rows = t(spark, sf, "pages").select(urls.host(F.col("url")).alias("issuer_id"), "url", F.when(i % 7 == 0, "TIMEOUT").alias("error"), status.alias("status"), none.alias("phrase"), (i % 3 == 0).alias("moved"))
+    return reports.health_report(rows.withColumn("category", pages.health(F.col("error"), F.col("status"), F.col("phrase"), F.col("moved"))))
+
+
 @query(
     """select page_id, sha256(concat('main', case when page_id % 2 = 0 then '' else concat(chr(10), chr(10), '## FEES CHARGES', chr(10), repeat('f' || page_id, 200), chr(10), chr(10), '## BENEFITS', chr(10), repeat('b' || page_id, 200)) end)) as sha from pages"""
 )

@@ -3,7 +3,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tessera.functions import text
-from tessera.operators import changes, enrich, migrate, resolve, store
+from tessera.operators import changes, enrich, migrate, reports, resolve, store
 from tessera.operators.registry import Registry
 
 
@@ -93,3 +93,15 @@ def test_best_match_is_that_of_all_pairs(spark):
 def test_earliest_of_equals_may_be_told_by_page_and_place(spark):
     rows = [("a", "late", (2, 0)), ("a", "early", (1, 9))]
     assert resolve.fullest(spark.createDataFrame(rows, "card_id string, p string, seq struct<s:long,pos:int>")).first().p == "early"
+
+
+def test_health_records_and_report(spark):
+    rows = [("a", "A", ["http://a/x#1", "http://a/x#2", "http://a/y"], "http://a/x"), ("b", "B", None, None), ("c", "C", [None], "http://c/s")]
+    got = reports.health_records(spark.createDataFrame(rows, "issuer_id string, issuer_name string, list_urls array<string>, sitemap_url string")).collect()
+    assert sorted((r.issuer_id, r.url_type, r.url) for r in got) == [("a", "list_url", "http://a/x"), ("a", "list_url", "http://a/y"), ("a", "sitemap_url", "http://a/x"), ("c", "sitemap_url", "http://c/s")]
+    checked = [("a", "u1", "BROKEN", "TIMEOUT", 500, None), ("b", "u2", "BROKEN", None, 404, "not found"), ("b", "u3", "BROKEN", None, 200, "access denied"), ("b", "u4", "OK", None, 200, None), ("a", "u5", "OK", None, None, None)]
+    told = reports.health_report(spark.createDataFrame(checked, "issuer_id string, url string, category string, error string, status int, phrase string")).collect()
+    assert {(r.level, r.category, r.reason, r.urls, r.issuers) for r in told} == {
+        ("reason", "BROKEN", "TIMEOUT", 1, 1), ("reason", "BROKEN", "HTTP 404", 1, 1), ("reason", "BROKEN", "says: access denied", 1, 1), ("reason", "OK", None, 2, 2),
+        ("category", "BROKEN", None, 3, 2), ("category", "OK", None, 2, 2), ("all", None, None, 5, 2),
+    }
