@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,17 +67,48 @@ def relevant(blob: Column, keywords: tuple[str, ...]) -> Column:
     return F.exists(F.array(*[F.lit(k.lower()) for k in keywords]), lambda k: F.contains(F.lower(blob), k))
 
 
-def discovery(seeds: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
-    """(link, seed, anchor): relevant links of seed pages (seed_pos, url, html), the first ``LINKS_PER_SEED`` of each, then its inline mentions."""
-    harvested = seeds.select("seed_pos", F.col("url").alias("seed"), F.posexplode(F.slice(urls.links(F.col("html"), F.col("url")), 1, LINKS_PER_SEED)).alias("pos", "link"))
-    harvested = harvested.select("seed_pos", "seed", F.lit(0).alias("phase"), "pos", "link", F.lit("").alias("anchor"))
+def candidates(read: DataFrame, keywords: tuple[str, ...], most: int = LINKS_PER_SEED) -> DataFrame:
+    """(link, seed_pos, seed, at, phase, pos, anchor): relevant links of pages (seed_pos, seed, at, url, html, text).
+
+    A seed gives its first ``most`` links, pages in order of ``at``, and all inline mentions of its texts, which come after a page's links.
+    A page sends at most ``most`` links, a task at most ``most`` of a seed (the rank's limit is taken before the shuffle), so a seed that
+    links everything costs no task more than that. No keywords: nothing is relevant.
+    """
+    by = [F.col(c) for c in ("seed_pos", "seed", "at")]
+    links = read.select(*by, F.posexplode(F.slice(urls.links(F.col("html"), F.col("url")), 1, most)).alias("pos", "link"))
+    rank = F.row_number().over(Window.partitionBy("seed_pos").orderBy("at", "pos"))
+    links = links.withColumn("__rank", rank).where(F.col("__rank") <= most).drop("__rank").withColumns({"phase": F.lit(0), "anchor": F.lit("")})
     mention = rx(r"\[([^\]]{4,120})\]\((https?://[^)\s]+)\)")
-    both = F.arrays_zip(F.regexp_extract_all("html", F.lit(mention), F.lit(1)).alias("anchor"), F.regexp_extract_all("html", F.lit(mention), F.lit(2)).alias("link"))
-    inline = seeds.select("seed_pos", F.col("url").alias("seed"), F.posexplode(both).alias("pos", "m"))
-    inline = inline.select("seed_pos", "seed", F.lit(1).alias("phase"), "pos", F.col("m.link").alias("link"), F.col("m.anchor").alias("anchor"))
-    rows = harvested.unionByName(inline).where(relevant(F.concat_ws(" ", "link", "anchor"), keywords))
-    rank = F.row_number().over(Window.partitionBy("link").orderBy("seed_pos", "phase", "pos"))
-    return rows.withColumn("__rank", rank).where("__rank = 1").select("link", "seed", "anchor")
+    both = F.arrays_zip(F.regexp_extract_all("text", F.lit(mention), F.lit(1)).alias("anchor"), F.regexp_extract_all("text", F.lit(mention), F.lit(2)).alias("link"))
+    inline = read.select(*by, F.posexplode(both).alias("pos", "m")).select(*by, "pos", F.col("m.link").alias("link"), F.lit(1).alias("phase"), F.col("m.anchor").alias("anchor"))
+    rows = links.unionByName(inline).where(relevant(F.concat_ws(" ", "link", "anchor"), keywords) if keywords else F.lit(False))
+    rank = F.row_number().over(Window.partitionBy("link").orderBy("seed_pos", "at", "phase", "pos"))
+    return rows.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
+
+
+def discovery(seeds: DataFrame, keywords: tuple[str, ...], most: int = LINKS_PER_SEED) -> DataFrame:
+    """(link, seed, anchor): the candidates of seed pages (seed_pos, url, html), mentions read from the html as it stands."""
+    read = seeds.select("seed_pos", F.col("url").alias("seed"), F.array(F.lit(0)).alias("at"), "url", "html", F.col("html").alias("text"))
+    return candidates(read, keywords, most).select("link", "seed", "anchor")
+
+
+def scan(seeds: DataFrame, fetch: Callable[[DataFrame], DataFrame], keywords: tuple[str, ...], keep: Callable[[DataFrame, str], DataFrame], depth: int = 1, most: int = LINKS_PER_SEED) -> DataFrame:
+    """(link, seed, anchor, hop) found from seeds (seed_pos, url) in ``depth`` rounds: pages of a round's links are the next round's.
+
+    ``fetch(rows)`` gives (url, html, text) of rows (url), a join with stored pages or a connector; pages without an answer give nothing.
+    A link counts in the first round that finds it; no page is read twice. ``keep(df, name)`` writes each round, so that its pages are read once.
+    A round is a join, a capped harvest and an anti-join with what is known; nothing of it passes through the driver.
+    """
+    front = seeds.groupBy("url").agg(F.min("seed_pos").alias("seed_pos")).withColumns({"seed": F.col("url"), "at": F.array(F.lit(0))})
+    out, asked = None, seeds.select(F.col("url").alias("link"))
+    for hop in range(1, depth + 1):
+        fresh = candidates(front.join(fetch(front.select("url")), "url"), keywords, most)
+        if out is not None:
+            fresh = fresh.join(out.select("link"), "link", "left_anti")
+        fresh = keep(fresh.withColumn("hop", F.lit(hop)), f"hop-{hop}")
+        out = fresh if out is None else out.unionByName(fresh)
+        front = fresh.join(asked, "link", "left_anti").select("seed_pos", "seed", F.concat("at", F.array("phase", "pos")).alias("at"), F.col("link").alias("url"))
+    return out.select("link", "seed", "anchor", "hop")
 
 
 def to_fetch(frontier: DataFrame) -> DataFrame:

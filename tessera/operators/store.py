@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.urls import may_queue
+
 
 def upsert(old: DataFrame, new: DataFrame, key: str = "card_id", keep: tuple[str, ...] = ("first_seen_at",), fill_nulls: bool = False) -> DataFrame:
     """``new`` rows replace ``old`` ones of their key, but for ``keep``, which stay as first seen.
@@ -51,7 +53,24 @@ def publish(rows: DataFrame, path: str) -> None:
     rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "true"}).alias("value")).write.mode("overwrite").text(path)
 
 
-def write_url_lists(urls: DataFrame, path: str) -> None:
-    """One text file for each issuer: its distinct URLs in order."""
-    lists = urls.groupBy("issuer_id").agg(F.array_join(F.array_sort(F.collect_set("url")), "\n").alias("value"))
-    lists.repartition("issuer_id").write.mode("overwrite").partitionBy("issuer_id").text(path)
+def write_url_lists(urls: DataFrame, path: str, parts: int | None = None) -> None:
+    """A folder of text files for each issuer: its distinct URLs in order, over as many files as its range needs.
+
+    Rows are ranged by (issuer, URL), so an issuer of any size is spread over tasks, and its files, by name, follow each other.
+    Null issuers or URLs are left out.
+    """
+    rows = urls.select("issuer_id", "url").where("issuer_id is not null and url is not null").distinct()
+    ranged = rows.repartitionByRange(*([parts] if parts else []), "issuer_id", "url").sortWithinPartitions("issuer_id", "url")
+    ranged.select("issuer_id", F.col("url").alias("value")).write.mode("overwrite").partitionBy("issuer_id").text(path)
+
+
+def read_url_lists(spark: SparkSession, path: str) -> DataFrame:
+    """(issuer_id, url) of written lists; ids stay text. Order within an issuer is that of the URL."""
+    return spark.read.schema("value string, issuer_id string").text(path).select("issuer_id", F.col("value").alias("url"))
+
+
+def list_rows(lists: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Frontier rows of curated lists: URLs of issuers that the catalogue has, once each, comments and blank lines left out."""
+    rows = lists.withColumn("url", F.trim("url")).where((F.col("url") != "") & ~F.col("url").startswith("#") & may_queue(F.col("url")))
+    known = catalogue.select("issuer_id", F.col("name").alias("issuer_name"), F.col("type").alias("issuer_type"))
+    return rows.select("issuer_id", "url").distinct().join(known, "issuer_id").withColumn("is_listing", F.lit(False))

@@ -6,6 +6,7 @@ the SQL selects those columns: what goes in must come out.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,6 +16,7 @@ from tessera.functions import text, urls
 from tessera.operators import cascade, changes, enrich, extract, frontier, migrate, names, normalise, pages, reports, resolve, store
 from tessera.plans.resumable import ResumableRun
 from tessera.session import shared_folder
+from tessera.sources import fetching
 from tessera.streaming import ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -612,8 +614,92 @@ def purge_reasons(spark, sf):
 
 @query(f"select p_brand as issuer_id, count(distinct {_SLUG.format('p_name')}) as n, min({_SLUG.format('p_name')}) as first_url from part group by 1")
 def url_lists_by_issuer(spark, sf):
-    rows = t(spark, sf, "part").select(F.col("p_brand").alias("issuer_id"), text.slug(F.col("p_name")).alias("url")).distinct()
-    return rows.groupBy("issuer_id").agg(F.count(F.lit(1)).alias("n"), F.min("url").alias("first_url"))
+    """Lists written as sorted text files and read back."""
+    folder = shared_folder(spark, "url-lists")
+    store.write_url_lists(t(spark, sf, "part").select(F.col("p_brand").alias("issuer_id"), text.slug(F.col("p_name")).alias("url")), folder)
+    return store.read_url_lists(spark, folder).groupBy("issuer_id").agg(F.count(F.lit(1)).alias("n"), F.min("url").alias("first_url"))
+
+
+@query(
+    """with l as (select distinct page_id, regexp_extract(url, '^[a-z]+://[^/?#]+') || unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as link from pages)
+    select link, not regexp_matches(lower(link), '/(credit-cards?|debit-cards?|cards?|creditcard)/?$|add-on-card|block-lost|loststolen|compare|/faq|membership-kit|netbanking|/support|terms-and-cond|-calculator|/category|/(offers?|services?)$') as listed,
+    count(*) as pages from l group by 1"""
+)
+def links_for_lists(spark, sf):
+    """Links of all pages, and whether a curated list would take them."""
+    rows = frontier.harvest(t(spark, sf, "pages").select("page_id", "url", "html")).groupBy("link").agg(F.count(F.lit(1)).alias("pages"))
+    return rows.select("link", urls.may_list(F.col("link")).alias("listed"), "pages")
+
+
+# ── discovery and routes ──────────────────────────────────────────────────────────────────────────
+
+
+_HEX = "(instr('0123456789abcdef', substr(md5(url), {}, 1)) - 1)"
+
+
+def _made_site(url: str, headers: dict[str, str], timeout: float) -> tuple[int, str, str | None]:
+    """A transport without a network: the answer is told by the digest of the page's URL."""
+    asked, page = url.startswith("proxy/"), url.removeprefix("proxy/")
+    kind = int(hashlib.md5(page.encode()).hexdigest()[0 if asked else 1], 16) % (4 if asked else 3)
+    if kind == 3 or (not asked and kind == 2):
+        raise OSError("no answer")
+    if asked:
+        return [(200, f"# {page}", None), (503, "", None), (200, "Page Not Found", None)][kind]
+    return [(200, f"<p>{page}</p>", "tag"), (404, "", None)][kind]
+
+
+@query(
+    f"""with u as (select distinct url, regexp_extract(url, '://([^/:?#]+)', 1) as host from pages),
+    k as (select url, host in ('blog.tionsh.example.net', 'thther.example.org') as bypass, host like '%.example.org' as strict, {_HEX.format(1)} % 4 as p, {_HEX.format(2)} % 3 as d from u),
+    r as (select *, case when bypass then 'direct' when p = 0 or (strict and p <> 2) then 'proxy' else 'fallback' end as route from k)
+    select url, route, case when route = 'proxy' then p = 0 else d = 0 end as ok, cast(coalesce(case when route = 'proxy' then case p when 0 then 200 when 1 then 503 end else case d when 0 then 200 when 1 then 404 end end, 0) as bigint) as status_code,
+    case when route = 'proxy' and p = 0 then '# ' || url when route <> 'proxy' and d = 0 then url end as text from r"""
+)
+def routed_fetch(spark, sf):
+    """Every page's URL through the router, with a transport that answers by rule."""
+    folder = shared_folder(spark, "routes")
+    rows = t(spark, sf, "pages").select("url").distinct().withColumn("prefetched_html", F.lit(None).cast("string"))
+    got = fetching.routed(
+        rows, fetching.Proxy("proxy/", gap_s=0), fetching.Direct(gap_s=0, attempts=1), lambda df, name: _kept(df, f"{folder}/{name}"), _made_site,
+        bypass=("blog.tionsh.example.net", "thther.example.org"), strict=("example.org",),
+    )
+    return got.select("url", "route", "ok", long(F.coalesce("status_code", F.lit(0))).alias("status_code"), F.when(F.col("ok"), F.col("text")).alias("text"))
+
+
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_HOP = """select regexp_extract(url, '^[a-z]+://[^/?#]+') || unnest(h) as link, generate_subscripts(h, 1) as pos, {} from
+    (select *, regexp_extract_all(html, '<a href="([^"]*)"', 1) as h from {})"""
+_RANKED = """select * from (select *, row_number() over (partition by seed order by {0}, pos) as r from (select seed, {0}, link, min(pos) as pos from {1} group by all)) where r <= 60"""
+_WANTED = "regexp_matches(lower(link), 'an|the|qu')"
+
+
+@query(
+    f"""with s as (select url, min(page_id) as seed from pages group by 1), a as (select s.url, s.seed, 0 as ord, p.html from s join pages p on p.page_id = s.seed),
+    l1 as ({_HOP.format("seed, ord", "a")}), k1 as ({_RANKED.format("ord", "l1")}),
+    c1 as (select link, min_by(seed, seed * 1000 + pos) as seed, min_by(pos, seed * 1000 + pos) as ord from k1 where {_WANTED} group by 1),
+    f as (select c1.link as url, seed, ord, html from c1 join pages p on p.page_id = cast('0x' || substr(md5(c1.link), 1, 6) as int) % (select count(*) from pages) where c1.link not in (select url from s)),
+    l2 as ({_HOP.format("seed, ord", "f")}), k2 as ({_RANKED.format("ord", "l2")}),
+    c2 as (select link, min(seed) as seed from k2 where {_WANTED} and link not in (select link from c1) group by 1)
+    select link, s.url as seed, 1::bigint as hop from c1 join s using (seed) union all select link, s.url, 2 from c2 join s using (seed)"""
+)
+def discovery_scan(spark, sf):
+    """Two hops from all pages as seeds; a link that is no page of the table is answered by the page that its digest names."""
+    folder, rows = shared_folder(spark, "scan"), t(spark, sf, "pages")
+    total = rows.agg(F.count(F.lit(1)).alias("total"))
+    own = rows.groupBy("url").agg(F.min("page_id").alias("own"))
+
+    def answers(asked: DataFrame) -> DataFrame:
+        named = F.pmod(F.conv(F.substring(F.md5("url"), 1, 6), 16, 10).cast("long"), F.col("total"))
+        page = asked.join(own, "url", "left").join(F.broadcast(total)).select("url", F.coalesce("own", named).alias("page_id"))  # total is one row
+        return page.join(rows.select("page_id", "html"), "page_id").select("url", "html", F.lit("").alias("text"))
+
+    seeds = rows.select(F.col("page_id").alias("seed_pos"), "url")
+    found = frontier.scan(seeds, answers, ("an", "THE", "qu"), lambda df, name: _kept(df, f"{folder}/{name}"), depth=2)
+    return found.select("link", "seed", long("hop").alias("hop"))
 
 
 # ── streams (an extension) and the flagship ───────────────────────────────────────────────────────

@@ -1,18 +1,13 @@
-"""Reading the issuer catalogue, curated lists, sitemaps and state files, and the fetch connector."""
+"""Reading the issuer catalogue, curated lists, sitemaps, state files and what is scanned for new products."""
 
 from __future__ import annotations
 
-import random
-import time
-import urllib.request
-from collections.abc import Iterator
+from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import urls
-from tessera.functions.html import plain_text
 from tessera.functions.text import has
 
 ISSUERS = """issuer_id string, name string, type string, sitemap_url string, list_urls array<string>,
@@ -69,39 +64,24 @@ def json_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-#: Hosts that a reader proxy cannot render.
-DIRECT_HOSTS: tuple[str, ...] = ()
+@dataclass
+class Discovery:
+    """What is scanned for new products: seed pages in file order, words that make a link worth reading, and bounds."""
 
+    seeds: DataFrame
+    keywords: tuple[str, ...]
+    links_per_seed: int
+    depth: int
 
-def fetch(frontier: DataFrame, tasks: int, gap_s: float = 0.4, attempts: int = 2, timeout_s: float = 30.0, opener=urllib.request.urlopen) -> DataFrame:
-    """(url, text, html, status_code, etag, error): each task keeps a gap between its calls and backs off.
 
-    Rows are filtered before they come here; rows with ``prefetched_html`` are not fetched again.
-    """
-
-    def one(url: str) -> tuple:
-        for attempt in range(attempts):
-            try:
-                with opener(urllib.request.Request(url, headers={"User-Agent": "tessera"}), timeout=timeout_s) as got:
-                    return got.read().decode("utf-8", "replace"), got.status, got.headers.get("ETag"), None
-            except Exception as error:  # noqa: BLE001  a page that fails is a row, not the end of the run
-                said = f"{type(error).__name__}: {error}"
-                time.sleep(min(8.0, 2.0 * 2**attempt) * (0.5 + random.random() / 2) if attempt + 1 < attempts else 0)
-        return None, None, None, said
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            rows = []
-            for url, held in zip(batch["url"].to_pylist(), batch["prefetched_html"].to_pylist()):
-                if held is not None:
-                    rows.append((url, held, 200, None, None))
-                else:
-                    rows.append((url, *one(url)))
-                    time.sleep(gap_s)
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int32(), pa.string(), pa.string()))], names=["url", "html", "status_code", "etag", "error"])
+def discovery(spark: SparkSession, path: str) -> Discovery:
+    """The discovery file: YAML with ``sources``, ``keywords`` and ``crawl`` (max_pages_per_source, max_depth)."""
+    import yaml
 
-    got = frontier.select("url", "prefetched_html").repartition(tasks, "url").mapInArrow(run, "url string, html string, status_code int, etag string, error string")
-    return got.withColumn("text", plain_text(F.col("html"))).withColumn("ok", F.col("html").isNotNull() & F.col("error").isNull())
+    found = yaml.safe_load(spark.read.text(path, wholetext=True).first().value) or {}  # one small configuration file
+    crawl = found.get("crawl") or {}
+    seeds = spark.createDataFrame([(at, u) for at, u in enumerate(found.get("sources") or [])], "seed_pos long, url string")
+    return Discovery(seeds, tuple(found.get("keywords") or ()), crawl.get("max_pages_per_source", 60), crawl.get("max_depth", 1))
 
 
 def with_root(rows: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import frontier
 from tessera.plans.batch import run_batch
-from tessera.sources import catalog
+from tessera.sources import catalog, fetching
 
 
 def test_url_lists(spark, tmp_path):
@@ -25,11 +25,11 @@ def test_sitemap(spark):
 
 
 def test_fetch_keeps_prefetched_and_reports_errors(spark):
-    def opener(request, timeout):
+    def transport(url, headers, timeout):
         raise OSError("down")
 
     rows = spark.createDataFrame([("http://a", "<p>held</p>"), ("http://b", None)], "url string, prefetched_html string")
-    got = {r.url: r for r in catalog.fetch(rows, 2, gap_s=0, attempts=1, opener=opener).collect()}
+    got = {r.url: r for r in fetching.fetch(rows, fetching.Direct(gap_s=0, attempts=1), transport, 2).collect()}
     assert got["http://a"].ok and got["http://a"].text == "held"
     assert not got["http://b"].ok and "down" in got["http://b"].error
 
