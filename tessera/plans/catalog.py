@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text, urls
 from tessera.operators import cascade, changes, enrich, extract, frontier, migrate, names, normalise, pages, reports, resolve, store
+from tessera.plans import daily
 from tessera.plans.resumable import ResumableRun
 from tessera.session import shared_folder
 from tessera.sources import fetching
@@ -702,6 +703,30 @@ def discovery_scan(spark, sf):
     return found.select("link", "seed", long("hop").alias("hop"))
 
 
+@query(
+    """select 'sup_' || s_suppkey as issuer_id, cast(500 + s_suppkey % 50 * 10 + case when s_nationkey < 5 then 100 else 0 end as double) as annual_fee, 't1' as first_seen,
+    case when s_nationkey < 5 then 't2' else 't1' end as last_scraped, case when s_nationkey < 5 then 'devaluation' end as change_type from supplier"""
+)
+def daily_run(spark, sf):
+    """Two daily runs over a page of each supplier; on the second day some pages state a higher fee."""
+    rows = t(spark, sf, "supplier").join(F.broadcast(t(spark, sf, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))  # 25 nations
+    key = F.col("s_suppkey").cast("string")
+    rows = rows.select(
+        F.concat(F.lit("https://s"), key, F.lit(".example/cards/gold")).alias("url"), F.concat(F.lit("sup_"), key).alias("issuer_id"), F.concat(F.lit("Issuer "), key).alias("issuer_name"),
+        F.lit(False).alias("is_listing"), *[F.lit(None).cast("string").alias(c) for c in ("force_card_name", "force_category", "force_network", "prefetched_html")],
+        F.lit(False).alias("is_discovery"), long("s_suppkey").alias("seq"), F.initcap("n_name").alias("name"), "s_nationkey",
+    )
+    versions = daily.Versions(spark, shared_folder(spark, "daily"))
+    for run_ts, rise in (("t1", 0), ("t2", 100)):
+        fee = F.lit(500) + F.col("seq") % 50 * 10 + F.when(F.col("s_nationkey") < 5, rise).otherwise(0)
+        body = F.concat(F.lit("# "), "name", F.lit(" Gold Credit Card\nA Visa credit card. Annual fee: ₹"), fee.cast("string"), F.lit(".\n" + "More about this product. " * 10))
+        served = rows.select("url", body.alias("text"), F.lit(None).cast("string").alias("etag"), F.lit(True).alias("ok"))
+        daily.run_daily(versions, rows.drop("name", "s_nationkey"), lambda asked, served=served: asked.join(served, "url").withColumn("html", F.col("text")), run_ts)
+    changed = versions.read("changes").select("card_id", "change_type")
+    out = versions.read("cards").join(changed, "card_id", "left")
+    return out.select("issuer_id", F.col("fees.annual_fee_inr").alias("annual_fee"), F.col("first_seen_at").alias("first_seen"), F.col("last_scraped_at").alias("last_scraped"), "change_type")
+
+
 # ── streams (an extension) and the flagship ───────────────────────────────────────────────────────
 
 
