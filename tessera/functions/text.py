@@ -15,13 +15,18 @@ def let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def nonempty(text: Column) -> Column:
+    """Null for the empty text. Unlike ``nullif``, which inside a lambda computes its text twice, it computes it once."""
+    return let(text, lambda t: F.when(t != "", t))
+
+
 def has(text: Column, pattern: str, flags: str = "i") -> Column:
     return text.rlike(rx(pattern, flags))
 
 
 def first(text: Column, pattern: str, group: int = 1, flags: str = "i") -> Column:
     """The group in the first match; null where nothing, or nothing in the group, matched."""
-    return F.nullif(F.regexp_extract(text, rx(pattern, flags), group), F.lit(""))
+    return nonempty(F.regexp_extract(text, rx(pattern, flags), group))
 
 
 def every(text: Column, pattern: str, group: int = 1, flags: str = "i") -> Column:
@@ -34,7 +39,7 @@ def replace(text: Column, pattern: str, by: str = "", flags: str = "i") -> Colum
 
 def filled(text: Column) -> Column:
     """Null for blank text."""
-    return F.nullif(F.trim(text), F.lit(""))
+    return nonempty(F.trim(text))
 
 
 #: Units of Indian amounts.
@@ -46,14 +51,13 @@ def number(text: Column, unit: Column | None = None) -> Column:
     value = F.regexp_replace(text, "[^0-9.]", "").try_cast("double")
     if unit is None:
         return value
-    unit = F.coalesce(unit, F.lit(""))
-    return value * F.when(has(unit, r"\b(lakh|lac)"), float(LAKH)).when(has(unit, r"\b(crore|cr\b)"), float(CRORE)).otherwise(1.0)
+    return value * let(unit, lambda u: F.when(has(u, r"\b(lakh|lac)"), float(LAKH)).when(has(u, r"\b(crore|cr\b)"), float(CRORE)).otherwise(1.0))
 
 
 def slug(text: Column, sep: str = "-", empty: str | None = "unknown") -> Column:
     """Lower-case runs of a-z and 0-9 joined by ``sep``."""
     out = F.array_join(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+"), lambda x: x != ""), sep)
-    out = F.nullif(out, F.lit(""))
+    out = nonempty(out)
     return out if empty is None else F.coalesce(out, F.lit(empty))
 
 

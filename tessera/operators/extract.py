@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import INVITATIONS, clauses, every, filled, first, has, let, number, replace, rx, slug, snippet
+from tessera.functions.text import INVITATIONS, clauses, every, filled, first, has, let, nonempty, number, replace, rx, slug, snippet
 from tessera.operators import names
 from tessera.operators.card_schema import CARD
 
@@ -52,7 +52,7 @@ def says(clause: Column, *classes: tuple[str, ...]) -> Column:
 
 def behind(clause: Column, words: tuple[str, ...]) -> Column:
     """What stands behind the first of the words; null without one."""
-    return F.nullif(F.regexp_extract(clause, rf"(?is){_any(words)}(.*)", 1), F.lit(""))
+    return nonempty(F.regexp_extract(clause, rf"(?is){_any(words)}(.*)", 1))
 
 
 def _money(marked: bool) -> str:
@@ -63,7 +63,7 @@ def _money(marked: bool) -> str:
 def rupees(text: Column, marked: bool = True) -> Column:
     """The first amount of a text in rupees, lakh and crore applied; ``marked``: only with the currency's sign or name."""
     pattern = f"(?i){_money(marked)}"
-    return number(F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")), F.regexp_extract(text, pattern, 2))
+    return number(F.regexp_extract(text, pattern, 1), F.regexp_extract(text, pattern, 2))
 
 
 def percent(text: Column) -> Column:
@@ -147,7 +147,7 @@ def _fees(held: Column) -> Column:
             cash_advance_fee_pct=rate(ADVANCE),
             finance_charge_pct_mo=rate(INTEREST),
             fx_markup_pct=markup,
-            fuel_surcharge_waiver=F.nullif(snippet(fuel), F.lit("")),
+            fuel_surcharge_waiver=nonempty(snippet(fuel)),
             gst_extra=_flag(F.exists(held, lambda c: says(c, TAX) & (says(c, TAXED) | has(c, r"\+\s*gst\b")))),
         ),
     )
@@ -264,7 +264,7 @@ def _rewards(held: Column, issuer: Column, point: Column, earned: Column) -> Col
     flat = _found(held, lambda c: F.when(says(c, ("cashback", "cash back"), ("all.",)), percent(c)))
     based = F.try_element_at(F.filter(earned, lambda e: e["base"]), F.lit(1))["c"]["rate_pct"]
     base_rate = F.coalesce(F.nullif(based, F.lit(0.0)), flat, based)
-    unit = F.nullif(F.try_element_at(earned, F.lit(1))["unit"], F.lit(""))
+    unit = nonempty(F.try_element_at(earned, F.lit(1))["unit"])
     named = _found(held, lambda c: first(c, r"\b((?:reward|edge|indus|membership|kotak|cred|1fc|scapia)\s*(?:points?|miles?|coins?|rewards?)|cashback|neucoins)\b"))
     title = lambda c: F.initcap(replace(c, r"\s+", " "))
     currency = F.coalesce(F.when(~has(unit, "cash"), title(unit)), title(named), _by_issuer(issuer, CURRENCIES), F.when(flat.isNotNull(), "Cashback"))
@@ -304,7 +304,7 @@ def milestones(md: Column, held: Column | None = None) -> Column:
 
     def one(c: Column) -> Column:
         period = F.when(says(c, ("month",)), "monthly").when(says(c, QUARTER), "quarterly").when(says(c, ("annual", "year")), "annual")
-        reward = F.coalesce(F.nullif(snippet(behind(c, ("get.", "earn", "receive", "enjoy", "unlock"))), F.lit("")), snippet(behind(c, gains)))
+        reward = F.coalesce(nonempty(snippet(behind(c, ("get.", "earn", "receive", "enjoy", "unlock")))), snippet(behind(c, gains)))
         return F.struct(rupees(behind(c, SPENT), False).alias("spend_inr"), reward.alias("reward"), F.lit(None).cast("double").alias("value_inr"), period.alias("period"))
 
     told = F.transform(_spoken(_cut(md, held), SPENT, gains), one)

@@ -16,7 +16,7 @@ from tessera.functions import text, urls
 from tessera.operators import cascade, changes, enrich, extract, frontier, migrate, names, normalise, pages, reports, resolve, store
 from tessera.plans import daily
 from tessera.plans.resumable import ResumableRun
-from tessera.session import shared_folder
+from tessera.session import shared_folder, spread
 from tessera.sources import fetching
 from tessera.streaming import ledger
 
@@ -286,7 +286,7 @@ def extract_fees(spark, sf):
         F.lit("\nAnnual fee (2nd year onwards): ₹"), (size * 100).cast("string"), F.lit("\nFee waived on annual spends of ₹"), size.cast("string"),
         F.lit(" lakh\nForex markup of "), (size % 10 + 1).cast("string"), F.lit("% applies"),
     )
-    rows = t(spark, sf, "part").select("p_partkey", extract.fees(md).alias("f"))
+    rows = spread(t(spark, sf, "part"), "p_partkey").select("p_partkey", extract.fees(md).alias("f"))
     return rows.select("p_partkey", F.round("f.joining_fee_inr", 2).alias("joining"), F.col("f.annual_fee_inr").alias("annual"), F.col("f.fee_waiver_spend_inr").alias("waiver"), F.col("f.fx_markup_pct").alias("fx"), F.coalesce("f.gst_extra", F.lit(False)).alias("gst"))
 
 
@@ -301,7 +301,7 @@ def extract_lounge(spark, sf):
         F.lit(".\n" + "-" * 100 + "\n"), (size % 5 + 1).cast("string"), F.lit(" international lounge visits with "), F.when(size % 2 == 0, "Priority Pass").otherwise("DreamFolks"),
         F.when(size > 25, "\nOne guest is free").otherwise(""),
     )
-    rows = t(spark, sf, "part").select("p_partkey", extract.lounge(md).alias("l"))
+    rows = spread(t(spark, sf, "part"), "p_partkey").select("p_partkey", extract.lounge(md).alias("l"))
     return rows.select("p_partkey", long("l.domestic_visits_year").alias("domestic"), long("l.international_visits_year").alias("international"), F.col("l.program").alias("program"), F.coalesce("l.guest_allowed", F.lit(False)).alias("guest"))
 
 
@@ -315,7 +315,7 @@ def extract_insurance_and_eligibility(spark, sf):
         F.lit("Air accident cover of ₹"), (k % 90 + 10).cast("string"), F.lit(" lakh.\nLost card liability Rs "), (k * 10).cast("string"), F.lit(".\nMinimum age: "), (18 + k % 10).cast("string"),
         F.lit("\nNet monthly income ₹"), ((k % 50 + 5) * 1000).cast("string"), F.when(k % 2 == 0, "\nFor salaried people").otherwise(""),
     )
-    rows = t(spark, sf, "customer").select("c_custkey", extract.insurance(md).alias("i"), extract.eligibility(md).alias("e"))
+    rows = spread(t(spark, sf, "customer"), "c_custkey").select("c_custkey", extract.insurance(md).alias("i"), extract.eligibility(md).alias("e"))
     return rows.select("c_custkey", F.col("i.air_accident_inr").alias("air"), F.col("i.lost_card_inr").alias("lost"), long("e.min_age").alias("min_age"), F.col("e.min_income_inr_year").alias("income"), F.coalesce("e.salaried", F.lit(False)).alias("salaried"))
 
 
@@ -327,7 +327,32 @@ def extract_identity(spark, sf):
     size = F.col("p_size")
     pick = lambda n, *words: F.element_at(F.array(*[F.lit(w) for w in words]), (size % n + 1).cast("int"))
     md = F.concat(pick(5, "super premium", "premium", "student", "entry level", "plain"), F.lit(" "), pick(3, "debit card", "credit card", "forex card"), F.lit(" on "), pick(4, "VISA", "Mastercard", "rupay", "American Express"), F.lit(" " * 60))
-    return t(spark, sf, "part").select("p_partkey", extract.network(md).alias("network"), extract.category(md, F.lit("https://x/cards")).alias("category"), extract.segment(md).alias("segment"))
+    return spread(t(spark, sf, "part"), "p_partkey").select("p_partkey", extract.network(md).alias("network"), extract.category(md, F.lit("https://x/cards")).alias("category"), extract.segment(md).alias("segment"))
+
+
+@query(
+    """with m as (select o_orderkey, o_orderkey % 8 as k, format('{:,}', o_orderkey % 90 * 100 + 100) as a, format('{:,}', o_orderkey % 70 * 1000 + 1000) as b, cast(o_orderkey % 9 + 1 as varchar) as n from orders),
+    p as (select o_orderkey, case k when 0 then 'Joining fee of Rs. ' || a || ' is waived if you spend Rs. ' || b || ' in 90 days.' when 1 then 'Annual fee ₹' || a || ', reversed on spends of ₹' || b
+        when 2 then 'On annual spends of ₹' || n || ' lakh, annual fee of ₹' || a || ' is waived' when 3 then 'Joining fee ₹' || a || ' and annual fee ₹' || b when 4 then 'Joining fee nil, renewal fee ₹' || a
+        when 5 then 'Annual fee waived on spending ' || n || ' crore' when 6 then 'No joining fee' else 'Earn 4X points. Annual spends get ₹' || a || ' cashback' end as said from m),
+    f as (select o_orderkey, said, regexp_extract(said, '(?i)joining fee (?:of )?(?:Rs. |₹)([0-9,]+)', 1) as j, regexp_extract(said, '(?i)annual fee (?:of )?₹([0-9,]+)', 1) as y, regexp_extract(said, '(?i)renewal fee ₹([0-9,]+)', 1) as r,
+        case when regexp_matches(said, 'waived|reversed') then regexp_extract(said, 'spend(?:s of|ing)? (?:Rs. |₹)?([0-9,]+)', 1) else '' end as w, regexp_extract(said, '[0-9] (lakh|crore)', 1) as unit from p)
+    select o_orderkey, coalesce(try_cast(replace(j, ',', '') as double), case when regexp_matches(said, '(?i)no joining fee|joining fee nil') then 0 end) as joining, try_cast(replace(y, ',', '') as double) as annual,
+    try_cast(replace(r, ',', '') as double) as renewal, try_cast(replace(w, ',', '') as double) * case unit when 'lakh' then 100000 when 'crore' then 10000000 else 1 end as waiver_spend from f"""
+)
+def extract_stated_fees(spark, sf):
+    """Fees beside waivers, spends and other amounts in eight ways of saying it; the SQL reads the same texts with patterns of its own."""
+    key, as_text = F.col("o_orderkey"), lambda c: F.format_number(c, 0)
+    a, b, n = as_text(key % 90 * 100 + 100), as_text(key % 70 * 1000 + 1000), (key % 9 + 1).cast("string")
+    ways = (
+        ("Joining fee of Rs. ", a, " is waived if you spend Rs. ", b, " in 90 days."), ("Annual fee ₹", a, ", reversed on spends of ₹", b), ("On annual spends of ₹", n, " lakh, annual fee of ₹", a, " is waived"),
+        ("Joining fee ₹", a, " and annual fee ₹", b), ("Joining fee nil, renewal fee ₹", a), ("Annual fee waived on spending ", n, " crore"), ("No joining fee",), ("Earn 4X points. Annual spends get ₹", a, " cashback"),
+    )
+    texts = [F.concat(*[F.lit(x) if isinstance(x, str) else x for x in way]) for way in ways]
+    md = F.element_at(F.array(*texts), (key % 8 + 1).cast("int"))
+    rows = spread(t(spark, sf, "orders"), "o_orderkey").select("o_orderkey", extract.fees(md).alias("f"))
+    names_of = {"joining": "joining_fee_inr", "annual": "annual_fee_inr", "renewal": "renewal_fee_inr", "waiver_spend": "fee_waiver_spend_inr"}
+    return rows.select("o_orderkey", *[F.col("f")[field].alias(name) for name, field in names_of.items()])
 
 
 @query(
@@ -336,7 +361,7 @@ def extract_identity(spark, sf):
 def extract_rewards(spark, sf):
     size = F.col("p_size")
     md = F.concat(F.lit("Earn "), size.cast("string"), F.lit(" reward points per ₹150 on all spends.\n"), (size % 7 + 2).cast("string"), F.lit("% cashback on Swiggy.\nPoints valid for "), (size % 30 + 6).cast("string"), F.lit(" months from accrual"))
-    rows = t(spark, sf, "part").select("p_partkey", extract.rewards(md, F.lit("hdfc")).alias("r"))
+    rows = spread(t(spark, sf, "part"), "p_partkey").select("p_partkey", extract.rewards(md, F.lit("hdfc")).alias("r"))
     return rows.select("p_partkey", F.col("r.base_rate_pct").alias("base_rate"), F.col("r.accelerated")[0]["rate_pct"].alias("swiggy_rate"), F.col("r.currency").alias("currency"), long("r.expiry_months").alias("expiry"))
 
 
@@ -348,7 +373,7 @@ def extract_milestones_and_highlights(spark, sf):
     per = F.when(k % 3 == 0, "month").when(k % 3 == 1, "quarter").otherwise("year")
     line = F.concat(F.lit("Spend ₹"), (k % 9 + 1).cast("string"), F.lit(" lakh in a "), per, F.lit(" and get a gift voucher of worth"))
     md = F.concat(line, F.lit(".\n"), line, F.lit(".\n- 5% cashback on fuel\n* 5% Cashback on fuel\n1. Free golf games\n- nothing here"))
-    rows = t(spark, sf, "orders").select("o_orderkey", extract.milestones(md).alias("m"), extract.highlights(md).alias("h"))
+    rows = spread(t(spark, sf, "orders"), "o_orderkey").select("o_orderkey", extract.milestones(md).alias("m"), extract.highlights(md).alias("h"))
     return rows.select("o_orderkey", F.col("m")[0]["spend_inr"].alias("spend"), F.col("m")[0]["period"].alias("period"), long(F.size("h")).alias("n_highlights"), long(F.size("m")).alias("n_milestones"))
 
 
@@ -358,7 +383,7 @@ def extract_milestones_and_highlights(spark, sf):
 def extract_perks_and_offers(spark, sf):
     size = F.col("p_size")
     md = F.concat(F.when(size % 2 == 0, "Play golf").otherwise("A day at the spa"), F.lit(" every year\n[Apply now](https://x.y/apply/"), F.col("p_partkey"), F.lit(")\n"), F.when(size % 3 == 0, "Order on Swiggy at a 20% discount").otherwise(""))
-    rows = t(spark, sf, "part").select("p_partkey", extract.perks(md).alias("p"), extract.partner_offers(md).alias("o"), extract.apply_url(md).alias("apply_url"))
+    rows = spread(t(spark, sf, "part"), "p_partkey").select("p_partkey", extract.perks(md).alias("p"), extract.partner_offers(md).alias("o"), extract.apply_url(md).alias("apply_url"))
     return rows.select("p_partkey", F.col("p")[0]["kind"].alias("perk"), F.col("o")[0]["partner"].alias("partner"), "apply_url")
 
 
@@ -408,7 +433,7 @@ def grounded_names(spark, sf):
 
 def _made_cards(spark, sf):
     """Product pages made of parts, through the whole extractor."""
-    p, size = t(spark, sf, "part"), F.col("p_size")
+    p, size = spread(t(spark, sf, "part"), "p_partkey"), F.col("p_size")
     md = F.concat(
         F.lit("# "), F.initcap("p_name"), F.lit(" Credit Card\nA Visa credit card.\nAnnual fee: ₹"), (size * 100).cast("string"), F.lit(".\nEarn "), size.cast("string"),
         F.lit(" reward points per ₹100 on all spends\n4 domestic lounge visits per quarter with Priority Pass\nPlay golf\nSpend ₹3 lakh in a year and get a voucher of ₹2000"),

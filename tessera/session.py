@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(name: str = "tessera", **conf: str) -> SparkSession:
@@ -28,3 +28,13 @@ def shared_folder(spark: SparkSession, tag: str) -> str:
     if not base and not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{base.rstrip('/') if base else 'file://' + tempfile.mkdtemp(prefix='tessera-')}/{tag}-{uuid.uuid4().hex}"
+
+
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """A scanned table dealt to all cores by its keys if it has fewer splits than that, else as it is.
+
+    For work on a row that costs far more than to shuffle it, such as extraction: a small file is one split, and
+    one task would do all of it. A table of many splits, as at scale, is never shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
