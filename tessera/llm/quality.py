@@ -1,13 +1,15 @@
 """Operator 9: a document quality classifier by attention-based multiple-instance learning.
 
-A document is a bag of passages. Each passage is described by shares of characters and words, encoded by one
-layer, and weighted by gated attention; the weighted sum of a bag's encodings gives the document's score. Only
-document labels are used to learn the weights. Scoring is one narrow pass with a model of a few kilobytes.
+A document is a bag of passages. Each passage is described by its words, whole and by their first and last three
+bytes, and by shares of characters and words. One layer encodes it: the mean of learned embeddings of its hashed words
+and edges, added to the layer over the shares. Gated attention weights the passages, and the weighted sum of a bag's
+encodings gives the document's score. Only document labels are used to learn the weights. Scoring is one narrow pass
+with a model of about a hundred kilobytes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,15 +28,47 @@ _CLASS_OF = np.full(256, len(_CLASSES), np.uint8)
 for _i, _chars in enumerate(_CLASSES):
     _CLASS_OF[np.frombuffer(_chars, np.uint8)] = _i
 N_FEATURES = len(_CLASSES) + 10
+#: Embeddings are kept for 2 ** BUCKET_BITS hashed words and edges of words; EDGES is what a word gives.
+BUCKET_BITS, EDGES = 10, 3
+#: Passages whose words are counted in one matrix (4 KB a passage) when texts are scored.
+BLOCK = 2048
 
 
-def passage_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(features of all passages, number of passages of each text). A text without words is one passage of zeros."""
+@dataclass
+class Passages:
+    """Passages of many texts: shares of each, number of passages of each text, hashed words and number of them in each passage."""
+
+    shares: np.ndarray
+    parts: np.ndarray
+    buckets: np.ndarray
+    sizes: np.ndarray
+
+    def bags(self, dtype: type = np.float32) -> Iterator[np.ndarray]:
+        """Shares of the buckets in each passage, ``BLOCK`` passages at a time."""
+        width, past = 1 << BUCKET_BITS, np.concatenate(([0], np.cumsum(self.sizes)))
+        for at in range(0, len(self.sizes), BLOCK):
+            sizes = self.sizes[at : at + BLOCK]
+            key = np.repeat(np.arange(len(sizes)) * width, sizes) + self.buckets[past[at] : past[at + len(sizes)]]
+            counts = np.bincount(key, minlength=len(sizes) * width).reshape(-1, width)
+            yield (counts / np.maximum(sizes, 1)[:, None]).astype(dtype)
+
+
+def _hashed(words: Words) -> np.ndarray:
+    """Buckets of every word, its first and its last three bytes, word by word."""
+    back = lambda k: words.data[np.maximum(words.end - k, words.start)].astype(np.uint64)
+    last = back(1) | back(2) << np.uint64(8) | back(3) << np.uint64(16)
+    keys = np.stack([words.hash, (words.low & np.uint64(0xFFFFFF)) | np.uint64(1 << 24), last | np.uint64(1 << 25)], axis=1)
+    return (mix64(keys.reshape(-1)) >> np.uint64(64 - BUCKET_BITS)).astype(np.uint16)
+
+
+def passages(texts: list[bytes]) -> Passages:
+    """All passages of the texts. A text without words is one passage of zeros."""
     words = Words(texts, lower=False)
     n = len(words.start)
     parts = np.maximum(1, -(-words.count // PASSAGE_WORDS))
     first_part = np.cumsum(parts) - parts
     out = np.zeros((int(parts.sum()), N_FEATURES), np.float32)
+    sizes, buckets = np.zeros(len(out), np.int64), np.empty(0, np.uint16)
     if n:
         first_word = np.cumsum(words.count) - words.count
         within = np.arange(n) - first_word[words.doc]
@@ -43,6 +77,7 @@ def passage_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         rows = part[head]
         per = np.diff(np.append(head, n))
         start, end = words.start[head], words.end[np.append(head[1:], n) - 1]
+        sizes[rows], buckets = per * EDGES, _hashed(words)
         size = (end - start).astype(np.float64)
         kinds = _CLASS_OF[words.data]
         for k in range(len(_CLASSES)):
@@ -74,22 +109,23 @@ def passage_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         out[rows, f + 7] = per / PASSAGE_WORDS
         out[rows, f + 8] = np.log1p(words.count[words.doc[head]]) / 8
         out[rows, f + 9] = 1
-    return out, parts
+    return Passages(out, parts, buckets, sizes)
 
 
 @dataclass
 class Attention:
-    """tanh encoder, gated attention (tanh branch times sigmoid branch), logistic output."""
+    """tanh encoder of shares and embedded words, gated attention (tanh branch times sigmoid branch), logistic output."""
 
     mean: np.ndarray
     scale: np.ndarray
     w: list[np.ndarray]
 
-    def _forward(self, x: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, ...]:
-        w1, b1, v, u, g, c, c0 = self.w
+    def _forward(self, x: np.ndarray, said: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``said``: the summed embeddings of each passage."""
+        w1, b1, v, u, g, c, c0, _ = self.w
         at = np.cumsum(parts) - parts
         bag = np.repeat(np.arange(len(parts)), parts)
-        h = np.tanh((x - self.mean) / self.scale @ w1 + b1)
+        h = np.tanh((x - self.mean) / self.scale @ w1 + said + b1)
         t, s = np.tanh(h @ v), 1 / (1 + np.exp(-h @ u))
         e = (t * s) @ g
         e = np.exp(e - np.maximum.reduceat(e, at)[bag])
@@ -97,12 +133,15 @@ class Attention:
         z = np.add.reduceat(a[:, None] * h, at)
         return h, t, s, a, z, 1 / (1 + np.exp(-(z @ c + c0))), at, bag
 
-    def score(self, x: np.ndarray, parts: np.ndarray) -> np.ndarray:
-        return self._forward(x.astype(np.float64), parts)[5]
+    def _said(self, bags: Iterable[np.ndarray]) -> np.ndarray:
+        return np.concatenate([b @ self.w[7].astype(b.dtype) for b in bags])
+
+    def score(self, found: Passages, dtype: type = np.float32) -> np.ndarray:
+        return self._forward(found.shares.astype(np.float64), self._said(found.bags(dtype)), found.parts)[5]
 
-    def gradient(self, x: np.ndarray, parts: np.ndarray, y: np.ndarray, decay: float) -> list[np.ndarray]:
-        w1, b1, v, u, g, c, c0 = self.w
-        h, t, s, a, z, p, at, bag = self._forward(x, parts)
+    def gradient(self, x: np.ndarray, bags: list[np.ndarray], parts: np.ndarray, y: np.ndarray, decay: float) -> list[np.ndarray]:
+        w1, b1, v, u, g, c, c0, _ = self.w
+        h, t, s, a, z, p, at, bag = self._forward(x, self._said(bags), parts)
         d = (p - y) / len(y)
         dz = d[:, None] * c
         da = (dz[bag] * h).sum(1)
@@ -110,31 +149,35 @@ class Attention:
         dt, ds = de[:, None] * g * s * (1 - t * t), de[:, None] * g * t * s * (1 - s)
         dh = a[:, None] * dz[bag] + dt @ v.T + ds @ u.T
         dh *= 1 - h * h
-        grads = [((x - self.mean) / self.scale).T @ dh, dh.sum(0), h.T @ dt, h.T @ ds, (t * s).T @ de, z.T @ d, np.array(d.sum())]
+        embedded = sum(b.T @ dh[i * BLOCK : (i + 1) * BLOCK].astype(b.dtype) for i, b in enumerate(bags))
+        grads = [((x - self.mean) / self.scale).T @ dh, dh.sum(0), h.T @ dt, h.T @ ds, (t * s).T @ de, z.T @ d, np.array(d.sum()), embedded]
         return [x + decay * w for x, w in zip(grads, self.w)]
 
 
-def fit(x: np.ndarray, parts: np.ndarray, y: np.ndarray, width: int = 16, rounds: int = 200, rate: float = 0.03, decay: float = 1e-4, seed: int = 7) -> Attention:
-    """Full-batch Adam from a seeded start; the same sample gives the same model."""
+def fit(found: Passages, y: np.ndarray, width: int = 16, rounds: int = 200, rate: float = 0.03, decay: float = 1e-4, seed: int = 7, dtype: type = np.float32) -> Attention:
+    """Full-batch Adam from a seeded start, embeddings from zero; the same sample gives the same model.
+
+    The words of the sample are held as one matrix row of 4 KB a passage.
+    """
     rng = np.random.default_rng(seed)
-    x = x.astype(np.float64)
+    x, bags = found.shares.astype(np.float64), list(found.bags(dtype))
     mean, scale = x.mean(0), x.std(0) + 1e-3
     start = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape)
-    model = Attention(mean, scale, [start(x.shape[1], width), np.zeros(width), start(width, width), start(width, width), start(width), start(width), np.array(0.0)])
+    model = Attention(mean, scale, [start(x.shape[1], width), np.zeros(width), start(width, width), start(width, width), start(width), start(width), np.array(0.0), np.zeros((1 << BUCKET_BITS, width))])
     first, second = ([np.zeros_like(w) for w in model.w] for _ in range(2))
     for step in range(1, rounds + 1):
-        for i, grad in enumerate(model.gradient(x, parts, y, decay)):
+        for i, grad in enumerate(model.gradient(x, bags, found.parts, y, decay)):
             first[i] = 0.9 * first[i] + 0.1 * grad
             second[i] = 0.999 * second[i] + 0.001 * grad * grad
             model.w[i] = model.w[i] - rate * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
     return model
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features, passages and labels of at most ``sample`` labelled documents outside the held-out fifth.
+def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Passages, np.ndarray]:
+    """Passages and labels of at most ``sample`` labelled documents outside the held-out fifth.
 
     The sample is chosen by a digest of the id, so it is the same at every run; ``sample`` bounds what is
-    broadcast (ids) and what reaches the driver (a few hundred bytes a passage). An id labelled more than once
+    broadcast (ids) and what reaches the driver (about 500 bytes a passage). An id labelled more than once
     counts once, as good if any of its labels says so.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & (crc_mod("doc_id", 5) != 0))
@@ -143,28 +186,30 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches(it):
-            x, parts = passage_features(byte_texts(table["text"]))
-            at = np.cumsum(parts) - parts
-            blobs = [x[a : a + n].tobytes() for a, n in zip(at.tolist(), parts.tolist())]
-            yield pa.RecordBatch.from_arrays([table["doc_id"].combine_chunks(), table["quality"].combine_chunks().cast(pa.int32()), pa.array(blobs, pa.binary())], names=["doc_id", "quality", "x"])
+            found = passages(byte_texts(table["text"]))
+            ends = np.cumsum(found.parts)
+            past = np.concatenate(([0], np.cumsum(found.sizes)))
+            rows = list(zip((ends - found.parts).tolist(), ends.tolist()))
+            blobs = [[found.shares[a:b].tobytes() for a, b in rows], [found.buckets[past[a] : past[b]].tobytes() for a, b in rows], [found.sizes[a:b].tobytes() for a, b in rows]]
+            yield pa.RecordBatch.from_arrays([table["doc_id"].combine_chunks(), table["quality"].combine_chunks().cast(pa.int32()), *[pa.array(b, pa.binary()) for b in blobs]], names=["doc_id", "quality", "x", "buckets", "sizes"])
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").mapInArrow(run, "doc_id long, quality int, x binary").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.x))
-    found = [np.frombuffer(r.x, np.float32).reshape(-1, N_FEATURES) for r in rows]
-    y = np.array([r.quality for r in rows], np.float64)
-    return (np.concatenate(found) if found else np.empty((0, N_FEATURES), np.float32)), np.array([len(x) for x in found], np.int64), y
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").mapInArrow(run, "doc_id long, quality int, x binary, buckets binary, sizes binary").collect()
+    rows.sort(key=lambda r: (r.doc_id, r.x, r.buckets))
+    whole = lambda name, of: np.frombuffer(b"".join(getattr(r, name) for r in rows), of)
+    parts = np.array([len(r.sizes) // 8 for r in rows], np.int64)
+    return Passages(whole("x", np.float32).reshape(-1, N_FEATURES), parts, whole("buckets", np.uint16), whole("sizes", np.int64)), np.array([r.quality for r in rows], np.float64)
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Attention | float:
     """The model, or a constant score where the sample has fewer than two kinds of label."""
-    x, parts, y = training_sample(docs, labels, sample)
+    found, y = training_sample(docs, labels, sample)
     if len(set(y.tolist())) < 2:
         return float(y.mean()) if len(y) else 0.5
-    return fit(x, parts, y)
+    return fit(found, y)
 
 
 def _scored(model: Attention | float, table: pa.Table, text: str) -> np.ndarray:
-    return np.full(table.num_rows, model) if isinstance(model, float) else model.score(*passage_features(byte_texts(table[text])))
+    return np.full(table.num_rows, model) if isinstance(model, float) else model.score(passages(byte_texts(table[text])))
 
 
 def scores(docs: DataFrame, model: Attention | float, text: str = "text", name: str = "score") -> DataFrame:
