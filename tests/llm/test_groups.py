@@ -13,7 +13,6 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from test_text_operators import awkward, nothing
 
-import corpus_pipeline
 from tessera.llm import exact, mixing, near, quality, simhash
 from tessera.llm.common import Scratch
 from tessera.llm.graph import components
@@ -232,21 +231,6 @@ def test_classifier_on_held_out_documents(spark):
     assert quality.scores(nothing(spark), 0.5).count() == 0
 
 
-def test_gradient():
-    rng = np.random.default_rng(3)
-    x, parts, y = rng.normal(size=(9, 5)), np.array([2, 3, 4]), np.array([0.0, 1.0, 1.0])
-    model = quality.fit(x, parts, y, width=4, rounds=2)
-    loss = lambda: -np.mean(y * np.log(p := model.score(x, parts)) + (1 - y) * np.log(1 - p))
-    for i, grad in enumerate(model.gradient(x, parts, y, 0.0)):
-        place = tuple(np.array(grad.shape) // 2)
-        model.w[i] = np.array(model.w[i], float)
-        model.w[i][place] += 1e-6
-        up = loss()
-        model.w[i][place] -= 2e-6
-        assert abs((up - loss()) / 2e-6 - grad[place]) < 1e-4
-        model.w[i][place] += 1e-6
-
-
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
@@ -255,14 +239,3 @@ def test_sql(spark, name):
     want, got = con.execute(SQL[name]).df(), QUERIES[name](spark, SF).toPandas()
     rows = lambda d: sorted(tuple("null" if pd.isna(v) else f"{v:.9g}" if isinstance(v, float) else str(v) for v in r) for r in d[sorted(d.columns)].astype(object).itertuples(index=False))
     assert rows(got) == rows(want)
-
-
-def test_pipeline(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    columns, scratch = docs.columns, Scratch(spark, "t")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = scratch.keep(stage(spark, docs, SF), name)
-        assert docs.columns == columns and docs.count() > 0
-    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
-    assert {r.doc_id for r in packed.collect()} <= {r.doc_id for r in docs.collect()}
-    assert corpus_pipeline.run(spark, SF).count() == packed.count()
