@@ -63,6 +63,15 @@ class Scratch:
             target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def by_shuffle(side: DataFrame) -> DataFrame:
+    """A side of a join that is shuffled and sorted whatever its size.
+
+    A table that grows with the input and is still below the broadcast threshold would be collected by the driver,
+    with all others of its plan at once: rounds of joins fill the driver's heap that way.
+    """
+    return side.hint("merge")
+
+
 def bounded_batches(spark: SparkSession, most: int = 1 << 20) -> None:
     """Bounds Arrow batches by bytes: texts may be long, and a batch is held whole by a Python worker.
 

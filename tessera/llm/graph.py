@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch
+from tessera.llm.common import Scratch, by_shuffle
 
 
 def components(edges: DataFrame, scratch: Scratch, tag: str = "cc", rounds: list[int] | None = None) -> DataFrame:
@@ -15,7 +15,7 @@ def components(edges: DataFrame, scratch: Scratch, tag: str = "cc", rounds: list
     fewer; the rounds' maps are then composed from the last to the first. The order is a hash of node and
     round, not the nodes' own: whatever they are called and however they are linked, a constant share of them is
     expected to go each round, so a chain of n takes a logarithm of n rounds. No row count of a component meets in
-    one task: minima combine before the exchange, and a common end is the large side of a skewed join. ``rounds``
+    one task: minima combine before the exchange, and a common end is the large side of a skewed join. No map is broadcast. ``rounds``
     gets the number of rounds.
     """
     maps: list[DataFrame] = []
@@ -30,7 +30,7 @@ def components(edges: DataFrame, scratch: Scratch, tag: str = "cc", rounds: list
         maps.append(first)
         by_a = first.select(F.col("node").alias("a"), F.col("to").alias("x"))
         by_b = first.select(F.col("node").alias("b"), F.col("to").alias("y"))
-        renamed = edges.join(by_a, "a").join(by_b, "b").where("x <> y")
+        renamed = edges.join(by_shuffle(by_a), "a").join(by_shuffle(by_b), "b").where("x <> y")
         edges = scratch.keep(renamed.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), f"{tag}-edges{n + 1}")
         scratch.drop(f"{tag}-edges{n}")
     if rounds is not None:
@@ -40,10 +40,10 @@ def components(edges: DataFrame, scratch: Scratch, tag: str = "cc", rounds: list
     out = maps[-1].select("node", F.col("to").alias("root"))
     for step in reversed(maps[:-1]):
         later = out.select(F.col("node").alias("to"), "root")
-        out = step.join(later, "to", "left").select("node", F.coalesce("root", "to").alias("root"))
+        out = step.join(by_shuffle(later), "to", "left").select("node", F.coalesce("root", "to").alias("root"))
     out = scratch.keep(out, f"{tag}-roots")
     names = out.groupBy("root").agg(F.min("node").alias("component"))
-    return out.join(names, "root").select("node", "component")
+    return out.join(by_shuffle(names), "root").select("node", "component")
 
 
 def _before(a: str, b: str, place) -> Column:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, batches, bounded_batches, byte_texts, documents
+from tessera.llm.common import Scratch, batches, bounded_batches, by_shuffle, byte_texts, documents
 from tessera.llm.graph import components
 
 #: Fixed value: a generator polynomial of the (23, 12) Golay code, x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
@@ -155,7 +155,7 @@ def links(distinct: DataFrame, most: int = 3) -> DataFrame:
 
     held, sought = distinct.mapInArrow(index, "key long, x long"), distinct.mapInArrow(probe, "key long, y long")
     near = (held["key"] == sought["key"]) & (F.col("x") < F.col("y")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= most)
-    return held.join(sought, near).select("x", "y").distinct()
+    return held.join(by_shuffle(sought), near).select("x", "y").distinct()
 
 
 def simhash_components(docs: DataFrame, words: int = 3, most: int = 3) -> DataFrame:
@@ -171,10 +171,10 @@ def simhash_components(docs: DataFrame, words: int = 3, most: int = 3) -> DataFr
     nodes = scratch.keep(rows.groupBy("fp").agg(F.min("doc_id").alias("id")), "nodes")
     pairs = scratch.keep(links(nodes.select("fp"), most), "pairs")
     found = components(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")), scratch).withColumnRenamed("node", "fp")
-    linked = scratch.keep(nodes.join(found, "fp", "left").select("fp", "id", F.coalesce("component", "fp").alias("root")), "linked")
+    linked = scratch.keep(nodes.join(by_shuffle(found), "fp", "left").select("fp", "id", F.coalesce("component", "fp").alias("root")), "linked")
     names = linked.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = linked.join(names, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = linked.join(by_shuffle(names), "root").select("fp", "component_id")
+    return rows.join(by_shuffle(named), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
