@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, Words, batches, bitmap, bounded_batches, byte_texts, marked, mix64
+from tessera.llm.common import Scratch, Words, batches, bitmap, bounded_batches, by_shuffle, byte_texts, marked, mix64
 from tessera.llm.graph import components
 from tessera.llm.simhash import fingerprint, links
 
@@ -112,7 +112,7 @@ def prefix_keys(docs: DataFrame, words: int, similarity: float, scratch: Scratch
             yield from pa.Table.from_arrays([pa.array(x) for x in cols], names=["row", "size", "key", "at"]).to_batches(1 << 15)
 
     keys = docs.select("row", "text").mapInArrow(with_rows, "row long, size int, key long, at int")
-    return keys.join(shared, "key")
+    return keys.join(by_shuffle(shared), "key")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, words: int, similarity: float, scratch: Scratch, tag: str) -> DataFrame:
@@ -130,14 +130,15 @@ def _verified(docs: DataFrame, pairs: DataFrame, words: int, similarity: float,
                 yield from pa.Table.from_arrays([table["row"], pa.array(found, pa.binary())], names=["row", "set"]).to_batches(256)
 
     whole = docs.select("row", "text").mapInArrow(sets, "row long, set binary")
-    whole = scratch.keep(whole.join(rows, "row", "left_semi").dropDuplicates(["row"]), f"{tag}-sets")
+    whole = scratch.keep(whole.join(by_shuffle(rows), "row", "left_semi").dropDuplicates(["row"]), f"{tag}-sets")
 
     def verify(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             good = [alike(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)) >= similarity for p, q in zip(batch["p"].to_pylist(), batch["q"].to_pylist())]
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    sure = pairs.join(whole.select(F.col("row").alias("a"), F.col("set").alias("p")), "a").join(whole.select(F.col("row").alias("b"), F.col("set").alias("q")), "b")
+    p, q = whole.select(F.col("row").alias("a"), F.col("set").alias("p")), whole.select(F.col("row").alias("b"), F.col("set").alias("q"))
+    sure = pairs.join(by_shuffle(p), "a").join(by_shuffle(q), "b")
     sure = scratch.keep(sure.select("a", "b", "p", "q").mapInArrow(verify, "a long, b long"), f"{tag}-sure")
     scratch.drop(f"{tag}-sets", f"{tag}-wanted")
     return sure
@@ -168,40 +169,40 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
 
     rows = scratch.keep(docs.mapInArrow(sketch, "doc_id long, row long, fp long, size int, whole binary"), "rows")
     same = rows.groupBy("whole").agg(F.min("row").alias("a"))
-    same = scratch.keep(rows.join(same, "whole").where("row <> a").select("a", F.col("row").alias("b")).distinct(), "same")
+    same = scratch.keep(rows.join(by_shuffle(same), "whole").where("row <> a").select("a", F.col("row").alias("b")).distinct(), "same")
     # operator 3: fingerprints within three bits; equal fingerprints stand as one node
     nodes = scratch.keep(rows.groupBy("fp").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("n")), "nodes")
     x, y = nodes.select(F.col("fp").alias("x"), F.col("node").alias("a")), nodes.select(F.col("fp").alias("y"), F.col("node").alias("b"))
-    linked = links(nodes.select("fp")).join(x, "x").join(y, "y").select("a", "b")
-    equal = rows.join(nodes.where("n > 1"), "fp").where("row <> node").select(F.col("node").alias("a"), F.col("row").alias("b"))
+    linked = links(nodes.select("fp")).join(by_shuffle(x), "x").join(by_shuffle(y), "y").select("a", "b")
+    equal = rows.join(by_shuffle(nodes.where("n > 1")), "fp").where("row <> node").select(F.col("node").alias("a"), F.col("row").alias("b"))
     def may(n: Column, i: Column, m: Column, j: Column) -> Column:
         """Whether sets of n and m shingles whose first shared key stands at i and j can be near."""
         return F.least(n - i, m - j) * (1 + similarity) >= similarity * (n + m) - 1e-6
 
     # prefix keys; from here one row stands for each whole set
-    keys = prefix_keys(docs, words, similarity, scratch).join(same.select(F.col("b").alias("row")), "row", "left_anti")
+    keys = prefix_keys(docs, words, similarity, scratch).join(by_shuffle(same.select(F.col("b").alias("row"))), "row", "left_anti")
     keys = scratch.keep(keys, "keys")
     company = keys.groupBy("row").agg(F.sum("n").alias("company"))
     best = F.struct("company", "row", "size", "at")
-    met = keys.drop("n").join(company, "row")
+    met = keys.drop("n").join(by_shuffle(company), "row")
     hubs = met.groupBy("key").agg(F.max(best).alias("hub"))
-    near_hub = keys.join(hubs, "key").where((F.col("row") != F.col("hub.row")) & may(F.col("size"), F.col("at"), F.col("hub.size"), F.col("hub.at"))).select(F.col("row").alias("a"), F.col("hub.row").alias("b"))
+    near_hub = keys.join(by_shuffle(hubs), "key").where((F.col("row") != F.col("hub.row")) & may(F.col("size"), F.col("at"), F.col("hub.size"), F.col("hub.at"))).select(F.col("row").alias("a"), F.col("hub.row").alias("b"))
     pairs = near_hub.union(linked).union(equal).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = scratch.keep(pairs, "pairs")
     sure = same.union(_verified(docs, pairs, words, similarity, scratch, "first"))
     groups = components(sure, scratch, "first-cc")
-    keys = keys.drop("n").join(groups, F.col("row") == F.col("node"), "left").select("key", "row", "size", "at", F.coalesce("component", "row").alias("group"))
+    keys = keys.drop("n").join(by_shuffle(groups), F.col("row") == F.col("node"), "left").select("key", "row", "size", "at", F.coalesce("component", "row").alias("group"))
     open_ = keys.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key")
-    keys = scratch.keep(keys.join(open_, "key"), "open")
+    keys = scratch.keep(keys.join(by_shuffle(open_), "key"), "open")
     x, y = (keys.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("row", "size", "at", "group")]) for i in (1, 2))
-    rest = x.join(y, "key").where((F.col("row1") < F.col("row2")) & (F.col("group1") != F.col("group2")) & may(F.col("size1"), F.col("at1"), F.col("size2"), F.col("at2")))
-    rest = rest.select(F.col("row1").alias("a"), F.col("row2").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+    rest = x.join(by_shuffle(y), "key").where((F.col("row1") < F.col("row2")) & (F.col("group1") != F.col("group2")) & may(F.col("size1"), F.col("at1"), F.col("size2"), F.col("at2")))
+    rest = rest.select(F.col("row1").alias("a"), F.col("row2").alias("b")).distinct().join(by_shuffle(pairs), ["a", "b"], "left_anti")
     sure = sure.union(_verified(docs, scratch.keep(rest, "rest"), words, similarity, scratch, "rest"))
-    found = rows.select("doc_id", "row").distinct().join(components(sure, scratch), F.col("row") == F.col("node"), "left")
+    found = rows.select("doc_id", "row").distinct().join(by_shuffle(components(sure, scratch)), F.col("row") == F.col("node"), "left")
     found = scratch.keep(found.select("doc_id", "row", F.coalesce("component", "row").alias("group")), "found")
     scratch.drop("pairs", "rest", "rows", "nodes", "same", "keys", "shared", "common", "open")
     firsts = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))["row"].alias("keep"))
-    return found.join(firsts, "group").select("doc_id", "row", "keep")
+    return found.join(by_shuffle(firsts), "group").select("doc_id", "row", "keep")
 
 
 def row_name() -> Column:

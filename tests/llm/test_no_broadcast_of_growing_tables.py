@@ -2,7 +2,7 @@
 
 import pytest
 
-from tessera.llm import simhash
+from tessera.llm import near, simhash
 from tessera.llm.common import Scratch
 from tessera.llm.graph import components
 
@@ -44,3 +44,8 @@ def test_components(spark, plans):
 def test_fingerprint_links(docs, plans):
     out = simhash.simhash_components(docs)
     assert out.count() == 80 and broadcast([*plans, f"result: {plan(out)}"]) == []
+
+
+def test_near_groups(docs, plans):
+    out = near.near_groups(docs)
+    assert out.count() == 80 and broadcast([*plans, f"result: {plan(out)}"]) == []
