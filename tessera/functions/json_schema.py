@@ -23,12 +23,11 @@ _ATOMS: dict[str, type[DataType]] = {"number": DoubleType, "integer": LongType,
 
 def kind(value: Column) -> Column:
     """object, array, string, boolean, null, integer or number (with a fraction); null for a value that is absent."""
-    shape = F.schema_of_variant(value)
     numeric = F.when(F.try_variant_get(value, "$", "double") % 1 == 0, "integer").otherwise("number")
-    return (
+    return let(F.schema_of_variant(value), lambda shape: (
         F.when(shape.startswith("OBJECT"), "object").when(shape.startswith("ARRAY"), "array").when(shape == "STRING", "string")
         .when(shape == "BOOLEAN", "boolean").when(shape == "VOID", "null").when(shape.isNotNull(), numeric)
-    )
+    ))
 
 
 def members(value: Column) -> Column:

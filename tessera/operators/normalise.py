@@ -65,9 +65,11 @@ POLICY: dict[str, Take] = {
 }
 
 
-def member(value: Column, path: str) -> Column:
-    """The value at a dotted path of objects; null where a step is no object or has no such member."""
-    for name in filter(None, path.split(".")):
+def member(held: Column, path: str) -> Column:
+    """The value at a dotted path of objects, from the members of the outermost; null where a step is no object or has no such member."""
+    first, *more = path.split(".")
+    value = F.try_element_at(held, F.lit(first))
+    for name in more:
         value = F.try_element_at(members(value), F.lit(name))
     return value
 
@@ -95,14 +97,14 @@ def read(value: Column, of: DataType, take: Take) -> Column:
 
         return let(F.filter(entries, lambda e: _enough(e["value"], take)), named)
     if isinstance(of, StringType):
-        text = F.when(kind(value) == "string", F.try_variant_get(value, "$", "string"))
+        text = let(value, lambda v: F.when(kind(v) == "string", F.try_variant_get(v, "$", "string")))
         text = take.spelled(text) if take.spelled else text
-        return F.when(text.isin(*take.allowed), text) if take.allowed else F.nullif(text, F.lit(""))
+        return let(text, lambda t: F.when(t.isin(*take.allowed) if take.allowed else t != "", t))
     if isinstance(of, BooleanType):
-        return F.when(kind(value) == "boolean", F.try_variant_get(value, "$", "boolean"))
+        return let(value, lambda v: F.when(kind(v) == "boolean", F.try_variant_get(v, "$", "boolean")))
     if isinstance(of, (DoubleType, LongType)):
-        number = F.when(kind(value).isin("integer", "number"), F.try_variant_get(value, "$", of.simpleString()))
-        return F.nullif(number, F.lit(0).cast(of)) if take.nonzero else number
+        number = let(value, lambda v: F.when(kind(v).isin("integer", "number"), F.try_variant_get(v, "$", of.simpleString())))
+        return let(number, lambda n: F.when(n != 0, n)) if take.nonzero else number
     raise TypeError(f"no rule reads {of.simpleString()}")
 
 
@@ -118,7 +120,7 @@ def _says(value: Column, of: DataType) -> Column:
 
 
 def merged(base: Column, answer: Column, of: DataType, policy: dict[str, Take], path: str = "") -> Column:
-    """``base`` with what the policy takes from the answer, compiled by walking the type."""
+    """``base`` with what the policy takes from the members of the answer, compiled by walking the type."""
     if path in policy:
         take = policy[path]
         new = read(member(answer, take.at), of, take)
@@ -126,7 +128,7 @@ def merged(base: Column, answer: Column, of: DataType, policy: dict[str, Take],
     if isinstance(of, StructType) and any(p.startswith(f"{path}." if path else "") for p in policy):
         parts = F.struct(*[merged(base[f.name], answer, f.dataType, policy, f"{path}.{f.name}" if path else f.name).alias(f.name) for f in of.fields])
         # a record that has no such part gets one only if the answer fills some of it
-        return F.when(base.isNotNull() | has_any(parts, of), parts)
+        return let(parts, lambda parts: F.when(base.isNotNull() | has_any(parts, of), parts))
     return base
 
 
@@ -180,10 +182,10 @@ def apply_answers(cards: DataFrame, answers: DataFrame) -> DataFrame:
     rows = as_records(cards)
     own = F.coalesce(F.col("normalised"), F.lit(False)) if "normalised" in rows.columns else F.lit(False)
     one = answers.where("answer is not null").groupBy("card_id").agg(F.max("answer").alias("__answer"))
-    rows = rows.withColumn("normalised", own).join(one, "card_id", "left").withColumn("__v", F.try_parse_json("__answer"))
+    rows = rows.withColumn("normalised", own).join(one, "card_id", "left").withColumn("__m", members(F.try_parse_json("__answer")))
     tops = {p.split(".")[0] for p in POLICY}
-    value = {f.name: merged(F.col(f.name), F.col("__v"), f.dataType, POLICY, f.name).alias(f.name) if f.name in tops else F.col(f.name) for f in RECORD.fields}
-    others = [c for c in rows.columns if c not in value and c not in ("__answer", "__v", "normalised")]
+    value = {f.name: merged(F.col(f.name), F.col("__m"), f.dataType, POLICY, f.name).alias(f.name) if f.name in tops else F.col(f.name) for f in RECORD.fields}
+    others = [c for c in rows.columns if c not in value and c not in ("__answer", "__m", "normalised")]
     return rows.select(*value.values(), *others, (F.col("normalised") | F.col("__answer").isNotNull()).alias("normalised"))
 
 
