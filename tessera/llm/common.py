@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from tessera.session import bounded_batches  # noqa: F401  the operators take it from here
+
 #: Words of a text: runs of anything but space, tab, newline, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -72,14 +74,6 @@ def by_shuffle(side: DataFrame) -> DataFrame:
     return side.hint("merge")
 
 
-def bounded_batches(spark: SparkSession, most: int = 1 << 20) -> None:
-    """Bounds Arrow batches by bytes: texts may be long, and a batch is held whole by a Python worker.
-
-    The setting stays, as results are run later than they are declared; the number of rows a batch is the user's.
-    """
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
