@@ -72,7 +72,8 @@ class ResumableRun:
         generation = sum(c["kind"] == "gathered" for c in self.commits())
         path = f"{self.folder}/todo/{generation}-{uuid.uuid4().hex}"
         part = F.pmod(F.xxhash64(self.key), F.lit(self.parts)).cast("int")
-        fresh.withColumn("__part", part).repartition(self.parts, "__part").write.partitionBy("__part").parquet(path)
+        # a part's rows come together, in as many tasks and files as their bytes ask for
+        fresh.withColumn("__part", part).hint("rebalance", "__part").write.partitionBy("__part").parquet(path)
         n = self.spark.read.schema(fresh.schema).parquet(path).count()
         self._commit(f"gathered-{generation}", kind="gathered", generation=generation, part=-1, path=path if n else "", rows=n, fails=0)
         return n

@@ -1,6 +1,9 @@
-"""What a task holds or reads is bounded by bytes."""
+"""What a task holds or reads is bounded by bytes, not by the rows or parts there are."""
+
+import glob
 
 from tessera.operators import pages
+from tessera.plans.resumable import ResumableRun
 
 
 def test_pages_come_to_python_in_batches_of_bytes(spark):
@@ -9,3 +12,17 @@ def test_pages_come_to_python_in_batches_of_bytes(spark):
     got = pages.to_pages(rows)
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == 1 << 20
     assert sorted(r.markdown for r in got.collect()) == ["0", "1", "2"]
+
+
+def test_a_part_is_gathered_by_several_tasks(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "16k")
+    try:
+        rows = spark.range(4000).selectExpr("id", "sha2(cast(id as string), 256) as said")
+        run = ResumableRun(spark, f"file://{tmp_path}/run", "id", 2)
+        assert run.gather(rows) == 4000
+    finally:
+        spark.conf.unset(size)
+    for part in (0, 1):
+        assert len(glob.glob(f"{tmp_path}/run/todo/*/__part={part}/*.parquet")) > 1
+    assert sorted(r.id for r in run.gathered().collect()) == list(range(4000))
