@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tessera.functions.text import INVITATIONS, clauses, every, filled, first, has, let, nonempty, number, replace, rx, slug, snippet
 from tessera.operators import names
 from tessera.operators.card_schema import CARD
+from tessera.session import spread
 
 def _struct(**fields: Column) -> Column:
     """A struct of the fields, null where all of them are."""
@@ -41,7 +42,8 @@ def _flag(test: Column) -> Column:
 def _any(words: tuple[str, ...]) -> str:
     """Words that begin so; a blank stands for any space or hyphen, a final full stop for the word's end."""
     begun = (w.replace(".", r"\b").replace(" ", r"[\s-]*") for w in words)
-    return rf"\b(?:{'|'.join(begun)})"
+    # the look at the first letter decides nothing, but costs far less than a word's edge at every place of a text
+    return rf"(?=[{''.join(sorted({w[0] for w in words}))}])\b(?:{'|'.join(begun)})"
 
 
 def says(clause: Column, *classes: tuple[str, ...]) -> Column:
@@ -90,6 +92,9 @@ FEE, NONE, GONE, WAIVED, SPENT = ("fee", "membership"), ("nil.", "free.", "zero.
 JOINING, ANNUAL, RENEWAL, ADD_ON = ("joining", "join."), ("annual", "yearly"), ("renewal",), ("add on", "addon", "supplementary")
 ADVANCE, INTEREST, FOREIGN = ("cash advance",), ("finance charge", "interest"), ("forex", "foreign", "cross currency", "markup", "mark up")
 TAXED, TAX = ("plus", "exclusive", "excluding", "extra", "additional", "applicable"), ("gst.", "tax")
+LIFETIME, FUEL = ("lifetime free.", "life time free.", "free for life."), ("fuel",)
+#: Every charge beside the main fees speaks one of these words, so a page's other clauses are passed over once.
+CHARGES = (*ADVANCE, *INTEREST, *FOREIGN, *TAX, *LIFETIME, *FUEL)
 HOME, ABROAD, QUARTER, HALF, GUEST = ("lounge",), ("international", "outside india", "overseas"), ("quarter",), ("half year", "biannual", "bi annual"), ("guest", "companion")
 
 
@@ -98,7 +103,7 @@ HOME, ABROAD, QUARTER, HALF, GUEST = ("lounge",), ("international", "outside ind
 
 def fees(md: Column, held: Column | None = None) -> Column:
     """Fees in rupees, charges in per cent. A fee said to be nil or free is 0; lifetime free fills both main fees."""
-    return let(_cut(md, held), _fees)
+    return let(_cut(md, held), lambda held: let(_spoken(held, CHARGES), lambda charged: _fees(held, charged)))
 
 
 def _amounts(clause: Column, marked: bool) -> Column:
@@ -108,8 +113,10 @@ def _amounts(clause: Column, marked: bool) -> Column:
     return F.transform(F.arrays_zip(group(1).alias("lead"), group(2).alias("n"), group(3).alias("unit")), lambda x: F.struct(x["lead"], number(x["n"], x["unit"]).alias("inr")))
 
 
-def _fees(held: Column) -> Column:
-    """An amount is a fee's if its lead names the fee and nothing behind that name takes it back or asks for a spend."""
+def _fees(held: Column, charged: Column) -> Column:
+    """From the clauses and those of them that have a word of ``CHARGES``.
+
+    An amount is a fee's if its lead names the fee and nothing behind that name takes it back or asks for a spend."""
 
     def whole(told: Column) -> Column:
         def named(word: tuple[str, ...]) -> Column:
@@ -119,7 +126,7 @@ def _fees(held: Column) -> Column:
 
         parts = lambda c: F.concat(F.transform(c["marked"], lambda x: x["lead"]), F.array(c["rest"]))
         free = lambda word: F.exists(told, lambda c: F.exists(parts(c), lambda x: says(x, word, FEE, NONE) & ~says(x, SPENT)))
-        condition = lambda c: F.filter(c["any"], lambda x: (x["inr"] >= 1000) & (says(x["lead"], WAIVED) | says(x["lead"], SPENT)))
+        condition = lambda c: F.filter(_amounts(c["text"], False), lambda x: (x["inr"] >= 1000) & (says(x["lead"], WAIVED) | says(x["lead"], SPENT)))
         waivers = F.filter(told, lambda c: says(c["text"], WAIVED) & (says(c["text"], SPENT) | says(c["text"], FEE)))
         asked = F.transform(waivers, lambda c: F.try_element_at(condition(c), F.lit(1))["inr"])
         extra = F.transform(_told(told, ADD_ON, FEE), lambda c: rupees(behind(c["text"], ADD_ON), False))
@@ -129,13 +136,13 @@ def _fees(held: Column) -> Column:
             F.try_element_at(F.filter(asked, lambda x: x.isNotNull()), F.lit(1)).alias("waiver"), F.try_element_at(F.filter(extra, lambda x: x.isNotNull()), F.lit(1)).alias("add_on"),
         )
 
-    rate = lambda word: _found(held, lambda c: percent(behind(c, word)))
-    lifetime = F.exists(held, lambda c: says(c, ("lifetime free.", "life time free.", "free for life.")))
+    rate = lambda word: _found(charged, lambda c: percent(behind(c, word)))
+    lifetime = F.exists(charged, lambda c: says(c, LIFETIME))
     spoken = F.filter(held, lambda c: says(c, (*FEE, *WAIVED)))
     last = rf"(?is).*{_money(True)}"
-    told = F.transform(spoken, lambda c: F.struct(c.alias("text"), _amounts(c, True).alias("marked"), _amounts(c, False).alias("any"), F.regexp_replace(c, last, "").alias("rest")))
-    markup = _found(held, lambda c: let(F.when(says(c, FOREIGN), F.coalesce(percent(behind(c, FOREIGN)), percent(c))), lambda x: F.when((x > 0) & (x <= 10), x)))
-    fuel = F.try_element_at(_spoken(held, ("fuel",), ("surcharge",), WAIVED), F.lit(1))
+    told = F.transform(spoken, lambda c: F.struct(c.alias("text"), _amounts(c, True).alias("marked"), F.regexp_replace(c, last, "").alias("rest")))
+    markup = _found(charged, lambda c: let(F.when(says(c, FOREIGN), F.coalesce(percent(behind(c, FOREIGN)), percent(c))), lambda x: F.when((x > 0) & (x <= 10), x)))
+    fuel = F.try_element_at(_spoken(charged, FUEL, ("surcharge",), WAIVED), F.lit(1))
     return let(
         let(told, whole),
         lambda f: _struct(
@@ -148,7 +155,7 @@ def _fees(held: Column) -> Column:
             finance_charge_pct_mo=rate(INTEREST),
             fx_markup_pct=markup,
             fuel_surcharge_waiver=nonempty(snippet(fuel)),
-            gst_extra=_flag(F.exists(held, lambda c: says(c, TAX) & (says(c, TAXED) | has(c, r"\+\s*gst\b")))),
+            gst_extra=_flag(F.exists(charged, lambda c: says(c, TAX) & (says(c, TAXED) | has(c, r"\+\s*gst\b")))),
         ),
     )
 
@@ -227,7 +234,8 @@ def earn_lines(held: Column, point: Column) -> Column:
         cap = rupees(behind(m["tail"], ("up to", "max", "maximum", "capped")), False)
         return F.struct(_candidate(category, pct, cap, notes).alias("c"), m["unit"].alias("unit"), base.alias("base"))
 
-    lines = F.filter(F.transform(held, line), lambda m: (m["spend"] > 0) & says(m["unit"], UNITS))
+    stated = F.filter(held, lambda c: F.lower(c).rlike("/|per|every|each"))  # without which no line can match
+    lines = F.filter(F.transform(stated, line), lambda m: (m["spend"] > 0) & says(m["unit"], UNITS))
     return F.transform(lines, valued)
 
 
@@ -240,7 +248,7 @@ def accelerated(earned: Column, held: Column, base_rate: Column) -> Column:
         rate = F.when(times, F.round(number(part(1)) * base_rate, 4)).otherwise(number(part(1)))
         return F.struct(_candidate(_category(part(3)), rate, F.lit(None), F.when(times, F.concat(part(1), F.lit("X points")))).alias("c"), times.alias("times"))
 
-    told = let(F.transform(F.filter(held, lambda c: ~says(c, ("redeem",)) & has(c, _ON)), on), lambda x: F.concat(F.filter(x, lambda m: ~m["times"]), F.filter(x, lambda m: m["times"])))
+    told = let(F.transform(F.filter(held, lambda c: has(c, _ON) & ~says(c, ("redeem",))), on), lambda x: F.concat(F.filter(x, lambda m: ~m["times"]), F.filter(x, lambda m: m["times"])))
     every_one = F.concat(F.transform(F.filter(earned, lambda e: ~e["base"]), lambda e: e["c"]), F.transform(told, lambda m: m["c"]))
     good = F.filter(every_one, lambda c: c["rate_pct"].isNotNull() & F.length(c["category"]).between(3, 69) & (F.length(F.array_join(_own_words(c["category"]), "")) >= 3))
     words = lambda c: F.filter(_own_words(c["category"]), lambda w: (F.length(w) > 2) & ~w.isin(*STOP_WORDS))
@@ -336,19 +344,24 @@ def lounge(md: Column, held: Column | None = None) -> Column:
     return let(_spoken(_cut(md, held), HOME), whole)
 
 
+#: What is insured against: accidents, loss of a card, of a purchase, on a journey.
+RISKS = ("air", "personal"), ("lost", "liability", "credit shield", "fraud"), ("purchase",), ("travel", "overseas", "baggage", "flight", "trip")
+
+
 def insurance(md: Column, held: Column | None = None) -> Column:
     """Covers of 10,000 rupees or more."""
 
     def whole(held: Column) -> Column:
+        air, lost, bought, travel = RISKS
         cover = lambda *classes: _found(_spoken(held, *classes), lambda c: let(rupees(behind(c, classes[0]), False), lambda x: F.when(x >= 10_000, x)))
         return _struct(
-            air_accident_inr=cover(("air", "personal"), ("accident",)),
-            lost_card_inr=cover(("lost", "liability", "credit shield", "fraud"), ("card", "liability", "shield", "protection")),
-            purchase_protection_inr=cover(("purchase",), ("protection",)),
-            travel_inr=cover(("travel", "overseas", "baggage", "flight", "trip"), ("insurance", "cover", "delay")),
+            air_accident_inr=cover(air, ("accident",)),
+            lost_card_inr=cover(lost, ("card", "liability", "shield", "protection")),
+            purchase_protection_inr=cover(bought, ("protection",)),
+            travel_inr=cover(travel, ("insurance", "cover", "delay")),
         )
 
-    return let(_cut(md, held), whole)
+    return let(_spoken(_cut(md, held), tuple(w for risk in RISKS for w in risk)), whole)
 
 
 #: Brands whose offers are looked for, in this order.
@@ -487,9 +500,10 @@ def cards(pages: DataFrame) -> DataFrame:
     listed = sections(pages.where(F.coalesce("is_listing", F.lit(False)) & F.col("force_card_name").isNull()))
     rows = single.unionByName(listed.select(*single.columns))
     md, url, forced = F.col("markdown"), F.col("source_url"), F.col("force_card_name")
-    rows = rows.where(forced.isNotNull() | has(md, r"(?:credit|debit|forex)\s+card|prepaid"))
-    name = F.coalesce(forced, names.choose(F.col("section_name"), names.page_name(md), names.url_name(url), url))
-    rows = rows.withColumn("card_name", name).where(F.col("card_name").isNotNull()).withColumn("__clauses", clauses(md))
+    chosen = names.choose(F.col("section_name"), names.page_name(md), names.url_name(url), url)
+    name = F.coalesce(forced, F.when(has(md, r"(?:credit|debit|forex)\s+card|prepaid"), chosen))
+    # a filter on an exploded name stays here: on a plain column it moves into the scan, where names would be made once more, by as few tasks as there are splits
+    rows = rows.select("*", F.explode(F.array(name)).alias("card_name")).where(F.col("card_name").isNotNull()).withColumn("__clauses", clauses(md))
     held = F.col("__clauses")
     return rows.select(
         "source_url", "issuer_id", "issuer_name", "pos", "sha", "card_name",
@@ -504,6 +518,11 @@ def cards(pages: DataFrame) -> DataFrame:
     )
 
 
+def dealt_cards(pages: DataFrame) -> DataFrame:
+    """``cards`` of pages that are dealt to all cores first; for written pages, whose rows are counted from files."""
+    return cards(spread(pages, "source_url"))
+
+
 def with_ids(records: DataFrame, run_ts: str) -> DataFrame:
     """card_id, where there is none, from issuer and name, and the stamps of this run (a parameter, so that reruns agree)."""
     issuer = F.coalesce(filled(F.col("issuer_id")), slug(F.col("issuer_name")))
