@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
@@ -82,19 +81,27 @@ def collapse_names(records: DataFrame, issuer: str = "issuer_id", name: str = "c
     rows = records.withColumn("__key", name_key(F.col(name)))
     spelt = rows.groupBy(issuer, "__key", name).agg(F.min(seq).alias("__seq"))
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept: list[tuple[str, int]] = []
+    def fold(texts: list[str | None]) -> list[int]:
+        """The place (from 1) of the spelling that each one goes to."""
+        kept: list[tuple[str | None, int]] = []
         out = []
-        for text, at in pdf.sort_values("__seq")[[name, "__seq"]].itertuples(index=False):
+        for at, text in enumerate(texts, 1):
             by = next((s for t, s in kept if alike(t, text)), None)
             if by is None:
                 kept.append((text, at))
                 by = at
-            out.append((pdf[issuer].iloc[0], text, by))
-        return pd.DataFrame(out, columns=["__issuer", "__name", "kept_by"])
-
-    issuer_type = dict(records.dtypes)[issuer]
-    found = spelt.groupBy(issuer, "__key").applyInPandas(fold, f"__issuer {issuer_type}, __name string, kept_by long")
+            out.append(by)
+        return out
+
+    # a group is one row of an Arrow batch: a call of Python for each group would take milliseconds, and most groups are one name
+    folded = F.pandas_udf(lambda groups: groups.map(fold), "array<int>")
+    spelling = F.struct(F.col("__seq").isNull().alias("__last"), "__seq", F.col(name).alias("__name"))
+    groups = spelt.groupBy(F.col(issuer).alias("__issuer"), "__key").agg(F.array_sort(F.collect_list(spelling)).alias("__held"))
+    several = F.size("__held") > 1
+    alone = groups.where(~several).select("__issuer", F.col("__held")[0]["__name"].alias("__name"), F.col("__held")[0]["__seq"].alias("kept_by"))
+    met = groups.where(several).withColumn("__by", folded(F.col("__held.__name")))
+    met = met.select("__issuer", "__held", F.posexplode("__by").alias("__at", "__to"))
+    found = alone.unionByName(met.select("__issuer", F.col("__held")[F.col("__at")]["__name"].alias("__name"), F.col("__held")[F.col("__to") - 1]["__seq"].alias("kept_by")))
     same = F.col(issuer).eqNullSafe(F.col("__issuer")) & F.col(name).eqNullSafe(F.col("__name"))
     return rows.drop("__key").join(found, same).drop("__issuer", "__name")
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import changes, extract, frontier, migrate, names, pages, registry, resolve, store
+from tessera.session import spread
 
 
 @dataclass
@@ -33,7 +34,7 @@ def run_batch(fetched: DataFrame, known: DataFrame, ledger: DataFrame, run_ts: s
         seen = ledger.select(F.col("url").alias("source_url"), F.col("raw_text_sha256").alias("sha"))
         rows = rows.join(seen, ["source_url", "sha"], "left_anti")
     rows = keep(rows, "pages")
-    found = (plug_ins or registry.Registry()).extract(rows, extract.cards)
+    found = (plug_ins or registry.Registry()).extract(rows, extract.dealt_cards)
     order = rows.select("source_url", F.col("seq").alias("__seq"))
     found = extract.with_ids(found, run_ts).join(order, "source_url", "left").withColumn("seq", F.struct("__seq", "pos")).drop("__seq")
     found = keep(found, "found")
@@ -43,7 +44,7 @@ def run_batch(fetched: DataFrame, known: DataFrame, ledger: DataFrame, run_ts: s
     return Run(
         cards=merged,
         rejected=found.withColumn("reason", names.reject_reason(F.col("card_name"))).where("reason is not null").select("source_url", "card_name", "reason"),
-        published=migrate.validated(migrate.to_v2(merged)),
+        published=migrate.validated(migrate.to_v2(spread(merged, "card_id"))),
         changes=changes.changes(known, good, run_ts),
         ledger=store.mark_sources(ledger, rows, run_ts),
     )

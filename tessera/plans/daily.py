@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import cascade, changes, extract, frontier, migrate, names, pages, registry, reports, resolve, store
+from tessera.session import spread
 
 Fetch = Callable[[DataFrame], DataFrame]
 LEDGER = "url string, last_seen_at string, raw_text_sha256 string, etag string"
@@ -138,7 +139,7 @@ def run_daily(versions: Versions, rows: DataFrame, fetch: Fetch, run_ts: str, su
         kept = pages.unchanged(kept, seen)
     kept = staged.keep(kept.withColumnRenamed("url", "source_url"), "pages")
 
-    out = cascade.extract_pages(kept, run_ts, staged.keep, plug_ins, provider=provider, deepen=options.deepen)
+    out = cascade.extract_pages(kept, run_ts, staged.keep, plug_ins, extract.dealt_cards, provider=provider, deepen=options.deepen)
     found = extract.with_ids(out.cards, run_ts)
     order = kept.select("source_url", F.col("seq").alias("__seq"), "sha")
     found = found.drop("sha").join(order, "source_url").withColumn("seq", (F.col("__seq") * PLACES + F.col("pos")).cast("long")).drop("__seq", "pos")
@@ -161,7 +162,7 @@ def run_daily(versions: Versions, rows: DataFrame, fetch: Fetch, run_ts: str, su
         old = judged.where("reason is null").drop("reason")
     cards = staged.keep(store.upsert(old, good), "cards")
     staged.keep(found.where("reason is not null").select("source_url", "card_name", "reason"), "rejected")
-    staged.keep(migrate.validated(migrate.to_v2(cards)), "published")
+    staged.keep(migrate.validated(migrate.to_v2(spread(cards, "card_id"))), "published")
     staged.keep(changes.changes(old, good, run_ts), "changes")
     staged.keep(changes.appeared(old, good), "added")
     staged.keep(store.mark_sources(seen, settled, run_ts), "ledger")
