@@ -306,26 +306,52 @@ class Scan:
         rows["n"], rows["known"] = np.bincount(doc, minlength=d), np.bincount(doc[n > 0], minlength=d)
         rows["base"], rows["u"] = np.bincount(doc, np.log((n + 0.5) / self.size), d), u
         key, doc = np.concatenate(keys), np.concatenate(docs).astype(np.int32)
+        by_doc = np.argsort(doc, kind="stable")
+        key, doc = key[by_doc], doc[by_doc]
         shard, order = _by_shard(key, self.shards)
         of, bounds = _stretches(shard[order])
         of = np.append(of, np.int32((at >> 40) % self.shards))  # the last block holds the texts' own sums
         own = np.append(np.zeros(len(of), np.int64), d)
         bounds = np.append(bounds, len(key))
         doc = doc[order]
-        step = np.diff(doc, prepend=np.int32(0))  # small numbers shrink in the shuffle
+        step = np.diff(doc, prepend=np.int32(0))  # texts rise within a block: zeros and ones, which shrink in the shuffle
         step[bounds[:-2]] = doc[bounds[:-2]]
         columns = [pa.array(of), pa.array(np.full(len(of), at)), _binaries(key[order], bounds), _binaries(step, bounds), _binaries(rows, own)]
         return pa.RecordBatch.from_arrays(columns, names=["shard", "at", "keys", "docs", "rows"])
 
 
+_STATE = {"known": np.int8, "base": np.float64, "u": np.float64}
+
+
+def _state_blocks(it: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """Rows (key, known, base, u) as packed blocks by shard: a row for each of millions costs the shuffle several times its bytes."""
+    held: list[pa.RecordBatch] = []
+
+    def flush() -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        key = table["key"].to_numpy().view(np.uint64)
+        shard, order = _by_shard(key, shards)
+        of, bounds = _stretches(shard[order])
+        values = (_binaries(table[c].to_numpy().astype(kind)[order], bounds) for c, kind in _STATE.items())
+        return pa.RecordBatch.from_arrays([pa.array(of), _binaries(key[order], bounds), *values], names=["shard", "keys", *_STATE])
+
+    for batch in it:
+        held.append(batch)
+        if sum(x.num_rows for x in held) >= _HOLD:
+            yield flush()
+            held = []
+    if held:
+        yield flush()
+
+
 def _joined(column: pa.ChunkedArray, kind: np.dtype | type) -> np.ndarray:
     return np.concatenate([np.empty(0, kind), *(np.frombuffer(x, kind) for x in column.to_pylist())])
 
 
 def _look_up(blocks: pa.Table, states: pa.Table) -> pa.Table:
     """What the tree knows of the runs of one shard, added up by text, and the sums that came along."""
-    key, place = np.unique(states["key"].to_numpy().view(np.uint64), return_inverse=True)
-    tree = Table(key, **{c: np.bincount(place, states[c].to_numpy(), len(key)) for c in ("known", "base", "u")})
+    key, place = np.unique(_joined(states["keys"], np.uint64), return_inverse=True)
+    tree = Table(key, **{c: np.bincount(place, _joined(states[c], kind), len(key)) for c, kind in _STATE.items()})
     found = tree.find(_joined(blocks["keys"], np.uint64))
     docs = [np.cumsum(np.frombuffer(x, np.int32)) for x in blocks["docs"].to_pylist()]
     sizes = [int(x.max()) + 1 if len(x) else 0 for x in docs]
@@ -400,13 +426,14 @@ def scored(docs: DataFrame, train: Column, depth: int = DEPTH, least: int = LEAS
             tree += [state(shorter.where("u != 0"), F.col("u"), none, zero), state(contexts, F.col("u"), none, zero)]
             broad += [state(shorter, F.col("u"), none, zero), tree[-1]]
     runs = _table(reduce(DataFrame.unionAll, broad).where(often).select("key", "u"), "u")
-    states = scratch.keep(reduce(DataFrame.unionAll, tree).drop("n"), "tree")
+    rows = reduce(DataFrame.unionAll, tree).select("key", "known", "base", "u")
+    sieve = bitmap(rows, "key", BITS, scratch)
+    states = scratch.keep(rows.mapInArrow(lambda it: _state_blocks(it, shards), "shard int, keys binary, known binary, base binary, u binary"), "tree")
     scratch.drop(*(f"{name}{length}" for name in ("entries", "contexts") for length in range(1, depth + 2)))
 
-    scan = spark.sparkContext.broadcast(Scan(frequent, runs, bitmap(states, "key", BITS, scratch), end, total, distinct, depth, shards))
+    scan = spark.sparkContext.broadcast(Scan(frequent, runs, sieve, end, total, distinct, depth, shards))
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda it: scan.value(it), _BLOCK)
-    known = states.select(F.expr(f"cast(pmod(pmod(key, {shards}) + if(key < 0, {(1 << 64) % shards}, 0), {shards}) as int)").alias("shard"), "key", "known", "base", "u")
-    parts = blocks.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_look_up, _PART)
+    parts = blocks.groupBy("shard").cogroup(states.groupBy("shard")).applyInArrow(_look_up, _PART)
     rows = parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n", "known", "base", "u")))
     ten = float(np.log(10))
     return rows.select(
