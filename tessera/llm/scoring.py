@@ -13,7 +13,8 @@ The logarithm of a token's probability is the root's and, for each context lengt
 ln l_s of a kept context without one. So a text's score is a sum over its runs of words, each looked up on its
 own: entries of kept contexts add ln(P_s / P_p) - ln l_s, kept contexts ln l_s wherever they occur. The most
 frequent runs (``HOT`` of all tokens or more, so at most 1 / HOT a level) are broadcast, which also takes hot keys
-out of the shuffle; all others meet the tree in shards of their hash, as packed blocks.
+out of the shuffle; all others meet the tree in shards of their hash, as packed blocks, and what a shard knows of the
+texts goes on in one packed row for each part of the texts.
 
 A run can only be an entry if both runs that are shorter by one word are. A bitmap of 2 ** BITS bits tells which of
 those may be, another which runs may be in the tree: they spare work, decide nothing, and pass more runs than needed
@@ -34,7 +35,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, Words, batches, bitmap, bounded_batches, byte_texts, crc_mod, documents, marked
+from tessera.llm.common import Scratch, Words, batches, bitmap, bounded_batches, byte_texts, crc_mod, documents, marked, mix64
 
 LEAST, DISCOUNT, DEPTH, HOT, BITS = 2, 0.75, 2, 1e-6, 27
 #: Bytes of text handled at once, runs counted before they leave a task, runs looked up in one shard.
@@ -262,9 +263,24 @@ def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
 
 
+def _to_planes(values: np.ndarray) -> bytes:
+    """The lowest byte of every number, then the next, and so on: what is alike in them shrinks to nothing in the shuffle."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _from_planes(block: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(block, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _planes(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """As ``_binaries``, in planes."""
+    return pa.array([_to_planes(values[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())
+
+
 _DOC = np.dtype([("row", "<i8"), ("doc_id", "<i8"), ("null", "?"), ("n", "<i8"), ("known", "<i8"), ("base", "<f8"), ("u", "<f8")])
 _BLOCK = "shard int, at long, keys binary, docs binary, rows binary"
-_PART = "row long, doc_id long, n long, known long, base double, u double"
+_PART = "part int, shard int, own binary, row binary, u binary, rare binary, known binary, base binary"
+_SUMS = "doc_id long, n long, known long, base double, u double"
 
 
 class Scan:
@@ -316,7 +332,7 @@ class Scan:
         doc = doc[order]
         step = np.diff(doc, prepend=np.int32(0))  # texts rise within a block: zeros and ones, which shrink in the shuffle
         step[bounds[:-2]] = doc[bounds[:-2]]
-        columns = [pa.array(of), pa.array(np.full(len(of), at)), _binaries(key[order], bounds), _binaries(step, bounds), _binaries(rows, own)]
+        columns = [pa.array(of), pa.array(np.full(len(of), at)), _binaries(key[order], bounds), _planes(step, bounds), _binaries(rows, own)]
         return pa.RecordBatch.from_arrays(columns, names=["shard", "at", "keys", "docs", "rows"])
 
 
@@ -344,33 +360,103 @@ def _state_blocks(it: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Reco
         yield flush()
 
 
+def _small_states(it: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of states by shard, in the order of their keys: steps between these, without what the shard tells, take five bytes or six, not eight."""
+    for batch in _state_blocks(it, shards):
+        rows = []
+        for block in batch.to_pylist():
+            key = np.frombuffer(block["keys"], np.uint64) // np.uint64(shards)
+            order = np.argsort(key)
+            steps = np.diff(key[order], prepend=np.uint64(0))
+            rows.append({"shard": block["shard"], "keys": _to_planes(steps), **{c: _to_planes(np.frombuffer(block[c], kind)[order]) for c, kind in _STATE.items()}})
+        yield pa.RecordBatch.from_pylist(rows, pa.schema([("shard", pa.int32()), *((c, pa.binary()) for c in ("keys", *_STATE))]))
+
+
+def _read_states(blocks: pa.Table, shards: int) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """(keys, values) of the blocks of one shard."""
+    keys = [np.cumsum(_from_planes(x, np.uint64)) * np.uint64(shards) + np.uint64(shard) for x, shard in zip(blocks["keys"].to_pylist(), blocks["shard"].to_pylist())]
+    values = {c: [_from_planes(x, kind) for x in blocks[c].to_pylist()] for c, kind in _STATE.items()}
+    return np.concatenate([np.empty(0, np.uint64), *keys]), {c: np.concatenate([np.empty(0, _STATE[c]), *v]) for c, v in values.items()}
+
+
+def _numbers(blocks: list[bytes], kind: np.dtype | type) -> np.ndarray:
+    return np.concatenate([np.empty(0, kind), *(np.frombuffer(x, kind) for x in blocks)])
+
+
 def _joined(column: pa.ChunkedArray, kind: np.dtype | type) -> np.ndarray:
-    return np.concatenate([np.empty(0, kind), *(np.frombuffer(x, kind) for x in column.to_pylist())])
-
-
-def _look_up(blocks: pa.Table, states: pa.Table) -> pa.Table:
-    """What the tree knows of the runs of one shard, added up by text, and the sums that came along."""
-    key, place = np.unique(_joined(states["keys"], np.uint64), return_inverse=True)
-    tree = Table(key, **{c: np.bincount(place, _joined(states[c], kind), len(key)) for c, kind in _STATE.items()})
-    found = tree.find(_joined(blocks["keys"], np.uint64))
-    docs = [np.cumsum(np.frombuffer(x, np.int32)) for x in blocks["docs"].to_pylist()]
-    sizes = [int(x.max()) + 1 if len(x) else 0 for x in docs]
-    starts = np.cumsum([0, *sizes])  # the texts of all blocks in one count
-    row = np.concatenate([np.empty(0, np.int64), *(at + np.arange(n) for at, n in zip(blocks["at"].to_pylist(), sizes))])
-    text = np.concatenate([np.empty(0, np.int64), *(x + start for x, start in zip(docs, starts))])
+    return _numbers(column.to_pylist(), kind)
+
+
+def _steps(rows: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Differences of rising numbers, from zero at the start of every stretch."""
+    step = np.diff(rows, prepend=rows[:1])
+    first = bounds[:-1][bounds[:-1] < bounds[1:]]
+    step[first] = rows[first]
+    return step
+
+
+def _look_up(blocks: pa.Table, states: pa.Table, shards: int) -> pa.Table:
+    """What the tree knows of the runs of one shard, added up by text, and the sums that came along.
+
+    A row for each part of the texts, which are as many as shards: one for each text of a shard would be as many as texts
+    times shards. All blocks of a text lie in its part. Sums of the tree are packed beside their texts, those of rare words apart as few texts have any.
+    """
+    key, values = _read_states(states, shards)
+    key, place = np.unique(key, return_inverse=True)
+    tree = Table(key, **{c: np.bincount(place, v, len(key)) for c, v in values.items()})
+    ats = blocks["at"].to_numpy()
+    part = (mix64(ats.astype(np.uint64)) % np.uint64(shards)).astype(np.int32)
+    order = np.lexsort((ats, part))  # part by part, and texts rise within each
+    ats, of = ats[order], part[order]
+
+    def column(name: str) -> list[bytes]:
+        cells = blocks[name].to_pylist()
+        return [cells[i] for i in order.tolist()]
+
+    found = tree.find(_numbers(column("keys"), np.uint64))
+    docs = [np.cumsum(_from_planes(x, np.int32), dtype=np.int64) for x in column("docs")]
+    sizes = np.array([int(x[-1]) + 1 if len(x) else 0 for x in docs], np.int64)
+    starts = np.cumsum(sizes) - sizes  # the texts of all blocks in one count
+    count = int(sizes.sum())
+    text = np.concatenate([np.empty(0, np.int64), *(x + start for x, start in zip(docs, starts.tolist()))])
     hit = found >= 0
     text, found = text[hit], found[hit]
-    some = np.flatnonzero(np.bincount(text, minlength=len(row)))
-    known, base, u = (np.bincount(text, tree.values[c][found], len(row))[some] for c in ("known", "base", "u"))
-    row = row[some]
-    own = _joined(blocks["rows"], _DOC)
-    none = np.zeros(len(row), np.int64)
+    known, base, u = (np.bincount(text, tree.values[c][found], count) for c in ("known", "base", "u"))
+    row = np.arange(count) - np.repeat(starts - ats, sizes)
+    rows = column("rows")
+    held, own = np.repeat(of, sizes), np.repeat(of, np.array([len(x) // _DOC.itemsize for x in rows], np.int64))
+    shown = np.unique(of)
+
+    def bounds(of: np.ndarray) -> np.ndarray:
+        return np.append(np.searchsorted(of, shown), len(of))
+
+    some, rare = np.flatnonzero(u), np.flatnonzero(known)
+    by_u, by_rare = bounds(held[some]), bounds(held[rare])
+    columns = [
+        pa.array(shown), pa.array(np.full(len(shown), blocks["shard"][0].as_py() if len(shown) else 0, np.int32)), _binaries(_numbers(rows, _DOC), bounds(own)),
+        _planes(_steps(row[some], by_u), by_u), _binaries(u[some], by_u), _planes(_steps(row[rare], by_rare), by_rare), _planes(known[rare].astype(np.int64), by_rare), _binaries(base[rare], by_rare),
+    ]
+    return pa.Table.from_arrays(columns, names=["part", "shard", "own", "row", "u", "rare", "known", "base"])
+
+
+def _add_up(part: pa.Table) -> pa.Table:
+    """The sums of every text of a part, over all shards in their order."""
+    part = part.sort_by("shard")
+    own = _joined(part["own"], _DOC)
+    own = own[np.argsort(own["row"])]
+    texts = np.ascontiguousarray(own["row"])
+
+    def total(rows: str, values: np.ndarray) -> np.ndarray:
+        row = np.concatenate([np.cumsum(_from_planes(x, np.int64)) for x in part[rows].to_pylist()])
+        return np.bincount(np.searchsorted(texts, row), values, len(own))
+
+    known = total("rare", np.concatenate([_from_planes(x, np.int64) for x in part["known"].to_pylist()]))
+    base, u = total("rare", _joined(part["base"], np.float64)), total("row", _joined(part["u"], np.float64))
     columns = [
-        pa.array(np.concatenate((own["row"], row))), pa.array(np.concatenate((own["doc_id"], none)), mask=np.concatenate((own["null"], none == 0))),
-        pa.array(np.concatenate((own["n"], none))), pa.array(np.concatenate((own["known"], known.astype(np.int64)))),
-        pa.array(np.concatenate((own["base"], base))), pa.array(np.concatenate((own["u"], u))),
+        pa.array(own["doc_id"], mask=own["null"]), pa.array(own["n"]), pa.array(own["known"] + known.astype(np.int64)),
+        pa.array(own["base"] + base), pa.array(own["u"] + u),
     ]
-    return pa.Table.from_arrays(columns, names=["row", "doc_id", "n", "known", "base", "u"])
+    return pa.Table.from_arrays(columns, names=["doc_id", "n", "known", "base", "u"])
 
 
 def _table(rows: DataFrame, value: str) -> Table:
@@ -428,13 +514,13 @@ def scored(docs: DataFrame, train: Column, depth: int = DEPTH, least: int = LEAS
     runs = _table(reduce(DataFrame.unionAll, broad).where(often).select("key", "u"), "u")
     rows = reduce(DataFrame.unionAll, tree).select("key", "known", "base", "u")
     sieve = bitmap(rows, "key", BITS, scratch)
-    states = scratch.keep(rows.mapInArrow(lambda it: _state_blocks(it, shards), "shard int, keys binary, known binary, base binary, u binary"), "tree")
+    states = scratch.keep(rows.mapInArrow(lambda it: _small_states(it, shards), "shard int, keys binary, known binary, base binary, u binary"), "tree")
     scratch.drop(*(f"{name}{length}" for name in ("entries", "contexts") for length in range(1, depth + 2)))
 
     scan = spark.sparkContext.broadcast(Scan(frequent, runs, sieve, end, total, distinct, depth, shards))
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda it: scan.value(it), _BLOCK)
-    parts = blocks.groupBy("shard").cogroup(states.groupBy("shard")).applyInArrow(_look_up, _PART)
-    rows = parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n", "known", "base", "u")))
+    parts = blocks.groupBy("shard").cogroup(states.groupBy("shard")).applyInArrow(lambda a, b: _look_up(a, b, shards), _PART)
+    rows = parts.groupBy("part").applyInArrow(_add_up, _SUMS)
     ten = float(np.log(10))
     return rows.select(
         "doc_id", F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
