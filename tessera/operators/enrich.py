@@ -80,10 +80,10 @@ def parsed(answers: DataFrame, schema: str, answer: str = "answer") -> DataFrame
 def trusted(found: DataFrame, pages: DataFrame) -> DataFrame:
     """Answered records with clean names that their page bears out, under the issuer the page is known by."""
     rows = found.join(pages.select("source_url", "markdown", F.col("issuer_id").alias("__issuer")), "source_url", "left")
-    name = clean(rows["card"]["card_name"])
-    rows = rows.withColumn("card", F.col("card").withField("card_name", name))
-    rows = rows.where(grounded(F.col("card.card_name"), F.col("markdown")))
-    return rows.withColumn("issuer_id", F.coalesce(F.nullif("__issuer", F.lit("")), F.col("card.issuer_id"))).drop("__issuer", "markdown")
+    borne_out = F.filter(F.array(clean(rows["card"]["card_name"])), lambda name: grounded(name, F.col("markdown")))
+    # exploded, as a filter on a name makes it again wherever it is spoken of
+    rows = rows.select("*", F.explode(borne_out).alias("__name")).withColumn("card", F.col("card").withField("card_name", F.col("__name")))
+    return rows.withColumn("issuer_id", F.coalesce(F.nullif("__issuer", F.lit("")), F.col("card.issuer_id"))).drop("__issuer", "markdown", "__name")
 
 
 def status(answer: Column, n_cards: Column) -> Column:
