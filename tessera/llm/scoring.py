@@ -16,6 +16,8 @@ frequent runs (``HOT`` of all tokens or more, so at most 1 / HOT a level) are br
 out of the shuffle; all others meet the tree in shards of their hash, as packed blocks, and what a shard knows of the
 texts goes on in one packed row for each part of the texts.
 
+Entries are settled in shards too: blocks of them meet the shorter model by suffix, then all of a context by context.
+
 A run can only be an entry if both runs that are shorter by one word are. A bitmap of 2 ** BITS bits tells which of
 those may be, another which runs may be in the tree: they spare work, decide nothing, and pass more runs than needed
 to the exact count or look-up once there are more entries than they have bits.
@@ -25,8 +27,7 @@ Words and runs are known by 64-bit hashes: two that share one (a chance of 2^-64
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, Words, batches, bitmap, bounded_batches, byte_texts, crc_mod, documents, marked, mix64
+from tessera.llm.common import Scratch, Words, batches, bounded_batches, byte_texts, crc_mod, documents, marked, mix64
 
 LEAST, DISCOUNT, DEPTH, HOT, BITS = 2, 0.75, 2, 1e-6, 27
 #: Bytes of text handled at once, runs counted before they leave a task, runs looked up in one shard.
@@ -203,7 +204,7 @@ def word_counts(train: DataFrame) -> DataFrame:
 
 
 def run_counts(train: DataFrame, length: int, shared: Broadcast, least: int, shards: int) -> DataFrame:
-    """(key, context, suffix, n) of the runs of ``length`` tokens of ``train`` (text) that occur ``least`` times or more.
+    """Packed blocks (shard of the suffix, keys, context, suffix, n) of the runs of ``length`` tokens of ``train`` (text) that occur ``least`` times or more.
 
     ``context`` and ``suffix`` are the keys of the run without its last and without its first token.
     ``shared``: the table of frequent words and the bitmap of the shorter runs, or None.
@@ -215,46 +216,222 @@ def run_counts(train: DataFrame, length: int, shared: Broadcast, least: int, sha
         key, run, n = _merged([_joined(table[c], np.uint64) for c in columns[:-1]], _joined(table["n"], np.int64))
         often = n >= least
         run = [x[often] for x in run]
-        keys = key[often], _merged_key(run[:-1]), _merged_key(run[1:])
-        return pa.Table.from_arrays([*(pa.array(x.view(np.int64)) for x in keys), pa.array(n[often])], names=["key", "context", "suffix", "n"])
+        suffix = _merged_key(run[1:])
+        return pa.Table.from_batches([_dealt(suffix, shards, keys=key[often], context=_merged_key(run[:-1]), suffix=suffix, n=n[often])])
+
+    return blocks.groupBy("shard").applyInArrow(add, "shard int, keys binary, context binary, suffix binary, n binary")
+
+
+#: What a block of a level holds: entries of runs, kept contexts, words of one token without and with a place in the table.
+ENTRY, CONTEXT, RARE, FREQUENT = range(4)
+_LEVEL = "kind int, shard int, keys binary, n binary, p binary, u binary"
+_BELOW = "shard int, keys binary, context binary, n binary, below binary"
+#: A context that occurs so often is settled by Spark's aggregates, not in a shard: at most one in so many tokens is, and
+#: no other has more than half as many entries.
+_WIDE = 1 << 21
+
+
+def _dealt(by: np.ndarray, shards: int, **columns: np.ndarray) -> pa.RecordBatch:
+    """Packed blocks (shard, columns), dealt by the keys ``by``."""
+    shard, order = _by_shard(by, shards)
+    of, bounds = _stretches(shard[order])
+    return pa.RecordBatch.from_arrays([pa.array(of), *(_binaries(x[order], bounds) for x in columns.values())], names=["shard", *columns])
+
+
+def _level(kind: int, key: np.ndarray, shards: int, n: np.ndarray, p: np.ndarray, u: np.ndarray) -> pa.RecordBatch:
+    blocks = _dealt(key, shards, keys=key, n=n.astype(np.int64, copy=False), p=p, u=u)
+    return pa.RecordBatch.from_arrays([pa.array(np.full(blocks.num_rows, kind, np.int32)), *blocks.columns], names=["kind", *blocks.schema.names])
+
+
+def _held(it: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows by the ``_HOLD``, so that there are few blocks."""
+    held: list[pa.RecordBatch] = []
+    for batch in it:
+        held.append(batch)
+        if sum(x.num_rows for x in held) >= _HOLD:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _word_level(it: Iterator[pa.RecordBatch], hot: Table, size: float, shards: int) -> Iterator[pa.RecordBatch]:
+    """The first level, from rows (w1, n) of words by their hashes."""
+    for table in _held(it):
+        name, n = _named(table["w1"].to_numpy().view(np.uint64), hot)[0], table["n"].to_numpy()
+        key, p, rare = _chain(name, None), (n + 0.5) / size, name >= _TOP
+        for kind, of in ((RARE, rare), (FREQUENT, ~rare)):
+            yield _level(kind, key[of], shards, n[of], p[of], np.zeros(int(of.sum())))
+
+
+def _below(runs: pa.Table, shorter: pa.Table, wide: np.ndarray, shards: int) -> pa.Table:
+    """The runs of one shard of suffixes, with what the shorter model says of them, dealt by context; those of ``wide`` contexts to shard -1."""
+    key, context, suffix = (_joined(runs[c], np.uint64) for c in ("keys", "context", "suffix"))
+    model = Table(_joined(shorter["keys"], np.uint64), p=_joined(shorter["p"], np.float64))
+    at = model.find(suffix)
+    met = at >= 0
+    key, context, n, below = key[met], context[met], _joined(runs["n"], np.int64)[met], model.values["p"][at[met]]
+    broad = np.isin(context, wide)
+
+    def dealt(of: np.ndarray, by: np.ndarray) -> pa.RecordBatch:
+        return _dealt(by, shards, keys=key[of], context=context[of], n=n[of], below=below[of])
+
+    few = dealt(broad, np.zeros(int(broad.sum()), np.uint64))
+    few = few.set_column(0, "shard", pa.array(np.full(few.num_rows, -1, np.int32)))
+    return pa.Table.from_batches([dealt(~broad, context[~broad]), few])
+
+
+def _settled(rows: pa.Table, shorter: pa.Table, discount: float, shards: int) -> pa.Table:
+    """The model of the contexts of one shard, all entries of which are here: blocks of entries and of kept contexts."""
+    context = _joined(rows["context"], np.uint64)
+    order = np.argsort(context)
+    context = context[order]
+    key, n, below = _joined(rows["keys"], np.uint64)[order], _joined(rows["n"], np.int64)[order], _joined(rows["below"], np.float64)[order]
+    first = _stretches(context)[1][:-1]
+    entries = np.diff(np.append(first, len(context)))
+
+    def sums(values: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(values, first) if len(first) else np.empty(0)
+
+    counts = Table(_joined(shorter["keys"], np.uint64), n=_joined(shorter["n"], np.int64))
+    total = counts.values["n"][counts.find(context[first])] if len(first) else np.empty(0)
+    rest = np.maximum(1 - sums(n - discount) / total, 1e-12)
+    own = (n - discount) / np.repeat(total, entries) + np.repeat(rest, entries) * below
+    more, free = np.log(own / below), np.log(rest)
+    kept = total * (sums(own * more) + rest * np.maximum(1 - sums(below), 0.0) * free) > 0.5 * entries * np.log(total)
+    use = np.repeat(kept, entries)
+    u = np.where(use, more - np.repeat(free, entries), 0.0)
+    blocks = [
+        _level(ENTRY, key, shards, n, np.where(use, own, below), u),
+        _level(CONTEXT, context[first][kept], shards, total[kept], np.zeros(int(kept.sum())), free[kept]),
+    ]
+    return pa.Table.from_batches(blocks)
+
+
+def _wide_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in it:
+        columns = [_joined(batch[c], kind) for c, kind in (("keys", np.int64), ("context", np.int64), ("n", np.int64), ("below", np.float64))]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "context", "n", "below"])
+
 
-    return blocks.groupBy("shard").applyInArrow(add, "key long, context long, suffix long, n long")
+def _packed(rows: DataFrame, kind: int, shards: int) -> DataFrame:
+    """Rows (key, n, p, u) as blocks of a level."""
 
+    def pack(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _held(it):
+            yield _level(kind, table["key"].to_numpy().view(np.uint64), shards, *(table[c].to_numpy() for c in ("n", "p", "u")))
 
-@contextmanager
-def _hash_joins(spark: SparkSession) -> Iterator[None]:
-    """Lets adaptive execution join without sorting wherever it has seen that no partition to be held exceeds 64 MB."""
-    name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "64m")
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+    return rows.select("key", "n", "p", "u").mapInArrow(pack, _LEVEL)
 
 
-def settle(scratch: Scratch, entries: DataFrame, shorter: DataFrame, length: int, discount: float) -> tuple[DataFrame, DataFrame]:
-    """(entries with p and u, kept contexts with n and u) of one length, from the model of the next shorter runs (key, n, p)."""
-    below = shorter.select(F.col("key").alias("suffix"), F.col("p").alias("below"))
-    rows = scratch.keep(entries.join(below, "suffix").drop("suffix"), f"below{length}")
+def _settle_wide(scratch: Scratch, rows: DataFrame, totals: DataFrame, length: int, discount: float, shards: int) -> DataFrame:
+    """As ``_settled`` for the wide contexts, whose entries (key, context, n, below) stay where they are: only sums are shuffled, and ``totals`` (context, total) has a bound."""
     sums = rows.groupBy("context").agg(F.sum(F.col("n") - discount).alias("taken"), F.sum("below").alias("covered"), F.count(F.lit(1)).alias("entries"))
-    sums = sums.join(shorter.select(F.col("key").alias("context"), F.col("n").alias("total")), "context")
-    sums = sums.withColumn("rest", F.greatest(1 - F.col("taken") / F.col("total"), F.lit(1e-12)))
+    sums = sums.join(F.broadcast(totals), "context").withColumn("rest", F.greatest(1 - F.col("taken") / F.col("total"), F.lit(1e-12)))
+    sums = scratch.keep(sums, f"wide{length}")
     own = (F.col("n") - discount) / F.col("total") + F.col("rest") * F.col("below")
-    rows = scratch.keep(rows.join(sums.select("context", "total", "rest"), "context").select("key", "context", "n", "below", own.alias("own")), f"own{length}")
+    rows = rows.join(F.broadcast(sums.select("context", "total", "rest")), "context").select("key", "context", "n", "below", own.alias("own"))
     gains = rows.groupBy("context").agg(F.sum(F.col("own") * F.log(F.col("own") / F.col("below"))).alias("gain"))
     free = F.col("rest") * F.greatest(1 - F.col("covered"), F.lit(0.0)) * F.log("rest")
-    kept = sums.join(gains, "context").where(F.col("total") * (F.col("gain") + free) > 0.5 * F.col("entries") * F.log("total"))
-    kept = scratch.keep(kept.select(F.col("context").alias("key"), F.col("total").alias("n"), F.log("rest").alias("u")), f"contexts{length}")
-    rows = rows.join(kept.select(F.col("key").alias("context"), F.col("u").alias("free")), "context", "left")
+    kept = sums.join(F.broadcast(gains), "context").where(F.col("total") * (F.col("gain") + free) > 0.5 * F.col("entries") * F.log("total"))
+    kept = scratch.keep(kept.select(F.col("context").alias("key"), F.col("total").alias("n"), F.lit(0.0).alias("p"), F.log("rest").alias("u")), f"widekept{length}")
+    rows = rows.join(F.broadcast(kept.select(F.col("key").alias("context"), F.col("u").alias("free"))), "context", "left")
     use = F.col("free").isNotNull()
     rows = rows.select(
         "key", "n", F.when(use, F.col("own")).otherwise(F.col("below")).alias("p"),
         F.when(use, F.log(F.col("own") / F.col("below")) - F.col("free")).otherwise(0.0).alias("u"),
     )
-    rows = scratch.keep(rows, f"entries{length}")
-    scratch.drop(f"below{length}", f"own{length}")
-    return rows, kept
+    return _packed(rows, ENTRY, shards).unionAll(_packed(kept, CONTEXT, shards))
+
+
+def settle(scratch: Scratch, runs: DataFrame, shorter: DataFrame, length: int, discount: float, shards: int) -> DataFrame:
+    """The level of ``length``, blocks of entries (n, p, u) and of kept contexts (n, u), from that of the next shorter runs.
+
+    Entries meet the shorter model by their suffix, then their context's others, as packed blocks: a row for each costs
+    every join and sum many times what numpy takes for it.
+    """
+    spark = scratch.spark
+    shorter = shorter.where(F.col("kind") != CONTEXT)
+    often = _often(shorter, _WIDE).toArrow()
+    wide = np.sort(often["key"].to_numpy().view(np.uint64))
+    met = runs.groupBy("shard").cogroup(shorter.select("shard", "keys", "p").groupBy("shard"))
+    rows = scratch.keep(met.applyInArrow(lambda a, b: _below(a, b, wide, shards), _BELOW), f"below{length}")
+    met = rows.where("shard >= 0").groupBy("shard").cogroup(shorter.select("shard", "keys", "n").groupBy("shard"))
+    level = met.applyInArrow(lambda a, b: _settled(a, b, discount, shards), _LEVEL)
+    if len(wide):
+        totals = spark.createDataFrame(often.select(["key", "n"]).rename_columns(["context", "total"]))
+        broad = rows.where("shard < 0").mapInArrow(_wide_rows, "key long, context long, n long, below double")
+        level = level.unionAll(_settle_wide(scratch, broad, totals, length, discount, shards))
+    level = scratch.keep(level, f"level{length}")
+    scratch.drop(f"below{length}")
+    return level
+
+
+def _often(level: DataFrame, least: float) -> DataFrame:
+    """Rows (key, n, u) of the blocks of a level, of what occurs ``least`` times or more."""
+
+    def pick(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            key, n, u = (_joined(batch[c], kind) for c, kind in (("keys", np.int64), ("n", np.int64), ("u", np.float64)))
+            of = n >= least
+            yield pa.RecordBatch.from_arrays([pa.array(x[of]) for x in (key, n, u)], names=["key", "n", "u"])
+
+    return level.select("keys", "n", "u").mapInArrow(pick, "key long, n long, u double")
+
+
+def _state_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, known, base, u) of what adds to a score, from blocks of levels."""
+    for batch in it:
+        key, n, u = (_joined(batch[c], kind) for c, kind in (("keys", np.int64), ("n", np.int64), ("u", np.float64)))
+        kind = np.repeat(batch["kind"].to_numpy(), [len(x) // 8 for x in batch["keys"].to_pylist()])
+        rare = kind == RARE
+        of = rare | (kind == CONTEXT) | (u != 0)
+        columns = [key, rare.astype(np.int8), np.where(rare, np.log((n + 0.5) / 0.5), 0.0), u]
+        yield pa.RecordBatch.from_arrays([pa.array(x[of]) for x in columns], names=["key", *_STATE])
+
+
+#: Bits of a piece of a bitmap.
+_PIECE = 19
+
+
+def _marks(it: Iterator[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Rows (piece, low): the low bits of some millions of keys, as steps, by piece of the bitmap."""
+    held: list[np.ndarray] = []
+
+    def flush() -> pa.RecordBatch:
+        low = np.sort((np.concatenate(held) & np.uint64((1 << BITS) - 1)).astype(np.int32))
+        low = low[np.diff(low, prepend=np.int32(-1)) > 0]
+        of, bounds = _stretches(low >> _PIECE)
+        return pa.RecordBatch.from_arrays([pa.array(of), _planes(_steps(low, bounds), bounds)], names=["piece", "low"])
+
+    for keys in it:
+        held += keys
+        if sum(map(len, held)) >= _HOLD:
+            yield flush()
+            held = []
+    if held:
+        yield flush()
+
+
+def _sieve(blocks: DataFrame, read: Callable[[pa.RecordBatch], list[np.ndarray]], scratch: Scratch, name: str) -> np.ndarray:
+    """``bitmap`` of the keys that ``read`` takes from packed blocks."""
+    marks = blocks.mapInArrow(lambda it: _marks(read(batch) for batch in it), "piece int, low binary")
+
+    def add(table: pa.Table) -> pa.Table:
+        bits = np.zeros(1 << _PIECE, bool)
+        for low in table["low"].to_pylist():
+            bits[np.cumsum(_from_planes(low, np.int32)) & ((1 << _PIECE) - 1)] = True
+        return pa.table({"piece": table["piece"].slice(0, 1), "mask": [np.packbits(bits, bitorder="little").tobytes()]})
+
+    found = scratch.keep(marks.groupBy("piece").applyInArrow(add, "piece int, mask binary"), name).toArrow()
+    out = np.zeros((1 << (BITS - _PIECE), 1 << (_PIECE - 3)), np.uint8)
+    for piece, mask in zip(found["piece"].to_pylist(), found["mask"].to_pylist()):
+        out[piece] = np.frombuffer(mask, np.uint8)
+    return out.ravel().view(np.uint64)
+
+
+def _level_keys(blocks: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in blocks["keys"].to_pylist()]
 
 
 def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -372,9 +549,13 @@ def _small_states(it: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_pylist(rows, pa.schema([("shard", pa.int32()), *((c, pa.binary()) for c in ("keys", *_STATE))]))
 
 
+def _state_keys(blocks: pa.Table | pa.RecordBatch, shards: int) -> list[np.ndarray]:
+    return [np.cumsum(_from_planes(x, np.uint64)) * np.uint64(shards) + np.uint64(shard) for x, shard in zip(blocks["keys"].to_pylist(), blocks["shard"].to_pylist())]
+
+
 def _read_states(blocks: pa.Table, shards: int) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """(keys, values) of the blocks of one shard."""
-    keys = [np.cumsum(_from_planes(x, np.uint64)) * np.uint64(shards) + np.uint64(shard) for x, shard in zip(blocks["keys"].to_pylist(), blocks["shard"].to_pylist())]
+    keys = _state_keys(blocks, shards)
     values = {c: [_from_planes(x, kind) for x in blocks[c].to_pylist()] for c, kind in _STATE.items()}
     return np.concatenate([np.empty(0, np.uint64), *keys]), {c: np.concatenate([np.empty(0, _STATE[c]), *v]) for c, v in values.items()}
 
@@ -483,39 +664,23 @@ def scored(docs: DataFrame, train: Column, depth: int = DEPTH, least: int = LEAS
     total, distinct, end = (x or 0 for x in words.agg(F.sum("n"), F.count(F.lit(1)), F.sum(F.when(F.col("w1") == int(END), F.col("n")))).first())
     often = F.col("n") >= max(least, hot * total)  # at most 1 / hot rows a length
     frequent = _table(words.where(often & (F.col("w1") != int(END))).select(F.col("w1").alias("key"), "n"), "n")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = (1 + size // (5 * _SHARD)) | 1  # a word and its space are about five bytes or more; odd, so that the low bits of a shard's keys differ
     shared = spark.sparkContext.broadcast(frequent)
-
-    def rename(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            name = _named(batch["w1"].to_numpy().view(np.uint64), shared.value)[0]
-            yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), batch["n"]], names=["w1", "n"])
-
-    shorter = words.mapInArrow(rename, "w1 long, n long").withColumn("p", (F.col("n") + 0.5) / (total + 0.5 * (distinct + 1)))
-    shorter = scratch.keep(shorter.select(F.xxhash64("w1").alias("key"), "n", "p", (F.col("w1") < 0).alias("rare"), (F.col("w1") > 1).alias("hot")), "entries1")
+    level = words.mapInArrow(lambda it: _word_level(it, shared.value, total + 0.5 * (distinct + 1), shards), _LEVEL)
+    levels = [scratch.keep(level, "level1")]
     scratch.drop("words")
     shared.destroy()
-
-    def state(rows: DataFrame, u: Column, known: Column, base: Column) -> DataFrame:
-        return rows.select("key", "n", u.alias("u"), known.alias("known"), base.alias("base"))
-
-    none, zero = F.lit(0), F.lit(0.0)
-    tree = [state(shorter.where("rare"), zero, F.lit(1), F.log((F.col("n") + 0.5) / 0.5))]
-    broad = [state(shorter.where("hot"), zero, none, zero)]
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = 1 + size // (5 * _SHARD)  # a word and its space are about five bytes or more
-    with _hash_joins(spark):
-        for length in range(2, depth + 2):
-            sieve = bitmap(shorter, "key", BITS, scratch) if length > 2 else None
-            counting = spark.sparkContext.broadcast((frequent, sieve))
-            shorter, contexts = settle(scratch, run_counts(learned, length, counting, least, shards), shorter, length, discount)
-            counting.destroy()  # every executor has a copy on its disk; all that used it is written
-            tree += [state(shorter.where("u != 0"), F.col("u"), none, zero), state(contexts, F.col("u"), none, zero)]
-            broad += [state(shorter, F.col("u"), none, zero), tree[-1]]
-    runs = _table(reduce(DataFrame.unionAll, broad).where(often).select("key", "u"), "u")
-    rows = reduce(DataFrame.unionAll, tree).select("key", "known", "base", "u")
-    sieve = bitmap(rows, "key", BITS, scratch)
-    states = scratch.keep(rows.mapInArrow(lambda it: _small_states(it, shards), "shard int, keys binary, known binary, base binary, u binary"), "tree")
-    scratch.drop(*(f"{name}{length}" for name in ("entries", "contexts") for length in range(1, depth + 2)))
+    for length in range(2, depth + 2):
+        sieve = _sieve(levels[-1].where(F.col("kind") != CONTEXT).select("keys"), _level_keys, scratch, f"sieve{length}") if length > 2 else None
+        counting = spark.sparkContext.broadcast((frequent, sieve))
+        levels.append(settle(scratch, run_counts(learned, length, counting, least, shards), levels[-1], length, discount, shards))
+        counting.destroy()  # every executor has a copy on its disk; all that used it is written
+    rows = reduce(DataFrame.unionAll, levels)
+    runs = _table(_often(rows.where(F.col("kind") != RARE), max(least, hot * total)), "u")
+    states = scratch.keep(rows.mapInArrow(lambda it: _small_states(_state_rows(it), shards), "shard int, keys binary, known binary, base binary, u binary"), "tree")
+    scratch.drop(*(f"level{length}" for length in range(1, depth + 2)))
+    sieve = _sieve(states.select("shard", "keys"), lambda blocks: _state_keys(blocks, shards), scratch, "sieve")
 
     scan = spark.sparkContext.broadcast(Scan(frequent, runs, sieve, end, total, distinct, depth, shards))
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda it: scan.value(it), _BLOCK)
