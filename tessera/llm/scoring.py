@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import Scratch, Words, batches, bounded_batches, byte_texts, crc_mod, documents, marked, mix64
 
 LEAST, DISCOUNT, DEPTH, HOT, BITS = 2, 0.75, 2, 1e-6, 27
-#: Bytes of text handled at once, runs counted before they leave a task, runs looked up in one shard.
-_AT_ONCE, _HOLD, _SHARD = 1 << 19, 2_000_000, 4_000_000
+#: Bytes of text handled at once, rows packed before they leave a task, runs counted before they do, runs looked up in one shard.
+_AT_ONCE, _HOLD, _RUNS, _SHARD = 1 << 19, 2_000_000, 1_000_000, 4_000_000
 #: The end of a text, as a token's name; frequent words are named by their place in a table, others by a hash.
 END, _TOP = np.uint64(1), np.uint64(1 << 63)
 # The five primes of XXH64.
@@ -160,7 +160,10 @@ def _run_blocks(it: Iterator[pa.RecordBatch], length: int, hot: Table, sieve: np
     held: list[list[np.ndarray]] = []
 
     def flush() -> pa.RecordBatch:
-        key, run, n = _merged([np.concatenate(x) for x in zip(*held)])
+        whole = [np.concatenate(x) for x in zip(*held)]
+        held.clear()  # the largest of what a worker holds
+        key, run, n = _merged(whole)
+        del whole
         shard, order = _by_shard(key, shards)
         of, bounds = _stretches(shard[order])
         return pa.RecordBatch.from_arrays([pa.array(of), *(_binaries(x[order], bounds) for x in [*run, n])], names=["shard", *_columns(length), "n"])
@@ -175,9 +178,8 @@ def _run_blocks(it: Iterator[pa.RecordBatch], length: int, hot: Table, sieve: np
             good[1:] &= may[1:] & may[:-1]
         last = np.flatnonzero(good)
         held.append([name[last - length + 1 + i] for i in range(length)])
-        if sum(len(x[0]) for x in held) >= _HOLD:
+        if sum(len(x[0]) for x in held) >= _RUNS:
             yield flush()
-            held = []
     if held:
         yield flush()
 
